@@ -169,3 +169,592 @@ SELECT event_id, date_trunc('second', ts) AS time FROM events""")
 def f2_second_precision(spark, sf):
     ev = table(spark, sf, "events").select("event_id", F.col("ts").alias("time"))
     return rs.second_precision(ev)
+
+
+# --------------------------------------------------------------------------- A4, B
+from meterlake.functions import calendar as cal  # noqa: E402
+from meterlake.functions import literals as lit  # noqa: E402
+from meterlake.functions import parsing as ps  # noqa: E402
+from meterlake.functions import status as st  # noqa: E402
+from meterlake.operators import audit as au  # noqa: E402
+from meterlake.operators import load as ld  # noqa: E402
+from meterlake.operators import periods as pr  # noqa: E402
+from meterlake.operators import readings as rd  # noqa: E402
+from meterlake.operators import settings as stg  # noqa: E402
+from meterlake.sources import workbooks as wb  # noqa: E402
+
+_SESSION_HEX_SQL = "lpad(lower(hex(o_orderkey)), 8, '0')"
+_PROV = wb.PROVENANCE_PATTERN
+
+
+@register("a4_file_provenance", f"""
+SELECT o_orderkey, file,
+       CAST(regexp_extract(file, '{_PROV}', 1) AS INTEGER) AS year,
+       CAST(regexp_extract(file, '{_PROV}', 2) AS INTEGER) AS month,
+       lower(regexp_extract(file, '{_PROV}', 3)) AS session
+FROM (SELECT o_orderkey, '/landing/' || year(o_orderdate) || '_' || month(o_orderdate) || '_'
+             || {_SESSION_HEX_SQL} || '_readings.xlsx' AS file FROM orders)""")
+def a4_file_provenance(spark, sf):
+    o = table(spark, sf, "orders")
+    named = o.select("o_orderkey", F.concat(F.lit("/landing/"), wb.provenance_name(
+        F.year("o_orderdate"), F.month("o_orderdate"),
+        F.lpad(F.lower(F.hex("o_orderkey")), 8, "0"))).alias("file"))
+    return named.select("o_orderkey", "file", wb.file_provenance("file").alias("p")).select(
+        "o_orderkey", "file", "p.year", "p.month", "p.session")
+
+
+def _event_cells(spark, sf) -> DataFrame:
+    """Raw workbook-like rows from events: date text, time text, number text, extra column."""
+    ev = table(spark, sf, "events")
+    return ev.select("event_id", "user_id", F.array(
+        F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm"),
+        F.format_number("value", 2), F.col("event_type")).alias("cells"))
+
+
+_CELLS_SQL = """strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H:%M') AS time,
+       format('{:,.2f}', value) AS consumption"""
+
+
+@register("b1_merge_date_time", """
+SELECT event_id, date_trunc('minute', ts) AS date_time FROM events""")
+def b1_merge_date_time(spark, sf):
+    rows = rd.first_three(_event_cells(spark, sf), keep=("event_id",))
+    return rows.select("event_id", ps.merge_date_time("date", "time").alias("date_time"))
+
+
+@register("b2_parse_number", """
+SELECT o_orderkey, format('{:,.2f}', o_totalprice) AS text,
+       CAST(replace(format('{:,.2f}', o_totalprice), ',', '') AS DOUBLE) AS consumption
+FROM orders""")
+def b2_parse_number(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", F.format_number("o_totalprice", 2).alias("text"))
+    return o.withColumn("consumption", ps.parse_number("text"))
+
+
+@register("b3_first_three", f"""
+SELECT event_id, {_CELLS_SQL} FROM events""")
+def b3_first_three(spark, sf):
+    return rd.first_three(_event_cells(spark, sf), keep=("event_id",))
+
+
+@register("b4_attach_series", """
+SELECT e.event_id, 'meter_' || e.user_id || '.xlsx' AS file,
+       'PT00' || lpad(CAST(c.c_custkey AS VARCHAR), 12, '0') || '04TW' AS cpe
+FROM events e LEFT JOIN customer c ON 'meter_' || e.user_id || '.xlsx' = 'meter_' || c.c_custkey || '.xlsx'""")
+def b4_attach_series(spark, sf):
+    rows = table(spark, sf, "events").select(
+        "event_id", F.concat(F.lit("meter_"), F.col("user_id").cast("string"), F.lit(".xlsx")).alias("file"))
+    files = table(spark, sf, "customer").select(
+        F.concat(F.lit("meter_"), F.col("c_custkey").cast("string"), F.lit(".xlsx")).alias("file"),
+        st.cpe_code("c_custkey").alias("cpe"))
+    return rd.attach_series(rows, files)
+
+
+@register("b5_localize_utc", """
+SELECT event_id, ts AS date_time, epoch_us(ts) AS epoch_us FROM events""")
+def b5_localize_utc(spark, sf):
+    ev = table(spark, sf, "events")
+    return ev.select("event_id", F.col("ts").alias("date_time"),
+                     ps.epoch_micros(ps.localize_utc("ts")).alias("epoch_us"))
+
+
+@register("b6_key_by_time", """
+SELECT CAST(user_id AS VARCHAR) AS cpe, ts AS date_time, value AS consumption, event_id AS seq FROM events""")
+def b6_key_by_time(spark, sf):
+    return rd.key_by_time(event_readings(spark, sf))
+
+
+# --------------------------------------------------------------------------- C3-C7
+SELECT_YEAR, SELECT_MONTH = 1995, 5
+CURRENT_AS_OF = "2001-07-15"
+PREVIOUS_AS_OF = "1996-01-10"      # January: the previous month is December 1995
+REQUEST_AS_OF = "1999-06-15"
+
+_ORDER_READINGS_SQL = """
+SELECT CAST(o_custkey AS VARCHAR) AS cpe, o_orderdate AS date_time, o_totalprice AS consumption,
+       o_orderkey AS seq FROM orders"""
+
+
+@register("c3_month_select", f"""
+{_ORDER_READINGS_SQL}
+WHERE o_orderdate >= {_NTZ} '1995-05-01' AND o_orderdate < {_NTZ} '1995-06-01'""")
+def c3_month_select(spark, sf):
+    return pr.select_period(order_readings(spark, sf), "select", year=SELECT_YEAR, month=SELECT_MONTH)
+
+
+@register("c4_month_current", f"""
+{_ORDER_READINGS_SQL}
+WHERE o_orderdate >= {_NTZ} '2001-07-01' AND o_orderdate < {_NTZ} '2001-08-01'""")
+def c4_month_current(spark, sf):
+    return pr.select_period(order_readings(spark, sf), "current", as_of=CURRENT_AS_OF)
+
+
+@register("c5_month_previous", f"""
+{_ORDER_READINGS_SQL}
+WHERE o_orderdate >= {_NTZ} '1995-12-01' AND o_orderdate < {_NTZ} '1996-01-01'""")
+def c5_month_previous(spark, sf):
+    return pr.select_period(order_readings(spark, sf), "previous", as_of=PREVIOUS_AS_OF)
+
+
+def _order_requests(spark, sf) -> DataFrame:
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", F.col("o_custkey").cast("string").alias("cpe"),
+                    F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+
+
+@register("c6_reject_future", f"""
+SELECT o_orderkey, year(o_orderdate) AS year, month(o_orderdate) AS month,
+       make_timestamp(year(o_orderdate), month(o_orderdate), 1, 0, 0, 0) > {_NTZ} '{REQUEST_AS_OF}' AS future
+FROM orders""")
+def c6_reject_future(spark, sf):
+    return pr.flag_future(_order_requests(spark, sf).drop("cpe"), REQUEST_AS_OF)
+
+
+@register("c7_missing_periods", """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cpe, year(o_orderdate) AS year, month(o_orderdate) AS month
+FROM orders r
+WHERE NOT EXISTS (SELECT 1 FROM orders a WHERE a.o_orderstatus = 'F' AND a.o_custkey = r.o_custkey
+                  AND year(a.o_orderdate) = year(r.o_orderdate) AND month(a.o_orderdate) = month(r.o_orderdate))""")
+def c7_missing_periods(spark, sf):
+    req = _order_requests(spark, sf)
+    o = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
+    available = o.select(F.col("o_custkey").cast("string").alias("cpe"),
+                         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    return pr.missing_periods(req, available)
+
+
+# --------------------------------------------------------------------------- E2
+ORPHAN_CUTOFF = "1998-01-01"
+
+
+@register("e2_orphan_status", f"""
+SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < {_NTZ} '{ORPHAN_CUTOFF}')""")
+def e2_orphan_status(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    parents = table(spark, sf, "orders").filter(
+        F.col("o_orderdate") < mk.ts_literal(ORPHAN_CUTOFF, _ntz()))
+    return au.orphans(li, parents, "l_orderkey", "o_orderkey")
+
+
+# --------------------------------------------------------------------------- F3-F5
+FIRST_LOAD_END = "2024-01-20 00:00:00"
+SECOND_LOAD_START = "2024-01-10 00:00:00"
+
+
+def _hourly_points(spark, sf, cond, load_seq: int) -> DataFrame:
+    """One load of hourly points (``seq`` kept to break ties inside a load)."""
+    r = event_readings(spark, sf).filter(cond)
+    return r.select(F.lit("kW").alias("measurement"), "cpe", F.lit("consumption").alias("field"),
+                    F.date_trunc("hour", "date_time").alias("time"), F.col("consumption").alias("value"),
+                    F.lit(load_seq).cast("long").alias("load_seq"), "seq")
+
+
+@register("f3_load_full", f"""
+WITH loads AS (
+  SELECT CAST(user_id AS VARCHAR) AS cpe, date_trunc('hour', ts) AS time, value,
+         CAST(1 AS BIGINT) AS load_seq, event_id AS seq FROM events WHERE ts < {_NTZ} '{FIRST_LOAD_END}'
+  UNION ALL
+  SELECT CAST(user_id AS VARCHAR), date_trunc('hour', ts), value, CAST(2 AS BIGINT), event_id
+  FROM events WHERE ts >= {_NTZ} '{SECOND_LOAD_START}')
+SELECT 'kW' AS measurement, cpe, 'consumption' AS field, time, value, load_seq, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY cpe, time ORDER BY load_seq DESC, seq DESC) AS rn FROM loads)
+WHERE rn = 1""")
+def f3_load_full(spark, sf):
+    first = _hourly_points(spark, sf, F.col("date_time") < mk.ts_literal(FIRST_LOAD_END, _ntz()), 1)
+    second = _hourly_points(spark, sf, F.col("date_time") >= mk.ts_literal(SECOND_LOAD_START, _ntz()), 2)
+    return ld.merge_full(first, second, tiebreak="seq")
+
+
+@register("f4_load_delta", f"""
+WITH {_STORED_SQL}
+SELECT 'kW' AS measurement, cpe, 'consumption' AS field, value, time FROM (
+  SELECT CAST(user_id AS VARCHAR) AS cpe, value, ts AS time FROM events
+  WHERE ts < {_NTZ} '{STORE_CUTOFF}'
+    AND user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> '{UNREGISTERED_SEGMENT}'))
+UNION ALL
+SELECT 'kW', CAST(e.user_id AS VARCHAR), 'consumption', e.value, e.ts
+FROM events e LEFT JOIN marks m ON CAST(e.user_id AS VARCHAR) = m.cpe
+WHERE e.ts > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')""")
+def f4_load_delta(spark, sf):
+    stored = stored_points(spark, sf)
+    new = rs.to_points(mk.delta(event_readings(spark, sf), stored))
+    return stored.unionByName(new)
+
+
+FAN_OUT_TARGETS = "parquet, ,influxdb,orc"   # as typed on a command line
+
+
+@register("f5_fan_out")
+def f5_fan_out(spark, sf):
+    from meterlake.session import scratch_path
+    pts = rs.to_points(event_readings(spark, sf))
+    out = scratch_path(spark, "fan-out")
+    writers = {
+        "parquet": lambda df: df.write.mode("overwrite").partitionBy("measurement").parquet(out + "/parquet"),
+        "orc": lambda df: df.write.mode("overwrite").orc(out + "/orc"),
+    }
+    names = [t.strip() for t in FAN_OUT_TARGETS.split(",")]
+    return ld.fan_out(pts, names, writers)
+
+
+# --------------------------------------------------------------------------- G
+AUDIT_AS_OF = "2001-08-02 00:00:00"
+
+_UUID_SQL = """(lpad(lower(hex({k})), 32, '0')[1:8] || '-' || lpad(lower(hex({k})), 32, '0')[9:12] || '-'
+ || lpad(lower(hex({k})), 32, '0')[13:16] || '-' || lpad(lower(hex({k})), 32, '0')[17:20] || '-'
+ || lpad(lower(hex({k})), 32, '0')[21:32])"""
+
+
+def _requests(spark, sf) -> DataFrame:
+    """Workflow requests standing in for the audit table: one per order."""
+    o = table(spark, sf, "orders")
+    return o.select(
+        st.uuid_from_key("o_orderkey").alias("task_id"),
+        F.when(F.col("o_orderstatus") == "F", "select").when(F.col("o_orderstatus") == "O", "current")
+         .otherwise("previous").alias("workflow"),
+        F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year"),
+        (F.col("o_totalprice") > 200000).alias("delta"),
+        (F.col("o_orderpriority") == "1-URGENT").alias("download"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate")).alias("created"))
+
+
+@register("g1_audit_insert", f"""
+SELECT {_UUID_SQL.format(k='o_orderkey')} AS task_id,
+  CASE o_orderstatus WHEN 'F' THEN 'select' WHEN 'O' THEN 'current' ELSE 'previous' END AS workflow,
+  month(o_orderdate) AS month, year(o_orderdate) AS year, o_totalprice > 200000 AS delta,
+  o_orderpriority = '1-URGENT' AS download,
+  COALESCE(CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END, {_NTZ} '{AUDIT_AS_OF}') AS created
+FROM orders""")
+def g1_audit_insert(spark, sf):
+    return au.audit_insert(_requests(spark, sf), AUDIT_AS_OF)
+
+
+def _status_log(spark, sf) -> DataFrame:
+    """Task status updates standing in for the status log: one per event."""
+    ev = table(spark, sf, "events")
+    return ev.select(F.col("user_id").cast("string").alias("task_id"),
+                     F.when(F.col("event_type") != "view", F.col("event_type")).alias("status"),
+                     F.when(F.col("event_type") == "purchase", F.col("props")).alias("file"),
+                     F.col("ts").alias("updated"), F.col("event_id").alias("seq"))
+
+
+_FOLD_SQL = """
+SELECT CAST(user_id AS VARCHAR) AS task_id,
+  max_by(CASE WHEN event_type <> 'view' THEN event_type END, CASE WHEN event_type <> 'view' THEN ts END) AS status,
+  max_by(CASE WHEN event_type = 'purchase' THEN props END, CASE WHEN event_type = 'purchase' THEN ts END) AS file,
+  max(ts) AS updated, count(*) AS n_updates
+FROM events GROUP BY user_id"""
+
+
+@register("g2_status_update", _FOLD_SQL)
+def g2_status_update(spark, sf):
+    return au.fold_updates(_status_log(spark, sf), "task_id", "updated",
+                           ["status", "file", "updated"], tiebreak="seq")
+
+
+@register("g3_status_lookup", f"""
+SELECT CAST(c.c_custkey AS VARCHAR) AS task_id, s.status, s.updated
+FROM customer c LEFT JOIN ({_FOLD_SQL}) s ON CAST(c.c_custkey AS VARCHAR) = s.task_id
+WHERE c.c_mktsegment = '{LOOKUP_SEGMENT}'""")
+def g3_status_lookup(spark, sf):
+    status = au.fold_updates(_status_log(spark, sf), "task_id", "updated",
+                             ["status", "updated"], tiebreak="seq").drop("n_updates")
+    ids = (table(spark, sf, "customer").filter(F.col("c_mktsegment") == LOOKUP_SEGMENT)
+           .select(F.col("c_custkey").cast("string").alias("task_id")))
+    return au.status_lookup(status, ids)
+
+
+@register("g4_unique_violations", """
+SELECT o_custkey, o_orderdate, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(*) > 1""")
+def g4_unique_violations(spark, sf):
+    return au.unique_violations(table(spark, sf, "orders"), ["o_custkey", "o_orderdate"])
+
+
+@register("g5_surrogate_id", """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id FROM orders""")
+def g5_surrogate_id(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return au.surrogate_id(o, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "id")
+
+
+@register("g6_param_query", f"""
+SELECT event_id, user_id, value FROM events
+WHERE event_type = 'purchase' AND ts >= {_NTZ} '2024-01-10 00:00:00'""")
+def g6_param_query(spark, sf):
+    return au.param_query(
+        spark, "SELECT event_id, user_id, value FROM {ev} "
+               "WHERE event_type = :etype AND ts >= CAST(:start AS TIMESTAMP_NTZ)",
+        {"etype": "purchase", "start": "2024-01-10 00:00:00"}, ev=table(spark, sf, "events"))
+
+
+@register("g7_explode_targets", """
+SELECT event_id, CAST(unnest(generate_series(0, len(l) - 1)) AS INTEGER) AS pos, unnest(l) AS target
+FROM (SELECT event_id, list_transform(string_split(event_type || ', influxdb ,', ','), lambda x: trim(x)) AS l
+      FROM events)""")
+def g7_explode_targets(spark, sf):
+    ev = table(spark, sf, "events").select("event_id", F.concat("event_type", F.lit(", influxdb ,")).alias("db"))
+    return ev.select("event_id", F.posexplode(st.target_list("db")).alias("pos", "target"))
+
+
+_STATUS_TEXT_SQL = """CASE event_type WHEN 'error' THEN 'failed: ' || props WHEN 'purchase' THEN 'completed'
+  WHEN 'view' THEN 'queued' WHEN 'click' THEN 'running' ELSE 'failed: timeout' END"""
+
+
+@register("g8_status_parts", f"""
+SELECT event_id, CASE WHEN starts_with(s, 'failed') THEN 'failed' ELSE s END AS state,
+       CASE WHEN starts_with(s, 'failed: ') THEN substr(s, 9) END AS message
+FROM (SELECT event_id, {_STATUS_TEXT_SQL} AS s FROM events)""")
+def g8_status_parts(spark, sf):
+    ev = table(spark, sf, "events")
+    s = (F.when(F.col("event_type") == "error", F.concat(F.lit("failed: "), F.col("props")))
+         .when(F.col("event_type") == "purchase", "completed").when(F.col("event_type") == "view", "queued")
+         .when(F.col("event_type") == "click", "running").otherwise("failed: timeout"))
+    return ev.select("event_id", s.alias("s")).select(
+        "event_id", st.status_state("s").alias("state"), st.status_message("s").alias("message"))
+
+
+@register("g9_file_flag", f"""
+SELECT event_id, CASE WHEN event_type = 'purchase' THEN '{st.FILE_NOTE}' END AS file FROM events""")
+def g9_file_flag(spark, sf):
+    ev = table(spark, sf, "events")
+    file = F.when(F.col("event_type") == "purchase", F.col("props").cast("binary"))
+    return ev.select("event_id", st.file_flag(file).alias("file"))
+
+
+@register("g10_check_requests", f"""
+SELECT o_orderkey, workflow, month, year,
+  CASE WHEN workflow IS NULL OR workflow NOT IN ('current', 'previous', 'select') THEN 'unsupported workflow'
+       WHEN workflow = 'select' AND (month IS NULL OR year IS NULL) THEN 'select needs month and year'
+       WHEN workflow = 'select' AND (month < 1 OR month > 12) THEN 'invalid month'
+       WHEN workflow = 'select' AND make_timestamp(year, month, 1, 0, 0, 0) > {_NTZ} '{REQUEST_AS_OF}' THEN 'future'
+  END AS reject_reason
+FROM (SELECT o_orderkey,
+        CASE o_orderpriority WHEN '1-URGENT' THEN 'select' WHEN '2-HIGH' THEN 'current'
+             WHEN '3-MEDIUM' THEN 'previous' WHEN '4-NOT SPECIFIED' THEN 'monthly' ELSE 'select' END AS workflow,
+        CASE WHEN o_orderstatus <> 'P' THEN month(o_orderdate) END AS month, year(o_orderdate) AS year
+      FROM orders)""")
+def g10_check_requests(spark, sf):
+    o = table(spark, sf, "orders")
+    p = F.col("o_orderpriority")
+    req = o.select(
+        "o_orderkey",
+        F.when(p == "1-URGENT", "select").when(p == "2-HIGH", "current").when(p == "3-MEDIUM", "previous")
+         .when(p == "4-NOT SPECIFIED", "monthly").otherwise("select").alias("workflow"),
+        F.when(F.col("o_orderstatus") != "P", F.month("o_orderdate")).alias("month"),
+        F.year("o_orderdate").alias("year"))
+    return au.check_requests(req, REQUEST_AS_OF)
+
+
+@register("g11_download_name", f"""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || '_' || lpad(lower(hex(o_orderkey)), 32, '0')
+       || '_readings.xlsx' AS file_name FROM orders""")
+def g11_download_name(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", st.download_name("o_orderdate", st.uuid_from_key("o_orderkey")).alias("file_name"))
+
+
+@register("g12_order_sessions", """
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS session_id, event_type AS workflow, 'influxdb' AS databases,
+  '/data/' || user_id || '/' || strftime(ts, '%Y_%m') || '_readings.xlsx' AS source_data,
+  '/data/' || user_id AS staging_area, 'completed' AS status, date_trunc('hour', ts) AS timestamp
+FROM events""")
+def g12_order_sessions(spark, sf):
+    ev = table(spark, sf, "events")
+    uid = F.col("user_id").cast("string")
+    sessions = ev.select(
+        uid.alias("session_id"), F.col("event_type").alias("workflow"), F.lit("influxdb").alias("databases"),
+        F.concat(F.lit("/data/"), uid, F.lit("/"), F.date_format("ts", "yyyy_MM"), F.lit("_readings.xlsx"))
+         .alias("source_data"),
+        F.concat(F.lit("/data/"), uid).alias("staging_area"), F.lit("completed").alias("status"),
+        F.date_trunc("hour", "ts").alias("timestamp"))
+    return au.order_sessions(sessions)
+
+
+# --------------------------------------------------------------------------- H
+@register("h1_infer_type", """
+WITH lits AS (
+  SELECT event_id, 'k' AS src, regexp_extract(props, '([0-9]+)', 1) AS literal FROM events
+  UNION ALL SELECT event_id, 'v', format('{:,.2f}', value) FROM events
+  UNION ALL SELECT event_id, 't', event_type FROM events),
+typed AS (
+  SELECT *, CASE WHEN literal IS NULL THEN NULL
+    WHEN lower(literal) IN ('true', 'yes', 'y', '1', 'false', 'no', 'n', '0') THEN 'bool'
+    WHEN regexp_full_match(literal, '[0-9]+') THEN 'int'
+    WHEN regexp_full_match(literal, '([0-9]+[.][0-9]*|[.][0-9]+)') THEN 'float' ELSE 'str' END AS type
+  FROM lits)
+SELECT event_id, src, literal, type,
+  CASE WHEN type = 'bool' THEN lower(literal) IN ('true', 'yes', 'y', '1') END AS as_bool,
+  CASE WHEN type = 'int' THEN TRY_CAST(literal AS BIGINT) END AS as_int,
+  CASE WHEN type = 'float' THEN TRY_CAST(literal AS DOUBLE) END AS as_float,
+  CASE WHEN type = 'str' THEN literal END AS as_str
+FROM typed""")
+def h1_infer_type(spark, sf):
+    ev = table(spark, sf, "events")
+    lits = ev.select("event_id", F.regexp_extract("props", "([0-9]+)", 1).alias("k"),
+                     F.format_number("value", 2).alias("v"), F.col("event_type").alias("t"))
+    tall = lits.unpivot(["event_id"], ["k", "v", "t"], "src", "literal")
+    return tall.select("event_id", "src", "literal", lit.infer_type("literal").alias("i")).select(
+        "event_id", "src", "literal", "i.*")
+
+
+@register("h2_month_grid", """
+SELECT o_orderkey, quarter(o_orderdate) AS grid_row, ((month(o_orderdate) - 1) % 3) + 1 AS grid_col FROM orders""")
+def h2_month_grid(spark, sf):
+    row, col = cal.month_grid("o_orderdate")
+    return table(spark, sf, "orders").select("o_orderkey", row.alias("grid_row"), col.alias("grid_col"))
+
+
+@register("h3_month_name_pt", """
+SELECT o_orderkey,
+  ['jan', 'fev', 'mar', 'abr', 'mai', 'jun', 'jul', 'ago', 'set', 'out', 'nov', 'dez'][month(o_orderdate)] || '.'
+  AS month_name FROM orders""")
+def h3_month_name_pt(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", cal.month_name_pt("o_orderdate").alias("month_name"))
+
+
+YEARS_AS_OF = "2001-08-01"
+
+
+@register("h4_years_back", """
+SELECT o_orderkey, 2001 - year(o_orderdate) AS years_back FROM orders""")
+def h4_years_back(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey",
+                                             cal.years_back("o_orderdate", YEARS_AS_OF).alias("years_back"))
+
+
+def _nested_config(spark, sf) -> DataFrame:
+    """One nested settings document per event, with mixed-case keys."""
+    ev = table(spark, sf, "events")
+    return ev.select(
+        "event_id",
+        F.struct(F.col("user_id").alias("NIF"), F.col("event_type").alias("Pwd"),
+                 st.cpe_code("user_id").alias("cpe")).alias("Eredes"),
+        F.struct(F.lit("http://localhost").alias("host"), F.col("event_id").alias("Port"),
+                 F.concat(F.lit("bucket_"), F.col("user_id").cast("string")).alias("bucket")).alias("influxdb"))
+
+
+_FLAT_SQL = """SELECT event_id, user_id AS "{a}nif", event_type AS "{a}pwd",
+  'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW' AS "{a}cpe",
+  'http://localhost' AS "{b}host", event_id AS "{b}port", 'bucket_' || user_id AS "{b}bucket" FROM events"""
+
+
+@register("h5_flatten_columns", _FLAT_SQL.format(a="eredes.", b="influxdb."))
+def h5_flatten_columns(spark, sf):
+    return stg.flatten_columns(_nested_config(spark, sf))
+
+
+@register("h6_leaf_names", _FLAT_SQL.format(a="", b=""))
+def h6_leaf_names(spark, sf):
+    return stg.leaf_names(stg.flatten_columns(_nested_config(spark, sf)))
+
+
+@register("h7_nest_columns", """
+SELECT event_id,
+  to_json(struct_pack(nif := user_id, pwd := event_type,
+                      cpe := 'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW')) AS eredes,
+  to_json(struct_pack(host := 'http://localhost', port := event_id, bucket := 'bucket_' || user_id)) AS influxdb
+FROM events""")
+def h7_nest_columns(spark, sf):
+    nested = stg.nest_columns(stg.flatten_columns(_nested_config(spark, sf)))
+    return nested.select("event_id", F.to_json("eredes").alias("eredes"), F.to_json("influxdb").alias("influxdb"))
+
+
+# Fixed mapping of update events to setting keys (two of them unknown keys).
+_UPDATE_KEY_SQL = """CASE event_type WHEN 'click' THEN 'influxdb.port' WHEN 'view' THEN 'eredes.cpe'
+  WHEN 'error' THEN 'influxdb.tokn' WHEN 'purchase' THEN 'eredes.nif' ELSE 'eredes.pwd' END"""
+
+_SETTINGS_SQL = f"""
+settings AS (
+  SELECT u.user_id, s.key, s.value FROM (SELECT DISTINCT user_id FROM events) u,
+  LATERAL (VALUES ('eredes.nif', CAST(u.user_id AS VARCHAR)),
+                  ('eredes.cpe', 'PT00' || lpad(CAST(u.user_id AS VARCHAR), 12, '0') || '04TW'),
+                  ('influxdb.port', '8086')) AS s(key, value)),
+last AS (
+  SELECT user_id, {_UPDATE_KEY_SQL} AS key, max_by(regexp_extract(props, '([0-9]+)', 1), event_id) AS new
+  FROM events GROUP BY 1, 2)"""
+
+_TYPE_SQL = """CASE WHEN {v} IS NULL THEN NULL
+    WHEN lower({v}) IN ('true', 'yes', 'y', '1', 'false', 'no', 'n', '0') THEN 'bool'
+    WHEN regexp_full_match({v}, '[0-9]+') THEN 'int'
+    WHEN regexp_full_match({v}, '([0-9]+[.][0-9]*|[.][0-9]+)') THEN 'float' ELSE 'str' END"""
+
+
+def _settings_frames(spark, sf):
+    ev = table(spark, sf, "events")
+    uid = F.col("user_id").cast("string")
+    settings = ev.select("user_id").distinct().select(
+        "user_id", F.explode(F.array(
+            F.struct(F.lit("eredes.nif").alias("key"), uid.alias("value")),
+            F.struct(F.lit("eredes.cpe").alias("key"), st.cpe_code("user_id").alias("value")),
+            F.struct(F.lit("influxdb.port").alias("key"), F.lit("8086").alias("value")))).alias("kv")
+    ).select("user_id", "kv.key", "kv.value")
+    et = F.col("event_type")
+    key = (F.when(et == "click", "influxdb.port").when(et == "view", "eredes.cpe")
+           .when(et == "error", "influxdb.tokn").when(et == "purchase", "eredes.nif").otherwise("eredes.pwd"))
+    updates = ev.select("user_id", key.alias("key"), F.regexp_extract("props", "([0-9]+)", 1).alias("value"),
+                        F.col("event_id").alias("seq"))
+    return stg.set_values(settings, updates, scope=["user_id"])
+
+
+@register("h8_set_value", f"""
+WITH {_SETTINGS_SQL}
+SELECT s.user_id, s.key, COALESCE(l.new, s.value) AS value, l.new IS NOT NULL AS changed,
+       {_TYPE_SQL.format(v="COALESCE(l.new, s.value)")} AS value_type
+FROM settings s LEFT JOIN last l ON s.user_id = l.user_id AND s.key = l.key""")
+def h8_set_value(spark, sf):
+    return _settings_frames(spark, sf)[0]
+
+
+@register("h8_unknown_keys", f"""
+WITH {_SETTINGS_SQL}
+SELECT l.user_id, l.key, l.new AS value FROM last l
+WHERE NOT EXISTS (SELECT 1 FROM settings s WHERE s.user_id = l.user_id AND s.key = l.key)""")
+def h8_unknown_keys(spark, sf):
+    return _settings_frames(spark, sf)[1]
+
+
+@register("h9_env_pairs", f"""
+WITH {_SETTINGS_SQL}
+SELECT s.user_id, upper(s.key) AS key, COALESCE(l.new, s.value) AS value
+FROM settings s LEFT JOIN last l ON s.user_id = l.user_id AND s.key = l.key""")
+def h9_env_pairs(spark, sf):
+    merged = _settings_frames(spark, sf)[0].select("user_id", "key", "value")
+    return stg.env_pairs(merged)
+
+
+_DOC_SQL = """CASE event_type WHEN 'error' THEN '{"k": "' || regexp_extract(props, '([0-9]+)', 1) || '"}'
+  WHEN 'signup' THEN '{"j": 1}' WHEN 'view' THEN 'not json' ELSE props END"""
+
+
+def _documents(spark, sf) -> DataFrame:
+    ev = table(spark, sf, "events")
+    et = F.col("event_type")
+    doc = (F.when(et == "error", F.concat(F.lit('{"k": "'), F.regexp_extract("props", "([0-9]+)", 1), F.lit('"}')))
+           .when(et == "signup", F.lit('{"j": 1}')).when(et == "view", F.lit("not json"))
+           .otherwise(F.col("props")))
+    return ev.select("event_id", doc.alias("doc"))
+
+
+_K_SCHEMA = "k INT"
+
+
+@register("h10_schema_check", f"""
+SELECT event_id,
+  CASE WHEN NOT json_valid(doc) OR json_type(doc) <> 'OBJECT' THEN 'malformed'
+       WHEN json_extract(doc, '$.k') IS NULL THEN 'missing: k'
+       WHEN json_type(doc, '$.k') NOT IN ('UBIGINT', 'BIGINT') THEN 'type: k' END AS violation
+FROM (SELECT event_id, {_DOC_SQL} AS doc FROM events)""")
+def h10_schema_check(spark, sf):
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(_K_SCHEMA)
+    return stg.schema_violations(_documents(spark, sf), "doc", schema, require_all=True).drop("doc")
+
+
+@register("h11_parse_document", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def h11_parse_document(spark, sf):
+    from pyspark.sql.types import StructType
+    good, _ = stg.parse_document(table(spark, sf, "events").select("event_id", "props"), "props",
+                                 StructType.fromDDL(_K_SCHEMA), require_all=True)
+    return good
