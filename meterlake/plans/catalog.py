@@ -758,3 +758,52 @@ def h11_parse_document(spark, sf):
     good, _ = stg.parse_document(table(spark, sf, "events").select("event_id", "props"), "props",
                                  StructType.fromDDL(_K_SCHEMA), require_all=True)
     return good
+
+
+# --------------------------------------------------------------------------- I
+from meterlake.streaming import delta_state as ds  # noqa: E402
+from meterlake.streaming import stream_load as sl  # noqa: E402
+
+
+def _event_reading_stream(spark, sf) -> DataFrame:
+    """The events file as an arriving-files stream of readings (file path and time kept)."""
+    schema = table(spark, sf, "events").schema
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return ev.select(F.col("user_id").cast("string").alias("cpe"), F.col("ts").alias("date_time"),
+                     F.col("value").alias("consumption"), F.col("event_id").alias("seq"),
+                     F.col("_metadata.file_path").alias("file"),
+                     F.unix_micros(F.col("_metadata.file_modification_time")).alias("file_seq"))
+
+
+def _stored_marks(spark, sf) -> DataFrame:
+    return mk.marks(stored_points(spark, sf))
+
+
+_DELTA_POINTS_SQL = f"""
+WITH {_STORED_SQL}
+SELECT 'kW' AS measurement, CAST(e.user_id AS VARCHAR) AS cpe, 'consumption' AS field, e.value AS value,
+       e.ts AS time
+FROM events e LEFT JOIN marks m ON CAST(e.user_id AS VARCHAR) = m.cpe
+WHERE e.ts > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')"""
+
+
+@register("i1_stream_load", _DELTA_POINTS_SQL)
+def i1_stream_load(spark, sf):
+    from meterlake.session import scratch_path
+    base = scratch_path(spark, "stream-load")
+    q = sl.stream_load(spark, _event_reading_stream(spark, sf), f"{base}/store", f"{base}/marks",
+                       f"{base}/checkpoint", parse=lambda b: b, seed_marks=_stored_marks(spark, sf))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/store").select("measurement", "cpe", "field", "value", "time")
+
+
+@register("i2_stream_delta_state", ORACLES["c8_delta"])
+def i2_stream_delta_state(spark, sf):
+    from meterlake.session import scratch_path
+    base = scratch_path(spark, "stream-delta")
+    readings = _event_reading_stream(spark, sf).select("cpe", "date_time", "consumption", "seq")
+    q = (ds.stream_delta(readings, seed_marks=_stored_marks(spark, sf)).writeStream
+         .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
