@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions.parsing import merge_date_time, parse_number
@@ -25,7 +25,7 @@ def first_three(raw: DataFrame, names: Sequence[str] = READING_NAMES, cells: str
                 keep: Sequence[str] = ("file", "row")) -> DataFrame:
     """Keep the first ``len(names)`` cells by position under fixed names."""
     kept = [F.col(k) for k in keep if k in raw.columns]
-    return raw.select(*kept, *[F.element_at(F.col(cells), i + 1).alias(n) for i, n in enumerate(names)])
+    return raw.select(*kept, *[F.try_element_at(F.col(cells), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
 
 
 def data_rows(raw: DataFrame, skip: int = PREAMBLE_ROWS + HEADER_ROWS, cells: str = "cells") -> DataFrame:
@@ -35,14 +35,18 @@ def data_rows(raw: DataFrame, skip: int = PREAMBLE_ROWS + HEADER_ROWS, cells: st
     return raw.filter((F.col("row") >= skip) & not_blank)
 
 
-def attach_series(df: DataFrame, cpe: str | DataFrame, on: str = "file", name: str = "cpe") -> DataFrame:
+def attach_series(df: DataFrame, cpe: str | Column | DataFrame, on: str = "file",
+                  name: str = "cpe") -> DataFrame:
     """The meter code of every row.
 
-    A string sets one code on all rows (one file); a DataFrame ``(file, cpe)``
-    maps many files to their meters through a size-checked lookup join.
+    A string sets one code on all rows (one file); a Column derives it per row
+    (e.g. from the file path); a DataFrame ``(file, cpe)`` maps many files to
+    their meters through a size-checked lookup join.
     """
     if isinstance(cpe, str):
         return df.withColumn(name, F.lit(cpe))
+    if isinstance(cpe, Column):
+        return df.withColumn(name, cpe)
     return lookup_join(df, cpe.select(on, name), on, "left")
 
 
@@ -57,7 +61,7 @@ def type_readings(rows: DataFrame, thousands: str = ",", decimal: str = ".") ->
     )
 
 
-def parse_readings(raw: DataFrame, cpe: str | DataFrame,
+def parse_readings(raw: DataFrame, cpe: str | Column | DataFrame,
                    skip: int = PREAMBLE_ROWS + HEADER_ROWS) -> tuple[DataFrame, DataFrame]:
     """The whole parse: rows -> (readings, quarantine).
 

@@ -165,12 +165,17 @@ def file_blobs(spark: SparkSession, path: str, glob: str = "*.xlsx", recursive:
             .option("recursiveFileLookup", str(recursive).lower()).load(path))
 
 
+def decode_workbooks(blobs: DataFrame) -> DataFrame:
+    """Workbook blobs ``path, content`` -> raw rows ``file, row, cells`` (Arrow batches, per partition)."""
+    return blobs.select("path", "content").mapInPandas(_decode_batches, RAW_SCHEMA)
+
+
 def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
     """A1: every workbook under ``path`` -> raw rows ``file, row, cells``.
 
     Rows with ``row = -1`` mark files that could not be opened.
     """
-    return file_blobs(spark, path, glob).select("path", "content").mapInPandas(_decode_batches, RAW_SCHEMA)
+    return decode_workbooks(file_blobs(spark, path, glob))
 
 
 def file_provenance(path: Column | str) -> Column:
