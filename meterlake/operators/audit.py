@@ -90,7 +90,9 @@ def surrogate_id(df: DataFrame, order_by: Sequence[str], name: str = "id", start
     partitions; lineage cut), per-partition counts (one row per partition) give
     offsets, and each row adds its position inside its partition.
     """
-    ordered = materialize(df.orderBy(*order_by))
+    # a unique last sort key lets the range partitioner split a hot order key
+    ordered = materialize(df.withColumn("_uniq", F.monotonically_increasing_id())
+                          .orderBy(*order_by, "_uniq").drop("_uniq"))
     tagged = ordered.withColumns({"_pid": F.spark_partition_id(),
                                   "_pos": F.monotonically_increasing_id()})
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

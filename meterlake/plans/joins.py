@@ -38,8 +38,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Exact row count and in-memory byte estimate of an (already materialised) frame."""
+def _row_parts(df: DataFrame) -> tuple[int, list[Column]]:
     fixed = 0
     var_cols: list[Column] = []
     for f in df.schema.fields:
@@ -51,17 +50,32 @@ def measure(df: DataFrame) -> tuple[int, int]:
         else:
             # nested values: measure their JSON text as an upper-bound proxy
             var_cols.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)))
+    # 16 bytes of row overhead per row, like UnsafeRow's null bitset + header
+    return fixed + 16, var_cols
+
+
+def measure(df: DataFrame, limit: int | None = None) -> tuple[int, int]:
+    """Row count and in-memory byte estimate of an (already materialised) frame.
+
+    With ``limit`` (bytes) at most ``limit / min_row_bytes + 1`` rows are read:
+    once that many rows exist the frame is known to be over the limit, so a
+    large lookup is never scanned in full just to decide against broadcasting.
+    The returned size is then a lower bound above ``limit``.
+    """
+    per_row, var_cols = _row_parts(df)
+    src = df
+    if limit is not None:
+        src = df.limit(limit // per_row + 1)
     aggs = [F.count(F.lit(1)).alias("n")]
     if var_cols:
         total = var_cols[0]
         for c in var_cols[1:]:
             total = total + c
         aggs.append(F.sum(total).alias("v"))
-    row = df.agg(*aggs).first()
+    row = src.agg(*aggs).first()
     n = int(row["n"])
     var = int(row["v"] or 0) if var_cols else 0
-    # 16 bytes of row overhead per row, like UnsafeRow's null bitset + header
-    return n, n * (fixed + 16) + var
+    return n, n * per_row + var
 
 
 def lookup_join(large: DataFrame, lookup: DataFrame, on, how: str = "left",
@@ -76,7 +90,7 @@ def lookup_join(large: DataFrame, lookup: DataFrame, on, how: str = "left",
         raise ValueError(f"lookup_join keeps the large side on the left; got how={how!r}")
     limit = broadcast_limit(large.sparkSession) if max_bytes is None else max_bytes
     small = materialize(lookup)
-    rows, size = measure(small)
+    rows, size = measure(small, limit)
     use_broadcast = size <= limit
     if report is not None:
         report.update(rows=rows, bytes=size, broadcast=use_broadcast)

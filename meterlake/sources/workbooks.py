@@ -165,6 +165,20 @@ def file_blobs(spark: SparkSession, path: str, glob: str = "*.xlsx", recursive:
             .option("recursiveFileLookup", str(recursive).lower()).load(path))
 
 
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modificationTime", T.TimestampType(), False),
+    T.StructField("length", T.LongType(), False),
+    T.StructField("content", T.BinaryType(), True),
+])
+
+
+def workbook_stream(spark: SparkSession, path: str, glob: str = "*.xlsx", **options) -> DataFrame:
+    """Arriving workbooks as a file stream (``binaryFile`` needs its schema given)."""
+    return (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+            .option("pathGlobFilter", glob).options(**options).load(path))
+
+
 def decode_workbooks(blobs: DataFrame) -> DataFrame:
     """Workbook blobs ``path, content`` -> raw rows ``file, row, cells`` (Arrow batches, per partition)."""
     return blobs.select("path", "content").mapInPandas(_decode_batches, RAW_SCHEMA)

@@ -93,6 +93,26 @@ def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path:
     _overwrite_partition(snapshot, marks_path)
 
 
+def workbook_parser(cpe_from_path: str = r"/([^/]+)/[^/]+$") -> Callable[[DataFrame], DataFrame]:
+    """``parse`` for a ``binaryFile`` stream of workbooks: A1 decode + B chain.
+
+    The meter code is taken from the file path (``cpe_from_path``: regex, group
+    1); the file's modification time orders files inside a batch. Quarantined
+    rows are dropped from the load (they stay visible through
+    ``operators.readings.parse_readings`` when run on the same files).
+    """
+    from meterlake.operators.readings import parse_readings
+    from meterlake.sources.workbooks import decode_workbooks
+
+    def parse(batch: DataFrame) -> DataFrame:
+        good, _bad = parse_readings(decode_workbooks(batch), F.regexp_extract("file", cpe_from_path, 1))
+        files = batch.select(F.col("path").alias("file"),
+                             F.unix_micros(F.col("modificationTime")).alias("file_seq"))
+        return good.join(files, "file")
+
+    return parse
+
+
 def readings_from_parquet(batch: DataFrame) -> DataFrame:
     """``parse`` for files that already hold readings (cpe, date_time, consumption)."""
     return batch.withColumn("file", F.col("_metadata.file_path")).withColumn(

@@ -72,3 +72,21 @@ def test_stream_delta_state_matches_batch_replay(spark, tmp_dir):
     got = {(r["cpe"], r["date_time"], r["consumption"]) for r in spark.read.parquet(out).collect()}
     assert got == expected
     assert got == {("A", T0 + h, 2.0), ("B", T0, 5.0), ("A", T0 + 3 * h, 3.0), ("B", T0 + h, 6.0)}
+
+
+def test_stream_load_from_workbooks(spark, tmp_dir):
+    from meterlake.sources import workbook_export as wx
+
+    landing = os.path.join(tmp_dir, "landing")
+    base = os.path.join(tmp_dir, "out")
+    for meter, vals in (("PT01", [1.0, 2.0]), ("PT02", [3.0])):
+        os.makedirs(os.path.join(landing, meter))
+        rows = wx.readings_sheet([f"2024-01-0{i + 1}" for i in range(len(vals))], ["00:15"] * len(vals), vals)
+        with open(os.path.join(landing, meter, "2024_1_0000abcd_readings.xlsx"), "wb") as f:
+            f.write(wx.workbook_bytes(rows))
+    from meterlake.sources.workbooks import workbook_stream
+    stream = workbook_stream(spark, landing + "/*").select("path", "content", "modificationTime")
+    q = sl.stream_load(spark, stream, base + "/store", base + "/marks", base + "/ckpt", sl.workbook_parser())
+    q.awaitTermination()
+    got = sorted((r["cpe"], r["time"].day, r["value"]) for r in spark.read.parquet(base + "/store").collect())
+    assert got == [("PT01", 1, 1.0), ("PT01", 2, 2.0), ("PT02", 1, 3.0)]
