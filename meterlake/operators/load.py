@@ -1,8 +1,11 @@
 """Loading points: full (idempotent reload) and delta (strictly newer).
 
-The point store is a Parquet directory partitioned by ``measurement`` and
-``month`` (``yyyy-MM`` of the point time). A full load rewrites only the months
-it touches; a delta load appends.
+The point store is a Parquet directory partitioned by ``measurement``,
+``month`` (``yyyy-MM`` of the point time) and ``bucket`` (a hash of the meter
+code into ``METER_BUCKETS`` buckets). A full load rewrites only the
+month-buckets its meters fall in -- a reload of one meter's month touches
+1/``METER_BUCKETS`` of that month, not the whole month of every meter; a delta
+load appends.
 """
 
 from __future__ import annotations
@@ -16,11 +19,12 @@ from pyspark.sql import types as T
 
 from meterlake.operators.marks import delta
 from meterlake.operators.reshape import to_points
-from meterlake.plans.joins import lookup_join
+from meterlake.plans.joins import lookup_join, materialize
 from meterlake.session import scratch_path
 
 POINT_KEY = ("measurement", "cpe", "field", "time")
-PARTITIONS = ("measurement", "month")
+PARTITIONS = ("measurement", "month", "bucket")
+METER_BUCKETS = 64
 
 
 def keep_latest(points: DataFrame, keys: Sequence[str] = POINT_KEY, seq: str = "load_seq",
@@ -41,8 +45,12 @@ def merge_full(stored: DataFrame, incoming: DataFrame, keys: Sequence[str] = POI
     return keep_latest(stored.unionByName(incoming, allowMissingColumns=True), keys, seq, tiebreak)
 
 
-def with_month(points: DataFrame, ts: str = "time") -> DataFrame:
-    return points.withColumn("month", F.date_format(F.col(ts), "yyyy-MM"))
+def with_month(points: DataFrame, ts: str = "time", buckets: int = METER_BUCKETS) -> DataFrame:
+    """Add the store's partition columns: ``month`` and the meter ``bucket``."""
+    return points.withColumns({
+        "month": F.date_format(F.col(ts), "yyyy-MM"),
+        "bucket": F.pmod(F.xxhash64(F.col("cpe")), F.lit(buckets)).cast("int"),
+    })
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -56,24 +64,30 @@ def read_store(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if _exists(spark, path) else None
 
 
-def write_full(incoming: DataFrame, path: str, load_seq: int) -> DataFrame:
-    """F3 writer: merge the incoming points into the months they touch.
+def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = METER_BUCKETS) -> DataFrame:
+    """F3 writer: merge the incoming points into the partitions they touch.
 
-    Only the touched (measurement, month) partitions are read, and only for the
-    meters present in the load (size-checked semi join); the merged slice is
-    staged under the checkpoint folder, then swapped in with dynamic partition
-    overwrite -- a partition is never read and overwritten by the same job.
+    The load is materialised once (checkpoint). Its partition values
+    (measurement, month, meter bucket) -- at most measurements x months x
+    ``buckets`` rows -- become literal partition filters, so the scan lists and
+    reads only those directories; an exact semi join then keeps whole touched
+    partitions (every meter in them, since dynamic overwrite replaces a
+    partition as a unit). The merged slice is staged under the checkpoint
+    folder and swapped in with dynamic partition overwrite: a partition is
+    never read and overwritten by the same job, and a rerun gives the same store.
     """
     spark = incoming.sparkSession
-    inc = with_month(incoming).withColumn("load_seq", F.lit(load_seq).cast("long"))
+    inc = materialize(with_month(incoming, buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long")))
     stored = read_store(spark, path)
     if stored is None:
         merged = keep_latest(inc)
     else:
         touched = inc.select(*PARTITIONS).distinct()
-        meters = inc.select("cpe").distinct()
-        slice_ = lookup_join(lookup_join(stored, touched, list(PARTITIONS), "left_semi"),
-                             meters, "cpe", "left_semi")
+        parts = touched.collect()   # bounded by measurements x months x buckets
+        pruned = stored
+        for c in PARTITIONS:
+            pruned = pruned.filter(F.col(c).isin(sorted({r[c] for r in parts})))
+        slice_ = lookup_join(pruned, touched, list(PARTITIONS), "left_semi")
         merged = keep_latest(slice_.unionByName(inc, allowMissingColumns=True))
     staging = scratch_path(spark, "full-load")
     merged.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(staging)
@@ -88,12 +102,12 @@ def write_full(incoming: DataFrame, path: str, load_seq: int) -> DataFrame:
 
 
 def write_delta(incoming_readings: DataFrame, path: str, load_seq: int,
-                fields: Sequence[str] = ("consumption",)) -> DataFrame:
+                fields: Sequence[str] = ("consumption",), buckets: int = METER_BUCKETS) -> DataFrame:
     """F4 writer: append only the readings strictly newer than each meter's mark."""
     spark = incoming_readings.sparkSession
     stored = read_store(spark, path)
     new = incoming_readings if stored is None else delta(incoming_readings, stored)
-    pts = with_month(to_points(new, fields)).withColumn("load_seq", F.lit(load_seq).cast("long"))
+    pts = with_month(to_points(new, fields), buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long"))
     pts.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
     return pts
 

@@ -42,6 +42,34 @@ def test_write_full_is_idempotent_and_keeps_newest(spark, tmp_dir):
     assert got == [("A", T0, 10.0), ("A", T0 + dt.timedelta(hours=1), 2.0), ("B", T0, 5.0)]
 
 
+def test_write_full_keeps_other_meters_in_touched_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "store")
+    both = to_points(_readings(spark, [("A", T0, 1.0), ("B", T0, 2.0)]))
+    ld.write_full(both, path, load_seq=1, buckets=1)      # one bucket: A and B share every partition
+    ld.write_full(to_points(_readings(spark, [("A", T0, 5.0)])), path, load_seq=2, buckets=1)
+    got = sorted((r["cpe"], r["value"]) for r in spark.read.parquet(path).collect())
+    assert got == [("A", 5.0), ("B", 2.0)]
+
+
+def test_write_full_reads_only_touched_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "store")
+    rows = [(m, T0 + dt.timedelta(days=31 * i), float(i)) for i, m in enumerate("ABCDEFGH")]
+    ld.write_full(to_points(_readings(spark, rows)), path, load_seq=1)
+    n_parts = len([d for d in os.listdir(os.path.join(path, "measurement=kW"))])
+    assert n_parts == 8
+    def files():
+        root = os.path.join(path, "measurement=kW")
+        return {d: sorted(f for _, _, fs in os.walk(os.path.join(root, d)) for f in fs) for d in os.listdir(root)}
+
+    before = files()
+    ld.write_full(to_points(_readings(spark, [("A", T0, 9.0)])), path, load_seq=2)
+    after = files()
+    changed = [d for d in before if before[d] != after[d]]
+    assert changed == ["month=2024-01"]
+    got = sorted((r["cpe"], r["value"]) for r in spark.read.parquet(path).collect())
+    assert got[0] == ("A", 9.0) and len(got) == 8
+
+
 def test_write_delta_appends_only_newer(spark, tmp_dir):
     path = os.path.join(tmp_dir, "store")
     ld.write_delta(_readings(spark, [("A", T0, 1.0), ("A", T0 + dt.timedelta(hours=2), 2.0)]), path, 1)

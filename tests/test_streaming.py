@@ -90,3 +90,19 @@ def test_stream_load_from_workbooks(spark, tmp_dir):
     q.awaitTermination()
     got = sorted((r["cpe"], r["time"].day, r["value"]) for r in spark.read.parquet(base + "/store").collect())
     assert got == [("PT01", 1, 1.0), ("PT01", 2, 2.0), ("PT02", 1, 3.0)]
+
+
+def test_load_batch_overlapping_files_newest_wins_and_order_dependence(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "out")
+    h = dt.timedelta(hours=1)
+    rows = [("A", T0, 1.0, "f1", 1), ("A", T0 + h, 1.0, "f1", 1),       # first snapshot of the month
+            ("A", T0, 2.0, "f2", 2), ("A", T0 + h, 2.0, "f2", 2),       # re-export: same times, newer file
+            ("A", T0 + 2 * h, 2.0, "f2", 2)]
+    batch = spark.createDataFrame(rows, SCHEMA + ", file string, file_seq long")
+    sl.load_batch(batch, 0, base + "/store", base + "/marks")
+    got = sorted((r["time"], r["value"]) for r in spark.read.parquet(base + "/store").collect())
+    assert got == [(T0, 2.0), (T0 + h, 2.0), (T0 + 2 * h, 2.0)]
+    # documented order dependence: an older file arriving after a newer one adds nothing
+    late = spark.createDataFrame([("A", T0 - h, 7.0, "f0", 0)], SCHEMA + ", file string, file_seq long")
+    sl.load_batch(late, 1, base + "/store", base + "/marks")
+    assert spark.read.parquet(base + "/store").count() == 3
