@@ -27,13 +27,28 @@ PARTITIONS = ("measurement", "month", "bucket")
 METER_BUCKETS = 64
 
 
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def keep_latest(points: DataFrame, keys: Sequence[str] = POINT_KEY, seq: str = "load_seq",
                 tiebreak: str | None = None) -> DataFrame:
     """F3 rule: one point per key, taken from the newest load (``tiebreak`` breaks
-    equal ``seq`` deterministically). One hash aggregate with partial
-    aggregation before the shuffle; a hot meter spreads over its times."""
-    order = F.struct(F.col(seq), F.col(tiebreak)) if tiebreak else F.col(seq)
+    equal ``seq`` deterministically).
+
+    With one fixed-width payload column and no tiebreak the rule is
+    ``max_by(value, seq)`` + ``max(seq)``: a hash aggregate with map-side partial
+    aggregation. Otherwise the payload travels as one struct (``max_by`` over a
+    struct plans as a sort-based partial aggregate -- still reduced map-side,
+    spill-safe). A hot meter spreads over its times either way.
+    """
     rest = [c for c in points.columns if c not in keys]
+    payload = [c for c in rest if c != seq]
+    types = {f.name: f.dataType for f in points.schema.fields}
+    if tiebreak is None and len(payload) == 1 and isinstance(types[payload[0]], _FIXED_WIDTH) \
+            and isinstance(types[seq], _FIXED_WIDTH):
+        return points.groupBy(*keys).agg(F.max_by(payload[0], seq).alias(payload[0]), F.max(seq).alias(seq))
+    order = F.struct(F.col(seq), F.col(tiebreak)) if tiebreak else F.col(seq)
     return (points.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_p"))
             .select(*keys, *[F.col(f"_p.{c}").alias(c) for c in rest]))
@@ -79,8 +94,11 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
     spark = incoming.sparkSession
     inc = materialize(with_month(incoming, buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long")))
     stored = read_store(spark, path)
+    # month and bucket follow from (cpe, time): grouping by them too keeps the
+    # payload to the one value column (hash aggregate)
+    store_key = [*POINT_KEY, "month", "bucket"]
     if stored is None:
-        merged = keep_latest(inc)
+        merged = keep_latest(inc, store_key)
     else:
         touched = inc.select(*PARTITIONS).distinct()
         parts = touched.collect()   # bounded by measurements x months x buckets
@@ -88,7 +106,7 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
         for c in PARTITIONS:
             pruned = pruned.filter(F.col(c).isin(sorted({r[c] for r in parts})))
         slice_ = lookup_join(pruned, touched, list(PARTITIONS), "left_semi")
-        merged = keep_latest(slice_.unionByName(inc, allowMissingColumns=True))
+        merged = keep_latest(slice_.unionByName(inc, allowMissingColumns=True), store_key)
     staging = scratch_path(spark, "full-load")
     merged.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(staging)
     staged = spark.read.parquet(staging)

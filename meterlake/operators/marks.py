@@ -61,12 +61,21 @@ def last_point(points: DataFrame, key: str = "cpe", ts: str = "time",
                tiebreak: str | None = None) -> DataFrame:
     """The latest point of every series, all columns kept.
 
-    One hash aggregate with map-side partial aggregation (no sort, no window);
-    equal times are broken by ``tiebreak`` (largest wins) so the result is
-    deterministic.
+    One aggregate with map-side partial aggregation (no window, no join):
+    with a single fixed-width payload it is a hash aggregate; a struct payload
+    or a ``tiebreak`` (largest wins on equal times, for determinism) plans as a
+    sort-based partial aggregate.
     """
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
     rest = [c for c in points.columns if c != key]
+    payload = [c for c in rest if c != ts]
+    if tiebreak is None and len(payload) == 1 and isinstance(
+            points.schema[payload[0]].dataType, (T.NumericType, T.BooleanType, T.TimestampType,
+                                                 T.TimestampNTZType, T.DateType)) \
+            and not isinstance(points.schema[payload[0]].dataType, T.DecimalType):
+        # fixed-width buffers: a hash aggregate (a series has one point per time)
+        return points.groupBy(key).agg(F.max(ts).alias(ts), F.max_by(payload[0], ts).alias(payload[0])) \
+            .select(key, *rest)
+    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
     return (points.groupBy(key)
             .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_p"))
             .select(key, *[F.col(f"_p.{c}").alias(c) for c in rest]))

@@ -91,3 +91,12 @@ def test_delta_plan_broadcasts_marks_without_shuffling_readings(spark):
     plan = mk.delta(incoming, stored)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert F is not None
+
+
+def test_last_point_fast_path_is_hash_aggregate(spark):
+    pts = spark.createDataFrame([("A", T0, 1.0), ("A", T0 + dt.timedelta(1), 2.0), ("B", T0, 3.0)],
+                                "cpe string, time timestamp_ntz, value double")
+    out = mk.last_point(pts)
+    assert sorted(tuple(r) for r in out.collect()) == [("A", T0 + dt.timedelta(1), 2.0), ("B", T0, 3.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
