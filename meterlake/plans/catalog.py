@@ -819,16 +819,15 @@ _LANDING_CPE = r"/landing/([^/]+)/"
 SELECT 'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW' AS cpe,
        date_trunc('minute', ts) AS date_time, value AS consumption,
        '/landing/PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW/' || year(ts) || '_' || month(ts) || '_'
-         || lpad(lower(hex(user_id)), 6, '0') || lpad(lower(hex(day(ts))), 2, '0') || '_readings.xlsx' AS file,
-       CAST(8 + row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS INTEGER) AS row
+         || lpad(lower(hex(user_id)), 8, '0') || '_readings.xlsx' AS file,
+       CAST(8 + row_number() OVER (PARTITION BY user_id, year(ts), month(ts) ORDER BY ts, event_id) AS INTEGER) AS row
 FROM events""")
 def a1_read_workbooks(spark, sf):
-    """Workbooks rendered per meter-day from events (in Spark), decoded and parsed back."""
+    """One workbook per meter-month rendered from events (in Spark), decoded and parsed back."""
     ev = table(spark, sf, "events")
     cpe = st.cpe_code("user_id")
     file = F.concat(F.lit("/landing/"), cpe, F.lit("/"), wb.provenance_name(
-        F.year("ts"), F.month("ts"),
-        F.concat(F.lpad(F.lower(F.hex("user_id")), 6, "0"), F.lpad(F.lower(F.hex(F.dayofmonth("ts"))), 2, "0"))))
+        F.year("ts"), F.month("ts"), F.lpad(F.lower(F.hex("user_id")), 8, "0")))
     rows = ev.select(file.alias("file"), "ts", "event_id", F.date_format("ts", "yyyy/MM/dd").alias("date"),
                      F.date_format("ts", "HH:mm").alias("time"), F.col("value").alias("consumption"),
                      F.col("event_type").alias("state"))

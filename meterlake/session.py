@@ -60,9 +60,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Naive readings are labelled UTC (no shift), so the session zone must be UTC."""
+    """Naive readings are labelled UTC (no shift), so the session zone must be UTC.
+
+    Also applies the broadcast policy: no broadcast from planning-time size
+    estimates (``autoBroadcastJoinThreshold=-1``); AQE may still broadcast a
+    side whose *measured* shuffle output is under its adaptive threshold, and
+    ``plans.joins.lookup_join`` broadcasts measured lookups.
+    """
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None) != "-1":
+        adaptive = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+        if not adaptive or adaptive.strip() == "-1":
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -21,6 +21,10 @@ from pyspark.sql import types as T
 # ("date", serial) -> number in the built-in date style; None -> empty.
 Cell = object
 
+# Fixed value: rows per worksheet in the .xlsx format -- a workbook (one file,
+# one group in ``export_workbooks``) can never hold more.
+MAX_SHEET_ROWS = 1_048_576
+
 PREAMBLE = ("Readings export", "", "Meter", "", "Period", "", "Unit: kW", "")
 HEADER = ("Date", "Time", "Consumption (kW)", "State")
 
@@ -114,6 +118,8 @@ def workbook_bytes(rows: Sequence[Sequence[Cell]]) -> bytes:
 def readings_sheet(dates: Sequence[str], times: Sequence[str], values: Sequence[float],
                    extra: Sequence[str] | None = None) -> list[list[Cell]]:
     """Rows of a readings workbook: preamble, header, then one row per reading."""
+    if len(PREAMBLE) + 1 + len(values) > MAX_SHEET_ROWS:
+        raise ValueError(f"{len(values)} readings do not fit one worksheet ({MAX_SHEET_ROWS} rows)")
     rows: list[list[Cell]] = [[p] if p else [] for p in PREAMBLE]
     rows.append(list(HEADER))
     for i, (d, t, v) in enumerate(zip(dates, times, values)):
@@ -135,8 +141,8 @@ def export_workbooks(readings: DataFrame, file_col: str, order: Sequence[str],
     Rows are hash-partitioned by file (an explicit partition count, so AQE
     does not fold the Python work into a few tasks) and sorted within each
     partition; ``mapInPandas`` then renders the files one after another,
-    holding at most one file's rows across Arrow batches. Choose files that
-    bound their size (a meter-day or meter-month).
+    holding at most one file's rows across Arrow batches -- bounded by the
+    format (``MAX_SHEET_ROWS``); a meter-month of 15-minute readings is ~3,000.
     """
     cols = list(dict.fromkeys([file_col, *order, date_col, time_col, value_col]
                               + ([extra_col] if extra_col else [])))
