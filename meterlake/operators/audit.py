@@ -52,6 +52,22 @@ def audit_insert(records: DataFrame, as_of, created: str = "created") -> DataFra
     return apply_defaults(records, {created: F.lit(str(as_of)).cast(kind)})
 
 
+def insert_requests(records: DataFrame, table: str, as_of, order_by: Sequence[str] = ("created", "task_id"),
+                    created: str = "created") -> DataFrame:
+    """G1 + G5 into a G13 table: default ``created``, number new rows after the
+    table's current largest ``id`` (the sequence), append. Returns the rows written.
+
+    The current largest id is one hash aggregate over the ``id`` column only.
+    """
+    spark = records.sparkSession
+    rows = audit_insert(records, as_of, created)
+    last = spark.table(table).agg(F.max("id")).first()[0] or 0
+    numbered = surrogate_id(rows, list(order_by), name="id", start=int(last) + 1)
+    out = numbered.select(*[F.col(c) for c in spark.table(table).columns])
+    out.write.insertInto(table)
+    return out
+
+
 def fold_updates(log: DataFrame, key: str = "task_id", seq: str = "updated",
                  columns: Sequence[str] | None = None, tiebreak: str | None = None) -> DataFrame:
     """Partial updates folded per key: each column keeps its last non-null value.

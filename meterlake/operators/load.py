@@ -108,7 +108,10 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
         slice_ = lookup_join(pruned, touched, list(PARTITIONS), "left_semi")
         merged = keep_latest(slice_.unionByName(inc, allowMissingColumns=True), store_key)
     staging = scratch_path(spark, "full-load")
-    merged.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(staging)
+    # files sorted by (meter, time): Parquet min/max statistics then skip row
+    # groups for meter equality and time ranges
+    merged.sortWithinPartitions(*PARTITIONS, "cpe", "time").write.mode("overwrite") \
+        .partitionBy(*PARTITIONS).parquet(staging)
     staged = spark.read.parquet(staging)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -126,7 +129,8 @@ def write_delta(incoming_readings: DataFrame, path: str, load_seq: int,
     stored = read_store(spark, path)
     new = incoming_readings if stored is None else delta(incoming_readings, stored)
     pts = with_month(to_points(new, fields), buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long"))
-    pts.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    pts.sortWithinPartitions(*PARTITIONS, "cpe", "time").write.mode("append") \
+        .partitionBy(*PARTITIONS).parquet(path)
     return pts
 
 

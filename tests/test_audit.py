@@ -80,3 +80,17 @@ def test_create_tables(spark, tmp_dir):
     assert au.create_tables(spark, tmp_dir, requests="wr_test", status="ts_test")
     assert au.create_tables(spark, tmp_dir, requests="wr_test", status="ts_test")   # idempotent
     assert spark.table("wr_test").columns[:3] == ["id", "task_id", "workflow"]
+
+
+def test_insert_requests_continues_sequence(spark, tmp_dir):
+    au.create_tables(spark, tmp_dir, requests="wr_seq", status="ts_seq")
+    schema = "task_id string, workflow string, db array<string>, month int, year int, delta boolean, " \
+             "download boolean, created timestamp"
+    first = spark.createDataFrame([("t1", "select", ["influxdb"], 5, 2023, False, True, None),
+                                   ("t2", "current", [], None, None, True, False, None)], schema)
+    au.insert_requests(first, "wr_seq", "2024-01-01 00:00:00", order_by=["created", "task_id"])
+    second = spark.createDataFrame([("t3", "previous", None, None, None, None, None, None)], schema)
+    au.insert_requests(second, "wr_seq", "2024-01-02 00:00:00")
+    got = sorted((r["id"], r["task_id"]) for r in spark.table("wr_seq").collect())
+    assert got == [(1, "t1"), (2, "t2"), (3, "t3")]
+    assert {r["task_id"]: r["created"].day for r in spark.table("wr_seq").collect()}["t3"] == 2

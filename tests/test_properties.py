@@ -1,0 +1,81 @@
+"""Property tests: operators against brute-force Python on random inputs."""
+
+import datetime as dt
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from meterlake.functions.literals import infer_type
+from meterlake.operators import load as ld
+from meterlake.operators import marks as mk
+from meterlake.operators.reshape import to_points
+
+T0 = dt.datetime(2024, 1, 1)
+SENTINEL = dt.datetime(1989, 5, 11)
+
+readings = st.lists(st.tuples(st.sampled_from("ABCD"), st.integers(-3, 30), st.integers(0, 9)), max_size=25)
+
+SLOW = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _df(spark, rows):
+    data = [(m, T0 + dt.timedelta(hours=h), float(v), i) for i, (m, h, v) in enumerate(rows)]
+    return spark.createDataFrame(data, "cpe string, date_time timestamp_ntz, consumption double, seq long"), data
+
+
+@SLOW
+@given(stored=readings, incoming=readings)
+def test_delta_matches_brute_force(spark, stored, incoming):
+    s_df, s_rows = _df(spark, stored)
+    i_df, i_rows = _df(spark, incoming)
+    marks = {}
+    for m, t, _, _ in s_rows:
+        marks[m] = max(marks.get(m, SENTINEL), t)
+    expected = sorted(r[3] for r in i_rows if r[1] > marks.get(r[0], SENTINEL))
+    got = sorted(r["seq"] for r in mk.delta(i_df, to_points(s_df)).collect())
+    assert got == expected
+
+
+@SLOW
+@given(rows=readings)
+def test_keep_latest_matches_brute_force(spark, rows):
+    df, data = _df(spark, rows)
+    pts = df.selectExpr("'kW' AS measurement", "cpe", "'consumption' AS field", "date_trunc('day', date_time) AS time",
+                        "consumption AS value", "seq AS load_seq")
+    best = {}
+    for m, t, v, i in data:
+        k = (m, t.replace(hour=0))
+        if k not in best or i > best[k][1]:
+            best[k] = (v, i)
+    got = {(r["cpe"], r["time"]): (r["value"], r["load_seq"]) for r in ld.keep_latest(pts).collect()}
+    assert got == best
+
+
+def _infer(text):
+    """Independent statement of the rule: bool words, ASCII digits, one dot, else text."""
+    low = text.lower()
+    if low in ("true", "yes", "y", "1"):
+        return ("bool", True)
+    if low in ("false", "no", "n", "0"):
+        return ("bool", False)
+    if re.fullmatch(r"[0-9]+", text):
+        return ("int", int(text))
+    if re.fullmatch(r"[0-9]+\.[0-9]*|\.[0-9]+", text):
+        return ("float", float(text))
+    return ("str", text)
+
+
+@SLOW
+@given(values=st.lists(st.text(alphabet="01289.-yesnoTRUEfalse ", max_size=6), min_size=1, max_size=20))
+def test_infer_type_matches_rule(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    for v, r in zip(values, df.select(infer_type("v").alias("t")).collect()):
+        kind, val = _infer(v)
+        t = r["t"]
+        assert t["type"] == kind
+        got = {"bool": t["as_bool"], "int": t["as_int"], "float": t["as_float"], "str": t["as_str"]}[kind]
+        if kind == "int" and val > 2**63 - 1:
+            assert got is None
+        else:
+            assert got == val
