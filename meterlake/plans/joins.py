@@ -79,17 +79,19 @@ def measure(df: DataFrame, limit: int | None = None) -> tuple[int, int]:
 
 
 def lookup_join(large: DataFrame, lookup: DataFrame, on, how: str = "left",
-                max_bytes: int | None = None, report: dict | None = None) -> DataFrame:
+                max_bytes: int | None = None, report: dict | None = None,
+                materialized: bool = False) -> DataFrame:
     """``large JOIN lookup`` with a size-checked broadcast of ``lookup``.
 
     ``how`` must keep the large side as the streamed side (inner, left,
     left_semi, left_anti). ``report`` (optional dict) receives the measured size
-    and the chosen strategy.
+    and the chosen strategy. ``materialized=True`` skips the checkpoint for a
+    lookup that is already a written table (a plain scan).
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "leftsemi", "leftanti"):
         raise ValueError(f"lookup_join keeps the large side on the left; got how={how!r}")
     limit = broadcast_limit(large.sparkSession) if max_bytes is None else max_bytes
-    small = materialize(lookup)
+    small = lookup if materialized else materialize(lookup)
     rows, size = measure(small, limit)
     use_broadcast = size <= limit
     if report is not None:

@@ -58,5 +58,8 @@ def stream_delta(readings: DataFrame, seed_marks: DataFrame | None = None, key:
         r = lookup_join(r, seed, key, "left")
     else:
         r = r.withColumn("_seed_us", F.lit(None).cast("long"))
+    # the state mark never drops below the seed (or the sentinel), so rows at or
+    # under it can never be emitted: drop them JVM-side before the Python worker
+    r = r.filter(F.col("_t_us") > F.coalesce(F.col("_seed_us"), F.lit(SENTINEL_US)))
     return r.groupBy(key).applyInPandasWithState(
         _delta_fn, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)

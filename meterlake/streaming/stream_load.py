@@ -68,18 +68,24 @@ def _overwrite_partition(df: DataFrame, path: str) -> None:
 
 
 def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path: str,
-               seed_marks: DataFrame | None = None, fields=("consumption",)) -> None:
+               seed_marks: DataFrame | None = None, fields=("consumption",),
+               seed_materialized: bool = False) -> None:
     """One micro-batch of I1 (also usable on its own for a batch of files)."""
     spark = readings.sparkSession
     prev = _previous_snapshot(spark, marks_path, batch_id)
     if prev is not None:
+        # the snapshot is a written table: measured, not checkpointed again
         marks = spark.read.parquet(marks_path).filter(F.col("batch_id") == prev).drop("batch_id")
+        written_marks = True
     elif seed_marks is not None:
         marks = seed_marks.select("cpe", "last_insert")
+        written_marks = seed_materialized
     else:
         marks = spark.createDataFrame([], MARKS_SCHEMA)
+        written_marks = True
     dtype = readings.schema["date_time"].dataType
-    joined = lookup_join(readings, marks.withColumnRenamed("last_insert", "_mark"), "cpe", "left")
+    joined = lookup_join(readings, marks.withColumnRenamed("last_insert", "_mark"), "cpe", "left",
+                         materialized=written_marks)
     new = joined.filter(F.col("date_time") > F.coalesce(F.col("_mark"), ts_literal(SENTINEL_MARK, dtype)))
     # points that keep the file order (newest file wins a key inside the batch)
     pts = to_points(new, fields, tags=("cpe", "file_seq", "file"))
@@ -134,7 +140,7 @@ def stream_load(spark: SparkSession, stream: DataFrame, store_path: str, marks_p
         seed = materialize(seed_marks.select("cpe", "last_insert"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        load_batch(parse(batch), batch_id, store_path, marks_path, seed)
+        load_batch(parse(batch), batch_id, store_path, marks_path, seed, seed_materialized=True)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
