@@ -56,9 +56,36 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``meterlake`` importable in Python workers (``addPyFile``, once per context).
+
+    Functions run inside tasks (workbook decode/render, the streaming state
+    function) are pickled by reference, so executors must import the package.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_meterlake_shipped", False):
+        return
+    import zipfile
+
+    import meterlake
+
+    root = os.path.dirname(os.path.abspath(meterlake.__file__))
+    fd, path = tempfile.mkstemp(prefix="meterlake-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._meterlake_shipped = True
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Naive readings are labelled UTC (no shift), so the session zone must be UTC.
 
@@ -74,6 +101,7 @@ def ensure_utc(spark: SparkSession) -> None:
         if not adaptive or adaptive.strip() == "-1":
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    ship_package(spark)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
