@@ -68,6 +68,33 @@ def insert_requests(records: DataFrame, table: str, as_of, order_by: Sequence[st
     return out
 
 
+def log_status(updates: DataFrame, table: str) -> None:
+    """L2: append status changes (``task_id, status, file, created, updated``; nulls
+    mean "unchanged") to the G13 status table, used as an append-only log."""
+    spark = updates.sparkSession
+    cols = spark.table(table).columns
+    updates.select(*[F.col(c) if c in updates.columns else F.lit(None).alias(c) for c in cols]) \
+        .select(*[F.col(c).cast(f.dataType) for c, f in zip(cols, spark.table(table).schema.fields)]) \
+        .write.insertInto(table)
+
+
+def task_status(spark: SparkSession, table: str, ids: DataFrame | None = None,
+                with_file: bool = False) -> DataFrame:
+    """L3: current status per task folded from the log (G2), optionally for given
+    ids (G3). Without ``with_file`` the blob column is replaced by a note (G9),
+    and only its null-ness is read."""
+    log = spark.table(table)
+    folded = fold_updates(log.select("task_id", "status", F.col("file").isNotNull().alias("_has_file"),
+                                     *(["file"] if with_file else []), "created", "updated"),
+                          "task_id", "updated",
+                          ["status", "_has_file", *(["file"] if with_file else []), "created", "updated"])
+    if not with_file:
+        from meterlake.functions.status import FILE_NOTE
+        folded = folded.withColumn("file", F.when(F.col("_has_file"), F.lit(FILE_NOTE)))
+    folded = folded.drop("_has_file")
+    return status_lookup(folded, ids) if ids is not None else folded
+
+
 def fold_updates(log: DataFrame, key: str = "task_id", seq: str = "updated",
                  columns: Sequence[str] | None = None, tiebreak: str | None = None) -> DataFrame:
     """Partial updates folded per key: each column keeps its last non-null value.

@@ -123,7 +123,7 @@ def readings_sheet(dates: Sequence[str], times: Sequence[str], values: Sequence[
     rows: list[list[Cell]] = [[p] if p else [] for p in PREAMBLE]
     rows.append(list(HEADER))
     for i, (d, t, v) in enumerate(zip(dates, times, values)):
-        row: list[Cell] = [d, ("inline", t), float(v)]
+        row: list[Cell] = [d, ("inline", t), v if isinstance(v, str) else float(v)]
         if extra is not None:
             row.append(extra[i])
         rows.append(row)

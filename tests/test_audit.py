@@ -94,3 +94,22 @@ def test_insert_requests_continues_sequence(spark, tmp_dir):
     got = sorted((r["id"], r["task_id"]) for r in spark.table("wr_seq").collect())
     assert got == [(1, "t1"), (2, "t2"), (3, "t3")]
     assert {r["task_id"]: r["created"].day for r in spark.table("wr_seq").collect()}["t3"] == 2
+
+
+def test_status_log_lifecycle(spark, tmp_dir):
+    au.create_tables(spark, tmp_dir, requests="wr_life", status="ts_life")
+    schema = "task_id string, status string, file binary, created timestamp, updated timestamp"
+    au.log_status(spark.createDataFrame([("t1", "queued", None, T0, None)], schema).withColumn(
+        "updated", F.col("created")), "ts_life")
+    au.log_status(spark.createDataFrame([("t1", "running", None, None, T0 + dt.timedelta(minutes=1))], schema),
+                  "ts_life")
+    au.log_status(spark.createDataFrame([("t1", "completed", b"xlsx", None, T0 + dt.timedelta(minutes=2)),
+                                         ("t2", "failed: boom", None, T0, T0)], schema), "ts_life")
+    cur = {r["task_id"]: (r["status"], r["file"], r["created"]) for r in au.task_status(spark, "ts_life").collect()}
+    assert cur["t1"] == ("completed", st.FILE_NOTE, T0)
+    assert cur["t2"] == ("failed: boom", None, T0)
+    ids = spark.createDataFrame([("t1",), ("nope",)], "task_id string")
+    got = {r["task_id"]: r["status"] for r in au.task_status(spark, "ts_life", ids).collect()}
+    assert got == {"t1": "completed", "nope": None}
+    full = {r["task_id"]: r["file"] for r in au.task_status(spark, "ts_life", with_file=True).collect()}
+    assert bytes(full["t1"]) == b"xlsx"
