@@ -815,15 +815,31 @@ from meterlake.sources import workbook_export as wx  # noqa: E402
 _LANDING_CPE = r"/landing/([^/]+)/"
 
 
-@register("a1_read_workbooks", f"""
+def a1_sql(part_rows: int = wx.PART_ROWS) -> str:
+    """The A1 oracle for a given part size (tests force splitting with a small one)."""
+    return f"""
+WITH sized AS (
+  SELECT *, count(*) OVER (PARTITION BY user_id, year(ts), month(ts)) AS n FROM events),
+parted AS (
+  SELECT *, CASE WHEN n > {part_rows}
+                 THEN ((event_id % 2147483647) * 48271 % 2147483647) % CAST(ceil(n / {part_rows}) AS BIGINT)
+            END AS part
+  FROM sized)
 SELECT 'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW' AS cpe,
        date_trunc('minute', ts) AS date_time, value AS consumption,
-       '/landing/PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW/' || year(ts) || '_' || month(ts) || '_'
-         || lpad(lower(hex(user_id)), 8, '0') || '_readings.xlsx' AS file,
-       CAST(8 + row_number() OVER (PARTITION BY user_id, year(ts), month(ts) ORDER BY ts, event_id) AS INTEGER) AS row
-FROM events""")
-def a1_read_workbooks(spark, sf):
-    """One workbook per meter-month rendered from events (in Spark), decoded and parsed back."""
+       '/landing/PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW/'
+         || CASE WHEN part IS NULL THEN '' ELSE 'part-' || part || '/' END
+         || year(ts) || '_' || month(ts) || '_' || lpad(lower(hex(user_id)), 8, '0') || '_readings.xlsx' AS file,
+       CAST(8 + row_number() OVER (PARTITION BY user_id, year(ts), month(ts), part ORDER BY ts, event_id)
+            AS INTEGER) AS row
+FROM parted"""
+
+
+def a1_workbooks(spark, sf, part_rows: int = wx.PART_ROWS):
+    """One workbook per meter-month rendered from events (in Spark), decoded and parsed back.
+
+    A meter-month over ``part_rows`` readings is written as several part
+    workbooks (``<meter>/part-<k>/``), each within one worksheet."""
     ev = table(spark, sf, "events")
     cpe = st.cpe_code("user_id")
     file = F.concat(F.lit("/landing/"), cpe, F.lit("/"), wb.provenance_name(
@@ -831,11 +847,17 @@ def a1_read_workbooks(spark, sf):
     rows = ev.select(file.alias("file"), "ts", "event_id", F.date_format("ts", "yyyy/MM/dd").alias("date"),
                      F.date_format("ts", "HH:mm").alias("time"), F.col("value").alias("consumption"),
                      F.col("event_type").alias("state"))
-    blobs = wx.export_workbooks(rows, "file", order=["ts", "event_id"], extra_col="state")
+    blobs = wx.export_workbooks(rows, "file", order=["ts", "event_id"], extra_col="state",
+                                split_key="event_id", part_rows=part_rows)
     readings, _bad = rd.parse_readings(wb.decode_workbooks(blobs), F.regexp_extract("file", _LANDING_CPE, 1))
     return readings
 
 
+@register("a1_read_workbooks", a1_sql())
+def a1_read_workbooks(spark, sf):
+    return a1_workbooks(spark, sf)
+
+
 @register("a2_file_blobs")
 def a2_file_blobs(spark, sf):
     """The stored tables' files read as blobs (content pruned: only name and size)."""

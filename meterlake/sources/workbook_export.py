@@ -13,10 +13,12 @@ from collections.abc import Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.plans.joins import lookup_join
+
 # Cell kinds: str -> shared string; ("inline", s) -> inline string; int/float -> number;
 # ("date", serial) -> number in the built-in date style; None -> empty.
 Cell = object
@@ -24,6 +26,12 @@ Cell = object
 # Fixed value: rows per worksheet in the .xlsx format -- a workbook (one file,
 # one group in ``export_workbooks``) can never hold more.
 MAX_SHEET_ROWS = 1_048_576
+# Target rows per part when a file is too large for one worksheet: half a
+# sheet, so a hash split never comes near MAX_SHEET_ROWS.
+PART_ROWS = 500_000
+# The MINSTD multiplicative hash (a = 48271, m = 2^31 - 1);
+# integer-only, so any SQL engine computes the same part.
+_HASH_A, _HASH_M = 48_271, 2_147_483_647
 
 PREAMBLE = ("Readings export", "", "Meter", "", "Period", "", "Unit: kW", "")
 HEADER = ("Date", "Time", "Consumption (kW)", "State")
@@ -133,21 +141,57 @@ def readings_sheet(dates: Sequence[str], times: Sequence[str], values: Sequence[
 BLOB_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("content", T.BinaryType())])
 
 
+def part_hash(key: Column | str) -> Column:
+    """Integer hash of a non-negative BIGINT key in ``[0, 2^31 - 1)``."""
+    k = F.col(key) if isinstance(key, str) else key
+    return F.pmod(F.pmod(k.cast("long"), F.lit(_HASH_M)) * F.lit(_HASH_A), F.lit(_HASH_M))
+
+
+def split_oversize(readings: DataFrame, file_col: str, key_col: str,
+                   part_rows: int = PART_ROWS) -> DataFrame:
+    """Spread each file holding more than ``part_rows`` rows over
+    ``ceil(rows / part_rows)`` parts, ``<dir>/part-<k>/<name>``, by a hash of ``key_col``.
+
+    Row counts per file are one hash aggregate (reduced map-side, so a hot
+    meter-month costs one partial count per task). Only oversize files enter
+    the lookup -- at most ``rows / part_rows`` of them -- and it is
+    size-checked before any broadcast. Files within the bound keep their name.
+    """
+    parts = (readings.groupBy(file_col).agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > part_rows)
+             .select(file_col, F.ceil(F.col("_n") / F.lit(part_rows)).cast("long").alias("_parts")))
+    joined = lookup_join(readings, parts, file_col, "left")
+    f = F.col(file_col)
+    part = F.pmod(part_hash(key_col), F.col("_parts"))
+    split_name = F.concat(F.regexp_extract(f, r"^(.*/)?[^/]*$", 1), F.lit("part-"), part.cast("string"),
+                          F.lit("/"), F.regexp_extract(f, r"([^/]*)$", 1))
+    return joined.withColumn(file_col, F.when(F.col("_parts").isNull(), f).otherwise(split_name)) \
+        .drop("_parts")
+
+
 def export_workbooks(readings: DataFrame, file_col: str, order: Sequence[str],
                      date_col: str = "date", time_col: str = "time", value_col: str = "consumption",
-                     extra_col: str | None = None, partitions: int | None = None) -> DataFrame:
+                     extra_col: str | None = None, partitions: int | None = None,
+                     split_key: str | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """One workbook per distinct ``file_col``: ``path, content`` (in-memory blobs).
 
     Rows are hash-partitioned by file (an explicit partition count, so AQE
     does not fold the Python work into a few tasks) and sorted within each
     partition; ``mapInPandas`` then renders the files one after another,
-    holding at most one file's rows across Arrow batches -- bounded by the
-    format (``MAX_SHEET_ROWS``); a meter-month of 15-minute readings is ~3,000.
+    holding at most one file's rows across Arrow batches. A workbook is
+    bounded by the format (``MAX_SHEET_ROWS``; a meter-month of 15-minute
+    readings is ~3,000). With ``split_key`` (a BIGINT column) a file over
+    ``part_rows`` rows is first split into parts (``split_oversize``), so a hot
+    meter-month becomes several bounded workbooks in several tasks instead of
+    one task and an error.
     """
     cols = list(dict.fromkeys([file_col, *order, date_col, time_col, value_col]
                               + ([extra_col] if extra_col else [])))
     spark = readings.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if split_key is not None:
+        readings = split_oversize(readings.select(*dict.fromkeys([*cols, split_key])), file_col, split_key,
+                                  part_rows)
     prepared = readings.select(*cols).repartition(n, file_col).sortWithinPartitions(file_col, *order)
 
     def render(pdf: pd.DataFrame) -> pd.DataFrame:
