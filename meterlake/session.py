@@ -69,6 +69,9 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_meterlake_shipped", False):
         return
+    if spark.conf.get("meterlake.shipPackage", "true").lower() == "false":   # installed on executors
+        sc._meterlake_shipped = True
+        return
     import zipfile
 
     import meterlake
@@ -108,8 +111,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a directory already set on
-    the context). Only when neither is set -- local tests -- a private scratch
-    folder is created.
+    the context). Only when neither is set on a ``local`` master -- tests -- a
+    private scratch folder is created; on a cluster an unset folder is an
+    error, since a machine-local folder would not survive executor loss.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -117,6 +121,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints and intermediate tables are written there)")
         configured = tempfile.mkdtemp(prefix="meterlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
