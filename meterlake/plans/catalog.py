@@ -385,7 +385,10 @@ def f4_load_delta(spark, sf):
 FAN_OUT_TARGETS = "parquet, ,influxdb,orc"   # as typed on a command line
 
 
-@register("f5_fan_out")
+@register("f5_fan_out", """
+SELECT target, status, CAST(n AS BIGINT) AS rows FROM (VALUES
+  ('parquet', 'loaded', (SELECT count(*) FROM events)), ('', 'ignored', NULL),
+  ('influxdb', 'unsupported', NULL), ('orc', 'loaded', (SELECT count(*) FROM events))) AS t(target, status, n)""")
 def f5_fan_out(spark, sf):
     from meterlake.session import scratch_path
     pts = rs.to_points(event_readings(spark, sf))
