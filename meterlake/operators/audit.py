@@ -171,5 +171,12 @@ def check_requests(requests: DataFrame, as_of=None) -> DataFrame:
 
 
 def order_sessions(sessions: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Sessions equal on every field collapse to one; ordered by time."""
-    return sessions.dropDuplicates().orderBy(ts)
+    """Sessions equal on every field collapse to one; ordered by time.
+
+    The other fields follow as tie-breakers: equal times get a deterministic
+    order, and the range partitioner can split a time shared by many sessions
+    (rows left after ``dropDuplicates`` differ in some field).
+    """
+    rest = [f.name for f in sessions.schema.fields
+            if f.name != ts and "map<" not in f.dataType.simpleString()]   # maps are not orderable
+    return sessions.dropDuplicates().orderBy(ts, *rest)

@@ -113,3 +113,11 @@ def test_status_log_lifecycle(spark, tmp_dir):
     assert got == {"t1": "completed", "nope": None}
     full = {r["task_id"]: r["file"] for r in au.task_status(spark, "ts_life", with_file=True).collect()}
     assert bytes(full["t1"]) == b"xlsx"
+
+
+def test_order_sessions_breaks_equal_times_deterministically(spark):
+    rows = [(f"s{i % 7}", "delta" if i % 2 else "full", T0) for i in range(40)] + [("s0", "full", T0 - dt.timedelta(1))]
+    s = spark.createDataFrame(rows, "session_id string, workflow string, timestamp timestamp_ntz").repartition(5)
+    out = [tuple(r) for r in au.order_sessions(s).collect()]
+    assert out[0] == ("s0", "full", T0 - dt.timedelta(1))
+    assert out[1:] == sorted(set(out[1:]), key=lambda r: (r[2], r[0], r[1]))
