@@ -71,3 +71,28 @@ def test_key_by_time_orders_within_partition(spark):
     out = rd.key_by_time(df)
     assert out.columns[:2] == ["cpe", "date_time"]
     assert [r["date_time"].day for r in out.collect()] == [1, 2]
+
+
+def test_autumn_clock_change_repeats_become_one_point_per_key(spark):
+    """Local wall times repeated when clocks fall back (Lisbon, 2023-10-29 02:00 -> 01:00)
+    are labelled UTC as written, so they collide on (meter, time); the full-load key
+    rule keeps one point per key, the later sheet row winning."""
+    from meterlake.operators import load as ld
+    from meterlake.operators.reshape import to_points
+
+    pre = [("f.xlsx", i, ["preamble"]) for i in range(8)] + [("f.xlsx", 8, ["Date", "Time", "Value"])]
+    body = [("f.xlsx", 9 + i, ["2023-10-29", t, str(v)])
+            for i, (t, v) in enumerate([("00:45", 1), ("01:00", 2), ("01:15", 3),     # summer time
+                                        ("01:00", 4), ("01:15", 5), ("01:30", 6)])]  # repeated hour
+    good, bad = rd.parse_readings(_raw(spark, pre + body), "PT0001")
+    assert bad.count() == 0 and good.count() == 6
+    dup = good.groupBy("cpe", "date_time").count().filter("count > 1").count()
+    assert dup == 2
+    pts = to_points(good.select("cpe", "date_time", "consumption", F.col("row").cast("long").alias("row")),
+                    tags=("cpe", "row")).withColumn("load_seq", F.lit(1))
+    kept = ld.keep_latest(pts, tiebreak="row").drop("row")
+    got = sorted((r["time"].strftime("%H:%M"), r["value"]) for r in kept.collect())
+    assert got == [("00:45", 1.0), ("01:00", 4.0), ("01:15", 5.0), ("01:30", 6.0)]
+    # with the zone given, both copies of a repeated wall time map to one UTC instant too
+    zoned = good.select(ps.localize_utc("date_time", "Europe/Lisbon").alias("t"))
+    assert zoned.select("t").distinct().count() == 4
