@@ -574,6 +574,50 @@ def g12_order_sessions(spark, sf):
     return au.order_sessions(sessions)
 
 
+SECOND_BATCH_FROM = "1998-01-01"   # requests from this date on arrive in a second insert
+
+
+@register("g13_create_tables", f"""
+WITH req AS (
+  SELECT {_UUID_SQL.format(k='o_orderkey')} AS task_id,
+    CASE o_orderstatus WHEN 'F' THEN 'select' WHEN 'O' THEN 'current' ELSE 'previous' END AS workflow,
+    CASE WHEN o_orderstatus = 'F' THEN 'influxdb' ELSE 'influxdb,parquet' END AS db,
+    month(o_orderdate) AS month, year(o_orderdate) AS year, o_totalprice > 200000 AS delta,
+    o_orderpriority = '1-URGENT' AS download,
+    COALESCE(CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END, {_NTZ} '{AUDIT_AS_OF}') AS created,
+    CASE WHEN o_orderdate < {_NTZ} '{SECOND_BATCH_FROM}' THEN 1 ELSE 2 END AS batch
+  FROM orders)
+SELECT row_number() OVER (ORDER BY batch, created, task_id) AS id,
+       task_id, workflow, db, month, year, delta, download, created
+FROM req""")
+def g13_create_tables(spark, sf):
+    """Create both audit tables, insert the requests in two batches (defaults, continuing
+    sequence ids), and read the request table back."""
+    import uuid
+
+    from meterlake.session import scratch_path
+    suffix = uuid.uuid4().hex[:12]
+    requests, status = f"workflowrequests_{suffix}", f"taskstatus_{suffix}"
+    au.create_tables(spark, scratch_path(spark, "audit"), requests=requests, status=status)
+    o = table(spark, sf, "orders")
+    rows = o.select(
+        st.uuid_from_key("o_orderkey").alias("task_id"),
+        F.when(F.col("o_orderstatus") == "F", "select").when(F.col("o_orderstatus") == "O", "current")
+         .otherwise("previous").alias("workflow"),
+        st.target_list(F.when(F.col("o_orderstatus") == "F", "influxdb").otherwise("influxdb, parquet"))
+         .alias("db"),
+        F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year"),
+        (F.col("o_totalprice") > 200000).alias("delta"),
+        (F.col("o_orderpriority") == "1-URGENT").alias("download"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate")).alias("created"),
+        (F.col("o_orderdate") < mk.ts_literal(SECOND_BATCH_FROM, _ntz())).alias("_first"))
+    for first in (True, False):
+        au.insert_requests(rows.filter(F.col("_first") == first).drop("_first"), requests, AUDIT_AS_OF)
+    return spark.table(requests).select(
+        "id", "task_id", "workflow", F.concat_ws(",", "db").alias("db"), "month", "year", "delta", "download",
+        F.col("created").cast("timestamp_ntz").alias("created"))
+
+
 # --------------------------------------------------------------------------- H
 @register("h1_infer_type", """
 WITH lits AS (
