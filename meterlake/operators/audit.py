@@ -84,7 +84,9 @@ def task_status(spark: SparkSession, table: str, ids: DataFrame | None = None,
     ids (G3). Without ``with_file`` the blob column is replaced by a note (G9),
     and only its null-ness is read."""
     log = spark.table(table)
-    folded = fold_updates(log.select("task_id", "status", F.col("file").isNotNull().alias("_has_file"),
+    # null when the update carries no file ("unchanged"), so the fold keeps an earlier file
+    has_file = F.when(F.col("file").isNotNull(), F.lit(True))
+    folded = fold_updates(log.select("task_id", "status", has_file.alias("_has_file"),
                                      *(["file"] if with_file else []), "created", "updated"),
                           "task_id", "updated",
                           ["status", "_has_file", *(["file"] if with_file else []), "created", "updated"])

@@ -113,6 +113,13 @@ def test_status_log_lifecycle(spark, tmp_dir):
     assert got == {"t1": "completed", "nope": None}
     full = {r["task_id"]: r["file"] for r in au.task_status(spark, "ts_life", with_file=True).collect()}
     assert bytes(full["t1"]) == b"xlsx"
+    # a later partial update without a file leaves the stored file in place
+    au.log_status(spark.createDataFrame([("t1", None, None, None, T0 + dt.timedelta(minutes=3))], schema),
+                  "ts_life")
+    cur = {r["task_id"]: (r["status"], r["file"]) for r in au.task_status(spark, "ts_life").collect()}
+    assert cur["t1"] == ("completed", st.FILE_NOTE)
+    full = {r["task_id"]: r["file"] for r in au.task_status(spark, "ts_life", with_file=True).collect()}
+    assert bytes(full["t1"]) == b"xlsx"
 
 
 def test_order_sessions_breaks_equal_times_deterministically(spark):
