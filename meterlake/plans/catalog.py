@@ -618,6 +618,45 @@ def g13_create_tables(spark, sf):
         F.col("created").cast("timestamp_ntz").alias("created"))
 
 
+_LOG_STATUS_SQL = """CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN 'failed: ' || props
+  WHEN 'purchase' THEN 'completed' WHEN 'click' THEN 'running' ELSE 'queued' END"""
+
+
+@register("l3_task_status", f"""
+WITH log AS (
+  SELECT CAST(user_id AS VARCHAR) AS task_id, {_LOG_STATUS_SQL} AS status,
+         CASE WHEN event_type = 'purchase' THEN props END AS file,
+         CASE WHEN event_type = 'signup' THEN ts END AS created, ts AS updated
+  FROM events)
+SELECT task_id,
+  max_by(status, CASE WHEN status IS NOT NULL THEN updated END) AS status,
+  CASE WHEN bool_or(file IS NOT NULL) THEN '{st.FILE_NOTE}' END AS file,
+  max_by(created, CASE WHEN created IS NOT NULL THEN updated END) AS created,
+  max(updated) AS updated, count(*) AS n_updates
+FROM log GROUP BY task_id""")
+def l3_task_status(spark, sf):
+    """L2/L3 through the status table: every event logged as a partial status update
+    (null = unchanged), then the current status per task, the blob replaced by a note."""
+    import uuid
+
+    from meterlake.session import scratch_path
+    suffix = uuid.uuid4().hex[:12]
+    requests, status = f"workflowrequests_{suffix}", f"taskstatus_{suffix}"
+    au.create_tables(spark, scratch_path(spark, "status"), requests=requests, status=status)
+    ev = table(spark, sf, "events")
+    et = F.col("event_type")
+    text = (F.when(et == "view", F.lit(None).cast("string"))
+            .when(et == "error", F.concat(F.lit("failed: "), F.col("props")))
+            .when(et == "purchase", "completed").when(et == "click", "running").otherwise("queued"))
+    au.log_status(ev.select(
+        F.col("user_id").cast("string").alias("task_id"), text.alias("status"),
+        F.when(et == "purchase", F.col("props").cast("binary")).alias("file"),
+        F.when(et == "signup", F.col("ts")).alias("created"), F.col("ts").alias("updated")), status)
+    cur = au.task_status(spark, status)
+    return cur.select("task_id", "status", "file", F.col("created").cast("timestamp_ntz").alias("created"),
+                      F.col("updated").cast("timestamp_ntz").alias("updated"), "n_updates")
+
+
 # --------------------------------------------------------------------------- H
 @register("h1_infer_type", """
 WITH lits AS (
