@@ -68,6 +68,19 @@ def with_month(points: DataFrame, ts: str = "time", buckets: int = METER_BUCKETS
     })
 
 
+def write_points(points: DataFrame, path: str, mode: str) -> None:
+    """Write points into the store's partition folders.
+
+    ``rebalance`` on the partition columns clusters the rows of one folder into
+    few tasks (one file per folder per advisory-size chunk, instead of every
+    task writing into every folder); AQE splits a skewed folder -- a hot
+    meter's bucket -- over several tasks and merges small ones. Files are
+    sorted by (meter, time), so Parquet min/max statistics skip row groups.
+    """
+    points.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, "cpe", "time") \
+        .write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -108,10 +121,7 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
         slice_ = lookup_join(pruned, touched, list(PARTITIONS), "left_semi")
         merged = keep_latest(slice_.unionByName(inc, allowMissingColumns=True), store_key)
     staging = scratch_path(spark, "full-load")
-    # files sorted by (meter, time): Parquet min/max statistics then skip row
-    # groups for meter equality and time ranges
-    merged.sortWithinPartitions(*PARTITIONS, "cpe", "time").write.mode("overwrite") \
-        .partitionBy(*PARTITIONS).parquet(staging)
+    write_points(merged, staging, "overwrite")
     staged = spark.read.parquet(staging)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -129,8 +139,7 @@ def write_delta(incoming_readings: DataFrame, path: str, load_seq: int,
     stored = read_store(spark, path)
     new = incoming_readings if stored is None else delta(incoming_readings, stored)
     pts = with_month(to_points(new, fields), buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long"))
-    pts.sortWithinPartitions(*PARTITIONS, "cpe", "time").write.mode("append") \
-        .partitionBy(*PARTITIONS).parquet(path)
+    write_points(pts, path, "append")
     return pts
 
 

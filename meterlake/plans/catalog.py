@@ -926,17 +926,24 @@ def a1_workbooks(spark, sf, part_rows: int = wx.PART_ROWS):
 
     A meter-month over ``part_rows`` readings is written as several part
     workbooks (``<meter>/part-<k>/``), each within one worksheet."""
+    blobs = _event_workbooks(spark, sf, part_rows=part_rows)
+    readings, _bad = rd.parse_readings(wb.decode_workbooks(blobs), F.regexp_extract("file", _LANDING_CPE, 1))
+    return readings
+
+
+def _event_workbooks(spark, sf, cond=None, part_rows: int = wx.PART_ROWS) -> DataFrame:
+    """Events rendered (in Spark) as one readings workbook per meter-month: ``path, content``."""
     ev = table(spark, sf, "events")
+    if cond is not None:
+        ev = ev.filter(cond)
     cpe = st.cpe_code("user_id")
     file = F.concat(F.lit("/landing/"), cpe, F.lit("/"), wb.provenance_name(
         F.year("ts"), F.month("ts"), F.lpad(F.lower(F.hex("user_id")), 8, "0")))
     rows = ev.select(file.alias("file"), "ts", "event_id", F.date_format("ts", "yyyy/MM/dd").alias("date"),
                      F.date_format("ts", "HH:mm").alias("time"), F.col("value").alias("consumption"),
                      F.col("event_type").alias("state"))
-    blobs = wx.export_workbooks(rows, "file", order=["ts", "event_id"], extra_col="state",
-                                split_key="event_id", part_rows=part_rows)
-    readings, _bad = rd.parse_readings(wb.decode_workbooks(blobs), F.regexp_extract("file", _LANDING_CPE, 1))
-    return readings
+    return wx.export_workbooks(rows, "file", order=["ts", "event_id"], extra_col="state",
+                               split_key="event_id", part_rows=part_rows)
 
 
 @register("a1_read_workbooks", a1_sql())
@@ -949,3 +956,35 @@ def a2_file_blobs(spark, sf):
     """The stored tables' files read as blobs (content pruned: only name and size)."""
     return wb.file_blobs(spark, sf, glob="*.parquet").select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length")
+
+
+# --------------------------------------------------------------------------- L1
+LOAD_YEAR, LOAD_MONTH, LOAD_AS_OF = 2024, 1, "2024-02-01 00:00:00"
+
+_CPE_SQL = "'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW'"
+
+
+@register("l1_run_load", f"""
+WITH r AS (
+  SELECT {_CPE_SQL} AS cpe, date_trunc('minute', ts) AS time, value, ts FROM events
+  WHERE ts >= {_NTZ} '2024-01-01' AND ts < {_NTZ} '2024-02-01'),
+first AS (SELECT * FROM r WHERE ts < {_NTZ} '{STORE_CUTOFF}'),
+marks AS (SELECT cpe, max(time) AS mark FROM first WHERE time >= {_NTZ} '1989-05-11 01:10:00' GROUP BY cpe)
+SELECT 'kW' AS measurement, cpe, 'consumption' AS field, value, time FROM first
+UNION ALL
+SELECT 'kW', r.cpe, 'consumption', r.value, r.time
+FROM r LEFT JOIN marks m ON r.cpe = m.cpe
+WHERE r.time > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')""")
+def l1_run_load(spark, sf):
+    """The load lifecycle twice on workbooks rendered from events: the workbooks of the
+    first half of the month, then all of them, both as delta loads of January 2024 into
+    one point store (the second load adds only readings newer than each meter's mark)."""
+    from meterlake.plans.workflows import run_load
+    from meterlake.session import scratch_path
+    store = scratch_path(spark, "l1-store")
+    early = F.col("ts") < mk.ts_literal(STORE_CUTOFF, _ntz())
+    for i, blobs in enumerate((_event_workbooks(spark, sf, early), _event_workbooks(spark, sf))):
+        run_load(spark, blobs, "select", ["parquet", "", "influxdb"], {"parquet": store}, as_of=LOAD_AS_OF,
+                 year=LOAD_YEAR, month=LOAD_MONTH, delta=True, load_seq=i + 1,
+                 cpe=F.regexp_extract("file", _LANDING_CPE, 1))
+    return spark.read.parquet(store).select("measurement", "cpe", "field", "value", "time")

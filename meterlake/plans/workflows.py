@@ -22,7 +22,7 @@ from meterlake.operators.readings import parse_readings
 from meterlake.operators.reshape import to_points
 from meterlake.plans.joins import materialize
 from meterlake.session import ensure_utc
-from meterlake.sources.workbooks import read_workbooks
+from meterlake.sources.workbooks import decode_workbooks, read_workbooks
 
 SESSION_SCHEMA = T.StructType([
     T.StructField("session_id", T.StringType()),
@@ -52,7 +52,7 @@ def _move_or_delete(spark: SparkSession, path: str, keep: bool, archive_dir: str
     return dst.toString()
 
 
-def run_load(spark: SparkSession, landing: str, workflow: str, db: Sequence[str | None],
+def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: Sequence[str | None],
              stores: dict[str, str], as_of=None, year: int | None = None, month: int | None = None,
              delta: bool = False, keep: bool = False, output: str | None = None,
              cpe: str | Column | None = None, load_seq: int | None = None,
@@ -65,7 +65,9 @@ def run_load(spark: SparkSession, landing: str, workflow: str, db: Sequence[str
     empty names are ignored, unknown ones reported. ``delta`` loads only
     readings newer than each meter's mark, else a full idempotent reload.
     ``keep`` moves the landing folder to ``output/<session_id>``; otherwise it
-    is deleted.
+    is deleted. ``landing`` may also be a DataFrame of workbook blobs
+    (``path, content``, e.g. from a ``binaryFile`` read or ``export_workbooks``);
+    there is no folder to retain then.
 
     Returns (session record, per-store report, quarantined rows).
     """
@@ -75,7 +77,10 @@ def run_load(spark: SparkSession, landing: str, workflow: str, db: Sequence[str
         raise ValueError("the requested month is in the future")
     sid = session_id or uuid.uuid4().hex
     seq = load_seq if load_seq is not None else int(dt.datetime.now().timestamp() * 1_000_000)
-    raw = read_workbooks(spark, landing)
+    from_folder = isinstance(landing, str)
+    # decoded once and checkpointed: the load and the quarantine both read it, and it
+    # outlives the landing folder (moved or deleted below)
+    raw = materialize(read_workbooks(spark, landing) if from_folder else decode_workbooks(landing))
     readings, bad = parse_readings(raw, cpe if cpe is not None else F.regexp_extract("file", CPE_FROM_PATH, 1))
     readings = readings.filter((F.col("date_time") >= F.lit(start).cast("timestamp_ntz"))
                                & (F.col("date_time") < F.lit(end).cast("timestamp_ntz")))
@@ -88,8 +93,8 @@ def run_load(spark: SparkSession, landing: str, workflow: str, db: Sequence[str
     if keep and not output:
         raise ValueError("keep=True needs an output folder")
     report = fan_out(readings, list(db), {name: writer(path) for name, path in stores.items()})
-    bad = materialize(bad)      # quarantine survives the source files being moved or deleted
-    kept = _move_or_delete(spark, landing, keep, f"{output.rstrip('/')}/{sid}" if keep else None)
+    kept = (_move_or_delete(spark, landing, keep, f"{output.rstrip('/')}/{sid}" if keep else None)
+            if from_folder else None)
     session = spark.createDataFrame([(sid, workflow, [d for d in db if d], kept,
                                       kept.rsplit("/", 1)[0] if kept else None, "completed",
                                       dt.datetime.now(dt.timezone.utc))], SESSION_SCHEMA)

@@ -114,3 +114,19 @@ def test_retain_source(spark, tmp_dir):
     assert ld.retain_options(False) == {"cleanSource": "delete"}
     assert ld.retain_options(True, "/x")["cleanSource"] == "archive"
     assert F is not None
+
+
+def test_delta_write_one_file_per_partition_folder(spark, tmp_dir):
+    """Rows are clustered by partition folder before writing, so 8 input partitions
+    spread over every bucket do not write 8 files into each folder."""
+    rows = [(f"M{i % 97}", T0 + dt.timedelta(minutes=i * 40), float(i)) for i in range(2000)]   # two months
+    readings = _readings(spark, rows).repartition(8)
+    path = os.path.join(tmp_dir, "store")
+    ld.write_delta(readings, path, 1)
+    per_folder = {}
+    for d, _, files in os.walk(path):
+        n = sum(f.endswith(".parquet") for f in files)
+        if n:
+            per_folder[d] = n
+    assert len(per_folder) > 64 and max(per_folder.values()) == 1
+    assert spark.read.parquet(path).count() == 2000
