@@ -54,25 +54,23 @@ def _row_parts(df: DataFrame) -> tuple[int, list[Column]]:
     return fixed + 16, var_cols
 
 
-def measure(df: DataFrame, limit: int | None = None) -> tuple[int, int]:
+def measure(df: DataFrame) -> tuple[int, int]:
     """Row count and in-memory byte estimate of an (already materialised) frame.
 
-    With ``limit`` (bytes) at most ``limit / min_row_bytes + 1`` rows are read:
-    once that many rows exist the frame is known to be over the limit, so a
-    large lookup is never scanned in full just to decide against broadcasting.
-    The returned size is then a lower bound above ``limit``.
+    One pass with a partial aggregate per partition (one row per partition
+    reaches the final aggregate): no rows are shuffled. A ``limit`` before the
+    aggregate would look cheaper but plans as a single-partition exchange that
+    every partition feeds with up to ``limit`` rows -- far worse for a large
+    lookup than reading it once.
     """
     per_row, var_cols = _row_parts(df)
-    src = df
-    if limit is not None:
-        src = df.limit(limit // per_row + 1)
     aggs = [F.count(F.lit(1)).alias("n")]
     if var_cols:
         total = var_cols[0]
         for c in var_cols[1:]:
             total = total + c
         aggs.append(F.sum(total).alias("v"))
-    row = src.agg(*aggs).first()
+    row = df.agg(*aggs).first()
     n = int(row["n"])
     var = int(row["v"] or 0) if var_cols else 0
     return n, n * per_row + var
@@ -92,7 +90,7 @@ def lookup_join(large: DataFrame, lookup: DataFrame, on, how: str = "left",
         raise ValueError(f"lookup_join keeps the large side on the left; got how={how!r}")
     limit = broadcast_limit(large.sparkSession) if max_bytes is None else max_bytes
     small = lookup if materialized else materialize(lookup)
-    rows, size = measure(small, limit)
+    rows, size = measure(small)
     use_broadcast = size <= limit
     if report is not None:
         report.update(rows=rows, bytes=size, broadcast=use_broadcast)
