@@ -10,7 +10,8 @@ Each micro-batch (``foreachBatch``):
    key inside the batch, the newest file winning (two snapshots of a month in
    one batch);
 4. overwrites its own ``batch_id`` partition of the store and writes the next
-   marks snapshot (previous marks folded with this batch's maxima).
+   marks snapshot (previous marks folded with this batch's maxima); snapshots
+   older than the previous one are deleted (a replay never reads them).
 
 A replayed batch reads the same previous snapshot and overwrites the same
 partitions, so it is idempotent; marks never include the batch's own output.
@@ -57,6 +58,16 @@ def _previous_snapshot(spark: SparkSession, marks_path: str, batch_id: int) -> i
     return best
 
 
+def _prune_snapshots(spark: SparkSession, marks_path: str, keep_from: int) -> None:
+    """Delete mark snapshots older than ``keep_from``: a replay of the current batch
+    reads only the snapshot before it, so older ones are never read again."""
+    fs, p = _fs(spark, marks_path)
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id=") and int(name.split("=", 1)[1]) < keep_from:
+            fs.delete(st.getPath(), True)
+
+
 def _overwrite_partition(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
@@ -97,6 +108,8 @@ def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path:
     snapshot = (marks.unionByName(batch_max).groupBy("cpe").agg(F.max("last_insert").alias("last_insert"))
                 .withColumn("batch_id", F.lit(batch_id).cast("long")))
     _overwrite_partition(snapshot, marks_path)
+    if prev is not None:
+        _prune_snapshots(spark, marks_path, prev)
 
 
 def workbook_parser(cpe_from_path: str = r"/([^/]+)/[^/]+$") -> Callable[[DataFrame], DataFrame]:
