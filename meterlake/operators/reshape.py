@@ -36,10 +36,13 @@ def pivot_fields(points: DataFrame, fields: Sequence[str], row_key: Sequence[str
                  agg=F.max) -> DataFrame:
     """D3: tall fields -> one row per key with one column per field.
 
-    The field values are listed, so Spark plans one conditional hash aggregate
-    (no extra job to discover them).
+    One conditional aggregate per listed field, ``agg(value if field = f)``:
+    a single hash aggregate with map-side partial aggregation and one shuffle
+    on the row key (``groupBy().pivot()`` plans two: by key and field, then a
+    pivot by key). ``agg`` must ignore nulls (max, min, sum, avg, count).
     """
-    return points.groupBy(*row_key).pivot("field", list(fields)).agg(agg("value"))
+    return points.groupBy(*row_key).agg(
+        *[agg(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
 
 
 def load_profile(readings: DataFrame, by: Sequence[str], key: str = "cpe",
