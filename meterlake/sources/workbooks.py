@@ -14,6 +14,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+import xml.parsers.expat
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -102,60 +103,178 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return out
 
 
-def decode_workbook(content: bytes) -> list[tuple[int, list[str | None]]]:
-    """First sheet of an .xlsx as ``(row_index_0_based, cells_as_text)``.
+def _cell_value(t: str, style: int, v: str | None, inline: str | None,
+                strings: list[str], dates: set[int]) -> str | None:
+    """A cell as text from its type, style, ``<v>`` text and inline-string text."""
+    if t == "n":
+        if v is not None and style in dates:
+            try:
+                return _serial_text(float(v))
+            except ValueError:
+                return v
+        return v
+    if t == "s":
+        return strings[int(v)] if v is not None else None
+    if t == "inlineStr":
+        return inline or ""
+    if t == "b":
+        return None if v is None else ("TRUE" if v == "1" else "FALSE")
+    return v            # str (formula text), e (error)
+
+
+# Sheets whose XML is under this size are parsed as one tree (fastest for the
+# usual month of readings); larger ones stream, holding one chunk's rows.
+TREE_PARSE_MAX_BYTES = 4 << 20
 
-    Shared, inline and formula strings are returned as text; numbers in a date
-    or time style as ``yyyy-MM-dd``, ``HH:mm:ss`` or both; other numbers as
-    written in the file; booleans as ``TRUE``/``FALSE``.
+_ROW, _CELL, _VALUE, _TEXT = 1, 2, 3, 4
+_TAGS = {"row": _ROW, "c": _CELL, "v": _VALUE, "t": _TEXT}
+
+
+class _SheetRows:
+    """Streaming reader of a worksheet's XML (``expat`` callbacks, no element tree).
+
+    Completed rows collect in ``done``; the caller feeds the XML in chunks and
+    drains ``done`` after each, so memory holds a chunk's rows, not the sheet.
     """
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        strings = _shared_strings(z)
-        dates = _date_styles(z)
-        sheet = ET.fromstring(z.read(_first_sheet(z)))
-    rows = []
+
+    def __init__(self, strings: list[str], dates: set[int]):
+        self.strings, self.dates = strings, dates
+        self.done: list[tuple[int, list[str | None]]] = []
+        self.row: dict[int, str | None] | None = None
+        self.r = -1
+        self.n_cells = 0
+        self.cell: list | None = None       # [col, type, style, v text, inline text]
+        self.buf: list[str] | None = None
+        self.tags: dict[str, int] = {}       # element name (any prefix) -> kind
+        self.cols: dict[str, int] = {}       # column letters -> index
+        self.parser = xml.parsers.expat.ParserCreate()
+        self.parser.buffer_text = True
+        self.parser.StartElementHandler = self._start
+        self.parser.EndElementHandler = self._end
+        self.parser.CharacterDataHandler = self._data
+
+    def _kind(self, name: str) -> int:
+        kind = self.tags.get(name)
+        if kind is None:
+            kind = self.tags[name] = _TAGS.get(name.rpartition(":")[2], 0)
+        return kind
+
+    def _start(self, name: str, attrs: dict) -> None:
+        kind = self._kind(name)
+        if kind == _CELL and self.row is not None:
+            ref = attrs.get("r")
+            if ref:
+                letters = ref.rstrip("0123456789")
+                col = self.cols.get(letters)
+                if col is None:
+                    col = self.cols[letters] = _col_index(letters)
+            else:
+                col = self.n_cells
+            self.n_cells += 1
+            self.cell = [col, attrs.get("t", "n"), int(attrs.get("s", 0)), None, None]
+        elif kind == _ROW:
+            self.r = int(attrs["r"]) - 1 if "r" in attrs else self.r + 1
+            self.row, self.n_cells = {}, 0
+        elif (kind == _VALUE or kind == _TEXT) and self.cell is not None:
+            self.buf = []
+
+    def _data(self, text: str) -> None:
+        if self.buf is not None:
+            self.buf.append(text)
+
+    def _end(self, name: str) -> None:
+        kind = self._kind(name)
+        if kind == _CELL:
+            if self.cell is not None:
+                self.row[self.cell[0]] = _cell_value(*self.cell[1:], self.strings, self.dates)
+                self.cell = None
+        elif kind == _VALUE or kind == _TEXT:
+            if self.buf is not None:
+                text = "".join(self.buf)
+                self.buf = None
+                if kind == _VALUE:
+                    self.cell[3] = text
+                else:
+                    self.cell[4] = (self.cell[4] or "") + text
+        elif kind == _ROW and self.row is not None:
+            row = self.row
+            self.done.append((self.r, [row.get(i) for i in range(max(row) + 1)] if row else []))
+            self.row = None
+
+
+def _tree_rows(xml_bytes: bytes, strings: list[str], dates: set[int]) -> list[tuple[int, list[str | None]]]:
     m = f"{{{_NS['m']}}}"
-    for r_i, row in enumerate(sheet.iter(m + "row")):
+    rows = []
+    for r_i, row in enumerate(ET.fromstring(xml_bytes).iter(m + "row")):
         r = int(row.get("r", r_i + 1)) - 1
         cells: dict[int, str | None] = {}
         for c_i, c in enumerate(row.findall(m + "c")):
             ref = c.get("r")
-            idx = _col_index(ref) if ref else c_i
-            t = c.get("t", "n")
             v = c.find(m + "v")
-            if t == "s":
-                val = strings[int(v.text)] if v is not None else None
-            elif t == "inlineStr":
-                val = "".join(x.text or "" for x in c.iter(m + "t"))
-            elif t in ("str", "e"):
-                val = v.text if v is not None else None
-            elif t == "b":
-                val = None if v is None else ("TRUE" if v.text == "1" else "FALSE")
-            else:
-                val = v.text if v is not None else None
-                if val is not None and int(c.get("s", "0")) in dates:
-                    try:
-                        val = _serial_text(float(val))
-                    except ValueError:
-                        pass
-            cells[idx] = val
-        width = max(cells) + 1 if cells else 0
-        rows.append((r, [cells.get(i) for i in range(width)]))
+            t = c.get("t", "n")
+            inline = "".join(x.text or "" for x in c.iter(m + "t")) if t == "inlineStr" else None
+            cells[_col_index(ref) if ref else c_i] = _cell_value(
+                t, int(c.get("s", "0")), v.text if v is not None else None, inline, strings, dates)
+        rows.append((r, [cells.get(i) for i in range(max(cells) + 1)] if cells else []))
     return rows
 
 
+def iter_workbook_rows(content: bytes, chunk: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
+    """First sheet of an .xlsx as ``(row_index_0_based, cells_as_text)``, row by row.
+
+    A sheet under ``TREE_PARSE_MAX_BYTES`` of XML is parsed as one tree; a
+    larger one is read in ``chunk``-byte pieces through a streaming parser, so
+    memory holds the rows of one piece, never the tree of a sheet that may
+    have 1,048,576 rows. Shared, inline and formula strings are returned as
+    text; numbers in a date or time style as ``yyyy-MM-dd``, ``HH:mm:ss`` or
+    both; other numbers as written in the file; booleans as ``TRUE``/``FALSE``.
+    """
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        strings = _shared_strings(z)
+        dates = _date_styles(z)
+        name = _first_sheet(z)
+        if z.getinfo(name).file_size <= TREE_PARSE_MAX_BYTES:
+            yield from _tree_rows(z.read(name), strings, dates)
+            return
+        reader = _SheetRows(strings, dates)
+        with z.open(name) as f:
+            while True:
+                data = f.read(chunk)
+                reader.parser.Parse(data, not data)
+                if reader.done:
+                    yield from reader.done
+                    reader.done = []
+                if not data:
+                    break
+
+
+def decode_workbook(content: bytes) -> list[tuple[int, list[str | None]]]:
+    """All rows of the first sheet (see ``iter_workbook_rows``)."""
+    return list(iter_workbook_rows(content))
+
+
+# Rows per output frame of the decoder: bounds the Python memory of one task
+# whatever the number of workbooks in an input Arrow batch.
+DECODE_CHUNK_ROWS = 65_536
+
+
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    files, rows, cells = [], [], []
     for pdf in batches:
-        files, rows, cells = [], [], []
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
-                decoded = decode_workbook(bytes(content))
-            except (zipfile.BadZipFile, ET.ParseError, KeyError):
+                decoded = decode_workbook(bytes(content))   # one file's rows: an unreadable file adds none
+            except (zipfile.BadZipFile, ET.ParseError, xml.parsers.expat.ExpatError, KeyError):
                 decoded = [(-1, None)]  # unreadable file: one marker row, quarantined downstream
             for r, cs in decoded:
                 files.append(path)
                 rows.append(r)
                 cells.append(cs)
+            del decoded
+            if len(rows) >= DECODE_CHUNK_ROWS:
+                yield pd.DataFrame({"file": files, "row": rows, "cells": cells})
+                files, rows, cells = [], [], []
+    if rows:
         yield pd.DataFrame({"file": files, "row": rows, "cells": cells})
 
 

@@ -113,3 +113,17 @@ def test_split_keeps_small_files_whole(spark):
     assert "d/f2" in names and "d/f1" not in names
     assert all(n.startswith("d/part-") and n.endswith("/f1") for n in names if n != "d/f2")
     assert out.count() == 11
+
+
+def test_streaming_and_tree_parsers_agree(monkeypatch):
+    """Large sheets stream through the parser in chunks; every cell kind decodes alike."""
+    sheet = [["a", ("inline", "b"), 1.5, None, True, False],
+             [("date", 45047.0), ("date", 0.25), ("date", 45047.5), "x & <y>"]] + \
+        [["2024/01/01", ("inline", f"{i % 24:02d}:15"), i * 0.5, "state"] for i in range(500)]
+    blob = wx.workbook_bytes(sheet)
+    tree = wb.decode_workbook(blob)
+    monkeypatch.setattr(wb, "TREE_PARSE_MAX_BYTES", 0)
+    streamed = list(wb.iter_workbook_rows(blob, chunk=997))     # odd chunk size: rows split across reads
+    assert streamed == tree
+    assert tree[0] == (0, ["a", "b", "1.5", None, "TRUE", "FALSE"])
+    assert tree[1] == (1, ["2023-05-01", "06:00:00", "2023-05-01 12:00:00", "x & <y>"])
