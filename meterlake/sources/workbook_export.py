@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -82,42 +82,62 @@ def _ref(col: int, row: int) -> str:
     return f"{name}{row + 1}"
 
 
-def workbook_bytes(rows: Sequence[Sequence[Cell]]) -> bytes:
-    """A one-sheet .xlsx holding ``rows`` (row 0 is the sheet's first row)."""
+def _row_xml(r: int, cells: Sequence[Cell], shared: dict[str, int]) -> str:
+    xs = []
+    for c, v in enumerate(cells):
+        if v is None:
+            continue
+        ref = _ref(c, r)
+        if isinstance(v, tuple) and v[0] == "inline":
+            xs.append(f'<c r="{ref}" t="inlineStr"><is><t>{escape(str(v[1]))}</t></is></c>')
+        elif isinstance(v, tuple) and v[0] == "date":
+            xs.append(f'<c r="{ref}" s="1"><v>{v[1]!r}</v></c>')
+        elif isinstance(v, bool):
+            xs.append(f'<c r="{ref}" t="b"><v>{int(v)}</v></c>')
+        elif isinstance(v, (int, float)):
+            xs.append(f'<c r="{ref}"><v>{v!r}</v></c>')
+        else:
+            idx = shared.setdefault(str(v), len(shared))
+            xs.append(f'<c r="{ref}" t="s"><v>{idx}</v></c>')
+    return f'<row r="{r + 1}">{"".join(xs)}</row>'
+
+
+# Sheet XML is compressed in pieces of about this many characters, so a large
+# sheet is never held as one string.
+_WRITE_CHUNK = 1 << 16
+
+
+def workbook_bytes(rows: Iterable[Sequence[Cell]]) -> bytes:
+    """A one-sheet .xlsx holding ``rows`` (row 0 is the sheet's first row).
+
+    The sheet is written into the archive row by row (compressed in pieces),
+    so memory holds the compressed file and the shared-string table, not the
+    sheet's XML text.
+    """
     shared: dict[str, int] = {}
-    out = []
-    for r, cells in enumerate(rows):
-        xs = []
-        for c, v in enumerate(cells):
-            ref = _ref(c, r)
-            if v is None:
-                continue
-            if isinstance(v, tuple) and v[0] == "inline":
-                xs.append(f'<c r="{ref}" t="inlineStr"><is><t>{escape(str(v[1]))}</t></is></c>')
-            elif isinstance(v, tuple) and v[0] == "date":
-                xs.append(f'<c r="{ref}" s="1"><v>{v[1]!r}</v></c>')
-            elif isinstance(v, bool):
-                xs.append(f'<c r="{ref}" t="b"><v>{int(v)}</v></c>')
-            elif isinstance(v, (int, float)):
-                xs.append(f'<c r="{ref}"><v>{v!r}</v></c>')
-            else:
-                idx = shared.setdefault(str(v), len(shared))
-                xs.append(f'<c r="{ref}" t="s"><v>{idx}</v></c>')
-        out.append(f'<row r="{r + 1}">{"".join(xs)}</row>')
-    sheet = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-             '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-             f'<sheetData>{"".join(out)}</sheetData></worksheet>')
-    sst = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-           f'<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" count="{len(shared)}" '
-           f'uniqueCount="{len(shared)}">'
-           + "".join(f"<si><t>{escape(s)}</t></si>" for s in shared) + "</sst>")
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("[Content_Types].xml", _CT)
         z.writestr("_rels/.rels", _RELS)
         z.writestr("xl/workbook.xml", _WB)
         z.writestr("xl/_rels/workbook.xml.rels", _WB_RELS)
-        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        with z.open("xl/worksheets/sheet1.xml", "w") as f:   # < 2 GiB: a full sheet is ~100 MB
+            piece = ['<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+                     '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>']
+            size = 0
+            for r, cells in enumerate(rows):
+                x = _row_xml(r, cells, shared)
+                piece.append(x)
+                size += len(x)
+                if size >= _WRITE_CHUNK:
+                    f.write("".join(piece).encode())
+                    piece, size = [], 0
+            piece.append("</sheetData></worksheet>")
+            f.write("".join(piece).encode())
+        sst = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+               f'<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" count="{len(shared)}" '
+               f'uniqueCount="{len(shared)}">'
+               + "".join(f"<si><t>{escape(s)}</t></si>" for s in shared) + "</sst>")
         z.writestr("xl/sharedStrings.xml", sst)
         z.writestr("xl/styles.xml", _STYLES)
     return buf.getvalue()
