@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -143,19 +143,25 @@ def workbook_bytes(rows: Iterable[Sequence[Cell]]) -> bytes:
     return buf.getvalue()
 
 
-def readings_sheet(dates: Sequence[str], times: Sequence[str], values: Sequence[float],
-                   extra: Sequence[str] | None = None) -> list[list[Cell]]:
-    """Rows of a readings workbook: preamble, header, then one row per reading."""
+def iter_readings_sheet(dates: Sequence[str], times: Sequence[str], values: Sequence[float],
+                        extra: Sequence[str] | None = None) -> Iterator[list[Cell]]:
+    """Rows of a readings workbook, one at a time: preamble, header, then one row per reading."""
     if len(PREAMBLE) + 1 + len(values) > MAX_SHEET_ROWS:
         raise ValueError(f"{len(values)} readings do not fit one worksheet ({MAX_SHEET_ROWS} rows)")
-    rows: list[list[Cell]] = [[p] if p else [] for p in PREAMBLE]
-    rows.append(list(HEADER))
+    for p in PREAMBLE:
+        yield [p] if p else []
+    yield list(HEADER)
     for i, (d, t, v) in enumerate(zip(dates, times, values)):
         row: list[Cell] = [d, ("inline", t), v if isinstance(v, str) else float(v)]
         if extra is not None:
             row.append(extra[i])
-        rows.append(row)
-    return rows
+        yield row
+
+
+def readings_sheet(dates: Sequence[str], times: Sequence[str], values: Sequence[float],
+                   extra: Sequence[str] | None = None) -> list[list[Cell]]:
+    """Rows of a readings workbook: preamble, header, then one row per reading."""
+    return list(iter_readings_sheet(dates, times, values, extra))
 
 
 BLOB_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("content", T.BinaryType())])
@@ -217,26 +223,27 @@ def export_workbooks(readings: DataFrame, file_col: str, order: Sequence[str],
     def render(pdf: pd.DataFrame) -> pd.DataFrame:
         paths, blobs = [], []
         for path, g in pdf.groupby(file_col, sort=False):
-            sheet = readings_sheet(g[date_col].tolist(), g[time_col].tolist(), g[value_col].tolist(),
-                                   g[extra_col].tolist() if extra_col else None)
+            sheet = iter_readings_sheet(g[date_col].tolist(), g[time_col].tolist(), g[value_col].tolist(),
+                                        g[extra_col].tolist() if extra_col else None)
             paths.append(path)
             blobs.append(workbook_bytes(sheet))
         return pd.DataFrame({"path": paths, "content": blobs})
 
     def build(batches):
-        pending = None
+        # rows arrive sorted by file: only the last file of a batch can continue in
+        # the next one; its pieces are kept as a list and joined once, when it ends
+        pending: list[pd.DataFrame] = []
         for pdf in batches:
-            if pending is not None and len(pending):
-                pdf = pd.concat([pending, pdf], ignore_index=True)
             if not len(pdf):
                 continue
-            last = pdf[file_col].iloc[-1]
-            tail = pdf[file_col] == last
-            pending = pdf[tail]
-            if (~tail).any():
-                yield render(pdf[~tail])
-        if pending is not None and len(pending):
-            yield render(pending)
+            tail = pdf[file_col] == pdf[file_col].iloc[-1]
+            head = pdf[~tail]
+            if len(head):
+                yield render(pd.concat([*pending, head], ignore_index=True) if pending else head)
+                pending = []
+            pending.append(pdf[tail])
+        if pending:
+            yield render(pd.concat(pending, ignore_index=True))
 
     return prepared.mapInPandas(build, BLOB_SCHEMA)
 

@@ -127,3 +127,23 @@ def test_streaming_and_tree_parsers_agree(monkeypatch):
     assert streamed == tree
     assert tree[0] == (0, ["a", "b", "1.5", None, "TRUE", "FALSE"])
     assert tree[1] == (1, ["2023-05-01", "06:00:00", "2023-05-01 12:00:00", "x & <y>"])
+
+
+def test_export_file_spanning_many_arrow_batches(spark):
+    rows = spark.createDataFrame(
+        [("f1", i, "2024-01-01", f"{i // 4:02d}:{i % 4 * 15:02d}", float(i)) for i in range(11)]
+        + [("f2", i, "2024-01-02", "00:15", 100.0 + i) for i in range(2)]
+        + [("f3", 0, "2024-01-03", "00:15", 7.0)],
+        "file string, n int, date string, time string, consumption double")
+    prev = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        blobs = wx.export_workbooks(rows, "file", ["n"], partitions=1)
+        got = sorted((r["file"], r["row"], r["consumption"])
+                     for r in parse_readings(wb.decode_workbooks(blobs), "PT")[0].collect())
+        n_files = blobs.count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", prev)
+    assert n_files == 3
+    assert got == sorted([("f1", 9 + i, float(i)) for i in range(11)] + [("f2", 9 + i, 100.0 + i) for i in range(2)]
+                         + [("f3", 9, 7.0)])
