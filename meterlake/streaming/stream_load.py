@@ -125,9 +125,10 @@ def workbook_parser(cpe_from_path: str = r"/([^/]+)/[^/]+$") -> Callable[[DataFr
 
     def parse(batch: DataFrame) -> DataFrame:
         good, _bad = parse_readings(decode_workbooks(batch), F.regexp_extract("file", cpe_from_path, 1))
+        # one row per file of the micro-batch: a measured lookup, not a shuffle of readings
         files = batch.select(F.col("path").alias("file"),
                              F.unix_micros(F.col("modificationTime")).alias("file_seq"))
-        return good.join(files, "file")
+        return lookup_join(good, files, "file", "inner")
 
     return parse
 
