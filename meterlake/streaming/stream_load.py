@@ -102,7 +102,8 @@ def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path:
     pts = to_points(new, fields, tags=("cpe", "file_seq", "file"))
     batch_pts = keep_latest(pts, seq="file_seq", tiebreak="file").drop("file_seq", "file")
     batch_pts = batch_pts.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    _overwrite_partition(batch_pts, store_path)
+    # files sorted by (meter, time): Parquet statistics skip row groups on reads
+    _overwrite_partition(batch_pts.sortWithinPartitions("cpe", "time"), store_path)
     written = spark.read.parquet(store_path).filter(F.col("batch_id") == batch_id)
     batch_max = written.groupBy("cpe").agg(F.max("time").alias("last_insert"))
     snapshot = (marks.unionByName(batch_max).groupBy("cpe").agg(F.max("last_insert").alias("last_insert"))
