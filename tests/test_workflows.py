@@ -49,3 +49,24 @@ def test_bad_requests_rejected(spark, tmp_dir):
         run_load(spark, tmp_dir, "monthly", ["parquet"], {}, as_of="2024-01-01")
     with pytest.raises(ValueError):
         run_load(spark, tmp_dir, "select", ["parquet"], {}, year=2030, month=1, as_of="2024-01-01")
+
+
+def test_command_line_run_and_info(spark, tmp_dir, capsys):
+    import json
+
+    from meterlake.cli import main
+
+    land = os.path.join(tmp_dir, "landing")
+    store = os.path.join(tmp_dir, "points")
+    _landing(land, [("PT07", "2023_5_dddddddd_readings.xlsx", ["2023-05-01", "2023-05-02"], [1.5, "2,000.5"])])
+    assert main(["info"]) == 0
+    assert json.loads(capsys.readouterr().out)["workflows"] == ["current", "previous", "select"]
+    assert main(["run", "--landing", land, "-w", "select", "-m", "5", "-y", "2023", "-d", "parquet, ,influxdb",
+                 "--store", f"parquet={store}", "--as-of", "2023-06-01"], spark=spark) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert out["status"] == "completed" and out["quarantined_rows"] == 0 and out["source_data"] is None
+    assert [(s["target"], s["status"]) for s in out["stores"]] == [
+        ("parquet", "loaded"), ("", "ignored"), ("influxdb", "unsupported")]
+    assert not os.path.exists(land)                        # not kept: removed after loading
+    got = sorted((r["cpe"], r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
+    assert got == [("PT07", 1, 1.5), ("PT07", 2, 2000.5)]
