@@ -28,8 +28,9 @@ def to_points(readings: DataFrame, fields: Sequence[str] = ("consumption",),
 
 
 def second_precision(df: DataFrame, ts: str = "time") -> DataFrame:
-    """timestamps written at whole seconds."""
-    return df.withColumn(ts, F.date_trunc("second", F.col(ts)))
+    """timestamps written at whole seconds (a naive time stays naive:
+    ``date_trunc`` alone would return a session-zone timestamp)."""
+    return df.withColumn(ts, F.date_trunc("second", F.col(ts)).cast(df.schema[ts].dataType))
 
 
 def pivot_fields(points: DataFrame, fields: Sequence[str], row_key: Sequence[str] = ("cpe", "time"),

@@ -349,7 +349,8 @@ def _hourly_points(spark, sf, cond, load_seq: int) -> DataFrame:
     """One load of hourly points (``seq`` kept to break ties inside a load)."""
     r = event_readings(spark, sf).filter(cond)
     return r.select(F.lit("kW").alias("measurement"), "cpe", F.lit("consumption").alias("field"),
-                    F.date_trunc("hour", "date_time").alias("time"), F.col("consumption").alias("value"),
+                    F.date_trunc("hour", "date_time").cast("timestamp_ntz").alias("time"),
+                    F.col("consumption").alias("value"),
                     F.lit(load_seq).cast("long").alias("load_seq"), "seq")
 
 
@@ -573,7 +574,7 @@ def g12_order_sessions(spark, sf):
         F.concat(F.lit("/data/"), uid, F.lit("/"), F.date_format("ts", "yyyy_MM"), F.lit("_readings.xlsx"))
          .alias("source_data"),
         F.concat(F.lit("/data/"), uid).alias("staging_area"), F.lit("completed").alias("status"),
-        F.date_trunc("hour", "ts").alias("timestamp"))
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"))
     return au.order_sessions(sessions)
 
 
