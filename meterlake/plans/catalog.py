@@ -405,6 +405,21 @@ def f5_fan_out(spark, sf):
     return ld.fan_out(pts, names, writers)
 
 
+@register("f6_retain_source", _POINTS_SQL)
+def f6_retain_source(spark, sf):
+    """Landed files kept: the events' points written as files to a landing folder,
+    each file moved into the archive (retain_source, keep=True), the archive read back."""
+    from meterlake.session import scratch_path
+    base = scratch_path(spark, "retain")
+    rs.to_points(event_readings(spark, sf)).write.parquet(f"{base}/landing")
+    jvm = spark.sparkContext._jvm
+    landing = jvm.org.apache.hadoop.fs.Path(f"{base}/landing")
+    fs = landing.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [st_.getPath().toString() for st_ in fs.listStatus(landing) if st_.getPath().getName().endswith(".parquet")]
+    ld.retain_source(spark, files, keep=True, archive_dir=f"{base}/archive")
+    return spark.read.parquet(f"{base}/archive")
+
+
 # --------------------------------------------------------------------------- G
 AUDIT_AS_OF = "2001-08-02 00:00:00"
 
