@@ -79,3 +79,37 @@ def test_infer_type_matches_rule(spark, values):
             assert got is None
         else:
             assert got == val
+
+
+@SLOW
+@given(keys=st.lists(st.integers(0, 3), min_size=1, max_size=60), parts=st.integers(1, 6))
+def test_surrogate_id_matches_brute_force(spark, keys, parts):
+    """Dense ids 1..n in order of (k, seq) whatever the partitioning; a key held by
+    most rows is split across range partitions by the unique tie-breaker."""
+    from meterlake.operators import audit as au
+
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, seq long").repartition(parts)
+    got = sorted((r["id"], r["k"], r["seq"]) for r in au.surrogate_id(df, ["k", "seq"]).collect())
+    expected = [(i + 1, k, s) for i, (k, s) in enumerate(sorted((k, i) for i, k in enumerate(keys)))]
+    assert got == expected
+
+
+@SLOW
+@given(sizes=st.lists(st.integers(1, 12), min_size=1, max_size=6), part_rows=st.integers(1, 5))
+def test_split_oversize_matches_rule(spark, sizes, part_rows):
+    """Every row kept; a file over the bound gets ceil(n / bound) hash parts, others keep their name."""
+    import math
+
+    from meterlake.sources import workbook_export as wx
+
+    rows = [(f"d/f{f}", f * 100 + i) for f, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(rows, "file string, key long")
+    got = sorted((r["key"], r["file"]) for r in wx.split_oversize(df, "file", "key", part_rows).collect())
+
+    def expect(f, n, key):
+        if n <= part_rows:
+            return f"d/f{f}"
+        h = ((key % 2147483647) * 48271) % 2147483647
+        return f"d/part-{h % math.ceil(n / part_rows)}/f{f}"
+
+    assert got == sorted((f * 100 + i, expect(f, n, f * 100 + i)) for f, n in enumerate(sizes) for i in range(n))
