@@ -103,10 +103,11 @@ def _json_field(doc: Column, path: Sequence[str]) -> Column:
     return F.get_json_object(doc, "$." + ".".join(path))
 
 
-def _is_json_string(doc: Column, path: Sequence[str]) -> Column:
-    parent = doc if len(path) == 1 else F.get_json_object(doc, "$." + ".".join(path[:-1]))
-    pattern = '"' + path[-1] + r'"\s*:\s*"'
-    return parent.rlike(pattern)
+def _json_type(doc: Column, path: Sequence[str]) -> Column:
+    """JSON type of the value at ``path`` (``STRING``, ``BIGINT``, ``OBJECT<...>``, ...):
+    the document parsed as a VARIANT, so a same-named key elsewhere cannot be mistaken for it."""
+    value = F.try_variant_get(F.try_parse_json(doc), "$." + ".".join(path), "variant")
+    return F.schema_of_variant(value)
 
 
 def schema_violations(df: DataFrame, doc: str, schema: T.StructType, require_all: bool = False) -> DataFrame:
@@ -132,7 +133,7 @@ def schema_violations(df: DataFrame, doc: str, schema: T.StructType, require_all
         if require_all:
             reason = reason.when(raw.isNull(), F.lit(f"missing: {name}"))
         if isinstance(leaf_type, T.StringType):
-            bad = raw.isNotNull() & ~_is_json_string(d, path)
+            bad = raw.isNotNull() & (_json_type(d, path) != F.lit("STRING"))
         else:
             bad = raw.isNotNull() & typed.isNull()
         reason = reason.when(bad, F.lit(f"type: {name}"))

@@ -70,11 +70,13 @@ def test_schema_violations_and_parse(spark):
         (3, '{"eredes": {"nif": 5, "cpe": 7}}'),
         (4, '{"eredes": {"nif": 5}}'),
         (5, "nope"),
+        (6, '{"eredes": {"nif": 5, "cpe": 7, "x": {"cpe": "PT9"}}}'),   # same key nested deeper is a string
     ], "id int, doc string")
     v = {r["id"]: r["violation"] for r in stg.schema_violations(docs, "doc", schema, require_all=True).collect()}
-    assert v == {1: None, 2: "type: eredes.nif", 3: "type: eredes.cpe", 4: "missing: eredes.cpe", 5: "malformed"}
+    assert v == {1: None, 2: "type: eredes.nif", 3: "type: eredes.cpe", 4: "missing: eredes.cpe", 5: "malformed",
+                 6: "type: eredes.cpe"}
     v2 = {r["id"]: r["violation"] for r in stg.schema_violations(docs, "doc", schema).collect()}
     assert v2[4] is None
     good, bad = stg.parse_document(docs, "doc", schema, require_all=True)
     assert [r["eredes"]["cpe"] for r in good.collect()] == ["PT1"]
-    assert bad.count() == 4
+    assert bad.count() == 5
