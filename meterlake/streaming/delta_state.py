@@ -15,6 +15,7 @@ task; bound batch size with ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``.
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,6 +26,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from meterlake.plans.joins import lookup_join, materialize
 
+# PySpark pads each state-function result with an empty frame before its own
+# pd.concat, which pandas reports as deprecated on every batch; nothing here to act on.
+warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty or all-NA",
+                        category=FutureWarning)
+
 STATE_SCHEMA = T.StructType([T.StructField("mark_us", T.LongType())])
 # 1989-05-11T00:00:00Z in microseconds: the mark of a meter with nothing stored.
 SENTINEL_US = int(dt.datetime(1989, 5, 11, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
@@ -35,9 +41,7 @@ def _delta_fn(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterato
     start_mark = mark
     for pdf in chunks:
         if start_mark is None:
-            seeded = pdf["_seed_us"].dropna()
-            start_mark = int(seeded.iloc[0]) if len(seeded) else SENTINEL_US
-            mark = start_mark
+            start_mark = mark = int(pdf["_seed_us"].iloc[0])   # the seed, or the sentinel
         keep = pdf["_t_us"] > start_mark
         out = pdf.loc[keep]
         if len(out):
@@ -58,8 +62,10 @@ def stream_delta(readings: DataFrame, seed_marks: DataFrame | None = None, key:
         r = lookup_join(r, seed, key, "left")
     else:
         r = r.withColumn("_seed_us", F.lit(None).cast("long"))
-    # the state mark never drops below the seed (or the sentinel), so rows at or
-    # under it can never be emitted: drop them JVM-side before the Python worker
-    r = r.filter(F.col("_t_us") > F.coalesce(F.col("_seed_us"), F.lit(SENTINEL_US)))
+    # a meter without a stored mark starts at the sentinel
+    r = r.withColumn("_seed_us", F.coalesce(F.col("_seed_us"), F.lit(SENTINEL_US)))
+    # the state mark never drops below the seed, so rows at or under it can never
+    # be emitted: drop them JVM-side before the Python worker
+    r = r.filter(F.col("_t_us") > F.col("_seed_us"))
     return r.groupBy(key).applyInPandasWithState(
         _delta_fn, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
