@@ -31,14 +31,20 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     scratch = tempfile.mkdtemp(prefix="meterlake-bench-")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), extra={
+    extra = {
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
         "spark.local.dir": scratch,
         "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
-    })
+    }
+    event_log = os.environ.get("BENCH_EVENT_LOG_DIR")   # stage/task times: tools/stage_times.py
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), extra=extra)
     names = [n for n in HEADLINE if n in catalog.QUERIES]
 
     def run(name: str) -> float:
+        spark.sparkContext.setJobGroup(name, name)     # event-log jobs carry the query name
         t0 = time.perf_counter()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
