@@ -92,9 +92,15 @@ def read_store(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if _exists(spark, path) else None
 
 
-def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = METER_BUCKETS) -> DataFrame:
+def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = METER_BUCKETS,
+               order: str | None = None) -> DataFrame:
     """F3 writer: merge the incoming points into the partitions they touch.
 
+    ``order`` (a column of ``incoming``, not written) decides between points of
+    one key inside this load -- the largest wins, as the later of two writes of
+    one timestamp would (e.g. the repeated hour of the autumn clock change);
+    without it such a tie is resolved arbitrarily.
+
     The load is materialised once (checkpoint). Its partition values
     (measurement, month, meter bucket) -- at most measurements x months x
     ``buckets`` rows -- become literal partition filters, so the scan lists and
@@ -105,6 +111,8 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
     never read and overwritten by the same job, and a rerun gives the same store.
     """
     spark = incoming.sparkSession
+    if order is not None:
+        incoming = keep_latest(incoming, POINT_KEY, seq=order).drop(order)
     inc = materialize(with_month(incoming, buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long")))
     stored = read_store(spark, path)
     # month and bucket follow from (cpe, time): grouping by them too keeps the

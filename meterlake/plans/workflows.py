@@ -88,7 +88,10 @@ def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: S
     def writer(path: str):
         if delta:
             return lambda df: write_delta(df.select("cpe", "date_time", "consumption"), path, seq)
-        return lambda df: write_full(to_points(df.select("cpe", "date_time", "consumption")), path, seq)
+        # points of one key within the load: the later sheet row wins
+        return lambda df: write_full(
+            to_points(df.select("cpe", "date_time", "consumption", F.struct("file", "row").alias("_order")),
+                      tags=("cpe", "_order")), path, seq, order="_order")
 
     if keep and not output:
         raise ValueError("keep=True needs an output folder")

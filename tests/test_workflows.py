@@ -70,3 +70,17 @@ def test_command_line_run_and_info(spark, tmp_dir, capsys):
     assert not os.path.exists(land)                        # not kept: removed after loading
     got = sorted((r["cpe"], r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
     assert got == [("PT07", 1, 1.5), ("PT07", 2, 2000.5)]
+
+
+def test_full_load_repeated_time_later_row_wins(spark, tmp_dir):
+    """Two readings of one meter at one time (e.g. the repeated autumn hour) in a full
+    load: the later sheet row is kept, on every run."""
+    store = os.path.join(tmp_dir, "points")
+    for attempt in range(2):
+        land = os.path.join(tmp_dir, f"landing{attempt}")
+        _landing(land, [("PT05", "2023_10_eeeeeeee_readings.xlsx", ["2023-10-29", "2023-10-29", "2023-10-30"],
+                         [1.0, 2.0, 3.0])])
+        run_load(spark, land, "select", ["parquet"], {"parquet": store}, year=2023, month=10, as_of="2023-11-05",
+                 load_seq=1)
+        got = sorted((r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
+        assert got == [(29, 2.0), (30, 3.0)]
