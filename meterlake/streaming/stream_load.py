@@ -98,9 +98,11 @@ def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path:
     joined = lookup_join(readings, marks.withColumnRenamed("last_insert", "_mark"), "cpe", "left",
                          materialized=written_marks)
     new = joined.filter(F.col("date_time") > F.coalesce(F.col("_mark"), ts_literal(SENTINEL_MARK, dtype)))
-    # points that keep the file order (newest file wins a key inside the batch)
-    pts = to_points(new, fields, tags=("cpe", "file_seq", "file"))
-    batch_pts = keep_latest(pts, seq="file_seq", tiebreak="file").drop("file_seq", "file")
+    # points that keep the file order (newest file wins a key inside the batch;
+    # inside one file the later sheet row, when rows are known)
+    order = F.struct(*[F.col(c) for c in ("file", "row") if c in new.columns]).alias("_order")
+    pts = to_points(new.select("*", order), fields, tags=("cpe", "file_seq", "_order"))
+    batch_pts = keep_latest(pts, seq="file_seq", tiebreak="_order").drop("file_seq", "_order")
     batch_pts = batch_pts.withColumn("batch_id", F.lit(batch_id).cast("long"))
     # files sorted by (meter, time): Parquet statistics skip row groups on reads
     _overwrite_partition(batch_pts.sortWithinPartitions("cpe", "time"), store_path)

@@ -88,9 +88,10 @@ def test_stream_load_from_workbooks(spark, tmp_dir):
 
     landing = os.path.join(tmp_dir, "landing")
     base = os.path.join(tmp_dir, "out")
-    for meter, vals in (("PT01", [1.0, 2.0]), ("PT02", [3.0])):
+    for meter, vals, days in (("PT01", [1.0, 2.0], [1, 2]), ("PT02", [3.0], [1]),
+                              ("PT03", [5.0, 6.0], [1, 1])):       # one time twice: the later row wins
         os.makedirs(os.path.join(landing, meter))
-        rows = wx.readings_sheet([f"2024-01-0{i + 1}" for i in range(len(vals))], ["00:15"] * len(vals), vals)
+        rows = wx.readings_sheet([f"2024-01-0{d}" for d in days], ["00:15"] * len(vals), vals)
         with open(os.path.join(landing, meter, "2024_1_0000abcd_readings.xlsx"), "wb") as f:
             f.write(wx.workbook_bytes(rows))
     from meterlake.sources.workbooks import workbook_stream
@@ -98,7 +99,7 @@ def test_stream_load_from_workbooks(spark, tmp_dir):
     q = sl.stream_load(spark, stream, base + "/store", base + "/marks", base + "/ckpt", sl.workbook_parser())
     q.awaitTermination()
     got = sorted((r["cpe"], r["time"].day, r["value"]) for r in spark.read.parquet(base + "/store").collect())
-    assert got == [("PT01", 1, 1.0), ("PT01", 2, 2.0), ("PT02", 1, 3.0)]
+    assert got == [("PT01", 1, 1.0), ("PT01", 2, 2.0), ("PT02", 1, 3.0), ("PT03", 1, 6.0)]
 
 
 def test_load_batch_overlapping_files_newest_wins_and_order_dependence(spark, tmp_dir):
