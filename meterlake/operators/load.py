@@ -60,11 +60,17 @@ def merge_full(stored: DataFrame, incoming: DataFrame, keys: Sequence[str] = POI
     return keep_latest(stored.unionByName(incoming, allowMissingColumns=True), keys, seq, tiebreak)
 
 
+def meter_bucket(cpe, buckets: int = METER_BUCKETS):
+    """The store's ``bucket`` partition value of a meter code (a store keeps one bucket count)."""
+    c = F.col(cpe) if isinstance(cpe, str) else cpe
+    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+
+
 def with_month(points: DataFrame, ts: str = "time", buckets: int = METER_BUCKETS) -> DataFrame:
     """Add the store's partition columns: ``month`` and the meter ``bucket``."""
     return points.withColumns({
         "month": F.date_format(F.col(ts), "yyyy-MM"),
-        "bucket": F.pmod(F.xxhash64(F.col("cpe")), F.lit(buckets)).cast("int"),
+        "bucket": meter_bucket("cpe", buckets),
     })
 
 
@@ -140,12 +146,30 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
     return staged
 
 
+def touched_slice(incoming_readings: DataFrame, stored: DataFrame, buckets: int = METER_BUCKETS) -> DataFrame:
+    """The store's folders of the meter buckets a load touches.
+
+    A meter's points sit only in its bucket's folders, so the distinct buckets of
+    the load (at most ``buckets`` values, one small aggregate) become a literal
+    partition filter: a load of a few meters reads a few 1/``buckets`` slices
+    of the store, not all of it; a fleet-wide load reads it all, as before.
+    """
+    touched = sorted(r[0] for r in incoming_readings.select(meter_bucket("cpe", buckets).alias("b"))
+                     .distinct().collect())          # bounded by ``buckets``
+    return stored.filter(F.col("bucket").isin(touched)) if len(touched) < buckets else stored
+
+
+def store_delta(incoming_readings: DataFrame, stored: DataFrame, buckets: int = METER_BUCKETS) -> DataFrame:
+    """C8 against a point store, marks read from the touched buckets only (``touched_slice``)."""
+    return delta(incoming_readings, touched_slice(incoming_readings, stored, buckets))
+
+
 def write_delta(incoming_readings: DataFrame, path: str, load_seq: int,
                 fields: Sequence[str] = ("consumption",), buckets: int = METER_BUCKETS) -> DataFrame:
     """F4 writer: append only the readings strictly newer than each meter's mark."""
     spark = incoming_readings.sparkSession
     stored = read_store(spark, path)
-    new = incoming_readings if stored is None else delta(incoming_readings, stored)
+    new = incoming_readings if stored is None else store_delta(incoming_readings, stored, buckets)
     pts = with_month(to_points(new, fields), buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long"))
     write_points(pts, path, "append")
     return pts

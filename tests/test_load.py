@@ -130,3 +130,22 @@ def test_delta_write_one_file_per_partition_folder(spark, tmp_dir):
             per_folder[d] = n
     assert len(per_folder) > 64 and max(per_folder.values()) == 1
     assert spark.read.parquet(path).count() == 2000
+
+
+def test_store_delta_reads_only_touched_buckets(spark, tmp_dir):
+    """Marks for a one-meter load come from that meter's bucket folders only; same rows as the full scan."""
+    from meterlake.operators.marks import delta
+
+    path = os.path.join(tmp_dir, "store")
+    rows = [(f"M{i}", T0 + dt.timedelta(hours=h), 1.0) for i in range(40) for h in range(3)]
+    ld.write_delta(_readings(spark, rows), path, 1)
+    stored = spark.read.parquet(path)
+    incoming = _readings(spark, [("M7", T0 + dt.timedelta(hours=h), 2.0) for h in range(1, 5)])
+    sliced = ld.touched_slice(incoming, stored)
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert sliced.select("bucket").distinct().count() == 1
+    out = ld.store_delta(incoming, stored)
+    got = sorted(r["date_time"] for r in out.collect())
+    assert got == sorted(r["date_time"] for r in delta(incoming, stored).collect())
+    assert got == [T0 + dt.timedelta(hours=3), T0 + dt.timedelta(hours=4)]
