@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators.marks import delta
+from meterlake.operators.marks import delta_against, marks
 from meterlake.operators.reshape import to_points
 from meterlake.plans.joins import lookup_join, materialize
 from meterlake.session import scratch_path
@@ -95,7 +95,91 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if _exists(spark, path) else None
+    """The point store, or None when nothing was written yet (a folder holding only
+    the mark table, e.g. after a first load failed before its points, is empty)."""
+    if not _exists(spark, path):
+        return None
+    fs, p = _fs(spark, path)
+    if not any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p)):
+        return None
+    return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- kept marks
+# A store keeps its marks (one row per meter: ``cpe, last_insert``) in
+# ``<store>/_marks/n=<k>`` -- hidden from readers of the points, which skip
+# names starting with "_". Every load writes ``pending-*`` before its points
+# and removes it after writing the next snapshot, so a marker left behind means
+# points may exist that no snapshot covers: the next delta load then takes the
+# marks from the points once (a full aggregate) and writes a complete snapshot.
+# Marks are therefore never below or above the stored points, and a delta load
+# reads one row per meter instead of the store.
+MARKS_DIR = "_marks"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _mark_state(spark: SparkSession, path: str) -> tuple[list[tuple[int, str]], list[str]]:
+    """Committed snapshots ``(k, folder)``, oldest first, and leftover pending markers."""
+    fs, p = _fs(spark, f"{path}/{MARKS_DIR}")
+    if not fs.exists(p):
+        return [], []
+    jvm = spark.sparkContext._jvm
+    snaps, pending = [], []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("pending-"):
+            pending.append(st.getPath().toString())
+        elif st.isDirectory() and name.startswith("n=") \
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            snaps.append((int(name[2:]), st.getPath().toString()))
+    return sorted(snaps), pending
+
+
+def kept_marks(spark: SparkSession, path: str) -> DataFrame | None:
+    """The store's kept marks when they are complete (no load left unfinished), else None."""
+    snaps, pending = _mark_state(spark, path)
+    if not snaps or pending:
+        return None
+    return spark.read.parquet(snaps[-1][1])
+
+
+def _begin_load(spark: SparkSession, path: str, load_seq: int) -> str:
+    import uuid
+
+    marker = f"{path}/{MARKS_DIR}/pending-{load_seq}-{uuid.uuid4().hex[:12]}"
+    fs, p = _fs(spark, marker)
+    fs.mkdirs(p.getParent())
+    fs.create(p, True).close()
+    return marker
+
+
+def _finish_load(spark: SparkSession, path: str, marker: str, after: DataFrame | None) -> None:
+    """Write the next snapshot when the marks after this load are known (``after``,
+    complete), then remove the markers it covers and snapshots older than the
+    previous one; otherwise remove only this load's marker."""
+    snaps, pending = _mark_state(spark, path)
+    fs, _ = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    if after is None:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(marker), False)
+        return
+    k = snaps[-1][0] + 1 if snaps else 1
+    after.write.mode("overwrite").parquet(f"{path}/{MARKS_DIR}/n={k}")
+    for m in pending:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(m), False)
+    for _, folder in snaps[:-1]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+
+
+def _fold_marks(base: DataFrame | None, points: DataFrame) -> DataFrame:
+    added = marks(points)
+    if base is None:
+        return added
+    return base.unionByName(added).groupBy("cpe").agg(F.max("last_insert").alias("last_insert"))
 
 
 def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = METER_BUCKETS,
@@ -121,6 +205,10 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
         incoming = keep_latest(incoming, POINT_KEY, seq=order).drop(order)
     inc = materialize(with_month(incoming, buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long")))
     stored = read_store(spark, path)
+    # a full load only adds or replaces points, so kept marks only rise
+    kept = kept_marks(spark, path) if stored is not None else None
+    kept = materialize(kept) if kept is not None else None
+    marker = _begin_load(spark, path, load_seq)
     # month and bucket follow from (cpe, time): grouping by them too keeps the
     # payload to the one value column (hash aggregate)
     store_key = [*POINT_KEY, "month", "bucket"]
@@ -143,35 +231,32 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
         staged.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    _finish_load(spark, path, marker, _fold_marks(kept, inc) if (kept is not None or stored is None) else None)
     return staged
 
 
-def touched_slice(incoming_readings: DataFrame, stored: DataFrame, buckets: int = METER_BUCKETS) -> DataFrame:
-    """The store's folders of the meter buckets a load touches.
-
-    A meter's points sit only in its bucket's folders, so the distinct buckets of
-    the load (at most ``buckets`` values, one small aggregate) become a literal
-    partition filter: a load of a few meters reads a few 1/``buckets`` slices
-    of the store, not all of it; a fleet-wide load reads it all, as before.
-    """
-    touched = sorted(r[0] for r in incoming_readings.select(meter_bucket("cpe", buckets).alias("b"))
-                     .distinct().collect())          # bounded by ``buckets``
-    return stored.filter(F.col("bucket").isin(touched)) if len(touched) < buckets else stored
-
-
-def store_delta(incoming_readings: DataFrame, stored: DataFrame, buckets: int = METER_BUCKETS) -> DataFrame:
-    """C8 against a point store, marks read from the touched buckets only (``touched_slice``)."""
-    return delta(incoming_readings, touched_slice(incoming_readings, stored, buckets))
-
-
 def write_delta(incoming_readings: DataFrame, path: str, load_seq: int,
                 fields: Sequence[str] = ("consumption",), buckets: int = METER_BUCKETS) -> DataFrame:
-    """F4 writer: append only the readings strictly newer than each meter's mark."""
+    """F4 writer: append only the readings strictly newer than each meter's mark.
+
+    Marks come from the store's kept snapshot (one row per meter); only when a
+    load was left unfinished, or none was kept yet, they are aggregated from
+    the points once. The snapshot after this load is written when its points
+    are committed.
+    """
     spark = incoming_readings.sparkSession
     stored = read_store(spark, path)
-    new = incoming_readings if stored is None else store_delta(incoming_readings, stored, buckets)
-    pts = with_month(to_points(new, fields), buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long"))
+    if stored is None:
+        base, new = None, incoming_readings
+    else:
+        kept = kept_marks(spark, path)
+        base = materialize(kept if kept is not None else marks(stored))
+        new = delta_against(incoming_readings, base, materialized=True)
+    pts = materialize(with_month(to_points(new, fields), buckets=buckets)
+                      .withColumn("load_seq", F.lit(load_seq).cast("long")))
+    marker = _begin_load(spark, path, load_seq)
     write_points(pts, path, "append")
+    _finish_load(spark, path, marker, _fold_marks(base, pts))
     return pts
 
 

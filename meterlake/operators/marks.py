@@ -112,8 +112,14 @@ def delta(incoming: DataFrame, stored: DataFrame, key: str = "cpe", ts: str = "d
     joined as a size-checked lookup; the readings are never shuffled when the
     mark table fits the broadcast limit.
     """
-    m = marks(stored, key, stored_ts, as_of, **filters).withColumnRenamed("last_insert", "_mark")
+    return delta_against(incoming, marks(stored, key, stored_ts, as_of, **filters), key, ts, report)
+
+
+def delta_against(incoming: DataFrame, mark_table: DataFrame, key: str = "cpe", ts: str = "date_time",
+                  report: dict | None = None, materialized: bool = False) -> DataFrame:
+    """C8 with the marks given (``key, last_insert``; a missing meter gets the sentinel)."""
+    m = mark_table.select(key, F.col("last_insert").alias("_mark"))
     dtype = incoming.schema[ts].dataType
-    joined = lookup_join(incoming, m, key, "left", report=report)
+    joined = lookup_join(incoming, m, key, "left", report=report, materialized=materialized)
     return (joined.filter(F.col(ts) > F.coalesce(F.col("_mark"), ts_literal(SENTINEL_MARK, dtype)))
             .drop("_mark"))

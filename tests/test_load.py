@@ -132,20 +132,56 @@ def test_delta_write_one_file_per_partition_folder(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 2000
 
 
-def test_store_delta_reads_only_touched_buckets(spark, tmp_dir):
-    """Marks for a one-meter load come from that meter's bucket folders only; same rows as the full scan."""
-    from meterlake.operators.marks import delta
+def _kept_vs_store(spark, path):
+    from meterlake.operators.marks import marks
 
+    kept = ld.kept_marks(spark, path)
+    assert kept is not None
+    got = sorted((r["cpe"], r["last_insert"]) for r in kept.collect())
+    return got, sorted((r["cpe"], r["last_insert"]) for r in marks(spark.read.parquet(path)).collect())
+
+
+def test_kept_marks_follow_delta_and_full_loads(spark, tmp_dir):
+    h = dt.timedelta(hours=1)
+    path = os.path.join(tmp_dir, "store")
+    ld.write_delta(_readings(spark, [("A", T0, 1.0), ("B", T0 + h, 2.0)]), path, 1)
+    got, want = _kept_vs_store(spark, path)
+    assert got == want == [("A", T0), ("B", T0 + h)]
+    ld.write_delta(_readings(spark, [("A", T0 + 2 * h, 3.0), ("C", T0, 4.0)]), path, 2)
+    got, want = _kept_vs_store(spark, path)
+    assert got == want
+    ld.write_full(to_points(_readings(spark, [("B", T0 + 5 * h, 5.0)])), path, 3)
+    got, want = _kept_vs_store(spark, path)
+    assert got == want and dict(got)["B"] == T0 + 5 * h
+    names = sorted(os.listdir(os.path.join(path, "_marks")))
+    assert not any(n.startswith("pending-") for n in names)
+    assert len([n for n in names if n.startswith("n=")]) == 2          # the latest and the one before
+    assert spark.read.parquet(path).count() == 5                          # marks are not read as points
+
+
+def test_unfinished_load_forces_marks_from_points(spark, tmp_dir):
+    """Points appended by a load that never wrote its snapshot (marker left behind)
+    still count: the next delta takes marks from the points and adds no duplicates."""
+    h = dt.timedelta(hours=1)
+    path = os.path.join(tmp_dir, "store")
+    ld.write_delta(_readings(spark, [("A", T0, 1.0)]), path, 1)
+    # a crashed load: its points were appended, its snapshot never written
+    ld._begin_load(spark, path, 2)
+    crashed = ld.with_month(to_points(_readings(spark, [("A", T0 + h, 2.0)]))).withColumn("load_seq", F.lit(2).cast("long"))
+    ld.write_points(crashed, path, "append")
+    assert ld.kept_marks(spark, path) is None
+    ld.write_delta(_readings(spark, [("A", T0 + h, 2.0), ("A", T0 + 2 * h, 3.0)]), path, 3)
+    got = sorted((r["time"], r["value"]) for r in spark.read.parquet(path).collect())
+    assert got == [(T0, 1.0), (T0 + h, 2.0), (T0 + 2 * h, 3.0)]
+    got_kept, want = _kept_vs_store(spark, path)
+    assert got_kept == want == [("A", T0 + 2 * h)]
+    assert not any(n.startswith("pending-") for n in os.listdir(os.path.join(path, "_marks")))
+
+
+def test_store_with_only_a_marker_reads_as_empty(spark, tmp_dir):
     path = os.path.join(tmp_dir, "store")
-    rows = [(f"M{i}", T0 + dt.timedelta(hours=h), 1.0) for i in range(40) for h in range(3)]
-    ld.write_delta(_readings(spark, rows), path, 1)
-    stored = spark.read.parquet(path)
-    incoming = _readings(spark, [("M7", T0 + dt.timedelta(hours=h), 2.0) for h in range(1, 5)])
-    sliced = ld.touched_slice(incoming, stored)
-    plan = sliced._jdf.queryExecution().executedPlan().toString()
-    assert "bucket" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
-    assert sliced.select("bucket").distinct().count() == 1
-    out = ld.store_delta(incoming, stored)
-    got = sorted(r["date_time"] for r in out.collect())
-    assert got == sorted(r["date_time"] for r in delta(incoming, stored).collect())
-    assert got == [T0 + dt.timedelta(hours=3), T0 + dt.timedelta(hours=4)]
+    ld._begin_load(spark, path, 1)                 # a first load that failed before its points
+    assert ld.read_store(spark, path) is None
+    ld.write_delta(_readings(spark, [("A", T0, 1.0)]), path, 2)
+    assert spark.read.parquet(path).count() == 1
+    assert ld.kept_marks(spark, path) is not None
