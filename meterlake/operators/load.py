@@ -5,7 +5,8 @@ The point store is a Parquet directory partitioned by ``measurement``,
 code into ``METER_BUCKETS`` buckets). A full load rewrites only the
 month-buckets its meters fall in -- a reload of one meter's month touches
 1/``METER_BUCKETS`` of that month, not the whole month of every meter; a delta
-load appends.
+load appends. Each store keeps its per-meter marks beside the points (see
+"kept marks" below), so a delta load reads one row per meter, not the store.
 """
 
 from __future__ import annotations
