@@ -734,7 +734,7 @@ def _nested_config(spark, sf) -> DataFrame:
     return ev.select(
         "event_id",
         F.struct(F.col("user_id").alias("NIF"), F.col("event_type").alias("Pwd"),
-                 st.cpe_code("user_id").alias("cpe")).alias("Eredes"),
+                 st.cpe_code("user_id").alias("cpe")).alias("Portal"),
         F.struct(F.lit("http://localhost").alias("host"), F.col("event_id").alias("Port"),
                  F.concat(F.lit("bucket_"), F.col("user_id").cast("string")).alias("bucket")).alias("influxdb"))
 
@@ -744,7 +744,7 @@ _FLAT_SQL = """SELECT event_id, user_id AS "{a}nif", event_type AS "{a}pwd",
   'http://localhost' AS "{b}host", event_id AS "{b}port", 'bucket_' || user_id AS "{b}bucket" FROM events"""
 
 
-@register("h5_flatten_columns", _FLAT_SQL.format(a="eredes.", b="influxdb."))
+@register("h5_flatten_columns", _FLAT_SQL.format(a="portal.", b="influxdb."))
 def h5_flatten_columns(spark, sf):
     return stg.flatten_columns(_nested_config(spark, sf))
 
@@ -757,23 +757,23 @@ def h6_leaf_names(spark, sf):
 @register("h7_nest_columns", """
 SELECT event_id,
   to_json(struct_pack(nif := user_id, pwd := event_type,
-                      cpe := 'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW')) AS eredes,
+                      cpe := 'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW')) AS portal,
   to_json(struct_pack(host := 'http://localhost', port := event_id, bucket := 'bucket_' || user_id)) AS influxdb
 FROM events""")
 def h7_nest_columns(spark, sf):
     nested = stg.nest_columns(stg.flatten_columns(_nested_config(spark, sf)))
-    return nested.select("event_id", F.to_json("eredes").alias("eredes"), F.to_json("influxdb").alias("influxdb"))
+    return nested.select("event_id", F.to_json("portal").alias("portal"), F.to_json("influxdb").alias("influxdb"))
 
 
 # Fixed mapping of update events to setting keys (two of them unknown keys).
-_UPDATE_KEY_SQL = """CASE event_type WHEN 'click' THEN 'influxdb.port' WHEN 'view' THEN 'eredes.cpe'
-  WHEN 'error' THEN 'influxdb.tokn' WHEN 'purchase' THEN 'eredes.nif' ELSE 'eredes.pwd' END"""
+_UPDATE_KEY_SQL = """CASE event_type WHEN 'click' THEN 'influxdb.port' WHEN 'view' THEN 'portal.cpe'
+  WHEN 'error' THEN 'influxdb.tokn' WHEN 'purchase' THEN 'portal.nif' ELSE 'portal.pwd' END"""
 
 _SETTINGS_SQL = f"""
 settings AS (
   SELECT u.user_id, s.key, s.value FROM (SELECT DISTINCT user_id FROM events) u,
-  LATERAL (VALUES ('eredes.nif', CAST(u.user_id AS VARCHAR)),
-                  ('eredes.cpe', 'PT00' || lpad(CAST(u.user_id AS VARCHAR), 12, '0') || '04TW'),
+  LATERAL (VALUES ('portal.nif', CAST(u.user_id AS VARCHAR)),
+                  ('portal.cpe', 'PT00' || lpad(CAST(u.user_id AS VARCHAR), 12, '0') || '04TW'),
                   ('influxdb.port', '8086')) AS s(key, value)),
 last AS (
   SELECT user_id, {_UPDATE_KEY_SQL} AS key, max_by(regexp_extract(props, '([0-9]+)', 1), event_id) AS new
@@ -790,13 +790,13 @@ def _settings_frames(spark, sf):
     uid = F.col("user_id").cast("string")
     settings = ev.select("user_id").distinct().select(
         "user_id", F.explode(F.array(
-            F.struct(F.lit("eredes.nif").alias("key"), uid.alias("value")),
-            F.struct(F.lit("eredes.cpe").alias("key"), st.cpe_code("user_id").alias("value")),
+            F.struct(F.lit("portal.nif").alias("key"), uid.alias("value")),
+            F.struct(F.lit("portal.cpe").alias("key"), st.cpe_code("user_id").alias("value")),
             F.struct(F.lit("influxdb.port").alias("key"), F.lit("8086").alias("value")))).alias("kv")
     ).select("user_id", "kv.key", "kv.value")
     et = F.col("event_type")
-    key = (F.when(et == "click", "influxdb.port").when(et == "view", "eredes.cpe")
-           .when(et == "error", "influxdb.tokn").when(et == "purchase", "eredes.nif").otherwise("eredes.pwd"))
+    key = (F.when(et == "click", "influxdb.port").when(et == "view", "portal.cpe")
+           .when(et == "error", "influxdb.tokn").when(et == "purchase", "portal.nif").otherwise("portal.pwd"))
     updates = ev.select("user_id", key.alias("key"), F.regexp_extract("props", "([0-9]+)", 1).alias("value"),
                         F.col("event_id").alias("seq"))
     return stg.set_values(settings, updates, scope=["user_id"])

@@ -49,34 +49,34 @@ def test_infer_type_literals(spark):
 
 
 def test_set_values_known_and_unknown(spark):
-    settings = spark.createDataFrame([(1, "eredes.nif", "123"), (1, "influxdb.port", "8086")],
+    settings = spark.createDataFrame([(1, "portal.nif", "123"), (1, "influxdb.port", "8086")],
                                      "t int, key string, value string")
     updates = spark.createDataFrame([(1, "influxdb.port", "9999", 2), (1, "influxdb.port", "7777", 1),
                                      (1, "nope", "x", 3)], "t int, key string, value string, seq long")
     merged, unknown = stg.set_values(settings, updates, scope=["t"])
     got = {r["key"]: (r["value"], r["changed"], r["value_type"]) for r in merged.collect()}
-    assert got == {"eredes.nif": ("123", False, "int"), "influxdb.port": ("9999", True, "int")}
+    assert got == {"portal.nif": ("123", False, "int"), "influxdb.port": ("9999", True, "int")}
     assert [r["key"] for r in unknown.collect()] == ["nope"]
     env = {r["key"]: r["value"] for r in stg.env_pairs(merged.select("key", "value")).collect()}
-    assert env == {"EREDES.NIF": "123", "INFLUXDB.PORT": "9999"}
+    assert env == {"PORTAL.NIF": "123", "INFLUXDB.PORT": "9999"}
 
 
 def test_schema_violations_and_parse(spark):
-    schema = T.StructType([T.StructField("eredes", T.StructType([T.StructField("nif", T.IntegerType()),
+    schema = T.StructType([T.StructField("portal", T.StructType([T.StructField("nif", T.IntegerType()),
                                                                    T.StructField("cpe", T.StringType())]))])
     docs = spark.createDataFrame([
-        (1, '{"eredes": {"nif": 5, "cpe": "PT1"}}'),
-        (2, '{"eredes": {"nif": "5", "cpe": "PT1"}}'),
-        (3, '{"eredes": {"nif": 5, "cpe": 7}}'),
-        (4, '{"eredes": {"nif": 5}}'),
+        (1, '{"portal": {"nif": 5, "cpe": "PT1"}}'),
+        (2, '{"portal": {"nif": "5", "cpe": "PT1"}}'),
+        (3, '{"portal": {"nif": 5, "cpe": 7}}'),
+        (4, '{"portal": {"nif": 5}}'),
         (5, "nope"),
-        (6, '{"eredes": {"nif": 5, "cpe": 7, "x": {"cpe": "PT9"}}}'),   # same key nested deeper is a string
+        (6, '{"portal": {"nif": 5, "cpe": 7, "x": {"cpe": "PT9"}}}'),   # same key nested deeper is a string
     ], "id int, doc string")
     v = {r["id"]: r["violation"] for r in stg.schema_violations(docs, "doc", schema, require_all=True).collect()}
-    assert v == {1: None, 2: "type: eredes.nif", 3: "type: eredes.cpe", 4: "missing: eredes.cpe", 5: "malformed",
-                 6: "type: eredes.cpe"}
+    assert v == {1: None, 2: "type: portal.nif", 3: "type: portal.cpe", 4: "missing: portal.cpe", 5: "malformed",
+                 6: "type: portal.cpe"}
     v2 = {r["id"]: r["violation"] for r in stg.schema_violations(docs, "doc", schema).collect()}
     assert v2[4] is None
     good, bad = stg.parse_document(docs, "doc", schema, require_all=True)
-    assert [r["eredes"]["cpe"] for r in good.collect()] == ["PT1"]
+    assert [r["portal"]["cpe"] for r in good.collect()] == ["PT1"]
     assert bad.count() == 5
