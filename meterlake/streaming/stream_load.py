@@ -4,14 +4,15 @@ Each micro-batch (``foreachBatch``):
 
 1. decodes its files into readings (``parse``: workbook decoding, or a plain
    projection for files that already hold readings);
-2. takes the per-meter marks from the **snapshot of the previous batch** -- a
-   table with one row per meter, not a scan of the point store;
+2. takes the per-meter marks from the latest full snapshot before it plus the
+   increments written since -- tables of marks, not a scan of the point store;
 3. keeps the readings strictly newer than the mark (C8), then one point per
    key inside the batch, the newest file winning (two snapshots of a month in
    one batch);
-4. overwrites its own ``batch_id`` partition of the store and writes the next
-   marks snapshot (previous marks folded with this batch's maxima); snapshots
-   older than the previous one are deleted (a replay never reads them).
+4. overwrites its own ``batch_id`` partition of the store and writes its marks:
+   this batch's maxima (an increment, one row per touched meter), or every
+   ``full_every`` batches a full snapshot (previous marks folded with them);
+   snapshots and increments no replay reads are deleted.
 
 A replayed batch reads the same previous snapshot and overwrites the same
 partitions, so it is idempotent; marks never include the batch's own output.
@@ -43,60 +44,82 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _previous_snapshot(spark: SparkSession, marks_path: str, batch_id: int) -> int | None:
-    """Largest snapshot id below ``batch_id`` (directory names only, no data read)."""
-    fs, p = _fs(spark, marks_path)
+def _batch_ids(spark: SparkSession, folder: str) -> list[int]:
+    """``batch_id=<b>`` sub-folders of ``folder`` (names only, no data read)."""
+    fs, p = _fs(spark, folder)
     if not fs.exists(p):
-        return None
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id="):
-            b = int(name.split("=", 1)[1])
-            if b < batch_id and (best is None or b > best):
-                best = b
-    return best
-
-
-def _prune_snapshots(spark: SparkSession, marks_path: str, keep_from: int) -> None:
-    """Delete mark snapshots older than ``keep_from``: a replay of the current batch
-    reads only the snapshot before it, so older ones are never read again."""
-    fs, p = _fs(spark, marks_path)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id=") and int(name.split("=", 1)[1]) < keep_from:
-            fs.delete(st.getPath(), True)
-
-
-def _overwrite_partition(df: DataFrame, path: str) -> None:
+        return []
+    return sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith("batch_id="))
+
+
+def _mark_parts(spark: SparkSession, marks_path: str, batch_id: int) -> tuple[int | None, list[int]]:
+    """The latest full snapshot below ``batch_id`` and the increments after it."""
+    full = max((b for b in _batch_ids(spark, f"{marks_path}/kind=full") if b < batch_id), default=None)
+    incs = [b for b in _batch_ids(spark, f"{marks_path}/kind=inc") if b < batch_id and (full is None or b > full)]
+    return full, incs
+
+
+def _prune_marks(spark: SparkSession, marks_path: str, full: int) -> None:
+    """Drop what no replay of the current batch reads: full snapshots before ``full``
+    and increments it already covers."""
+    for kind, keep in (("full", lambda b: b >= full), ("inc", lambda b: b > full)):
+        fs, _ = _fs(spark, marks_path)
+        for b in _batch_ids(spark, f"{marks_path}/kind={kind}"):
+            if not keep(b):
+                fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+                    f"{marks_path}/kind={kind}/batch_id={b}"), True)
+
+
+def _overwrite_partition(df: DataFrame, path: str, by=("batch_id",)) -> None:
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def _max_marks(parts: list[DataFrame], fold: bool = False) -> DataFrame:
+    """One mark per meter from several mark tables (``fold``: one table may repeat a meter)."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("cpe").agg(F.max("last_insert").alias("last_insert")) if fold or len(parts) > 1 else out
+
+
 def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path: str,
                seed_marks: DataFrame | None = None, fields=("consumption",),
-               seed_materialized: bool = False) -> None:
-    """One micro-batch of I1 (also usable on its own for a batch of files)."""
+               seed_materialized: bool = False, full_every: int = 16) -> None:
+    """One micro-batch of I1 (also usable on its own for a batch of files).
+
+    Marks are the latest full snapshot before this batch plus the increments
+    written since (each batch's own maxima). A full snapshot (one row per
+    meter) is written every ``full_every`` batches; in between a batch writes
+    only the meters it touched.
+    """
     spark = readings.sparkSession
-    prev = _previous_snapshot(spark, marks_path, batch_id)
-    if prev is not None:
-        # the snapshot is a written table: measured, not checkpointed again
-        marks = spark.read.parquet(marks_path).filter(F.col("batch_id") == prev).drop("batch_id")
-        written_marks = True
+    full, incs = _mark_parts(spark, marks_path, batch_id)
+    parts: list[DataFrame] = []
+    stored_marks = spark.read.parquet(marks_path) if full is not None or incs else None
+    if full is not None:
+        parts.append(stored_marks.filter((F.col("kind") == "full") & (F.col("batch_id") == full))
+                     .select("cpe", "last_insert"))
     elif seed_marks is not None:
-        marks = seed_marks.select("cpe", "last_insert")
-        written_marks = seed_materialized
-    else:
-        marks = spark.createDataFrame([], MARKS_SCHEMA)
-        written_marks = True
+        parts.append(seed_marks.select("cpe", "last_insert"))
+    if incs:
+        parts.append(stored_marks.filter((F.col("kind") == "inc") & F.col("batch_id").isin(incs))
+                     .select("cpe", "last_insert"))
+    if not parts:
+        parts.append(spark.createDataFrame([], MARKS_SCHEMA))
+    folded = len(parts) > 1 or len(incs) > 1
+    marks = _max_marks(parts, fold=folded)
+    # one written table (or the materialised seed) is measured as it is; a fold is checkpointed
+    written_marks = not folded and (full is not None or bool(incs) or seed_marks is None or seed_materialized)
     dtype = readings.schema["date_time"].dataType
     joined = lookup_join(readings, marks.withColumnRenamed("last_insert", "_mark"), "cpe", "left",
-                         materialized=written_marks)
+                         materialized=bool(written_marks))
     new = joined.filter(F.col("date_time") > F.coalesce(F.col("_mark"), ts_literal(SENTINEL_MARK, dtype)))
     # points that keep the file order (newest file wins a key inside the batch;
     # inside one file the later sheet row, when rows are known)
@@ -108,11 +131,14 @@ def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path:
     _overwrite_partition(batch_pts.sortWithinPartitions("cpe", "time"), store_path)
     written = spark.read.parquet(store_path).filter(F.col("batch_id") == batch_id)
     batch_max = written.groupBy("cpe").agg(F.max("time").alias("last_insert"))
-    snapshot = (marks.unionByName(batch_max).groupBy("cpe").agg(F.max("last_insert").alias("last_insert"))
-                .withColumn("batch_id", F.lit(batch_id).cast("long")))
-    _overwrite_partition(snapshot, marks_path)
-    if prev is not None:
-        _prune_snapshots(spark, marks_path, prev)
+    if full is None or batch_id - full >= full_every:
+        out, kind = _max_marks([marks, batch_max]), "full"
+    else:
+        out, kind = batch_max, "inc"
+    _overwrite_partition(out.withColumns({"kind": F.lit(kind), "batch_id": F.lit(batch_id).cast("long")}),
+                         marks_path, ("kind", "batch_id"))
+    if full is not None:
+        _prune_marks(spark, marks_path, full)
 
 
 def workbook_parser(cpe_from_path: str = r"/([^/]+)/[^/]+$") -> Callable[[DataFrame], DataFrame]:
@@ -144,7 +170,7 @@ def readings_from_parquet(batch: DataFrame) -> DataFrame:
 
 def stream_load(spark: SparkSession, stream: DataFrame, store_path: str, marks_path: str,
                 checkpoint: str, parse: Callable[[DataFrame], DataFrame],
-                seed_marks: DataFrame | None = None, available_now: bool = True):
+                seed_marks: DataFrame | None = None, available_now: bool = True, full_every: int = 16):
     """Start I1 on a streaming DataFrame of files; returns the StreamingQuery.
 
     ``parse(batch)`` must return ``cpe, date_time, consumption, file, file_seq``.
@@ -157,7 +183,8 @@ def stream_load(spark: SparkSession, stream: DataFrame, store_path: str, marks_p
         seed = materialize(seed_marks.select("cpe", "last_insert"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        load_batch(parse(batch), batch_id, store_path, marks_path, seed, seed_materialized=True)
+        load_batch(parse(batch), batch_id, store_path, marks_path, seed, seed_materialized=True,
+                   full_every=full_every)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

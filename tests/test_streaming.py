@@ -47,10 +47,13 @@ def test_stream_load_batches_and_replay(spark, tmp_dir):
     sl.load_batch(readings, 1, base + "/store", base + "/marks")
     again = sorted((r["cpe"], r["time"], r["value"]) for r in spark.read.parquet(base + "/store").collect())
     assert again == got
-    # a third batch prunes snapshots older than the previous one; its replay still works
+    # a third batch reads the full snapshot plus increments; its replay still works
     _write(spark, os.path.join(src, "b3"), [("A", T0 + 3 * h, 4.0), ("C", T0, 8.0)])
     run()
-    assert sorted(d for d in os.listdir(base + "/marks") if d.startswith("batch_id=")) == ["batch_id=1", "batch_id=2"]
+    # batch 0 wrote a full snapshot, batches 1 and 2 only their own maxima
+    assert os.listdir(base + "/marks/kind=full") == ["batch_id=0"]
+    assert sorted(d for d in os.listdir(base + "/marks/kind=inc") if d.startswith("batch_id=")) == \
+        ["batch_id=1", "batch_id=2"]
     third = sorted((r["cpe"], r["time"], r["value"]) for r in spark.read.parquet(base + "/store").collect())
     assert third == sorted(got + [("A", T0 + 3 * h, 4.0)])
     readings = _parse(spark.read.parquet(os.path.join(src, "b3")).select("*", "_metadata"))
@@ -116,3 +119,32 @@ def test_load_batch_overlapping_files_newest_wins_and_order_dependence(spark, tm
     late = spark.createDataFrame([("A", T0 - h, 7.0, "f0", 0)], SCHEMA + ", file string, file_seq long")
     sl.load_batch(late, 1, base + "/store", base + "/marks")
     assert spark.read.parquet(base + "/store").count() == 3
+
+
+def test_stream_load_full_snapshots_rotate_and_match_brute_force(spark, tmp_dir):
+    """With a full snapshot every 2 batches: marks = latest full + later increments,
+    older parts pruned, and the store equals the delta rule applied batch by batch."""
+    src = os.path.join(tmp_dir, "src")
+    base = os.path.join(tmp_dir, "out")
+    h = dt.timedelta(hours=1)
+    batches = [[("A", T0, 1.0), ("B", T0, 1.0)], [("A", T0 + h, 2.0), ("C", T0, 3.0)],
+               [("B", T0 - h, 9.0), ("B", T0 + 2 * h, 4.0)], [("A", T0 + h, 9.0), ("C", T0 + h, 5.0)],
+               [("A", T0 + 3 * h, 6.0)]]
+    marks, expected = {}, []
+    for i, rows in enumerate(batches):
+        _write(spark, os.path.join(src, f"b{i}"), rows)
+        stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(src)
+        q = sl.stream_load(spark, stream.select("*", "_metadata"), base + "/store", base + "/marks",
+                           base + "/ckpt", parse=_parse, full_every=2)
+        q.awaitTermination()
+        for m, t, v in rows:
+            if t > marks.get(m, dt.datetime(1989, 5, 11)):
+                expected.append((m, t, v))
+        for m in {r[0] for r in rows}:
+            marks[m] = max([marks.get(m, dt.datetime(1989, 5, 11))] + [t for mm, t, _ in expected if mm == m])
+    got = sorted((r["cpe"], r["time"], r["value"]) for r in spark.read.parquet(base + "/store").collect())
+    assert got == sorted(expected)
+    fulls = sorted(d for d in os.listdir(base + "/marks/kind=full") if d.startswith("batch_id="))
+    incs = sorted(d for d in os.listdir(base + "/marks/kind=inc") if d.startswith("batch_id="))
+    # a replay of batch 4 reads full 2 + increment 3: both kept; full 0 and increment 1 pruned
+    assert fulls == ["batch_id=2", "batch_id=4"] and incs == ["batch_id=3"]
