@@ -185,3 +185,20 @@ def test_store_with_only_a_marker_reads_as_empty(spark, tmp_dir):
     ld.write_delta(_readings(spark, [("A", T0, 1.0)]), path, 2)
     assert spark.read.parquet(path).count() == 1
     assert ld.kept_marks(spark, path) is not None
+
+
+def test_full_load_after_unfinished_load_leaves_marks_to_the_next_delta(spark, tmp_dir):
+    h = dt.timedelta(hours=1)
+    path = os.path.join(tmp_dir, "store")
+    ld.write_delta(_readings(spark, [("A", T0, 1.0)]), path, 1)
+    ld._begin_load(spark, path, 2)                                   # left unfinished
+    crashed = ld.with_month(to_points(_readings(spark, [("A", T0 + 2 * h, 2.0)]))).withColumn(
+        "load_seq", F.lit(2).cast("long"))
+    ld.write_points(crashed, path, "append")
+    ld.write_full(to_points(_readings(spark, [("B", T0, 5.0)])), path, 3)
+    assert ld.kept_marks(spark, path) is None                        # still unknown: no snapshot written
+    ld.write_delta(_readings(spark, [("A", T0 + h, 9.0), ("A", T0 + 3 * h, 3.0)]), path, 4)
+    got = sorted((r["cpe"], r["time"], r["value"]) for r in spark.read.parquet(path).collect())
+    assert got == [("A", T0, 1.0), ("A", T0 + 2 * h, 2.0), ("A", T0 + 3 * h, 3.0), ("B", T0, 5.0)]
+    got_kept, want = _kept_vs_store(spark, path)
+    assert got_kept == want
