@@ -11,6 +11,7 @@ load appends. Each store keeps its per-meter marks beside the points (see
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark import StorageLevel
@@ -149,8 +150,6 @@ def kept_marks(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _begin_load(spark: SparkSession, path: str, load_seq: int) -> str:
-    import uuid
-
     marker = f"{path}/{MARKS_DIR}/pending-{load_seq}-{uuid.uuid4().hex[:12]}"
     fs, p = _fs(spark, marker)
     fs.mkdirs(p.getParent())
