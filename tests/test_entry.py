@@ -31,7 +31,7 @@ def _norm(v):
 
 FAST = ["c8_delta", "d1_last_point", "d2_last_insert", "f3_load_full", "f4_load_delta", "g5_surrogate_id",
         "c7_missing_periods", "h8_set_value", "g2_status_update", "a4_file_provenance", "g13_create_tables",
-        "f5_fan_out", "g12_order_sessions", "l3_task_status", "f6_retain_source"]
+        "f5_fan_out", "g12_order_sessions", "l3_task_status", "f6_retain_source", "l1_run_load"]
 
 
 @pytest.mark.parametrize("name", FAST)
