@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators.marks import delta_against, marks
+from meterlake.operators.marks import delta_against, marks, ts_literal
 from meterlake.operators.reshape import to_points
 from meterlake.plans.joins import lookup_join, materialize
-from meterlake.session import scratch_path
+from meterlake.session import SENTINEL_MARK, scratch_path
 
 POINT_KEY = ("measurement", "cpe", "field", "time")
 PARTITIONS = ("measurement", "month", "bucket")
@@ -175,6 +175,20 @@ def _finish_load(spark: SparkSession, path: str, marker: str, after: DataFrame |
         fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
+def store_last_insert(spark: SparkSession, path: str, meters: DataFrame) -> DataFrame:
+    """D2 on a point store: every meter's mark (sentinel when nothing is stored),
+    from the kept snapshot when it is complete, else from the points."""
+    kept = kept_marks(spark, path)
+    if kept is None:
+        stored = read_store(spark, path)
+        kept = marks(stored) if stored is not None else spark.createDataFrame(
+            [], "cpe string, last_insert timestamp_ntz")
+    dtype = kept.schema["last_insert"].dataType
+    joined = lookup_join(meters.select("cpe"), kept, "cpe", "left")
+    return joined.select("cpe", F.coalesce(F.col("last_insert"), ts_literal(SENTINEL_MARK, dtype))
+                         .alias("last_insert"))
+
+
 def _fold_marks(base: DataFrame | None, points: DataFrame) -> DataFrame:
     added = marks(points)
     if base is None:

@@ -202,3 +202,17 @@ def test_full_load_after_unfinished_load_leaves_marks_to_the_next_delta(spark, t
     assert got == [("A", T0, 1.0), ("A", T0 + 2 * h, 2.0), ("A", T0 + 3 * h, 3.0), ("B", T0, 5.0)]
     got_kept, want = _kept_vs_store(spark, path)
     assert got_kept == want
+
+
+def test_store_last_insert_uses_kept_marks_and_sentinel(spark, tmp_dir):
+    from meterlake.operators.marks import last_insert
+
+    h = dt.timedelta(hours=1)
+    path = os.path.join(tmp_dir, "store")
+    meters = spark.createDataFrame([("A",), ("B",), ("Z",)], "cpe string")
+    none = {r["cpe"]: r["last_insert"] for r in ld.store_last_insert(spark, path, meters).collect()}
+    assert set(none.values()) == {dt.datetime(1989, 5, 11)}                  # empty store: sentinel
+    ld.write_delta(_readings(spark, [("A", T0, 1.0), ("B", T0 + h, 2.0), ("A", T0 + 2 * h, 3.0)]), path, 1)
+    got = {r["cpe"]: r["last_insert"] for r in ld.store_last_insert(spark, path, meters).collect()}
+    want = {r["cpe"]: r["last_insert"] for r in last_insert(spark.read.parquet(path), meters).collect()}
+    assert got == want == {"A": T0 + 2 * h, "B": T0 + h, "Z": dt.datetime(1989, 5, 11)}
