@@ -19,14 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators.marks import delta_against, marks, ts_literal
+from meterlake.operators.marks import METER_BUCKETS, delta_against, marks, meter_bucket, ts_literal
 from meterlake.operators.reshape import to_points
 from meterlake.plans.joins import lookup_join, materialize
 from meterlake.session import SENTINEL_MARK, scratch_path
 
 POINT_KEY = ("measurement", "cpe", "field", "time")
 PARTITIONS = ("measurement", "month", "bucket")
-METER_BUCKETS = 64
 
 
 _FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -62,12 +61,6 @@ def merge_full(stored: DataFrame, incoming: DataFrame, keys: Sequence[str] = POI
     return keep_latest(stored.unionByName(incoming, allowMissingColumns=True), keys, seq, tiebreak)
 
 
-def meter_bucket(cpe, buckets: int = METER_BUCKETS):
-    """The store's ``bucket`` partition value of a meter code (a store keeps one bucket count)."""
-    c = F.col(cpe) if isinstance(cpe, str) else cpe
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
-
-
 def with_month(points: DataFrame, ts: str = "time", buckets: int = METER_BUCKETS) -> DataFrame:
     """Add the store's partition columns: ``month`` and the meter ``bucket``."""
     return points.withColumns({

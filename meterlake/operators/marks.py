@@ -17,6 +17,19 @@ from meterlake.plans.joins import lookup_join
 from meterlake.session import FIELD, MEASUREMENT, RANGE_START, SENTINEL_MARK
 
 
+# Point stores hash each meter code into this many ``bucket`` partitions.
+METER_BUCKETS = 64
+
+
+def meter_bucket(cpe, buckets: int = METER_BUCKETS) -> Column:
+    """The store's ``bucket`` partition value of a meter code (a store keeps one bucket count).
+
+    On a literal code Catalyst folds it to a constant, so a filter on it prunes
+    partitions."""
+    c = F.col(cpe) if isinstance(cpe, str) else cpe
+    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+
+
 def ts_literal(value: str, like: T.DataType) -> Column:
     """A timestamp literal of the same flavour (NTZ or LTZ) as ``like``."""
     kind = "timestamp_ntz" if isinstance(like, T.TimestampNTZType) else "timestamp"
@@ -41,7 +54,9 @@ def series_filter(points: DataFrame, measurement: str | None = MEASUREMENT,
     """Equality on measurement and field, and the meter tag.
 
     ``meters`` is one code, a list of codes (``isin``) or a DataFrame of codes
-    (semi join; broadcast only when its measured size allows).
+    (semi join; broadcast only when its measured size allows). On a point store
+    (a ``bucket`` partition column) named codes also select their bucket
+    folders, so one meter's series reads 1/64 of the store.
     """
     out = points
     if measurement is not None:
@@ -52,9 +67,11 @@ def series_filter(points: DataFrame, measurement: str | None = MEASUREMENT,
         return out
     if isinstance(meters, DataFrame):
         return lookup_join(out, meters.select(key).distinct(), key, "left_semi")
-    if isinstance(meters, str):
-        return out.filter(F.col(key) == meters)
-    return out.filter(F.col(key).isin(list(meters)))
+    codes = [meters] if isinstance(meters, str) else list(meters)
+    out = out.filter(F.col(key).isin(codes))
+    if "bucket" in out.columns and codes:
+        out = out.filter(F.col("bucket").isin(*[meter_bucket(F.lit(c)) for c in codes]))
+    return out
 
 
 def last_point(points: DataFrame, key: str = "cpe", ts: str = "time",

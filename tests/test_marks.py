@@ -100,3 +100,22 @@ def test_last_point_fast_path_is_hash_aggregate(spark):
     assert sorted(tuple(r) for r in out.collect()) == [("A", T0 + dt.timedelta(1), 2.0), ("B", T0, 3.0)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_series_filter_on_a_store_prunes_bucket_folders(spark, tmp_dir):
+    import os
+
+    from meterlake.operators import load as ld
+
+    rows = [(f"M{i}", T0 + dt.timedelta(hours=h), float(h)) for i in range(30) for h in range(3)]
+    path = os.path.join(tmp_dir, "store")
+    ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
+    stored = spark.read.parquet(path)
+    one = mk.series_filter(stored, meters="M7")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert sorted(r["value"] for r in one.collect()) == [0.0, 1.0, 2.0]
+    two = mk.series_filter(stored, meters=["M7", "M21"])
+    assert sorted((r["cpe"], r["value"]) for r in two.collect()) == \
+        sorted((m, float(h)) for m in ("M7", "M21") for h in range(3))
+    assert mk.series_filter(stored, meters=[]).count() == 0
