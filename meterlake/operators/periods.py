@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.functions.calendar import month_start_col, period_bounds
 
@@ -22,7 +23,11 @@ def select_period(readings: DataFrame, workflow: str, as_of=None, year: int | No
     kind = readings.schema[ts].dataType.simpleString()
     lo = F.lit(start.isoformat(sep=" ")).cast(kind)
     hi = F.lit(end.isoformat(sep=" ")).cast(kind)
-    return readings.filter((F.col(ts) >= lo) & (F.col(ts) < hi))
+    out = readings.filter((F.col(ts) >= lo) & (F.col(ts) < hi))
+    if "month" in readings.columns and isinstance(readings.schema["month"].dataType, T.StringType):
+        # a point store's month folders: a predicate on the time alone does not prune them
+        out = out.filter(F.col("month") == start.strftime("%Y-%m"))
+    return out
 
 
 def flag_future(requests: DataFrame, as_of, year: str = "year", month: str = "month") -> DataFrame:

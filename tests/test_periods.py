@@ -60,3 +60,18 @@ def test_years_back(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 5, 1),), (dt.datetime(2023, 1, 1),), (dt.datetime(2025, 1, 1),)],
                                "d timestamp_ntz")
     assert [r[0] for r in df.select(cal.years_back("d", "2024-06-01")).collect()] == [0, 1, -1]
+
+
+def test_select_period_on_a_store_prunes_month_folders(spark, tmp_dir):
+    import datetime as dt
+    import os
+
+    from meterlake.operators import load as ld
+
+    rows = [("M1", dt.datetime(2024, m, 15, 12), float(m)) for m in range(1, 7)]
+    path = os.path.join(tmp_dir, "store")
+    ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
+    may = pr.select_period(spark.read.parquet(path), "select", year=2024, month=5, ts="time")
+    plan = may._jdf.queryExecution().executedPlan().toString()
+    assert "2024-05" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert [r["value"] for r in may.collect()] == [5.0]
