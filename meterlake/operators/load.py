@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators.marks import METER_BUCKETS, delta_against, marks, meter_bucket, ts_literal
+from meterlake.operators.marks import (METER_BUCKETS, delta_against, last_point, marks, meter_bucket,
+                                       ts_literal)
 from meterlake.operators.reshape import to_points
 from meterlake.plans.joins import lookup_join, materialize
-from meterlake.session import SENTINEL_MARK, scratch_path
+from meterlake.session import FIELD, MEASUREMENT, SENTINEL_MARK, scratch_path
 
 POINT_KEY = ("measurement", "cpe", "field", "time")
 PARTITIONS = ("measurement", "month", "bucket")
@@ -182,6 +183,29 @@ def store_last_insert(spark: SparkSession, path: str, meters: DataFrame) -> Data
                          .alias("last_insert"))
 
 
+def store_last_point(spark: SparkSession, path: str) -> DataFrame | None:
+    """D1 on a point store: each meter's latest point (``cpe, time, value, load_seq``).
+
+    The marks (kept, else aggregated) name each meter's latest time, so only
+    the month folders holding some meter's latest point are read (a literal
+    partition filter; the months are at most the store's month count); those
+    points are matched to the marks on (meter, time) as a measured lookup, and
+    equal times keep the newest load.
+    """
+    stored = read_store(spark, path)
+    if stored is None:
+        return None
+    kept = kept_marks(spark, path)
+    m = materialize(kept if kept is not None else marks(stored))
+    months = sorted(r[0] for r in m.select(F.date_format("last_insert", "yyyy-MM")).distinct().collect())
+    latest = (stored.filter((F.col("measurement") == MEASUREMENT) & (F.col("field") == FIELD)
+                            & F.col("month").isin(months))
+              .select("cpe", "time", "value", "load_seq"))
+    hits = lookup_join(latest, m.select("cpe", F.col("last_insert").alias("time")), ["cpe", "time"],
+                       "left_semi", materialized=True)
+    return last_point(hits, "cpe", "time", tiebreak="load_seq")
+
+
 def _fold_marks(base: DataFrame | None, points: DataFrame) -> DataFrame:
     added = marks(points)
     if base is None:

@@ -216,3 +216,22 @@ def test_store_last_insert_uses_kept_marks_and_sentinel(spark, tmp_dir):
     got = {r["cpe"]: r["last_insert"] for r in ld.store_last_insert(spark, path, meters).collect()}
     want = {r["cpe"]: r["last_insert"] for r in last_insert(spark.read.parquet(path), meters).collect()}
     assert got == want == {"A": T0 + 2 * h, "B": T0 + h, "Z": dt.datetime(1989, 5, 11)}
+
+
+def test_store_last_point_reads_latest_months_only(spark, tmp_dir):
+    from meterlake.operators.marks import last_point
+
+    path = os.path.join(tmp_dir, "store")
+    rows = [(f"M{i}", dt.datetime(2024, m, 10, i), float(10 * m + i)) for i in range(5) for m in (1, 2, 3)]
+    rows += [("OLD", dt.datetime(2024, 1, 3), 7.0)]                         # a meter silent since January
+    ld.write_delta(_readings(spark, rows), path, 1)
+    ld.write_full(to_points(_readings(spark, [("M1", dt.datetime(2024, 3, 10, 1), 99.0)])), path, 2)  # reload
+    out = ld.store_last_point(spark, path)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    parts = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "2024-03" in parts and "2024-01" in parts and "2024-02" not in parts
+    got = sorted((r["cpe"], r["time"], r["value"]) for r in out.collect())
+    stored = spark.read.parquet(path).select("cpe", "time", "value", "load_seq")
+    want = sorted((r["cpe"], r["time"], r["value"])
+                  for r in last_point(stored, "cpe", "time", tiebreak="load_seq").collect())
+    assert got == want and ("M1", dt.datetime(2024, 3, 10, 1), 99.0) in got and len(got) == 6
