@@ -45,6 +45,12 @@ def range_scan(points: DataFrame, start: str | None = RANGE_START, stop: str | N
         cond = cond & (F.col(ts) >= ts_literal(start, dtype))
     if stop is not None:
         cond = cond & (F.col(ts) < ts_literal(stop, dtype))
+    if "month" in points.columns and isinstance(points.schema["month"].dataType, T.StringType):
+        # a point store's month folders (``yyyy-MM`` of the time): bound them too
+        if start is not None:
+            cond = cond & (F.col("month") >= str(start)[:7])
+        if stop is not None:
+            cond = cond & (F.col("month") <= str(stop)[:7])
     return points.filter(cond)
 
 

@@ -119,3 +119,18 @@ def test_series_filter_on_a_store_prunes_bucket_folders(spark, tmp_dir):
     assert sorted((r["cpe"], r["value"]) for r in two.collect()) == \
         sorted((m, float(h)) for m in ("M7", "M21") for h in range(3))
     assert mk.series_filter(stored, meters=[]).count() == 0
+
+
+def test_range_scan_on_a_store_bounds_month_folders(spark, tmp_dir):
+    import os
+
+    from meterlake.operators import load as ld
+
+    rows = [("M1", dt.datetime(2024, m, 1, 0, 0), float(m)) for m in range(1, 7)] + \
+        [("M1", dt.datetime(2024, 3, 31, 23, 59), 3.5)]
+    path = os.path.join(tmp_dir, "store")
+    ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
+    out = mk.range_scan(spark.read.parquet(path), "2024-02-01 00:00:00", "2024-04-01 00:00:00")
+    parts = out._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "2024-02" in parts and "2024-04" in parts
+    assert sorted(r["value"] for r in out.collect()) == [2.0, 3.0, 3.5]     # April 1st 00:00 excluded
