@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import SPACES, bind, doc_rows, stored, words
+from meterlake.plans.joins import lookup_join
 
-BUCKETS = 1 << 14        # of words, and as many of word pairs
+BUCKETS = 1 << 13        # of words, and as many of word pairs
 SMOOTHING = 1.0          # added to each bucket, spread over the raw shares
 SCALE = 10_000           # weights are whole numbers: sums don't depend on their order
-MIN_RATIO = -0.25        # mean natural log ratio below which a document is rejected
+MIN_RATIO = -0.11        # mean natural log ratio below which a document is rejected
 
 
 def repeated_window_words(found: Column) -> Column:
@@ -78,13 +79,14 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     """(bucket, weight): scaled log ratio of each bucket, at most ``2 * BUCKETS`` rows.
 
     ``trusted_ids`` holds ``doc_id``. Both counts cover all texts and are
-    combined before the shuffle; the trusted ids are joined by Spark's own
-    choice of strategy. Raw shares smooth both multinomials, so a bucket the
+    combined before the shuffle; the trusted ids are broadcast only if they
+    measure below the library's limit. Raw shares smooth both multinomials, so a bucket the
     target has hardly met weighs little.
     """
     ids = trusted_ids.select(F.col("doc_id").alias("t")).where(F.col("t").isNotNull()).distinct()
     ids = stored(ids, "trusted")
-    per_doc = (doc_rows(docs).join(ids, F.col("doc_id") == F.col("t"), "left")
+    rows = doc_rows(docs)
+    per_doc = (lookup_join(rows, ids, rows["doc_id"] == ids["t"], "left", materialized=True)
                .select(words(F.col("text")).alias("__w"), F.col("t").isNotNull().cast("long").alias("t")))
     grams = _ngram_rows(per_doc, ["t"]).where("word")
     pairs = grams.select("t", F.explode(F.array("one", "two")).alias("bucket")).where(F.col("bucket").isNotNull())

@@ -7,20 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import pii, quality, secrets, shards, simhash_dups
+from meterlake.llm import decontaminate, mixing, pii, quality, secrets, shards, simhash_dups, toxicity
 from meterlake.llm.common import read
 
 SHARDS = 24
+TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(toxicity.sample_labelled(docs, read(spark, sf_dir, "labels"))))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = mixing.label_domains(read(spark, sf_dir, "labels"))
+    return mixing.mix(read(spark, sf_dir, "documents"), labelled, TARGETS).drop("doc_hash")
+
+
 def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(read(spark, sf_dir, "documents"), SHARDS)
 
@@ -35,6 +50,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_pii, op6_hilbert_shards, op9_simhash_dedup, op10_secret_scan)}
+    f.__name__: f for f in (
+        op1_quality_rules, op2_decontamination, op3_pii, op4_toxicity, op5_mixing, op6_hilbert_shards,
+        op9_simhash_dedup, op10_secret_scan)}
 
 ORACLES: dict[str, str] = {}

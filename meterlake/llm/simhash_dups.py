@@ -116,8 +116,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     linked = classes.join(roots, classes["fp"] == roots["node"])
     lowest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = roots.join(lowest, "root").select(F.col("node").alias("fp"), "component_id")
-    whole = (classes.join(named, "fp", "left")
-             .select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
+    whole = stored(classes.join(named, "fp", "left")
+                   .select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "class_ids")
     return fps.join(whole, "fp", "left").select("doc_id", "fp", "component_id")
 
 
