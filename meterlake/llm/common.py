@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +25,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     and each later reader sees the same rows.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Within, each finished action drops its shuffle files, as nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, in order (null: none)."""
     spaced = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
