@@ -17,6 +17,7 @@ import re
 import zlib
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,9 +162,7 @@ def score(docs: DataFrame, model: OrdinalModel, reject: float = REJECT) -> DataF
 def drop_toxic(docs: DataFrame, model: OrdinalModel, reject: float = REJECT) -> DataFrame:
     """``docs`` without the rows whose expected severity reaches ``reject``; columns stay as they are."""
     @F.pandas_udf("double")
-    def severity(text: "pd.Series") -> "pd.Series":  # noqa: F821
-        import pandas as pd
-
+    def severity(text: pd.Series) -> pd.Series:
         return pd.Series([model.expected(t) for t in text], dtype="float64")
 
     ship_package(docs.sparkSession)
