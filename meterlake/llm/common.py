@@ -57,3 +57,23 @@ def doc_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Only the id and the text, as ``doc_id`` and ``text``: extra columns cannot clash."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int]:
+    """``df`` with its place in ``order`` as ``rank`` (from 0, all different), and the number of rows.
+
+    A range sort deals the rows out, so equal leading keys may be split; each
+    sorted partition numbers its own rows, and the counts of the partitions --
+    one row each -- give what comes before them.
+    """
+    ordered = df.orderBy(*order)
+    placed = stored(ordered.select("*", F.spark_partition_id().alias("__part"),
+                                   F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__at")), name)
+    counts = {r["__part"]: r["n"] for r in placed.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, total = [], 0
+    for part in sorted(counts):
+        starts.append((part, total))
+        total += counts[part]
+    before = df.sparkSession.createDataFrame(starts, "__part int, __before long")
+    ranked = placed.join(F.broadcast(before), "__part")
+    return ranked.select(*df.columns, (F.col("__before") + F.col("__at")).alias("rank")), total

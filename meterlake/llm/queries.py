@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, lm, mixing, pii, quality, secrets, shards, simhash_dups, toxicity
+from meterlake.llm import decontaminate, lm, mixing, pii, quality, secrets, shards, simhash_dups, suffix_dups, toxicity
 from meterlake.llm.common import read
 
 SHARDS = 24
@@ -40,6 +40,10 @@ def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(read(spark, sf_dir, "documents"), SHARDS)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dups.remove_repeats(read(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read(spark, sf_dir, "documents"))
 
@@ -56,6 +60,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_decontamination, op3_pii, op4_toxicity, op5_mixing, op6_hilbert_shards,
-        op8_lm_scores, op9_simhash_dedup, op10_secret_scan)}
+        op7_suffix_dedup, op8_lm_scores, op9_simhash_dedup, op10_secret_scan)}
 
 ORACLES: dict[str, str] = {}

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import bind, stored
+from meterlake.llm.common import bind, numbered
 
 BITS = 5
 DIMENSIONS = ("lang", "source", "size")
@@ -78,23 +78,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _ranked(docs: DataFrame) -> DataFrame:
-    """Every row's key with its rank along the curve and the number of rows.
-
-    A range sort deals the keys out (a hot cell is split by id); each sorted
-    partition numbers its own rows, and the counts of the partitions -- one row
-    each -- give what comes before them.
-    """
-    ordered = _keyed(docs).orderBy(*ORDER)
-    placed = stored(ordered.select("*", F.spark_partition_id().alias("part"),
-                                   F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("at")), "curve")
-    counts = [(r["part"], r["n"]) for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()]
-    starts, total = [], 0
-    for part, n in sorted(counts):
-        starts.append((part, total))
-        total += n
-    before = docs.sparkSession.createDataFrame(starts, "part int, before long")
-    return (placed.join(F.broadcast(before), "part")
-            .select(*ORDER, (F.col("before") + F.col("at")).alias("rank"), F.lit(total).cast("long").alias("total")))
+    """Every row's key with its rank along the curve and the number of rows."""
+    ranked, total = numbered(_keyed(docs), list(ORDER), "curve")
+    return ranked.withColumn("total", F.lit(total).cast("long"))
 
 
 def assign_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
