@@ -1,0 +1,31 @@
+"""Awkward rows that every operator must take."""
+
+import random
+
+from pyspark.sql import functions as F
+
+
+def noise(rng, n, letters="abcdefgh "):
+    return "".join(rng.choice(letters) for _ in range(n))
+
+
+ODD = [None, "", " \t\n\x0b\x0c\r ", "one", "a b c", "ÀÉ ß 漢字 \U0001f600 x", "word " * 3000, "x" * 50_000,
+       "1" * 30_000, "a.b" * 5000, "\n\n line\n line \n line\n", "a b c d a b c d e", "same words here again"]
+
+
+def odd_rows():
+    """(doc_id, text): null ids, null texts, repeated rows and ids, very long texts."""
+    rows = list(enumerate(ODD)) + [(None, "same words here again"), (None, None), (3, "one"), (3, "another")]
+    return rows + rows[:2]
+
+
+def frame(spark, rows):
+    """Documents with the usual columns and some whose names operators use inside."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return df.select("doc_id", "text", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"),
+                     F.length("text").cast("long").alias("n_chars"), F.lit(1).alias("fp"), F.lit(2).alias("key"),
+                     F.lit("x").alias("spans"), F.lit(0).alias("rank"), F.lit(0).alias("shard"))
+
+
+def empty(spark):
+    return frame(spark, [(1, "x")]).where("false")

@@ -1,0 +1,109 @@
+"""Quality rules, personal data and secrets against plain Python on awkward texts."""
+
+import random
+
+import brute
+import pytest
+from cases import empty, frame, noise, odd_rows
+
+from meterlake.llm import pii, quality, secrets
+
+
+def texts():
+    rng = random.Random(1)
+    out = [noise(rng, 600, "ab \n") for _ in range(12)] + [noise(rng, 400, "abc#*$%&|<> \n\t") for _ in range(8)]
+    return out + ["a b c " * 40, "x y z w " * 3, ("p q r " * 2 + "s t u ") * 30]
+
+
+def test_base_measures(spark):
+    rows = odd_rows() + list(enumerate(texts(), 100))
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in rows if i], "doc_id long, quality int, toxic int")
+    got = quality.rate_quality(frame(spark, rows), labels).collect()
+    want = [(i, *brute.quality(t)) for i, t in rows]
+    assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+                   for r in got), key=repr) == sorted(want, key=repr)
+    assert not any(r.kept for r in got if r.base_failed)
+
+
+def test_ratio_tells_junk_from_trusted_text(spark):
+    rng = random.Random(2)
+    vocabulary = [noise(rng, 5, "abcdefghijk") for _ in range(40)]
+    good = [" ".join(rng.choices(vocabulary, k=120)) for _ in range(80)]
+    junk = [" ".join(w + rng.choice("$%&*") * 3 for w in rng.choices(vocabulary, k=120)) for _ in range(20)]
+    rows = list(enumerate(good + junk))
+    labels = spark.createDataFrame([(i, int(i < 80)) for i in range(0, 100, 2)], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in quality.rate_quality(frame(spark, rows), labels).collect()}
+    assert all(got[i] == (i < 80) for i in range(100))
+
+
+def test_ratio_is_the_mean_log_ratio(spark):
+    weights = spark.createDataFrame([(b, 1000 + b % 7) for b in range(2 * quality.BUCKETS)], "bucket long, weight long")
+    row = quality.score_quality(frame(spark, [(1, "one two three"), (2, None)]), weights).collect()
+    ratio = {r.doc_id: r.ratio for r in row}
+    assert 0.1 <= ratio[1] < 0.1007 and ratio[2] is None
+
+
+def test_quality_without_labels_or_rows(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.rate_quality(empty(spark), none).count() == 0
+    kept = {r.doc_id: r.kept for r in quality.rate_quality(
+        frame(spark, [(1, " ".join(map(str, range(60)))), (2, "few")]), none).collect()}
+    assert kept == {1: True, 2: False}
+
+
+PII = ["a@b.c_d@e.f..x@y.z", "x@y", "aa@bb.cc@dd.ee", "1.2.3.4.5.6.7.8", "256.1.1.1 255.001.1.09", "1." * 20_000,
+       "4111 1111 1111 1111", "4111-1111-1111-1111 4111 1111 1111 1112", "0000000000000 " * 3, "5 4111111111111111",
+       "+1 (234) 555-6789 and +12345678 or +1.2.3.4.5.6.7.8.9", "+1" + " " * 5000, "é@b.co \U0001f600 z@q.de",
+       "1" * 12 + " " + "2" * 7, "9" * 40_000 + "@x.y", "+123456789", "%@%.%", "a" * 60_000]
+
+
+def test_pii_base(spark):
+    rows = odd_rows() + list(enumerate(PII, 100))
+    got = [(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256)
+           for r in pii.pii_digest(frame(spark, rows)).collect()]
+    assert sorted(got, key=repr) == sorted([(i, *brute.pii(t)) for i, t in rows], key=repr)
+    assert pii.pii_digest(empty(spark)).count() == 0
+
+
+def test_pii_checksums_and_context(spark):
+    rows = [(1, "iban GB82 WEST 1234 5698 7654 32 AND more"), (2, "GB83 WEST 1234 5698 7654 32"),
+            (3, "DE89370400440532013000"), (4, "123-45-6789"), (5, "her ssn: 123-45-6789"), (6, "mail a@b.co")]
+    got = {r.doc_id: [(s.kind, s.value, round(s.score, 1)) for s in r.spans] for r in pii.find_pii(frame(spark, rows)).collect()}
+    assert got[1] == [("iban", "GB82 WEST 1234 5698 7654 32", 1.0)]
+    assert got[2] == [] and got[4] == []
+    assert got[3] == [("iban", "DE89370400440532013000", 0.9)]
+    assert got[5] == [("ssn", "123-45-6789", 0.6)]
+    assert got[6] == [("email", "a@b.co", 1.0)]
+
+
+SECRETS = ["token=secret=abcdefgh1", "token=api_key: abcdefghijk", "PASSWORD = \"hunter2222\" passwd:short",
+           "api_key'='abcdefgh", "tokentoken==abcdefgh", "AKIAAKIA1AKIA" + "X" * 20, "AKIA1 AKIA" + "9" * 12,
+           "f" * 31 + "g" + "0" * 32, "deadbeef" * 5000, "secret: ", "é secret:\x20\x20abcdefgh \U0001f600 " + "a" * 33,
+           "token = " * 3000, "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a1" * 20]
+
+
+def test_secrets_base(spark, tmp_dir):
+    rows = odd_rows() + list(enumerate(SECRETS, 100))
+    got = [(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256)
+           for r in secrets.secret_digest(frame(spark, rows), f"{tmp_dir}/ledger").collect()]
+    assert sorted(got, key=repr) == sorted([(i, *brute.secrets(t)) for i, t in rows], key=repr)
+    assert secrets.secret_digest(empty(spark)).count() == 0
+
+
+def test_ledger_scans_each_blob_and_rule_version_once(spark, tmp_dir):
+    path = f"{tmp_dir}/ledger"
+    old = frame(spark, [(1, "token = abcdefgh1"), (2, "token = abcdefgh1"), (3, "clean")])
+    assert secrets.scan_unseen(old, path).count() == 2 * len(secrets.RULES)
+    both = frame(spark, [(1, "token = abcdefgh1"), (4, "clean"), (5, "AKIA" + "Z" * 12)])
+    assert secrets.scan_unseen(both, path).count() == 3 * len(secrets.RULES)
+    newer = secrets.RULES[0].__class__("assign", 2, r"secret word", "secret", 3, 0, True)
+    rules = (newer, *secrets.RULES[1:])
+    assert secrets.scan_unseen(both, path, rules).count() == 3 * len(secrets.RULES) + 3
+    found = {r.doc_id: [s.kind for s in r.spans] for r in secrets.scan_secrets(old, path).collect()}
+    assert found == {1: ["assign"], 2: ["assign"], 3: []}
+
+
+@pytest.mark.parametrize("text,good", [("79927398713", True), ("79927398710", False), ("0", True)])
+def test_luhn(spark, text, good):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(pii.luhn(df.t)).first()[0] is good is brute.luhn(text)
