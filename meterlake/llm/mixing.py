@@ -63,7 +63,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Dat
     weights = seen.select("bucket", F.array(*[F.coalesce(a, b) for a, b in zip(logs, empty, strict=True)]).alias("w"))
     prior = marks.agg(*tally, F.count(F.lit(1)).alias("n")).select(
         F.lit(None).cast("long").alias("bucket"),
-        F.array(*[F.round(SCALE * F.log((F.col(c) + 1) / (F.col("n") + len(domains)))).cast("long")
+        F.array(*[F.round(SCALE * F.log((F.coalesce(c, F.lit(0)) + 1) / (F.col("n") + len(domains)))).cast("long")
                   for c in names]).alias("w"))
     return weights.union(prior)
 
