@@ -59,8 +59,8 @@ def period_bounds(workflow: str, as_of=None, year: int | None = None,
 
 
 def month_start_col(year, month) -> Column:
-    """Per-row first day of (year, month) as a naive timestamp."""
-    return F.make_timestamp_ntz(_c(year), _c(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    """Per-row first day of (year, month) as a naive timestamp (null when there is no such month)."""
+    return F.try_make_timestamp_ntz(_c(year), _c(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
 
 
 def month_grid(d) -> tuple[Column, Column]:

@@ -34,7 +34,10 @@ def inferred_type(text) -> Column:
 
 
 def infer_type(text) -> Column:
-    """H1: struct(type, as_bool, as_int, as_float, as_str) with only the matching value set."""
+    """H1: struct(type, as_bool, as_int, as_float, as_str) with only the matching value set.
+
+    Digits beyond a 64-bit integer stay an ``int`` and keep their text in ``as_str``.
+    """
     s = _c(text)
     t = inferred_type(s)
     return F.struct(
@@ -42,5 +45,5 @@ def infer_type(text) -> Column:
         F.when(t == "bool", F.lower(s).isin(*TRUE_WORDS)).alias("as_bool"),
         F.when(t == "int", s.try_cast("bigint")).alias("as_int"),
         F.when(t == "float", s.try_cast("double")).alias("as_float"),
-        F.when(t == "str", s).alias("as_str"),
+        F.when((t == "str") | ((t == "int") & s.try_cast("bigint").isNull()), s).alias("as_str"),
     )

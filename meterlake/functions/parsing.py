@@ -29,10 +29,14 @@ def _c(x) -> Column:
 
 
 def merge_date_time(date, time, formats: Sequence[str] = DATE_TIME_FORMATS) -> Column:
-    """B1: date text + time text -> one naive timestamp (null when no format fits)."""
+    """B1: date text + time text -> one naive timestamp (null when no format fits), in any session time zone."""
     text = F.concat_ws(" ", F.trim(_c(date)), F.trim(_c(time)))
-    parsed = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    # Read as UTC instants and counted from the epoch: the session zone's gaps and folds play no part.
+    zoned = F.concat(text, F.lit(" Z"))
+    parsed = F.coalesce(*[F.try_to_timestamp(zoned, F.lit(f"{f} X")) for f in formats])
+    none = F.lit(0)
+    since = F.make_dt_interval(none, none, none, (F.unix_micros(parsed) / 1_000_000).cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
 
 
 def parse_number(text, thousands: str = ",", decimal: str = ".") -> Column:

@@ -2,15 +2,16 @@
 
 The point store is a Parquet directory partitioned by ``measurement``,
 ``month`` (``yyyy-MM`` of the point time) and ``bucket`` (a hash of the meter
-code into ``METER_BUCKETS`` buckets). A full load rewrites only the
+code into ``marks.METER_BUCKETS`` buckets). A full load rewrites only the
 month-buckets its meters fall in -- a reload of one meter's month touches
-1/``METER_BUCKETS`` of that month, not the whole month of every meter; a delta
+one bucket's part of that month, not the whole month of every meter; a delta
 load appends. Each store keeps its per-meter marks beside the points (see
 "kept marks" below), so a delta load reads one row per meter, not the store.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -19,9 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.operators.marks import (METER_BUCKETS, delta_against, last_point, marks, meter_bucket,
-                                       ts_literal)
-from meterlake.operators.reshape import to_points
+from meterlake.operators.marks import delta_against, last_point, marks, meter_bucket, ts_literal
+from meterlake.operators.reshape import second_precision, to_points
 from meterlake.plans.joins import lookup_join, materialize
 from meterlake.session import FIELD, MEASUREMENT, SENTINEL_MARK, scratch_path
 
@@ -62,11 +62,11 @@ def merge_full(stored: DataFrame, incoming: DataFrame, keys: Sequence[str] = POI
     return keep_latest(stored.unionByName(incoming, allowMissingColumns=True), keys, seq, tiebreak)
 
 
-def with_month(points: DataFrame, ts: str = "time", buckets: int = METER_BUCKETS) -> DataFrame:
+def with_month(points: DataFrame, ts: str = "time") -> DataFrame:
     """Add the store's partition columns: ``month`` and the meter ``bucket``."""
     return points.withColumns({
         "month": F.date_format(F.col(ts), "yyyy-MM"),
-        "bucket": meter_bucket("cpe", buckets),
+        "bucket": meter_bucket("cpe"),
     })
 
 
@@ -104,13 +104,15 @@ def read_store(spark: SparkSession, path: str) -> DataFrame | None:
 # ---------------------------------------------------------------- kept marks
 # A store keeps its marks (one row per meter: ``cpe, last_insert``) in
 # ``<store>/_marks/n=<k>`` -- hidden from readers of the points, which skip
-# names starting with "_". Every load writes ``pending-*`` before its points
-# and removes it after writing the next snapshot, so a marker left behind means
-# points may exist that no snapshot covers: the next delta load then takes the
-# marks from the points once (a full aggregate) and writes a complete snapshot.
-# Marks are therefore never below or above the stored points, and a delta load
-# reads one row per meter instead of the store.
+# names starting with "_". Every load writes ``pending-<load_seq>-*`` before its
+# points and removes it after writing the next snapshot. A marker left behind
+# names a load that may have written only some of its folders: its points then
+# count for no mark, and the next load merges by key instead of appending, so
+# what the broken load lost is loaded and what it wrote is replaced. ``ahead``
+# says that some stored point is later than the load's "now"; such points don't
+# raise a mark, so marks are taken from the points until none is left.
 MARKS_DIR = "_marks"
+AHEAD = "ahead"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -138,11 +140,28 @@ def _mark_state(spark: SparkSession, path: str) -> tuple[list[tuple[int, str]],
 def kept_marks(spark: SparkSession, path: str) -> DataFrame | None:
     """The store's kept marks when they are complete (no load left unfinished), else None."""
     snaps, pending = _mark_state(spark, path)
-    if not snaps or pending:
+    if not snaps or pending or _exists(spark, f"{path}/{MARKS_DIR}/{AHEAD}"):
         return None
     return spark.read.parquet(snaps[-1][1])
 
 
+def _unfinished(spark: SparkSession, path: str) -> list[int]:
+    """Sequence numbers of loads that began and did not end."""
+    return sorted({int(m.rsplit("/", 1)[1].split("-")[1]) for m in _mark_state(spark, path)[1]})
+
+
+def _note_ahead(spark: SparkSession, path: str, ahead: bool) -> None:
+    fs, p = _fs(spark, f"{path}/{MARKS_DIR}/{AHEAD}")
+    if ahead and not fs.exists(p):
+        fs.create(p, True).close()
+    elif not ahead:
+        fs.delete(p, False)
+
+
+def _now(as_of) -> str:
+    return str(as_of) if as_of is not None else dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def _begin_load(spark: SparkSession, path: str, load_seq: int) -> str:
     marker = f"{path}/{MARKS_DIR}/pending-{load_seq}-{uuid.uuid4().hex[:12]}"
     fs, p = _fs(spark, marker)
@@ -169,13 +188,14 @@ def _finish_load(spark: SparkSession, path: str, marker: str, after: DataFrame |
         fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
-def store_last_insert(spark: SparkSession, path: str, meters: DataFrame) -> DataFrame:
-    """D2 on a point store: every meter's mark (sentinel when nothing is stored),
-    from the kept snapshot when it is complete, else from the points."""
-    kept = kept_marks(spark, path)
+def store_last_insert(spark: SparkSession, path: str, meters: DataFrame, as_of=None) -> DataFrame:
+    """D2 on a point store: every meter's latest point before ``as_of`` (default now;
+    sentinel when nothing is stored). Without ``as_of`` the kept snapshot serves when it
+    is complete; else the marks come from the points."""
+    kept = kept_marks(spark, path) if as_of is None else None
     if kept is None:
         stored = read_store(spark, path)
-        kept = marks(stored) if stored is not None else spark.createDataFrame(
+        kept = marks(stored, as_of=_now(as_of)) if stored is not None else spark.createDataFrame(
             [], "cpe string, last_insert timestamp_ntz")
     dtype = kept.schema["last_insert"].dataType
     joined = lookup_join(meters.select("cpe"), kept, "cpe", "left")
@@ -206,46 +226,19 @@ def store_last_point(spark: SparkSession, path: str) -> DataFrame | None:
     return last_point(hits, "cpe", "time", tiebreak="load_seq")
 
 
-def _fold_marks(base: DataFrame | None, points: DataFrame) -> DataFrame:
-    added = marks(points)
-    if base is None:
-        return added
-    return base.unionByName(added).groupBy("cpe").agg(F.max("last_insert").alias("last_insert"))
-
-
-def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = METER_BUCKETS,
-               order: str | None = None) -> DataFrame:
-    """F3 writer: merge the incoming points into the partitions they touch.
+def _merge_into(inc: DataFrame, path: str, stored: DataFrame | None) -> None:
+    """Merge points (with partition columns and ``load_seq``) into the folders they touch.
 
-    ``order`` (a column of ``incoming``, not written) decides between points of
-    one key inside this load -- the largest wins, as the later of two writes of
-    one timestamp would (e.g. the repeated hour of the autumn clock change);
-    without it such a tie is resolved arbitrarily.
-
-    The load is materialised once (checkpoint). Its partition values
-    (measurement, month, meter bucket) -- at most measurements x months x
-    ``buckets`` rows -- become literal partition filters, so the scan lists and
-    reads only those directories; an exact semi join then keeps whole touched
-    partitions (every meter in them, since dynamic overwrite replaces a
-    partition as a unit). The merged slice is staged under the checkpoint
-    folder and swapped in with dynamic partition overwrite: a partition is
-    never read and overwritten by the same job, and a rerun gives the same store.
+    The touched folders become literal partition filters; an exact semi join
+    keeps whole folders, since a dynamic overwrite replaces a folder as a unit.
+    The slice is staged first: a folder is never read and overwritten by one job.
     """
-    spark = incoming.sparkSession
-    if order is not None:
-        incoming = keep_latest(incoming, POINT_KEY, seq=order).drop(order)
-    inc = materialize(with_month(incoming, buckets=buckets).withColumn("load_seq", F.lit(load_seq).cast("long")))
-    stored = read_store(spark, path)
-    # a full load only adds or replaces points, so kept marks only rise
-    kept = kept_marks(spark, path) if stored is not None else None
-    kept = materialize(kept) if kept is not None else None
-    marker = _begin_load(spark, path, load_seq)
+    spark = inc.sparkSession
     # month and bucket follow from (cpe, time): grouping by them too keeps the
     # payload to the one value column (hash aggregate)
     store_key = [*POINT_KEY, "month", "bucket"]
-    if stored is None:
-        merged = keep_latest(inc, store_key)
-    else:
+    merged = keep_latest(inc, store_key)
+    if stored is not None:
         touched = inc.select(*PARTITIONS).distinct()
         parts = touched.collect()   # bounded by measurements x months x buckets
         pruned = stored
@@ -255,39 +248,95 @@ def write_full(incoming: DataFrame, path: str, load_seq: int, buckets: int = MET
         merged = keep_latest(slice_.unionByName(inc, allowMissingColumns=True), store_key)
     staging = scratch_path(spark, "full-load")
     write_points(merged, staging, "overwrite")
-    staged = spark.read.parquet(staging)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    _finish_load(spark, path, marker, _fold_marks(kept, inc) if (kept is not None or stored is None) else None)
-    return staged
+    (spark.read.schema(merged.schema).parquet(staging).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
+    fs, p = _fs(spark, staging)
+    fs.delete(p, True)
+
+
+def _finish_with_marks(spark: SparkSession, path: str, marker: str, base: DataFrame | None, points: DataFrame,
+                       now: str, repaired: bool) -> None:
+    """Write the marks after a load, from ``base`` and its points, or from the store after a repair."""
+    before = points.schema["time"].dataType
+    ahead = not points.filter(F.col("time") >= ts_literal(now, before)).isEmpty()
+    if repaired:
+        stored = read_store(spark, path)
+        ahead = stored is not None and not stored.filter(F.col("time") >= ts_literal(now, before)).isEmpty()
+        after = marks(stored, as_of=now) if stored is not None else marks(points, as_of=now)
+    else:
+        after = marks(points, as_of=now)
+        if base is not None:
+            after = base.unionByName(after).groupBy("cpe").agg(F.max("last_insert").alias("last_insert"))
+    _note_ahead(spark, path, ahead)
+    _finish_load(spark, path, marker, after)
+
+
+def write_full(incoming: DataFrame, path: str, load_seq: int, order: str | None = None, as_of=None) -> DataFrame:
+    """F3 writer: merge the incoming points into the partitions they touch; returns the points of this load.
+
+    Times are cut to seconds. ``order`` (a column of ``incoming``, not written)
+    decides between points of one key inside this load -- the largest wins, as
+    the later of two writes of one timestamp would (e.g. the repeated hour of
+    the autumn clock change); without it the largest value wins. A load without
+    points changes nothing. A rerun gives the same store. ``as_of`` (default
+    now) bounds the kept marks.
+    """
+    spark, now = incoming.sparkSession, _now(as_of)
+    inc = _load_points(incoming, load_seq, order)
+    stored = read_store(spark, path)
+    # a full load only adds or replaces points, so kept marks only rise
+    kept = kept_marks(spark, path) if stored is not None else None
+    kept = materialize(kept) if kept is not None else None
+    broken = _unfinished(spark, path)
+    marker = _begin_load(spark, path, load_seq)
+    _merge_into(inc, path, stored)
+    if broken:   # the next delta load repairs them; until then no snapshot is complete
+        _finish_load(spark, path, marker, None)
+    else:
+        _finish_with_marks(spark, path, marker, kept, inc, now, repaired=kept is None and stored is not None)
+    return inc
+
+
+def _load_points(points: DataFrame, load_seq: int, order: str | None) -> DataFrame:
+    """The points of one load, one per key at second precision, written once to the shared folder."""
+    points = second_precision(points, "time")
+    points = keep_latest(points, POINT_KEY, seq=order or "value")
+    if order is not None:
+        points = points.drop(order)
+    return materialize(with_month(points).withColumn("load_seq", F.lit(load_seq).cast("long")))
 
 
-def write_delta(incoming_readings: DataFrame, path: str, load_seq: int,
-                fields: Sequence[str] = ("consumption",), buckets: int = METER_BUCKETS) -> DataFrame:
-    """F4 writer: append only the readings strictly newer than each meter's mark.
+def write_delta(incoming_readings: DataFrame, path: str, load_seq: int, fields: Sequence[str] = ("consumption",),
+                order: str | None = None, as_of=None) -> DataFrame:
+    """F4 writer: append only the readings strictly newer than each meter's mark; returns them as points.
 
-    Marks come from the store's kept snapshot (one row per meter); only when a
-    load was left unfinished, or none was kept yet, they are aggregated from
-    the points once. The snapshot after this load is written when its points
-    are committed.
+    One point per key is written, at second precision; ``order`` as in
+    ``write_full``. A mark is the meter's latest stored point before ``as_of``
+    (default now). Marks come from the store's kept snapshot (one row per
+    meter); if none is complete they are aggregated from the points, those of
+    unfinished loads left out, and the new points are merged by key: the first
+    delta load after a broken one is its retry.
     """
-    spark = incoming_readings.sparkSession
+    spark, now = incoming_readings.sparkSession, _now(as_of)
+    incoming_readings = second_precision(incoming_readings, "date_time")
     stored = read_store(spark, path)
-    if stored is None:
-        base, new = None, incoming_readings
-    else:
-        kept = kept_marks(spark, path)
-        base = materialize(kept if kept is not None else marks(stored))
+    kept = kept_marks(spark, path) if stored is not None else None
+    repair = stored is not None and kept is None
+    base, new = None, incoming_readings
+    if stored is not None:
+        if repair:
+            sure = stored.filter(~F.col("load_seq").isin(_unfinished(spark, path)))
+            kept = marks(sure, as_of=now)
+        base = materialize(kept)
         new = delta_against(incoming_readings, base, materialized=True)
-    pts = materialize(with_month(to_points(new, fields), buckets=buckets)
-                      .withColumn("load_seq", F.lit(load_seq).cast("long")))
+    tags = ("cpe",) if order is None else ("cpe", order)
+    pts = _load_points(to_points(new, fields, tags=tags), load_seq, order)
     marker = _begin_load(spark, path, load_seq)
-    write_points(pts, path, "append")
-    _finish_load(spark, path, marker, _fold_marks(base, pts))
+    if repair:
+        _merge_into(pts, path, stored)
+    else:
+        write_points(pts, path, "append")
+    _finish_with_marks(spark, path, marker, base, pts, now, repair)
     return pts
 
 
@@ -299,12 +348,13 @@ REPORT_SCHEMA = T.StructType([
 
 
 def fan_out(df: DataFrame, targets: Iterable[str | None],
-            writers: dict[str, Callable[[DataFrame], None]]) -> DataFrame:
+            writers: dict[str, Callable[[DataFrame], object]]) -> DataFrame:
     """write one parsed set to each named store.
 
     The set is persisted once (memory and disk, recomputable on executor loss)
     and counted once. Empty names are ignored, unknown names reported and
-    skipped; the report is one row per target.
+    skipped; the report is one row per target. A writer returns the rows it wrote
+    (a number or a frame of them); the report counts the whole set if it returns neither.
     """
     targets = list(targets)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -317,8 +367,9 @@ def fan_out(df: DataFrame, targets: Iterable[str | None],
             elif t not in writers:
                 rows.append((t, "unsupported", None))
             else:
-                writers[t](cached)
-                rows.append((t, "loaded", n))
+                wrote = writers[t](cached)
+                count = wrote.count() if isinstance(wrote, DataFrame) else wrote
+                rows.append((t, "loaded", count if isinstance(count, int) else n))
     finally:
         cached.unpersist()
     return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
@@ -333,25 +384,46 @@ def retain_options(keep: bool, archive_dir: str | None = None) -> dict[str, str]
     return {"cleanSource": "delete"}
 
 
-def retain_source(spark: SparkSession, files: Sequence[str], keep: bool,
-                  archive_dir: str | None = None) -> list[str]:
+def retain_source(spark: SparkSession, files: Iterable[str], keep: bool, archive_dir: str | None = None,
+                  root: str | None = None) -> list[str]:
     """F6 for one batch of named files: move them into ``archive_dir`` or delete them.
 
-    Works on any Hadoop file system; returns the new paths (empty when deleted).
+    Files keep their path below ``root``, so equal names in different meter
+    folders don't meet; without ``root`` only their name. A file that would meet
+    another is refused before any is moved. Folders left empty below ``root``
+    go. Works on any Hadoop file system; returns the new paths (empty when
+    deleted).
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for f in files:
-        src = jvm.org.apache.hadoop.fs.Path(f)
-        fs = src.getFileSystem(conf)
-        if keep:
-            dst_dir = jvm.org.apache.hadoop.fs.Path(archive_dir)
-            fs.mkdirs(dst_dir)
-            dst = jvm.org.apache.hadoop.fs.Path(dst_dir, src.getName())
-            if not fs.rename(src, dst):
-                raise OSError(f"could not move {f} to {archive_dir}")
-            out.append(dst.toString())
-        else:
-            fs.delete(src, False)
-    return out
+    path = jvm.org.apache.hadoop.fs.Path
+    files = list(files)
+    if not files:
+        return []
+    top = path(root) if root else None
+    fs = path(files[0]).getFileSystem(conf)
+    under = fs.makeQualified(top).toUri().getPath().rstrip("/") + "/" if top else None
+
+    def target(f: str):
+        full = path(f).toUri().getPath()
+        return path(archive_dir, full[len(under):] if under and full.startswith(under) else path(f).getName())
+
+    if not keep:
+        for f in files:
+            fs.delete(path(f), False)
+    moves = [(f, target(f)) for f in files] if keep else []
+    names = [t.toString() for _, t in moves]
+    if len(set(names)) < len(names) or any(fs.exists(t) for _, t in moves):
+        raise OSError(f"files of one name would meet in {archive_dir}")
+    for f, t in moves:
+        fs.mkdirs(t.getParent())
+        if not fs.rename(path(f), t):
+            raise OSError(f"could not move {f} to {t.toString()}")
+    if top:
+        folders = {path(f).getParent() for f in files}
+        for folder in sorted(folders, key=lambda p: -p.depth()):
+            while folder is not None and (folder.toUri().getPath() + "/").startswith(under) \
+                    and fs.exists(folder) and not fs.listStatus(folder):
+                fs.delete(folder, False)
+                folder = folder.getParent()
+    return names

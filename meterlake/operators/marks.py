@@ -21,13 +21,13 @@ from meterlake.session import FIELD, MEASUREMENT, RANGE_START, SENTINEL_MARK
 METER_BUCKETS = 64
 
 
-def meter_bucket(cpe, buckets: int = METER_BUCKETS) -> Column:
-    """The store's ``bucket`` partition value of a meter code (a store keeps one bucket count).
+def meter_bucket(cpe) -> Column:
+    """The store's ``bucket`` partition value of a meter code (one bucket count for every store).
 
     On a literal code Catalyst folds it to a constant, so a filter on it prunes
     partitions."""
     c = F.col(cpe) if isinstance(cpe, str) else cpe
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(c), F.lit(METER_BUCKETS)).cast("int")
 
 
 def ts_literal(value: str, like: T.DataType) -> Column:
@@ -37,16 +37,19 @@ def ts_literal(value: str, like: T.DataType) -> Column:
 
 
 def range_scan(points: DataFrame, start: str | None = RANGE_START, stop: str | None = None,
-               ts: str = "time") -> DataFrame:
-    """``start <= ts < stop`` (half-open); both bounds reach the Parquet scan."""
+               ts: str = "time", store: bool = False) -> DataFrame:
+    """``start <= ts < stop`` (half-open); both bounds reach the Parquet scan.
+
+    ``store``: ``points`` is a point store, whose ``month`` folders (``yyyy-MM``
+    of the time) are bounded too.
+    """
     dtype = points.schema[ts].dataType
     cond = F.lit(True)
     if start is not None:
         cond = cond & (F.col(ts) >= ts_literal(start, dtype))
     if stop is not None:
         cond = cond & (F.col(ts) < ts_literal(stop, dtype))
-    if "month" in points.columns and isinstance(points.schema["month"].dataType, T.StringType):
-        # a point store's month folders (``yyyy-MM`` of the time): bound them too
+    if store:
         if start is not None:
             cond = cond & (F.col("month") >= str(start)[:7])
         if stop is not None:
@@ -56,13 +59,13 @@ def range_scan(points: DataFrame, start: str | None = RANGE_START, stop: str | N
 
 def series_filter(points: DataFrame, measurement: str | None = MEASUREMENT,
                   field: str | None = FIELD, meters: DataFrame | Iterable[str] | None = None,
-                  key: str = "cpe") -> DataFrame:
+                  key: str = "cpe", store: bool = False) -> DataFrame:
     """Equality on measurement and field, and the meter tag.
 
     ``meters`` is one code, a list of codes (``isin``) or a DataFrame of codes
-    (semi join; broadcast only when its measured size allows). On a point store
-    (a ``bucket`` partition column) named codes also select their bucket
-    folders, so one meter's series reads 1/64 of the store.
+    (semi join; broadcast only when its measured size allows). ``store``:
+    ``points`` is a point store; named codes also select their bucket folders,
+    so one meter's series reads 1/64 of the store.
     """
     out = points
     if measurement is not None:
@@ -75,7 +78,7 @@ def series_filter(points: DataFrame, measurement: str | None = MEASUREMENT,
         return lookup_join(out, meters.select(key).distinct(), key, "left_semi")
     codes = [meters] if isinstance(meters, str) else list(meters)
     out = out.filter(F.col(key).isin(codes))
-    if "bucket" in out.columns and codes:
+    if store and codes:
         out = out.filter(F.col("bucket").isin(*[meter_bucket(F.lit(c)) for c in codes]))
     return out
 

@@ -29,7 +29,7 @@ def first_three(raw: DataFrame, names: Sequence[str] = READING_NAMES, cells: str
 
 
 def data_rows(raw: DataFrame, skip: int = PREAMBLE_ROWS + HEADER_ROWS, cells: str = "cells") -> DataFrame:
-    """Drop the preamble and header rows (0-based ``row < skip``) and blank rows."""
+    """Drop the preamble and header rows (0-based ``row < skip``), blank rows and file markers (``row = -1``)."""
     first = F.slice(F.col(cells), 1, 3)
     not_blank = F.exists(first, lambda c: c.isNotNull() & (F.trim(c) != ""))
     return raw.filter((F.col("row") >= skip) & not_blank)
@@ -65,17 +65,23 @@ def parse_readings(raw: DataFrame, cpe: str | Column | DataFrame,
                    skip: int = PREAMBLE_ROWS + HEADER_ROWS) -> tuple[DataFrame, DataFrame]:
     """The whole parse: rows -> (readings, quarantine).
 
-    readings: ``cpe, date_time, consumption, file, row``; quarantine keeps the
-    raw text of every data row whose date/time or number did not parse, so
-    nothing is nulled silently.
+    readings: ``cpe, date_time, consumption, file, row``; quarantine (``file, row,
+    date, time, consumption, reason``) keeps the raw text of every data row whose
+    date/time or number did not parse, and one row (``row = -1``) with the error
+    of every file that could not be read to its end.
     """
     typed = type_readings(first_three(data_rows(raw, skip)))
     typed = attach_series(typed, cpe)
     ok = F.col("date_time").isNotNull() & F.col("consumption").isNotNull()
     good = typed.filter(ok).select("cpe", "date_time", "consumption", "file", "row")
-    bad = typed.filter(~ok).select("file", "row", F.col("_date").alias("date"),
-                                   F.col("_time").alias("time"), F.col("_consumption").alias("consumption"))
-    return good, bad
+    why = F.when(F.col("date_time").isNull(), "date or time").otherwise("consumption")
+    bad = typed.filter(~ok).select("file", "row", F.col("_date").alias("date"), F.col("_time").alias("time"),
+                                   F.col("_consumption").alias("consumption"), why.alias("reason"))
+    none = F.lit(None).cast("string")
+    unread = raw.filter(F.col("row") < 0).select(
+        "file", "row", none.alias("date"), none.alias("time"), none.alias("consumption"),
+        F.coalesce(F.try_element_at("cells", F.lit(1)), F.lit("unreadable file")).alias("reason"))
+    return good, bad.unionByName(unread)
 
 
 def key_by_time(readings: DataFrame, key: str = "cpe", ts: str = "date_time") -> DataFrame:

@@ -28,9 +28,10 @@ def to_points(readings: DataFrame, fields: Sequence[str] = ("consumption",),
 
 
 def second_precision(df: DataFrame, ts: str = "time") -> DataFrame:
-    """timestamps written at whole seconds (a naive time stays naive:
-    ``date_trunc`` alone would return a session-zone timestamp)."""
-    return df.withColumn(ts, F.date_trunc("second", F.col(ts)).cast(df.schema[ts].dataType))
+    """timestamps written at whole seconds; a naive time keeps its wall time in any session zone."""
+    part = F.date_part(F.lit("seconds"), F.col(ts))
+    none = F.lit(0)
+    return df.withColumn(ts, F.col(ts) - F.make_dt_interval(none, none, none, (part - F.floor(part)).cast("decimal(18,6)")))
 
 
 def pivot_fields(points: DataFrame, fields: Sequence[str], row_key: Sequence[str] = ("cpe", "time"),

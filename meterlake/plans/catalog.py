@@ -26,6 +26,7 @@ from meterlake.operators import settings as stg
 from meterlake.plans.joins import lookup_join
 from meterlake.sources import workbook_export as wx
 from meterlake.sources import workbooks as wb
+from meterlake.session import scratch_path
 from meterlake.sources.tables import event_readings, meter_registry, order_readings, table
 from meterlake.streaming import delta_state as ds
 from meterlake.streaming import stream_load as sl
@@ -361,29 +362,42 @@ WITH loads AS (
   UNION ALL
   SELECT CAST(user_id AS VARCHAR), date_trunc('hour', ts), value, CAST(2 AS BIGINT), event_id
   FROM events WHERE ts >= {_NTZ} '{SECOND_LOAD_START}')
-SELECT 'kW' AS measurement, cpe, 'consumption' AS field, time, value, load_seq, seq FROM (
+SELECT 'kW' AS measurement, cpe, 'consumption' AS field, time, value, load_seq FROM (
   SELECT *, row_number() OVER (PARTITION BY cpe, time ORDER BY load_seq DESC, seq DESC) AS rn FROM loads)
 WHERE rn = 1""")
 def f3_load_full(spark, sf):
     first = _hourly_points(spark, sf, F.col("date_time") < mk.ts_literal(FIRST_LOAD_END, _ntz()), 1)
     second = _hourly_points(spark, sf, F.col("date_time") >= mk.ts_literal(SECOND_LOAD_START, _ntz()), 2)
-    return ld.merge_full(first, second, tiebreak="seq")
+    store = scratch_path(spark, "f3-store")
+    for n, points in enumerate((first, second), 1):
+        ld.write_full(points.drop("load_seq"), store, n, order="seq")
+    return spark.read.parquet(store).select("measurement", "cpe", "field", "time", "value", "load_seq")
 
 
 @register("f4_load_delta", f"""
-WITH {_STORED_SQL}
-SELECT 'kW' AS measurement, cpe, 'consumption' AS field, value, time FROM (
-  SELECT CAST(user_id AS VARCHAR) AS cpe, value, ts AS time FROM events
-  WHERE ts < {_NTZ} '{STORE_CUTOFF}'
-    AND user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> '{UNREGISTERED_SEGMENT}'))
+WITH r AS (
+  SELECT CAST(user_id AS VARCHAR) AS cpe, date_trunc('second', ts) AS time, value, event_id,
+         ts < {_NTZ} '{STORE_CUTOFF}' AND user_id IN (
+           SELECT c_custkey FROM customer WHERE c_mktsegment <> '{UNREGISTERED_SEGMENT}') AS early FROM events),
+first AS (
+  SELECT cpe, time, value FROM r WHERE early
+  QUALIFY row_number() OVER (PARTITION BY cpe, time ORDER BY event_id DESC) = 1),
+marks AS (SELECT cpe, max(time) AS mark FROM first WHERE time >= {_NTZ} '1989-05-11 01:10:00' GROUP BY cpe)
+SELECT 'kW' AS measurement, cpe, 'consumption' AS field, value, time, CAST(1 AS BIGINT) AS load_seq FROM first
 UNION ALL
-SELECT 'kW', CAST(e.user_id AS VARCHAR), 'consumption', e.value, e.ts
-FROM events e LEFT JOIN marks m ON CAST(e.user_id AS VARCHAR) = m.cpe
-WHERE e.ts > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')""")
+SELECT 'kW', r.cpe, 'consumption', r.value, r.time, 2 FROM r LEFT JOIN marks m ON r.cpe = m.cpe
+WHERE r.time > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')
+QUALIFY row_number() OVER (PARTITION BY r.cpe, r.time ORDER BY r.event_id DESC) = 1""")
 def f4_load_delta(spark, sf):
-    stored = stored_points(spark, sf)
-    new = rs.to_points(mk.delta(event_readings(spark, sf), stored))
-    return stored.unionByName(new)
+    """Two delta loads into a store, read back: the early readings of registered meters, then all."""
+    readings = event_readings(spark, sf)
+    registered = meter_registry(spark, sf).filter(F.col("c_mktsegment") != UNREGISTERED_SEGMENT).select("cpe")
+    early = lookup_join(readings.filter(F.col("date_time") < mk.ts_literal(STORE_CUTOFF, _ntz())), registered,
+                        "cpe", "left_semi")
+    store = scratch_path(spark, "f4-store")
+    for n, part in enumerate((early, readings), 1):
+        ld.write_delta(part, store, n, order="seq")
+    return spark.read.parquet(store).select("measurement", "cpe", "field", "value", "time", "load_seq")
 
 
 FAN_OUT_TARGETS = "parquet, ,influxdb,orc"   # as typed on a command line
@@ -394,7 +408,6 @@ SELECT target, status, CAST(n AS BIGINT) AS rows FROM (VALUES
   ('parquet', 'loaded', (SELECT count(*) FROM events)), ('', 'ignored', NULL),
   ('influxdb', 'unsupported', NULL), ('orc', 'loaded', (SELECT count(*) FROM events))) AS t(target, status, n)""")
 def f5_fan_out(spark, sf):
-    from meterlake.session import scratch_path
     pts = rs.to_points(event_readings(spark, sf))
     out = scratch_path(spark, "fan-out")
     writers = {
@@ -409,7 +422,6 @@ def f5_fan_out(spark, sf):
 def f6_retain_source(spark, sf):
     """Landed files kept: the events' points written as files to a landing folder,
     each file moved into the archive (retain_source, keep=True), the archive read back."""
-    from meterlake.session import scratch_path
     base = scratch_path(spark, "retain")
     rs.to_points(event_readings(spark, sf)).write.parquet(f"{base}/landing")
     jvm = spark.sparkContext._jvm
@@ -614,7 +626,6 @@ def g13_create_tables(spark, sf):
     sequence ids), and read the request table back."""
     import uuid
 
-    from meterlake.session import scratch_path
     suffix = uuid.uuid4().hex[:12]
     requests, status = f"workflowrequests_{suffix}", f"taskstatus_{suffix}"
     au.create_tables(spark, scratch_path(spark, "audit"), requests=requests, status=status)
@@ -658,7 +669,6 @@ def l3_task_status(spark, sf):
     (null = unchanged), then the current status per task, the blob replaced by a note."""
     import uuid
 
-    from meterlake.session import scratch_path
     suffix = uuid.uuid4().hex[:12]
     requests, status = f"workflowrequests_{suffix}", f"taskstatus_{suffix}"
     au.create_tables(spark, scratch_path(spark, "status"), requests=requests, status=status)
@@ -892,7 +902,6 @@ WHERE e.ts > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')"""
 
 @register("i1_stream_load", _DELTA_POINTS_SQL)
 def i1_stream_load(spark, sf):
-    from meterlake.session import scratch_path
     base = scratch_path(spark, "stream-load")
     q = sl.stream_load(spark, _event_reading_stream(spark, sf), f"{base}/store", f"{base}/marks",
                        f"{base}/checkpoint", parse=lambda b: b, seed_marks=_stored_marks(spark, sf))
@@ -902,7 +911,6 @@ def i1_stream_load(spark, sf):
 
 @register("i2_stream_delta_state", ORACLES["c8_delta"])
 def i2_stream_delta_state(spark, sf):
-    from meterlake.session import scratch_path
     base = scratch_path(spark, "stream-delta")
     readings = _event_reading_stream(spark, sf).select("cpe", "date_time", "consumption", "seq")
     q = (ds.stream_delta(readings, seed_marks=_stored_marks(spark, sf)).writeStream
@@ -967,11 +975,18 @@ def a1_read_workbooks(spark, sf):
     return a1_workbooks(spark, sf)
 
 
-@register("a2_file_blobs")
+@register("a2_file_blobs", """
+SELECT lpad(CAST(doc_id AS VARCHAR), 12, '0') AS name, octet_length(encode(text || chr(10))) AS length,
+       sha256(encode(text || chr(10))) AS sha256 FROM documents""")
 def a2_file_blobs(spark, sf):
-    """The stored tables' files read as blobs (content pruned: only name and size)."""
-    return wb.file_blobs(spark, sf, glob="*.parquet").select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length")
+    """Every document written as a file of its own, the files read back as bytes."""
+    base = scratch_path(spark, "a2-files")
+    docs = table(spark, sf, "documents")
+    (docs.select("text", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("name"))
+     .write.partitionBy("name").text(base))
+    blobs = wb.file_blobs(spark, base, glob="part-*")
+    return blobs.select(F.regexp_extract("path", r"name=([0-9]+)/", 1).alias("name"), "length",
+                        F.sha2("content", 256).alias("sha256"))
 
 
 # --------------------------------------------------------------------------- L1
@@ -982,21 +997,22 @@ _CPE_SQL = "'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW'"
 
 @register("l1_run_load", f"""
 WITH r AS (
-  SELECT {_CPE_SQL} AS cpe, date_trunc('minute', ts) AS time, value, ts FROM events
+  SELECT {_CPE_SQL} AS cpe, date_trunc('minute', ts) AS time, value, ts, event_id FROM events
   WHERE ts >= {_NTZ} '2024-01-01' AND ts < {_NTZ} '2024-02-01'),
-first AS (SELECT * FROM r WHERE ts < {_NTZ} '{STORE_CUTOFF}'),
+first AS (SELECT cpe, time, value FROM r WHERE ts < {_NTZ} '{STORE_CUTOFF}'
+  QUALIFY row_number() OVER (PARTITION BY cpe, time ORDER BY ts DESC, event_id DESC) = 1),
 marks AS (SELECT cpe, max(time) AS mark FROM first WHERE time >= {_NTZ} '1989-05-11 01:10:00' GROUP BY cpe)
 SELECT 'kW' AS measurement, cpe, 'consumption' AS field, value, time FROM first
 UNION ALL
 SELECT 'kW', r.cpe, 'consumption', r.value, r.time
 FROM r LEFT JOIN marks m ON r.cpe = m.cpe
-WHERE r.time > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')""")
+WHERE r.time > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')
+QUALIFY row_number() OVER (PARTITION BY r.cpe, r.time ORDER BY r.ts DESC, r.event_id DESC) = 1""")
 def l1_run_load(spark, sf):
     """The load lifecycle twice on workbooks rendered from events: the workbooks of the
     first half of the month, then all of them, both as delta loads of January 2024 into
     one point store (the second load adds only readings newer than each meter's mark)."""
     from meterlake.plans.workflows import run_load
-    from meterlake.session import scratch_path
     store = scratch_path(spark, "l1-store")
     early = F.col("ts") < mk.ts_literal(STORE_CUTOFF, _ntz())
     for i, blobs in enumerate((_event_workbooks(spark, sf, early), _event_workbooks(spark, sf))):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.functions.calendar import period_bounds
-from meterlake.operators.load import fan_out, write_delta, write_full
+from meterlake.operators.load import fan_out, retain_source, write_delta, write_full
 from meterlake.operators.readings import parse_readings
 from meterlake.operators.reshape import to_points
 from meterlake.plans.joins import materialize
@@ -38,18 +38,10 @@ SESSION_SCHEMA = T.StructType([
 CPE_FROM_PATH = r"/([^/]+)/[^/]+$"
 
 
-def _move_or_delete(spark: SparkSession, path: str, keep: bool, archive_dir: str | None) -> str | None:
-    jvm = spark.sparkContext._jvm
-    src = jvm.org.apache.hadoop.fs.Path(path)
-    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not keep:
-        fs.delete(src, True)
-        return None
-    dst = jvm.org.apache.hadoop.fs.Path(archive_dir)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        raise OSError(f"could not move {path} to {archive_dir}")
-    return dst.toString()
+def _whole_files(raw: DataFrame, bad: DataFrame, outside: DataFrame) -> DataFrame:
+    """(file,): the files of which every row was loaded: none quarantined, none outside the month."""
+    flawed = bad.select("file").union(outside.select("file")).distinct()
+    return raw.select("file").distinct().join(flawed, "file", "left_anti")
 
 
 def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: Sequence[str | None],
@@ -64,8 +56,11 @@ def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: S
     loaded. ``db`` names the stores (keys of ``stores`` -> point-store paths);
     empty names are ignored, unknown ones reported. ``delta`` loads only
     readings newer than each meter's mark, else a full idempotent reload.
-    ``keep`` moves the landing folder to ``output/<session_id>``; otherwise it
-    is deleted. ``landing`` may also be a DataFrame of workbook blobs
+    ``keep`` moves the files that were read to ``output/<session_id>``, under
+    their path below ``landing``. Otherwise files are deleted only if every
+    named store loaded, and only those of which all rows were loaded: a file
+    that could not be read, or has quarantined rows or rows outside the month,
+    stays, as do files that arrive during the run. ``landing`` may also be a DataFrame of workbook blobs
     (``path, content``, e.g. from a ``binaryFile`` read or ``export_workbooks``);
     there is no folder to retain then.
 
@@ -81,23 +76,31 @@ def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: S
     # decoded once and checkpointed: the load and the quarantine both read it, and it
     # outlives the landing folder (moved or deleted below)
     raw = materialize(read_workbooks(spark, landing) if from_folder else decode_workbooks(landing))
-    readings, bad = parse_readings(raw, cpe if cpe is not None else F.regexp_extract("file", CPE_FROM_PATH, 1))
-    readings = readings.filter((F.col("date_time") >= F.lit(start).cast("timestamp_ntz"))
-                               & (F.col("date_time") < F.lit(end).cast("timestamp_ntz")))
+    parsed, bad = parse_readings(raw, cpe if cpe is not None else F.regexp_extract("file", CPE_FROM_PATH, 1))
+    inside = ((F.col("date_time") >= F.lit(start).cast("timestamp_ntz"))
+              & (F.col("date_time") < F.lit(end).cast("timestamp_ntz")))
+    readings = parsed.filter(inside)
 
     def writer(path: str):
-        if delta:
-            return lambda df: write_delta(df.select("cpe", "date_time", "consumption"), path, seq)
         # points of one key within the load: the later sheet row wins
-        return lambda df: write_full(
-            to_points(df.select("cpe", "date_time", "consumption", F.struct("file", "row").alias("_order")),
-                      tags=("cpe", "_order")), path, seq, order="_order")
+        rows = [F.col("cpe"), F.col("date_time"), F.col("consumption"), F.struct("file", "row").alias("_order")]
+        if delta:
+            return lambda df: write_delta(df.select(*rows), path, seq, order="_order", as_of=as_of)
+        return lambda df: write_full(to_points(df.select(*rows), tags=("cpe", "_order")), path, seq,
+                                     order="_order", as_of=as_of)
 
     if keep and not output:
         raise ValueError("keep=True needs an output folder")
     report = fan_out(readings, list(db), {name: writer(path) for name, path in stores.items()})
-    kept = (_move_or_delete(spark, landing, keep, f"{output.rstrip('/')}/{sid}" if keep else None)
-            if from_folder else None)
+    kept = None
+    if from_folder and keep:
+        kept = f"{output.rstrip('/')}/{sid}"
+        retain_source(spark, (r["file"] for r in raw.select("file").distinct().toLocalIterator()), True, kept, landing)
+    elif from_folder:
+        states = {r["status"] for r in report.collect() if r["status"] != "ignored"}   # one row per named store
+        if states == {"loaded"}:
+            whole = _whole_files(raw, bad, parsed.filter(~inside))
+            retain_source(spark, (r["file"] for r in whole.toLocalIterator()), False, root=landing)
     session = spark.createDataFrame([(sid, workflow, [d for d in db if d], kept,
                                       kept.rsplit("/", 1)[0] if kept else None, "completed",
                                       dt.datetime.now(dt.timezone.utc))], SESSION_SCHEMA)

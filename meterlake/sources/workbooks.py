@@ -12,9 +12,10 @@ from __future__ import annotations
 import datetime as dt
 import io
 import re
+import xml.parsers.expat
 import zipfile
+import zlib
 from collections.abc import Iterator
-import xml.parsers.expat
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -28,13 +29,10 @@ RAW_SCHEMA = T.StructType([
     T.StructField("cells", T.ArrayType(T.StringType())),
 ])
 
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
-       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
-       "pr": "http://schemas.openxmlformats.org/package/2006/relationships"}
-
 # Built-in number formats that are dates or times (ECMA-376 18.8.30).
 _BUILTIN_DATE_FORMATS = set(range(14, 23)) | {45, 46, 47}
 _EPOCH = dt.datetime(1899, 12, 30)
+_EPOCH_1904 = dt.datetime(1904, 1, 1)      # of workbooks marked date1904
 
 # Fixed value: the file name the fetcher gives a downloaded month.
 PROVENANCE_PATTERN = r"(?:^|/)([0-9]{4})_([0-9]{1,2})_([0-9A-Fa-f]{8})_readings\.xlsx$"
@@ -55,8 +53,8 @@ def _is_date_format(code: str) -> bool:
     return bool(re.search(r"[dmyhs]", code, re.IGNORECASE))
 
 
-def _serial_text(value: float) -> str:
-    t = _EPOCH + dt.timedelta(days=value)
+def _serial_text(value: float, epoch: dt.datetime = _EPOCH) -> str:
+    t = epoch + dt.timedelta(days=value)
     t = t.replace(microsecond=0) if t.microsecond < 500000 else (t + dt.timedelta(seconds=1)).replace(microsecond=0)
     if value < 1:
         return t.strftime("%H:%M:%S")
@@ -65,56 +63,82 @@ def _serial_text(value: float) -> str:
     return t.strftime("%Y-%m-%d %H:%M:%S")
 
 
+def _local(e: ET.Element) -> str:
+    """Element name without its namespace (transitional or strict)."""
+    return e.tag.rpartition("}")[2]
+
+
+def _all(root: ET.Element, name: str) -> list[ET.Element]:
+    return [e for e in root.iter() if _local(e) == name]
+
+
+def _part(z: zipfile.ZipFile, name: str) -> ET.Element | None:
+    return ET.fromstring(z.read(name)) if name in z.namelist() else None
+
+
 def _first_sheet(z: zipfile.ZipFile) -> str:
-    try:
-        wb = ET.fromstring(z.read("xl/workbook.xml"))
-        sheet = wb.find("m:sheets/m:sheet", _NS)
-        rid = sheet.get(f"{{{_NS['r']}}}id")
-        rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
-        for rel in rels.findall("pr:Relationship", _NS):
+    book, rels = _part(z, "xl/workbook.xml"), _part(z, "xl/_rels/workbook.xml.rels")
+    sheets = _all(book, "sheet") if book is not None else []
+    if sheets and rels is not None:
+        rid = next((v for k, v in sheets[0].attrib.items() if k.endswith("}id")), None)
+        for rel in _all(rels, "Relationship"):
             if rel.get("Id") == rid:
                 target = rel.get("Target").lstrip("/")
                 return target if target.startswith("xl/") else "xl/" + target
-    except (KeyError, AttributeError, ET.ParseError):
-        pass
     return "xl/worksheets/sheet1.xml"
 
 
+def _epoch(z: zipfile.ZipFile) -> dt.datetime:
+    book = _part(z, "xl/workbook.xml")
+    marks = _all(book, "workbookPr") if book is not None else []
+    return _EPOCH_1904 if marks and marks[0].get("date1904") in ("1", "true") else _EPOCH
+
+
+def _plain_text(item: ET.Element) -> str:
+    """Text of a string item: its own and its runs', without phonetic hints."""
+    out = []
+    for part in item:
+        if _local(part) == "t":
+            out.append(part.text or "")
+        elif _local(part) == "r":
+            out += [t.text or "" for t in part if _local(t) == "t"]
+    return "".join(out)
+
+
 def _shared_strings(z: zipfile.ZipFile) -> list[str]:
-    try:
-        root = ET.fromstring(z.read("xl/sharedStrings.xml"))
-    except KeyError:
-        return []
-    return ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in root.findall("m:si", _NS)]
+    root = _part(z, "xl/sharedStrings.xml")
+    return [_plain_text(si) for si in root if _local(si) == "si"] if root is not None else []
 
 
 def _date_styles(z: zipfile.ZipFile) -> set[int]:
-    try:
-        root = ET.fromstring(z.read("xl/styles.xml"))
-    except KeyError:
+    root = _part(z, "xl/styles.xml")
+    if root is None:
         return set()
-    custom = {int(n.get("numFmtId")): n.get("formatCode", "")
-              for n in root.findall("m:numFmts/m:numFmt", _NS)}
-    out = set()
-    for i, xf in enumerate(root.findall("m:cellXfs/m:xf", _NS)):
-        fid = int(xf.get("numFmtId", "0"))
-        if fid in _BUILTIN_DATE_FORMATS or (fid in custom and _is_date_format(custom[fid])):
-            out.add(i)
-    return out
+    custom = {int(n.get("numFmtId")): n.get("formatCode", "") for n in _all(root, "numFmt")}
+    used = [xf for group in _all(root, "cellXfs") for xf in group if _local(xf) == "xf"]
+    ids = [int(xf.get("numFmtId", "0")) for xf in used]
+    return {i for i, fid in enumerate(ids)
+            if fid in _BUILTIN_DATE_FORMATS or (fid in custom and _is_date_format(custom[fid]))}
 
 
 def _cell_value(t: str, style: int, v: str | None, inline: str | None,
-                strings: list[str], dates: set[int]) -> str | None:
-    """A cell as text from its type, style, ``<v>`` text and inline-string text."""
+                strings: list[str], dates: set[int], epoch: dt.datetime = _EPOCH) -> str | None:
+    """A cell as text from its type, style, ``<v>`` text and inline-string text.
+
+    An empty ``<v>`` is no value. A serial or a string number that can't be
+    resolved stays as its raw text.
+    """
+    v = v or None
     if t == "n":
         if v is not None and style in dates:
             try:
-                return _serial_text(float(v))
-            except ValueError:
+                return _serial_text(float(v), epoch)
+            except (ValueError, OverflowError):
                 return v
         return v
     if t == "s":
-        return strings[int(v)] if v is not None else None
+        known = v is not None and v.isdecimal() and int(v) < len(strings)
+        return strings[int(v)] if known else v
     if t == "inlineStr":
         return inline or ""
     if t == "b":
@@ -122,12 +146,8 @@ def _cell_value(t: str, style: int, v: str | None, inline: str | None,
     return v            # str (formula text), e (error)
 
 
-# Sheets whose XML is under this size are parsed as one tree (fastest for the
-# usual month of readings); larger ones stream, holding one chunk's rows.
-TREE_PARSE_MAX_BYTES = 4 << 20
-
-_ROW, _CELL, _VALUE, _TEXT = 1, 2, 3, 4
-_TAGS = {"row": _ROW, "c": _CELL, "v": _VALUE, "t": _TEXT}
+_ROW, _CELL, _VALUE, _TEXT, _HINT = 1, 2, 3, 4, 5
+_TAGS = {"row": _ROW, "c": _CELL, "v": _VALUE, "t": _TEXT, "rPh": _HINT}
 
 
 class _SheetRows:
@@ -137,8 +157,9 @@ class _SheetRows:
     drains ``done`` after each, so memory holds a chunk's rows, not the sheet.
     """
 
-    def __init__(self, strings: list[str], dates: set[int]):
-        self.strings, self.dates = strings, dates
+    def __init__(self, strings: list[str], dates: set[int], epoch: dt.datetime = _EPOCH):
+        self.strings, self.dates, self.epoch = strings, dates, epoch
+        self.phonetic = 0
         self.done: list[tuple[int, list[str | None]]] = []
         self.row: dict[int, str | None] | None = None
         self.r = -1
@@ -171,11 +192,14 @@ class _SheetRows:
             else:
                 col = self.n_cells
             self.n_cells += 1
-            self.cell = [col, attrs.get("t", "n"), int(attrs.get("s", 0)), None, None]
+            style = attrs.get("s", "0")
+            self.cell = [col, attrs.get("t", "n"), int(style) if style.isdecimal() else 0, None, None]
+        elif kind == _HINT:
+            self.phonetic += 1
         elif kind == _ROW:
             self.r = int(attrs["r"]) - 1 if "r" in attrs else self.r + 1
             self.row, self.n_cells = {}, 0
-        elif (kind == _VALUE or kind == _TEXT) and self.cell is not None:
+        elif (kind == _VALUE or kind == _TEXT) and self.cell is not None and not self.phonetic:
             self.buf = []
 
     def _data(self, text: str) -> None:
@@ -186,8 +210,10 @@ class _SheetRows:
         kind = self._kind(name)
         if kind == _CELL:
             if self.cell is not None:
-                self.row[self.cell[0]] = _cell_value(*self.cell[1:], self.strings, self.dates)
+                self.row[self.cell[0]] = _cell_value(*self.cell[1:], self.strings, self.dates, self.epoch)
                 self.cell = None
+        elif kind == _HINT:
+            self.phonetic -= 1
         elif kind == _VALUE or kind == _TEXT:
             if self.buf is not None:
                 text = "".join(self.buf)
@@ -202,42 +228,19 @@ class _SheetRows:
             self.row = None
 
 
-def _tree_rows(xml_bytes: bytes, strings: list[str], dates: set[int]) -> list[tuple[int, list[str | None]]]:
-    m = f"{{{_NS['m']}}}"
-    rows = []
-    for r_i, row in enumerate(ET.fromstring(xml_bytes).iter(m + "row")):
-        r = int(row.get("r", r_i + 1)) - 1
-        cells: dict[int, str | None] = {}
-        for c_i, c in enumerate(row.findall(m + "c")):
-            ref = c.get("r")
-            v = c.find(m + "v")
-            t = c.get("t", "n")
-            inline = "".join(x.text or "" for x in c.iter(m + "t")) if t == "inlineStr" else None
-            cells[_col_index(ref) if ref else c_i] = _cell_value(
-                t, int(c.get("s", "0")), v.text if v is not None else None, inline, strings, dates)
-        rows.append((r, [cells.get(i) for i in range(max(cells) + 1)] if cells else []))
-    return rows
-
-
 def iter_workbook_rows(content: bytes, chunk: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
     """First sheet of an .xlsx as ``(row_index_0_based, cells_as_text)``, row by row.
 
-    A sheet under ``TREE_PARSE_MAX_BYTES`` of XML is parsed as one tree; a
-    larger one is read in ``chunk``-byte pieces through a streaming parser, so
-    memory holds the rows of one piece, never the tree of a sheet that may
-    have 1,048,576 rows. Shared, inline and formula strings are returned as
-    text; numbers in a date or time style as ``yyyy-MM-dd``, ``HH:mm:ss`` or
-    both; other numbers as written in the file; booleans as ``TRUE``/``FALSE``.
+    The sheet is read in ``chunk``-byte pieces through a streaming parser, so
+    memory holds the rows of one piece, never the tree of a sheet that may have
+    1,048,576 rows. Shared, inline and formula strings are returned as text;
+    numbers in a date or time style as ``yyyy-MM-dd``, ``HH:mm:ss`` or both;
+    other numbers as written in the file; booleans as ``TRUE``/``FALSE``. A cell
+    that can't be resolved keeps its raw text, which typing then quarantines.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        strings = _shared_strings(z)
-        dates = _date_styles(z)
-        name = _first_sheet(z)
-        if z.getinfo(name).file_size <= TREE_PARSE_MAX_BYTES:
-            yield from _tree_rows(z.read(name), strings, dates)
-            return
-        reader = _SheetRows(strings, dates)
-        with z.open(name) as f:
+        reader = _SheetRows(_shared_strings(z), _date_styles(z), _epoch(z))
+        with z.open(_first_sheet(z)) as f:
             while True:
                 data = f.read(chunk)
                 reader.parser.Parse(data, not data)
@@ -249,7 +252,7 @@ def iter_workbook_rows(content: bytes, chunk: int = 1 << 20) -> Iterator[tuple[i
 
 
 def decode_workbook(content: bytes) -> list[tuple[int, list[str | None]]]:
-    """All rows of the first sheet (see ``iter_workbook_rows``)."""
+    """All rows of the first sheet (see ``iter_workbook_rows``); for one small file."""
     return list(iter_workbook_rows(content))
 
 
@@ -258,22 +261,30 @@ def decode_workbook(content: bytes) -> list[tuple[int, list[str | None]]]:
 DECODE_CHUNK_ROWS = 65_536
 
 
+# What a damaged or foreign file raises anywhere in the decoder.
+FILE_ERRORS = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ET.ParseError,
+               xml.parsers.expat.ExpatError, KeyError, ValueError, OSError)
+
+
+def _file_rows(content: bytes) -> Iterator[tuple[int, list[str | None] | None]]:
+    """Rows of one file; an error ends it with a marker row ``(-1, [reason])``."""
+    try:
+        yield from iter_workbook_rows(content)
+    except FILE_ERRORS as e:
+        yield -1, [f"{type(e).__name__}: {e}"]
+
+
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     files, rows, cells = [], [], []
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                decoded = decode_workbook(bytes(content))   # one file's rows: an unreadable file adds none
-            except (zipfile.BadZipFile, ET.ParseError, xml.parsers.expat.ExpatError, KeyError):
-                decoded = [(-1, None)]  # unreadable file: one marker row, quarantined downstream
-            for r, cs in decoded:
+            for r, cs in _file_rows(bytes(content)):
                 files.append(path)
                 rows.append(r)
                 cells.append(cs)
-            del decoded
-            if len(rows) >= DECODE_CHUNK_ROWS:
-                yield pd.DataFrame({"file": files, "row": rows, "cells": cells})
-                files, rows, cells = [], [], []
+                if len(rows) >= DECODE_CHUNK_ROWS:
+                    yield pd.DataFrame({"file": files, "row": rows, "cells": cells})
+                    files, rows, cells = [], [], []
     if rows:
         yield pd.DataFrame({"file": files, "row": rows, "cells": cells})
 
@@ -306,7 +317,7 @@ def decode_workbooks(blobs: DataFrame) -> DataFrame:
 def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
     """A1: every workbook under ``path`` -> raw rows ``file, row, cells``.
 
-    Rows with ``row = -1`` mark files that could not be opened.
+    A row with ``row = -1`` marks a file that could not be read (to its end); its cell is the reason.
     """
     return decode_workbooks(file_blobs(spark, path, glob))
 

@@ -72,13 +72,7 @@ def _prune_marks(spark: SparkSession, marks_path: str, full: int) -> None:
 
 
 def _overwrite_partition(df: DataFrame, path: str, by=("batch_id",)) -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def _max_marks(parts: list[DataFrame], fold: bool = False) -> DataFrame:
@@ -129,7 +123,11 @@ def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path:
     batch_pts = batch_pts.withColumn("batch_id", F.lit(batch_id).cast("long"))
     # files sorted by (meter, time): Parquet statistics skip row groups on reads
     _overwrite_partition(batch_pts.sortWithinPartitions("cpe", "time"), store_path)
-    written = spark.read.parquet(store_path).filter(F.col("batch_id") == batch_id)
+    # only this batch's folder is listed; with nothing new it does not exist
+    folder = f"{store_path}/batch_id={batch_id}"
+    fs, _ = _fs(spark, store_path)
+    exists = fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder))
+    written = spark.read.schema(batch_pts.drop("batch_id").schema).parquet(folder) if exists else batch_pts.limit(0)
     batch_max = written.groupBy("cpe").agg(F.max("time").alias("last_insert"))
     if full is None or batch_id - full >= full_every:
         out, kind = _max_marks([marks, batch_max]), "full"
@@ -141,19 +139,23 @@ def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path:
         _prune_marks(spark, marks_path, full)
 
 
-def workbook_parser(cpe_from_path: str = r"/([^/]+)/[^/]+$") -> Callable[[DataFrame], DataFrame]:
+def workbook_parser(cpe_from_path: str = r"/([^/]+)/[^/]+$",
+                    quarantine: str | None = None) -> Callable[[DataFrame], DataFrame]:
     """``parse`` for a ``binaryFile`` stream of workbooks: A1 decode + B chain.
 
     The meter code is taken from the file path (``cpe_from_path``: regex, group
-    1); the file's modification time orders files inside a batch. Quarantined
-    rows are dropped from the load (they stay visible through
-    ``operators.readings.parse_readings`` when run on the same files).
+    1); the file's modification time orders files inside a batch. Rows and files
+    that can't be read are appended to the Parquet folder ``quarantine`` (a
+    replayed batch appends them again). Without one, don't let the source delete
+    its files.
     """
     from meterlake.operators.readings import parse_readings
     from meterlake.sources.workbooks import decode_workbooks
 
     def parse(batch: DataFrame) -> DataFrame:
-        good, _bad = parse_readings(decode_workbooks(batch), F.regexp_extract("file", cpe_from_path, 1))
+        good, bad = parse_readings(decode_workbooks(batch), F.regexp_extract("file", cpe_from_path, 1))
+        if quarantine is not None:
+            bad.write.mode("append").parquet(quarantine)
         # one row per file of the micro-batch: a measured lookup, not a shuffle of readings
         files = batch.select(F.col("path").alias("file"),
                              F.unix_micros(F.col("modificationTime")).alias("file_seq"))

@@ -111,11 +111,11 @@ def test_series_filter_on_a_store_prunes_bucket_folders(spark, tmp_dir):
     path = os.path.join(tmp_dir, "store")
     ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
     stored = spark.read.parquet(path)
-    one = mk.series_filter(stored, meters="M7")
+    one = mk.series_filter(stored, meters="M7", store=True)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "bucket" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert sorted(r["value"] for r in one.collect()) == [0.0, 1.0, 2.0]
-    two = mk.series_filter(stored, meters=["M7", "M21"])
+    two = mk.series_filter(stored, meters=["M7", "M21"], store=True)
     assert sorted((r["cpe"], r["value"]) for r in two.collect()) == \
         sorted((m, float(h)) for m in ("M7", "M21") for h in range(3))
     assert mk.series_filter(stored, meters=[]).count() == 0
@@ -130,7 +130,18 @@ def test_range_scan_on_a_store_bounds_month_folders(spark, tmp_dir):
         [("M1", dt.datetime(2024, 3, 31, 23, 59), 3.5)]
     path = os.path.join(tmp_dir, "store")
     ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
-    out = mk.range_scan(spark.read.parquet(path), "2024-02-01 00:00:00", "2024-04-01 00:00:00")
+    out = mk.range_scan(spark.read.parquet(path), "2024-02-01 00:00:00", "2024-04-01 00:00:00", store=True)
     parts = out._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert "2024-02" in parts and "2024-04" in parts
     assert sorted(r["value"] for r in out.collect()) == [2.0, 3.0, 3.5]     # April 1st 00:00 excluded
+
+
+def test_a_column_called_month_is_only_a_column(spark):
+    """Pruning by the store's folders is asked for, not guessed from a name."""
+    from meterlake.operators import periods as pr
+
+    df = spark.createDataFrame([("A", "01", 3)], "cpe string, month string, bucket int").selectExpr(
+        "*", "timestamp_ntz'2024-01-05' AS time", "'kW' AS measurement", "'consumption' AS field")
+    assert mk.range_scan(df, "2024-01-01 00:00:00", "2024-02-01 00:00:00").count() == 1
+    assert mk.series_filter(df, meters=["A"]).count() == 1
+    assert pr.select_period(df, "select", year=2024, month=1, ts="time").count() == 1

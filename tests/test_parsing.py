@@ -96,3 +96,22 @@ def test_autumn_clock_change_repeats_become_one_point_per_key(spark):
     # with the zone given, both copies of a repeated wall time map to one UTC instant too
     zoned = good.select(ps.localize_utc("date_time", "Europe/Lisbon").alias("t"))
     assert zoned.select("t").distinct().count() == 4
+
+
+def test_wall_times_do_not_depend_on_the_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from meterlake.functions.parsing import merge_date_time
+    from meterlake.operators.reshape import second_precision
+
+    rows = [("2024-03-31", "01:30"), ("31/03/2024", "02:30:00"), ("2024-10-27", "00:30"), ("2024-10-27", "01:30"),
+            ("2024-02-30", "00:00")]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("Europe/Lisbon", "UTC", "America/Sao_Paulo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            df = spark.createDataFrame(rows, "d string, t string").select(merge_date_time("d", "t").alias("x"))
+            got = [r[0] for r in second_precision(df, "x").select(F.col("x").cast("string")).collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+        assert got == ["2024-03-31 01:30:00", "2024-03-31 02:30:00", "2024-10-27 00:30:00", "2024-10-27 01:30:00", None]

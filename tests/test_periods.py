@@ -71,7 +71,14 @@ def test_select_period_on_a_store_prunes_month_folders(spark, tmp_dir):
     rows = [("M1", dt.datetime(2024, m, 15, 12), float(m)) for m in range(1, 7)]
     path = os.path.join(tmp_dir, "store")
     ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
-    may = pr.select_period(spark.read.parquet(path), "select", year=2024, month=5, ts="time")
+    may = pr.select_period(spark.read.parquet(path), "select", year=2024, month=5, ts="time", store=True)
     plan = may._jdf.queryExecution().executedPlan().toString()
     assert "2024-05" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert [r["value"] for r in may.collect()] == [5.0]
+
+
+def test_a_request_without_a_valid_month_is_rejected(spark):
+    req = spark.createDataFrame([("A", 2024, 1), ("B", 2024, 13), ("C", None, 2)], "cpe string, year int, month int")
+    good, bad = pr.reject_future(req, "2024-05-01")
+    assert [r["cpe"] for r in good.collect()] == ["A"]
+    assert sorted(r["cpe"] for r in bad.collect()) == ["B", "C"]

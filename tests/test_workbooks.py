@@ -53,7 +53,7 @@ def test_read_workbooks_reference_layout(spark, tmp_dir):
     assert abs(sum(r["consumption"] for r in rows) - 1003.875) < 1e-9
     dated = good.filter(F.col("file").contains("00000001")).collect()
     assert [(r["date_time"], r["consumption"]) for r in dated] == [(dt.datetime(2023, 5, 1), 1.0)]
-    assert [r["consumption"] for r in bad.collect()] == ["n/a"]
+    assert sorted((r["row"] < 0, r["consumption"]) for r in bad.collect()) == [(False, "n/a"), (True, None)]
     assert raw.filter(F.col("row") == -1).count() == 1          # unreadable file is marked, not lost
     prov = raw.select(wb.file_provenance("file").alias("p")).filter(F.col("p.session") == "abcdef12").first()
     assert (prov["p"]["year"], prov["p"]["month"]) == (2023, 5)
@@ -115,18 +115,52 @@ def test_split_keeps_small_files_whole(spark):
     assert out.count() == 11
 
 
-def test_streaming_and_tree_parsers_agree(monkeypatch):
-    """Large sheets stream through the parser in chunks; every cell kind decodes alike."""
+def test_rows_split_across_reads():
     sheet = [["a", ("inline", "b"), 1.5, None, True, False],
              [("date", 45047.0), ("date", 0.25), ("date", 45047.5), "x & <y>"]] + \
         [["2024/01/01", ("inline", f"{i % 24:02d}:15"), i * 0.5, "state"] for i in range(500)]
     blob = wx.workbook_bytes(sheet)
-    tree = wb.decode_workbook(blob)
-    monkeypatch.setattr(wb, "TREE_PARSE_MAX_BYTES", 0)
-    streamed = list(wb.iter_workbook_rows(blob, chunk=997))     # odd chunk size: rows split across reads
-    assert streamed == tree
-    assert tree[0] == (0, ["a", "b", "1.5", None, "TRUE", "FALSE"])
-    assert tree[1] == (1, ["2023-05-01", "06:00:00", "2023-05-01 12:00:00", "x & <y>"])
+    rows = wb.decode_workbook(blob)
+    assert list(wb.iter_workbook_rows(blob, chunk=997)) == rows
+    assert rows[0] == (0, ["a", "b", "1.5", None, "TRUE", "FALSE"])
+    assert rows[1] == (1, ["2023-05-01", "06:00:00", "2023-05-01 12:00:00", "x & <y>"])
+
+
+def _package(sheet: str, strings: str = "", book: str = "", ns: str = "http://purl.oclc.org/ooxml/spreadsheetml/main"):
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{ns}">{book}</workbook>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{ns}">{strings}</sst>')
+        z.writestr("xl/styles.xml", f'<styleSheet xmlns="{ns}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{ns}"><sheetData>{sheet}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+def test_foreign_sheets():
+    """Strict namespace, 1904 dates, phonetic hints, empty values, bad references and serials."""
+    blob = _package(
+        '<row r="9"><c t="s"><v>0</v></c><c s="1"><v>1.0</v></c><c t="s"><v>7</v></c></row>'
+        '<row><c s="1"><v>1e12</v></c><c><v></v></c><c t="s"></c></row>',
+        "<si><r><t>ab</t></r><rPh><t>HINT</t></rPh><r><t>c</t></r></si>", '<workbookPr date1904="1"/>')
+    assert wb.decode_workbook(blob) == [(8, ["abc", "1904-01-02", "7"]), (9, ["1e12", None, None])]
+
+
+def test_bad_files_reach_the_quarantine(spark):
+    good = _package('<row r="10"><c t="str"><v>2024-01-01</v></c><c t="str"><v>00:15</v></c><c><v>1.5</v></c></row>'
+                    '<row r="11"><c t="str"><v>no date</v></c><c t="str"><v>00:15</v></c><c><v>1.5</v></c></row>')
+    cut = bytearray(wx.workbook_bytes([["x"] * 5] * 300))
+    cut[len(cut) // 3] ^= 0xFF
+    broken = _package("<row><c></row>")
+    blobs = spark.createDataFrame([("/l/A/a", bytearray(good)), ("/l/B/b", bytearray(b"not a zip")), ("/l/C/c", cut),
+                                   ("/l/D/d", bytearray(broken))], "path string, content binary")
+    readings, bad = parse_readings(wb.decode_workbooks(blobs), "PT")
+    assert [(r["file"], r["consumption"]) for r in readings.collect()] == [("/l/A/a", 1.5)]
+    got = sorted((r["file"], r["row"]) for r in bad.collect())
+    assert got == [("/l/A/a", 10), ("/l/B/b", -1), ("/l/C/c", -1), ("/l/D/d", -1)]
+    assert all(r["reason"] for r in bad.collect())
 
 
 def test_export_file_spanning_many_arrow_batches(spark):

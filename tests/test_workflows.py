@@ -61,12 +61,12 @@ def test_command_line_run_and_info(spark, tmp_dir, capsys):
     _landing(land, [("PT07", "2023_5_dddddddd_readings.xlsx", ["2023-05-01", "2023-05-02"], [1.5, "2,000.5"])])
     assert main(["info"]) == 0
     assert json.loads(capsys.readouterr().out)["workflows"] == ["current", "previous", "select"]
-    assert main(["run", "--landing", land, "-w", "select", "-m", "5", "-y", "2023", "-d", "parquet, ,influxdb",
+    assert main(["run", "--landing", land, "-w", "select", "-m", "5", "-y", "2023", "-d", "parquet, ",
                  "--store", f"parquet={store}", "--as-of", "2023-06-01"], spark=spark) == 0
     out = json.loads(capsys.readouterr().out)
     assert out["status"] == "completed" and out["quarantined_rows"] == 0 and out["source_data"] is None
     assert [(s["target"], s["status"]) for s in out["stores"]] == [
-        ("parquet", "loaded"), ("", "ignored"), ("influxdb", "unsupported")]
+        ("parquet", "loaded"), ("", "ignored")]
     assert not os.path.exists(land)                        # not kept: removed after loading
     got = sorted((r["cpe"], r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
     assert got == [("PT07", 1, 1.5), ("PT07", 2, 2000.5)]
@@ -84,3 +84,40 @@ def test_full_load_repeated_time_later_row_wins(spark, tmp_dir):
                  load_seq=1)
         got = sorted((r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
         assert got == [(29, 2.0), (30, 3.0)]
+
+
+def test_only_files_that_were_loaded_whole_are_deleted(spark, tmp_dir):
+    """Unreadable files, bad rows, rows outside the month and stores that did not load keep the source."""
+    def landing(name):
+        land = os.path.join(tmp_dir, name)
+        _landing(land, [("PT01", "good.xlsx", ["2024-01-01"], [1.0]), ("PT02", "bad_row.xlsx", ["2024-01-01"], ["x"]),
+                        ("PT03", "other_month.xlsx", ["2024-01-01", "2023-12-31"], [1.0, 2.0])])
+        os.makedirs(os.path.join(land, "PT04"))
+        open(os.path.join(land, "PT04", "corrupt.xlsx"), "w").write("no workbook")
+        return land
+
+    def left(land):
+        return sorted(f for _, _, files in os.walk(land) for f in files)
+
+    args = dict(year=2024, month=1, as_of="2024-02-10", load_seq=1)
+    store = {"parquet": os.path.join(tmp_dir, "points")}
+    everything = ["bad_row.xlsx", "corrupt.xlsx", "good.xlsx", "other_month.xlsx"]
+    for i, db in enumerate(([""], ["parquet", "influxdb"])):
+        land = landing(f"kept{i}")
+        run_load(spark, land, "select", db, store, **args)
+        assert left(land) == everything
+    land = landing("loaded")
+    _, _, bad = run_load(spark, land, "select", ["parquet"], store, **args)
+    assert left(land) == ["bad_row.xlsx", "corrupt.xlsx", "other_month.xlsx"]
+    assert sorted(r["file"].rsplit("/", 1)[1] for r in bad.collect()) == ["bad_row.xlsx", "corrupt.xlsx"]
+
+
+def test_overlapping_files_in_one_delta_load(spark, tmp_dir):
+    store, land = os.path.join(tmp_dir, "points"), os.path.join(tmp_dir, "landing")
+    _landing(land, [("PT01", "a.xlsx", ["2024-01-01", "2024-01-02"], [1.0, 2.0]),
+                    ("PT01", "b.xlsx", ["2024-01-02", "2024-01-03"], [2.5, 3.0])])
+    _, report, _ = run_load(spark, land, "select", ["parquet"], {"parquet": store}, year=2024, month=1,
+                            as_of="2024-02-10", delta=True, load_seq=1)
+    assert report.first()["rows"] == 3
+    got = sorted((r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
+    assert got == [(1, 1.0), (2, 2.5), (3, 3.0)]
