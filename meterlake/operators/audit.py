@@ -1,8 +1,11 @@
 """Request and status audit tables.
 
 ``workflowrequests`` and ``taskstatus`` are ordinary catalog tables; updates
-are kept as an append-only log and folded, which is how a partial ``UPDATE``
-is expressed without rewriting rows in place.
+are kept as an append-only log and folded by the log's sequence ``seq``, which
+is how a partial ``UPDATE`` is expressed without rewriting rows in place. The
+reference's constraints (a request's ``task_id`` unique and given, a status'
+``task_id`` that of a request) are checked on write: rows that break one are
+returned with the reason, not written.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ CREATE TABLE IF NOT EXISTS {name} (
 
 STATUS_DDL = """
 CREATE TABLE IF NOT EXISTS {name} (
-  task_id STRING, status STRING, file BINARY, created TIMESTAMP, updated TIMESTAMP
+  task_id STRING, status STRING, file BINARY, created TIMESTAMP, updated TIMESTAMP, seq BIGINT
 ) USING parquet"""
 
 
@@ -53,58 +56,117 @@ def audit_insert(records: DataFrame, as_of, created: str = "created") -> DataFra
 
 
 def insert_requests(records: DataFrame, table: str, as_of, order_by: Sequence[str] = ("created", "task_id"),
-                    created: str = "created") -> DataFrame:
+                    created: str = "created") -> tuple[DataFrame, DataFrame]:
     """G1 + G5 into a G13 table: default ``created``, number new rows after the
-    table's current largest ``id`` (the sequence), append. Returns the rows written.
+    table's current largest ``id`` (the sequence), append. Returns (written, rejected).
 
-    The current largest id is one hash aggregate over the ``id`` column only.
+    A row without a ``task_id``, or with one that the table has or that an
+    earlier row (by ``order_by``) brings, is rejected with a ``reason``. The
+    current largest id is one hash aggregate over the ``id`` column only.
     """
     spark = records.sparkSession
     rows = audit_insert(records, as_of, created)
+    given = rows.filter(F.col("task_id").isNotNull())
+    known = spark.table(table).select("task_id", F.lit(True).alias("_known")).distinct()
+    first = Window.partitionBy("task_id").orderBy(*[F.col(c) for c in order_by])
+    ranked = materialize(lookup_join(given.withColumn("_n", F.row_number().over(first)), known, "task_id", "left"))
+    reason = F.when(F.col("_known") | (F.col("_n") > 1), F.lit("duplicate task_id"))
+    checked = ranked.withColumn("reason", reason).drop("_n", "_known")
+    rejected = checked.filter(F.col("reason").isNotNull()).unionByName(
+        rows.filter(F.col("task_id").isNull()).withColumn("reason", F.lit("task_id is null")))
     last = spark.table(table).agg(F.max("id")).first()[0] or 0
-    numbered = surrogate_id(rows, list(order_by), name="id", start=int(last) + 1)
+    numbered = surrogate_id(checked.filter(F.col("reason").isNull()).drop("reason"), list(order_by),
+                            name="id", start=int(last) + 1)
     out = numbered.select(*[F.col(c) for c in spark.table(table).columns])
     out.write.insertInto(table)
-    return out
+    return out, rejected
 
 
-def log_status(updates: DataFrame, table: str) -> None:
+def log_status(updates: DataFrame, table: str, requests: str,
+               order_by: Sequence[str] = ("updated", "created", "task_id")) -> tuple[DataFrame, DataFrame]:
     """L2: append status changes (``task_id, status, file, created, updated``; nulls
-    mean "unchanged") to the G13 status table, used as an append-only log."""
+    mean "unchanged") to the G13 status table, used as an append-only log. Returns
+    (written, rejected): changes of tasks that the table ``requests`` does not have
+    are rejected with a ``reason``.
+
+    The log's ``seq`` continues after its largest; inside one call changes are
+    numbered by ``order_by`` (nulls first, so a queued row without ``updated``
+    comes before its task's updates).
+    """
     spark = updates.sparkSession
-    cols = spark.table(table).columns
-    updates.select(*[F.col(c) if c in updates.columns else F.lit(None).alias(c) for c in cols]) \
-        .select(*[F.col(c).cast(f.dataType) for c, f in zip(cols, spark.table(table).schema.fields)]) \
-        .write.insertInto(table)
+    fields = [f for f in spark.table(table).schema.fields if f.name != "seq"]
+    extra = [c for c in order_by if c not in [f.name for f in fields]]
+    typed = updates.select(*[(F.col(f.name) if f.name in updates.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                             for f in fields], *extra)
+    known = spark.table(requests).select("task_id", F.lit(True).alias("_known")).distinct()
+    checked = materialize(lookup_join(typed, known, "task_id", "left"))
+    rejected = checked.filter(F.col("_known").isNull()).drop("_known").withColumn("reason", F.lit("unknown task_id"))
+    last = spark.table(table).agg(F.max("seq")).first()[0] or 0
+    out = surrogate_id(checked.filter(F.col("_known")).drop("_known"), list(order_by), name="seq", start=int(last) + 1)
+    out = out.select(*[F.col(c) for c in spark.table(table).columns])
+    out.write.insertInto(table)
+    return out, rejected
 
 
 def task_status(spark: SparkSession, table: str, ids: DataFrame | None = None,
                 with_file: bool = False) -> DataFrame:
     """L3: current status per task folded from the log (G2), optionally for given
-    ids (G3). Without ``with_file`` the blob column is replaced by a note (G9),
-    and only its null-ness is read."""
+    ids (G3; only their log rows are folded). Without ``with_file`` the blob column
+    is replaced by a note (G9), and only its null-ness is read."""
     log = spark.table(table)
+    if ids is not None:
+        log = lookup_join(log, ids.select("task_id").distinct(), "task_id", "left_semi")
     # null when the update carries no file ("unchanged"), so the fold keeps an earlier file
     has_file = F.when(F.col("file").isNotNull(), F.lit(True))
     folded = fold_updates(log.select("task_id", "status", has_file.alias("_has_file"),
-                                     *(["file"] if with_file else []), "created", "updated"),
-                          "task_id", "updated",
+                                     *(["file"] if with_file else []), "created", "updated", "seq"),
+                          "task_id", "seq",
                           ["status", "_has_file", *(["file"] if with_file else []), "created", "updated"])
     if not with_file:
         from meterlake.functions.status import FILE_NOTE
         folded = folded.withColumn("file", F.when(F.col("_has_file"), F.lit(FILE_NOTE)))
     folded = folded.drop("_has_file")
-    return status_lookup(folded, ids) if ids is not None else folded
+    # one row per known id at most: an unknown id gives a row of nulls
+    return ids.select("task_id").join(folded, "task_id", "left") if ids is not None else folded
+
+
+def run_task(spark: SparkSession, task_id: str, requests: str, status: str, work, now=None):
+    """One request's lifecycle: running, then completed with the file or ``failed: <message>``.
+
+    ``work()`` does the load and returns the file's bytes (or None). The request
+    must be in ``requests``. Returns what ``work`` returned; its exception is
+    logged as the task's status and raised again. ``now()`` gives the times.
+    """
+    import datetime as dt
+
+    clock = now or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    schema = "task_id string, status string, file binary, updated timestamp"
+
+    def log(text: str, file: bytes | None = None) -> None:
+        row = spark.createDataFrame([(task_id, text, file, clock())], schema)
+        _, rejected = log_status(row, status, requests)
+        if not rejected.isEmpty():
+            raise ValueError(f"no request {task_id}")
+
+    log("running")
+    try:
+        file = work()
+    except Exception as e:
+        log(f"failed: {e}")
+        raise
+    log("completed", file)
+    return file
 
 
 def fold_updates(log: DataFrame, key: str = "task_id", seq: str = "updated",
                  columns: Sequence[str] | None = None, tiebreak: str | None = None) -> DataFrame:
     """Partial updates folded per key: each column keeps its last non-null value.
+    A null ``seq`` comes before any other.
 
     ``max_by(col, when(col is not null, order))`` ignores null updates; one hash
     aggregate with partial aggregation, so a hot task is pre-reduced map-side.
     """
-    order = F.struct(F.col(seq), F.col(tiebreak)) if tiebreak else F.col(seq)
+    order = F.struct(F.col(seq), F.col(tiebreak)) if tiebreak else F.struct(F.col(seq))
     cols = [c for c in (columns or log.columns) if c not in (key, tiebreak)]
     return log.groupBy(key).agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in cols],

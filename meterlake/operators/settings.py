@@ -99,6 +99,15 @@ def env_pairs(kv: DataFrame, key: str = "key", value: str = "value") -> DataFram
     return kv.select(*others, F.upper(F.col(key)).alias(key), F.col(value).cast("string").alias(value))
 
 
+def _containers(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], T.StructType]]:
+    """Every declared map with its path, outermost first."""
+    out = [(path, schema)]
+    for f in schema.fields:
+        if isinstance(f.dataType, T.StructType):
+            out += _containers(f.dataType, (*path, f.name))
+    return out
+
+
 def _json_field(doc: Column, path: Sequence[str]) -> Column:
     return F.get_json_object(doc, "$." + ".".join(path))
 
@@ -113,14 +122,24 @@ def _json_type(doc: Column, path: Sequence[str]) -> Column:
 def schema_violations(df: DataFrame, doc: str, schema: T.StructType, require_all: bool = False) -> DataFrame:
     """Per row, the first rule the document breaks (null when valid).
 
-    Rules: the text must be a JSON object; each declared leaf must parse as its
-    type (strings must be JSON strings); with ``require_all`` every leaf must be
-    present.
+    Rules: the text must be a JSON object; each declared container must be a
+    map (``container: <path>``) without keys that the schema does not declare
+    (``undeclared: <path>``, the alphabetically first); each declared leaf must
+    parse as its type (strings must be JSON strings); with ``require_all`` every
+    leaf must be present.
     """
     d = F.col(doc)
     as_map = F.from_json(d, T.MapType(T.StringType(), T.StringType()))
     parsed = F.from_json(d, schema)
     reason = F.when(d.isNull() | as_map.isNull(), F.lit("malformed"))
+    for path, inner in _containers(schema):
+        held = F.from_json(_json_field(d, path), T.MapType(T.StringType(), T.StringType())) if path else as_map
+        name = ".".join(path)
+        if path:
+            kind = _json_type(d, path)
+            reason = reason.when(kind.isNotNull() & ~kind.startswith("OBJECT"), F.lit(f"container: {name}"))
+        more = F.array_sort(F.array_except(F.map_keys(held), F.array(*[F.lit(c) for c in inner.names])))
+        reason = reason.when(F.size(more) > 0, F.concat(F.lit("undeclared: " + (name + "." if name else "")), more[0]))
     for path in _leaves(schema):
         leaf_type = schema
         for p in path:

@@ -7,6 +7,7 @@ once below so the Spark side and the SQL side use the same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -624,8 +625,6 @@ FROM req""")
 def g13_create_tables(spark, sf):
     """Create both audit tables, insert the requests in two batches (defaults, continuing
     sequence ids), and read the request table back."""
-    import uuid
-
     suffix = uuid.uuid4().hex[:12]
     requests, status = f"workflowrequests_{suffix}", f"taskstatus_{suffix}"
     au.create_tables(spark, scratch_path(spark, "audit"), requests=requests, status=status)
@@ -648,6 +647,31 @@ def g13_create_tables(spark, sf):
         F.col("created").cast("timestamp_ntz").alias("created"))
 
 
+@register("g13_rejected_requests", f"""
+WITH r AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 THEN l_orderkey END AS k,
+         row_number() OVER (PARTITION BY CASE WHEN l_linenumber <> 7 THEN l_orderkey END ORDER BY l_linenumber) AS n
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN k IS NULL THEN 'task_id is null' ELSE 'duplicate task_id' END AS reason
+FROM r WHERE k IS NULL OR n > 1 OR k IN (SELECT o_orderkey FROM orders WHERE o_orderdate < {_NTZ} '{SECOND_BATCH_FROM}')""")
+def g13_rejected_requests(spark, sf):
+    """Requests of the early orders inserted, then one per line item: known, repeated and missing ids come back."""
+    suffix = uuid.uuid4().hex[:12]
+    requests, status = f"workflowrequests_{suffix}", f"taskstatus_{suffix}"
+    au.create_tables(spark, scratch_path(spark, "rejects"), requests=requests, status=status)
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (
+        ("workflow", "string"), ("db", "array<string>"), ("month", "int"), ("year", "int"), ("delta", "boolean"),
+        ("download", "boolean"), ("created", "timestamp"))}
+    orders, items = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    early = orders.filter(F.col("o_orderdate") < mk.ts_literal(SECOND_BATCH_FROM, _ntz()))
+    au.insert_requests(early.select(F.col("o_orderkey").cast("string").alias("task_id"), *none.values()),
+                       requests, AUDIT_AS_OF)
+    again = items.select(F.when(F.col("l_linenumber") != 7, F.col("l_orderkey").cast("string")).alias("task_id"),
+                         *none.values(), "l_orderkey", "l_linenumber")
+    _, rejected = au.insert_requests(again, requests, AUDIT_AS_OF, ["l_linenumber"])
+    return rejected.select("l_orderkey", "l_linenumber", "reason")
+
+
 _LOG_STATUS_SQL = """CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN 'failed: ' || props
   WHEN 'purchase' THEN 'completed' WHEN 'click' THEN 'running' ELSE 'queued' END"""
 
@@ -655,23 +679,31 @@ _LOG_STATUS_SQL = """CASE event_type WHEN 'view' THEN NULL WHEN 'error' THEN 'fa
 @register("l3_task_status", f"""
 WITH log AS (
   SELECT CAST(user_id AS VARCHAR) AS task_id, {_LOG_STATUS_SQL} AS status,
-         CASE WHEN event_type = 'purchase' THEN props END AS file,
-         CASE WHEN event_type = 'signup' THEN ts END AS created, ts AS updated
-  FROM events)
+         CASE WHEN event_type = 'purchase' THEN props END AS file, NULL AS created, ts AS updated, event_id AS n
+  FROM events WHERE user_id IN (SELECT c_custkey FROM customer)
+  UNION ALL
+  SELECT CAST(c_custkey AS VARCHAR), 'queued', NULL, {_NTZ} '{AUDIT_AS_OF}', NULL, NULL FROM customer)
 SELECT task_id,
-  max_by(status, CASE WHEN status IS NOT NULL THEN updated END) AS status,
-  CASE WHEN bool_or(file IS NOT NULL) THEN '{st.FILE_NOTE}' END AS file,
-  max_by(created, CASE WHEN created IS NOT NULL THEN updated END) AS created,
+  COALESCE(max_by(status, struct_pack(u := updated, n := n)) FILTER (status IS NOT NULL AND updated IS NOT NULL),
+           'queued') AS status,
+  CASE WHEN bool_or(file IS NOT NULL) THEN '{st.FILE_NOTE}' END AS file, max(created) AS created,
   max(updated) AS updated, count(*) AS n_updates
 FROM log GROUP BY task_id""")
 def l3_task_status(spark, sf):
-    """L2/L3 through the status table: every event logged as a partial status update
-    (null = unchanged), then the current status per task, the blob replaced by a note."""
-    import uuid
-
+    """L2/L3 through the tables: every customer a request, queued without ``updated``; every event logged
+    as a partial status update (null = unchanged; those of unknown tasks rejected); then the current
+    status per task, the blob replaced by a note."""
     suffix = uuid.uuid4().hex[:12]
     requests, status = f"workflowrequests_{suffix}", f"taskstatus_{suffix}"
     au.create_tables(spark, scratch_path(spark, "status"), requests=requests, status=status)
+    asked = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("task_id"), F.lit("current").alias("workflow"),
+        F.array(F.lit("influxdb")).alias("db"), *[F.lit(None).cast("int").alias(c) for c in ("month", "year")],
+        *[F.lit(None).cast("boolean").alias(c) for c in ("delta", "download")],
+        F.lit(None).cast("timestamp").alias("created"))
+    written, _ = au.insert_requests(asked, requests, AUDIT_AS_OF)
+    au.log_status(written.select("task_id", F.lit("queued").alias("status"),
+                                 F.lit(str(AUDIT_AS_OF)).cast("timestamp").alias("created")), status, requests)
     ev = table(spark, sf, "events")
     et = F.col("event_type")
     text = (F.when(et == "view", F.lit(None).cast("string"))
@@ -680,7 +712,7 @@ def l3_task_status(spark, sf):
     au.log_status(ev.select(
         F.col("user_id").cast("string").alias("task_id"), text.alias("status"),
         F.when(et == "purchase", F.col("props").cast("binary")).alias("file"),
-        F.when(et == "signup", F.col("ts")).alias("created"), F.col("ts").alias("updated")), status)
+        F.col("ts").alias("updated"), "event_id"), status, requests, ["updated", "event_id"])
     cur = au.task_status(spark, status)
     return cur.select("task_id", "status", "file", F.col("created").cast("timestamp_ntz").alias("created"),
                       F.col("updated").cast("timestamp_ntz").alias("updated"), "n_updates")
@@ -857,6 +889,8 @@ _K_SCHEMA = "k INT"
 @register("h10_schema_check", f"""
 SELECT event_id,
   CASE WHEN NOT json_valid(doc) OR json_type(doc) <> 'OBJECT' THEN 'malformed'
+       WHEN len(list_filter(json_keys(doc), lambda x: x <> 'k')) > 0
+         THEN 'undeclared: ' || list_sort(list_filter(json_keys(doc), lambda x: x <> 'k'))[1]
        WHEN json_extract(doc, '$.k') IS NULL THEN 'missing: k'
        WHEN json_type(doc, '$.k') NOT IN ('UBIGINT', 'BIGINT') THEN 'type: k' END AS violation
 FROM (SELECT event_id, {_DOC_SQL} AS doc FROM events)""")

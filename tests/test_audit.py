@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from meterlake.functions import status as st
@@ -98,13 +100,22 @@ def test_insert_requests_continues_sequence(spark, tmp_dir):
 
 def test_status_log_lifecycle(spark, tmp_dir):
     au.create_tables(spark, tmp_dir, requests="wr_life", status="ts_life")
+    wanted = "task_id string, workflow string, db array<string>, month int, year int, delta boolean, " \
+             "download boolean, created timestamp"
+    au.insert_requests(spark.createDataFrame([(t, None, None, None, None, None, None, None) for t in ("t1", "t2")],
+                                             wanted), "wr_life", "2024-01-01 00:00:00")
     schema = "task_id string, status string, file binary, created timestamp, updated timestamp"
-    au.log_status(spark.createDataFrame([("t1", "queued", None, T0, None)], schema).withColumn(
-        "updated", F.col("created")), "ts_life")
+    # as a request is queued: ``created`` set, ``updated`` not
+    au.log_status(spark.createDataFrame([("t1", "queued", None, T0, None), ("t2", "queued", None, T0, None)], schema),
+                  "ts_life", "wr_life")
+    queued = {r["task_id"]: (r["status"], r["created"], r["updated"]) for r in au.task_status(spark, "ts_life").collect()}
+    assert queued == {"t1": ("queued", T0, None), "t2": ("queued", T0, None)}
     au.log_status(spark.createDataFrame([("t1", "running", None, None, T0 + dt.timedelta(minutes=1))], schema),
-                  "ts_life")
-    au.log_status(spark.createDataFrame([("t1", "completed", b"xlsx", None, T0 + dt.timedelta(minutes=2)),
-                                         ("t2", "failed: boom", None, T0, T0)], schema), "ts_life")
+                  "ts_life", "wr_life")
+    _, rejected = au.log_status(spark.createDataFrame(
+        [("t1", "completed", b"xlsx", None, T0 + dt.timedelta(minutes=2)), ("t2", "failed: boom", None, None, T0),
+         ("t9", "running", None, None, T0), (None, "running", None, None, T0)], schema), "ts_life", "wr_life")
+    assert sorted(r["task_id"] or "" for r in rejected.collect()) == ["", "t9"]
     cur = {r["task_id"]: (r["status"], r["file"], r["created"]) for r in au.task_status(spark, "ts_life").collect()}
     assert cur["t1"] == ("completed", st.FILE_NOTE, T0)
     assert cur["t2"] == ("failed: boom", None, T0)
@@ -115,13 +126,42 @@ def test_status_log_lifecycle(spark, tmp_dir):
     assert bytes(full["t1"]) == b"xlsx"
     # a later partial update without a file leaves the stored file in place
     au.log_status(spark.createDataFrame([("t1", None, None, None, T0 + dt.timedelta(minutes=3))], schema),
-                  "ts_life")
+                  "ts_life", "wr_life")
     cur = {r["task_id"]: (r["status"], r["file"]) for r in au.task_status(spark, "ts_life").collect()}
     assert cur["t1"] == ("completed", st.FILE_NOTE)
     full = {r["task_id"]: r["file"] for r in au.task_status(spark, "ts_life", with_file=True).collect()}
     assert bytes(full["t1"]) == b"xlsx"
 
 
+def test_requests_without_or_with_a_known_id_are_rejected(spark, tmp_dir):
+    au.create_tables(spark, tmp_dir, requests="wr_unique", status="ts_unique")
+    schema = "task_id string, workflow string, db array<string>, month int, year int, delta boolean, " \
+             "download boolean, created timestamp"
+    rows = [("a", "select"), ("a", "current"), (None, "select"), ("b", "select")]
+    for want in ([("a", "duplicate task_id"), (None, "task_id is null")],
+                 [("a", "duplicate task_id"), ("a", "duplicate task_id"), (None, "task_id is null"),
+                  ("b", "duplicate task_id")]):
+        df = spark.createDataFrame([(t, w, None, None, None, None, None, None) for t, w in rows], schema)
+        _, bad = au.insert_requests(df, "wr_unique", "2024-01-01 00:00:00")
+        assert sorted(((r["task_id"], r["reason"]) for r in bad.collect()), key=repr) == sorted(want, key=repr)
+    assert sorted((r["id"], r["task_id"]) for r in spark.table("wr_unique").collect()) == [(1, "a"), (2, "b")]
+
+
+def test_a_task_runs_to_completed_or_failed(spark, tmp_dir):
+    au.create_tables(spark, tmp_dir, requests="wr_run", status="ts_run")
+    schema = "task_id string, workflow string, db array<string>, month int, year int, delta boolean, " \
+             "download boolean, created timestamp"
+    au.insert_requests(spark.createDataFrame([(t, None, None, None, None, None, None, None) for t in ("ok", "bad")],
+                                             schema), "wr_run", "2024-01-01 00:00:00")
+    assert au.run_task(spark, "ok", "wr_run", "ts_run", lambda: b"data") == b"data"
+    with pytest.raises(ZeroDivisionError):
+        au.run_task(spark, "bad", "wr_run", "ts_run", lambda: 1 // 0)
+    with pytest.raises(ValueError):
+        au.run_task(spark, "unknown", "wr_run", "ts_run", lambda: None)
+    got = {r["task_id"]: (r["status"], r["file"]) for r in au.task_status(spark, "ts_run").collect()}
+    assert got == {"ok": ("completed", st.FILE_NOTE), "bad": ("failed: integer division or modulo by zero", None)}
+
+
 def test_order_sessions_breaks_equal_times_deterministically(spark):
     rows = [(f"s{i % 7}", "delta" if i % 2 else "full", T0) for i in range(40)] + [("s0", "full", T0 - dt.timedelta(1))]
     s = spark.createDataFrame(rows, "session_id string, workflow string, timestamp timestamp_ntz").repartition(5)

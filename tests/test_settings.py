@@ -71,12 +71,14 @@ def test_schema_violations_and_parse(spark):
         (4, '{"portal": {"nif": 5}}'),
         (5, "nope"),
         (6, '{"portal": {"nif": 5, "cpe": 7, "x": {"cpe": "PT9"}}}'),   # same key nested deeper is a string
+        (7, '{"portal": "text"}'),
+        (8, '{"portal": {"nif": 5, "cpe": "PT1"}, "more": 1}'),
     ], "id int, doc string")
     v = {r["id"]: r["violation"] for r in stg.schema_violations(docs, "doc", schema, require_all=True).collect()}
     assert v == {1: None, 2: "type: portal.nif", 3: "type: portal.cpe", 4: "missing: portal.cpe", 5: "malformed",
-                 6: "type: portal.cpe"}
+                 6: "undeclared: portal.x", 7: "container: portal", 8: "undeclared: more"}
     v2 = {r["id"]: r["violation"] for r in stg.schema_violations(docs, "doc", schema).collect()}
     assert v2[4] is None
     good, bad = stg.parse_document(docs, "doc", schema, require_all=True)
     assert [r["portal"]["cpe"] for r in good.collect()] == ["PT1"]
-    assert bad.count() == 5
+    assert bad.count() == 7
