@@ -23,7 +23,7 @@ from meterlake.session import build_session  # noqa: E402
 
 HEADLINE = ["c8_delta", "d1_last_point", "d2_last_insert", "f3_load_full", "f4_load_delta",
             "d3_pivot_fields", "c3_month_select", "g2_status_update", "g5_surrogate_id",
-            "c7_missing_periods", "a1_read_workbooks", "i1_stream_load", "i2_stream_delta_state"]
+            "c7_missing_periods", "a1_read_workbooks", "l1_run_load", "i1_stream_load", "i2_stream_delta_state"]
 
 
 def main() -> None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from meterlake.operators import settings as stg
 from meterlake.plans.joins import lookup_join
 from meterlake.sources import workbook_export as wx
 from meterlake.sources import workbooks as wb
-from meterlake.session import scratch_path
+from meterlake.session import ensure_utc, scratch_path
 from meterlake.sources.tables import event_readings, meter_registry, order_readings, table
 from meterlake.streaming import delta_state as ds
 from meterlake.streaming import stream_load as sl
@@ -39,12 +40,20 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
-    def wrap(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+    """Register a query; running it puts the session's zone and broadcast policy in place
+    (queries are applications of the library, whose functions leave the session as it is)."""
+    def add(fn):
+        @wraps(fn)
+        def run(spark, sf):
+            ensure_utc(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn
-    return wrap
+
+    return add
 
 
 # Fixed parameters shared by the Spark queries and their SQL oracles.

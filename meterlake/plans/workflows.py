@@ -21,7 +21,7 @@ from meterlake.operators.load import fan_out, retain_source, write_delta, write_
 from meterlake.operators.readings import parse_readings
 from meterlake.operators.reshape import to_points
 from meterlake.plans.joins import materialize
-from meterlake.session import ensure_utc
+from meterlake.session import ship_package
 from meterlake.sources.workbooks import decode_workbooks, read_workbooks
 
 SESSION_SCHEMA = T.StructType([
@@ -66,7 +66,7 @@ def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: S
 
     Returns (session record, per-store report, quarantined rows).
     """
-    ensure_utc(spark)
+    ship_package(spark)
     start, end = period_bounds(workflow, as_of, year, month)   # rejects bad requests up front
     if start > dt.datetime.fromisoformat(str(as_of or dt.datetime.now().isoformat())[:19]):
         raise ValueError("the requested month is in the future")
@@ -77,8 +77,8 @@ def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: S
     # outlives the landing folder (moved or deleted below)
     raw = materialize(read_workbooks(spark, landing) if from_folder else decode_workbooks(landing))
     parsed, bad = parse_readings(raw, cpe if cpe is not None else F.regexp_extract("file", CPE_FROM_PATH, 1))
-    inside = ((F.col("date_time") >= F.lit(start).cast("timestamp_ntz"))
-              & (F.col("date_time") < F.lit(end).cast("timestamp_ntz")))
+    inside = ((F.col("date_time") >= F.lit(str(start)).cast("timestamp_ntz"))
+              & (F.col("date_time") < F.lit(str(end)).cast("timestamp_ntz")))
     readings = parsed.filter(inside)
 
     def writer(path: str):

@@ -90,9 +90,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Naive readings are labelled UTC (no shift), so the session zone must be UTC.
+    """Put the session settings of the registered queries in place: the UTC zone, in which
+    naive readings are labelled (no shift), and the broadcast policy.
 
-    Also applies the broadcast policy: no broadcast from planning-time size
+    Library functions don't call this; they leave the caller's session as it is.
+    It applies the broadcast policy: no broadcast from planning-time size
     estimates (``autoBroadcastJoinThreshold=-1``); AQE may still broadcast a
     side whose *measured* shuffle output is under its adaptive threshold, and
     ``plans.joins.lookup_join`` broadcasts measured lookups.

@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.session import ensure_utc
+from meterlake.session import ship_package
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -23,7 +23,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one stored table; Catalyst prunes columns and pushes filters into the scan."""
-    ensure_utc(spark)
+    ship_package(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
