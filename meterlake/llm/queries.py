@@ -45,7 +45,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(read(spark, sf_dir, "documents"))
+    found = lm.score(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", *[F.round(c, 3).alias(c) for c in ("log_score", "mean_log_score")])
 
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,4 +63,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_rules, op2_decontamination, op3_pii, op4_toxicity, op5_mixing, op6_hilbert_shards,
         op7_suffix_dedup, op8_lm_scores, op9_simhash_dedup, op10_secret_scan)}
 
-ORACLES: dict[str, str] = {}
+def _secret_hits(place: int, kind: str, pattern: str, least: int, group: int = 0) -> str:
+    """Matches of one rule: what lies between them gives their places."""
+    p = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {place} AS place, '{kind}' AS kind, list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS a, length(hits[i]) AS n
+    FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+      SELECT doc_id, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}', 0) AS hits,
+             regexp_extract_all(t, '{p}', {group}) AS parts FROM d))
+    WHERE length(parts[i]) >= {least}"""
+
+
+# The rules in RE2's syntax: it needs neither possessive loops nor look-behinds.
+_SECRET_SQL = "\n    UNION ALL ".join([
+    _secret_hits(0, "assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
+    _secret_hits(1, "access", "AKIA[A-Z0-9]+", 16),
+    _secret_hits(2, "hex", "[0-9a-f]{32,}", 32),
+    _secret_hits(3, "github", "gh[pousr]_[A-Za-z0-9]{36,}", 40),
+    _secret_hits(4, "slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 15),
+    _secret_hits(5, "jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30),
+    _secret_hits(6, "pem", "-----BEGIN (?:[A-Z]{1,20} ){0,4}PRIVATE KEY-----", 20)])
+
+ORACLES: dict[str, str] = {
+    "op8_lm_scores": f"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+tok AS (SELECT doc_id, u, v FROM (
+  SELECT doc_id, unnest(w) AS u, unnest(list_append(w[2:], NULL)) AS v FROM d)),
+uni AS (SELECT u, count(*) AS n FROM tok GROUP BY u),
+total AS (SELECT CAST(sum(n) AS DOUBLE) AS t, ln(1 / (sum(n) + 1)) AS floor FROM uni),
+uv AS (SELECT u, CAST(round((ln(n / t) - floor) * {lm.SCALE}) AS BIGINT) AS gain, ln(n / t) AS sc, n FROM uni, total),
+bi AS (SELECT u, v, count(*) AS n FROM tok WHERE v IS NOT NULL GROUP BY u, v HAVING count(*) >= {lm.MIN_COUNT}),
+bv AS (SELECT bi.u, bi.v, CAST(round((ln(bi.n / c.n) - s.sc - ln({lm.ALPHA})) * {lm.SCALE}) AS BIGINT) AS gain
+  FROM bi JOIN uv c ON bi.u = c.u JOIN uv s ON bi.v = s.u),
+sums AS (SELECT tok.doc_id, sum(uv.gain + coalesce(bv.gain, 0)) AS s
+  FROM tok JOIN uv ON tok.u = uv.u LEFT JOIN bv ON tok.u = bv.u AND tok.v = bv.v GROUP BY tok.doc_id),
+out AS (SELECT d.doc_id, len(w) AS n_words,
+  len(w) * floor + greatest(len(w) - 1, 0) * ln({lm.ALPHA}) + coalesce(s, 0) / {lm.SCALE} AS l
+  FROM d LEFT JOIN sums ON d.doc_id = sums.doc_id, total)
+SELECT doc_id, n_words, round(l, 3) AS log_score,
+       CASE WHEN n_words > 0 THEN round(l / n_words, 3) END AS mean_log_score FROM out""",
+    "op10_secret_scan": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+hits AS (SELECT *, kind || ':' || a || ':' || (a + n) AS said FROM (
+    {_SECRET_SQL})),
+found AS (SELECT doc_id,
+  count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access, count(*) FILTER (place = 2) AS n_hex,
+  sha256(coalesce(string_agg(said, ',' ORDER BY a, place) FILTER (place < 3), '')) AS base_sha256,
+  string_agg(said, ',' ORDER BY a, place) AS spans FROM hits GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN found ON d.doc_id = found.doc_id""",
+}

@@ -42,7 +42,7 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]++", "AKIA", 16, 0, True),
     # Runs below 32 digits fail whole, so only long runs need be met.
     Rule("hex", 1, r"(?<![0-9a-f])[0-9a-f]{32,}+", r"[0-9a-f]{32}", 32, 0, True),
-    Rule("github", 1, r"(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{36,}+", r"gh[pousr]_", 40),
+    Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}+", r"gh[pousr]_", 40),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}+", "xox", 15),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", "eyJ", 30),
     Rule("pem", 1, r"-----BEGIN (?:[A-Z]{1,20} ){0,4}PRIVATE KEY-----", "PRIVATE KEY-----", 20),
