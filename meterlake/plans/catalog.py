@@ -974,14 +974,12 @@ def a1_sql(part_rows: int = wx.PART_ROWS) -> str:
 WITH sized AS (
   SELECT *, count(*) OVER (PARTITION BY user_id, year(ts), month(ts)) AS n FROM events),
 parted AS (
-  SELECT *, CASE WHEN n > {part_rows}
-                 THEN ((event_id % 2147483647) * 48271 % 2147483647) % CAST(ceil(n / {part_rows}) AS BIGINT)
-            END AS part
+  SELECT *, ((event_id % 2147483647) * 48271 % 2147483647) % CAST(ceil(n / {part_rows}) AS BIGINT) AS part
   FROM sized)
 SELECT 'PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW' AS cpe,
        date_trunc('minute', ts) AS date_time, value AS consumption,
        '/landing/PT00' || lpad(CAST(user_id AS VARCHAR), 12, '0') || '04TW/'
-         || CASE WHEN part IS NULL THEN '' ELSE 'part-' || part || '/' END
+         || 'part-' || part || '/'
          || year(ts) || '_' || month(ts) || '_' || lpad(lower(hex(user_id)), 8, '0') || '_readings.xlsx' AS file,
        CAST(8 + row_number() OVER (PARTITION BY user_id, year(ts), month(ts), part ORDER BY ts, event_id)
             AS INTEGER) AS row
@@ -991,8 +989,8 @@ FROM parted"""
 def a1_workbooks(spark, sf, part_rows: int = wx.PART_ROWS):
     """One workbook per meter-month rendered from events (in Spark), decoded and parsed back.
 
-    A meter-month over ``part_rows`` readings is written as several part
-    workbooks (``<meter>/part-<k>/``), each within one worksheet."""
+    A meter-month is written as part workbooks (``<meter>/part-<k>/``) of about
+    ``part_rows`` readings, each within one worksheet."""
     blobs = _event_workbooks(spark, sf, part_rows=part_rows)
     readings, _bad = rd.parse_readings(wb.decode_workbooks(blobs), F.regexp_extract("file", _LANDING_CPE, 1))
     return readings

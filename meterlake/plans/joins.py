@@ -10,8 +10,6 @@ shuffle on the key and AQE splits skewed partitions of the large side.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,13 +23,6 @@ _FIXED = {
 }
 
 
-@dataclass
-class LookupSize:
-    rows: int
-    bytes: int
-    broadcast: bool
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -173,26 +173,23 @@ def part_hash(key: Column | str) -> Column:
     return F.pmod(F.pmod(k.cast("long"), F.lit(_HASH_M)) * F.lit(_HASH_A), F.lit(_HASH_M))
 
 
-def split_oversize(readings: DataFrame, file_col: str, key_col: str,
+def split_files(readings: DataFrame, file_col: str, key_col: str,
                    part_rows: int = PART_ROWS) -> DataFrame:
-    """Spread each file holding more than ``part_rows`` rows over
-    ``ceil(rows / part_rows)`` parts, ``<dir>/part-<k>/<name>``, by a hash of ``key_col``.
+    """Spread each file over ``ceil(rows / part_rows)`` parts, ``<dir>/part-<k>/<name>``,
+    by a hash of ``key_col``; a file of one part is its ``part-0``.
 
     Row counts per file are one hash aggregate (reduced map-side, so a hot
-    meter-month costs one partial count per task). Only oversize files enter
-    the lookup -- at most ``rows / part_rows`` of them -- and it is
-    size-checked before any broadcast. Files within the bound keep their name.
+    meter-month costs one partial count per task), joined as a size-checked
+    lookup of one row per file.
     """
     parts = (readings.groupBy(file_col).agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > part_rows)
              .select(file_col, F.ceil(F.col("_n") / F.lit(part_rows)).cast("long").alias("_parts")))
-    joined = lookup_join(readings, parts, file_col, "left")
+    joined = lookup_join(readings, parts, file_col, "inner")
     f = F.col(file_col)
     part = F.pmod(part_hash(key_col), F.col("_parts"))
-    split_name = F.concat(F.regexp_extract(f, r"^(.*/)?[^/]*$", 1), F.lit("part-"), part.cast("string"),
-                          F.lit("/"), F.regexp_extract(f, r"([^/]*)$", 1))
-    return joined.withColumn(file_col, F.when(F.col("_parts").isNull(), f).otherwise(split_name)) \
-        .drop("_parts")
+    name = F.concat(F.regexp_extract(f, r"^(.*/)?[^/]*$", 1), F.lit("part-"), part.cast("string"),
+                    F.lit("/"), F.regexp_extract(f, r"([^/]*)$", 1))
+    return joined.withColumn(file_col, name).drop("_parts")
 
 
 def export_workbooks(readings: DataFrame, file_col: str, order: Sequence[str],
@@ -206,17 +203,16 @@ def export_workbooks(readings: DataFrame, file_col: str, order: Sequence[str],
     partition; ``mapInPandas`` then renders the files one after another,
     holding at most one file's rows across Arrow batches. A workbook is
     bounded by the format (``MAX_SHEET_ROWS``; a meter-month of 15-minute
-    readings is ~3,000). With ``split_key`` (a BIGINT column) a file over
-    ``part_rows`` rows is first split into parts (``split_oversize``), so a hot
-    meter-month becomes several bounded workbooks in several tasks instead of
-    one task and an error.
+    readings is ~3,000). With ``split_key`` (a BIGINT column) every
+    file is first split into parts of about ``part_rows`` rows (``split_files``),
+    so a hot meter-month becomes several bounded workbooks in several tasks.
     """
     cols = list(dict.fromkeys([file_col, *order, date_col, time_col, value_col]
                               + ([extra_col] if extra_col else [])))
     spark = readings.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if split_key is not None:
-        readings = split_oversize(readings.select(*dict.fromkeys([*cols, split_key])), file_col, split_key,
+        readings = split_files(readings.select(*dict.fromkeys([*cols, split_key])), file_col, split_key,
                                   part_rows)
     prepared = readings.select(*cols).repartition(n, file_col).sortWithinPartitions(file_col, *order)
 
@@ -246,7 +242,3 @@ def export_workbooks(readings: DataFrame, file_col: str, order: Sequence[str],
             yield render(pd.concat(pending, ignore_index=True))
 
     return prepared.mapInPandas(build, BLOB_SCHEMA)
-
-
-def blob_size(df: DataFrame) -> DataFrame:
-    return df.select("path", F.length("content").alias("length"))

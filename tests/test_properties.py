@@ -96,7 +96,7 @@ def test_surrogate_id_matches_brute_force(spark, keys, parts):
 
 @SLOW
 @given(sizes=st.lists(st.integers(1, 12), min_size=1, max_size=6), part_rows=st.integers(1, 5))
-def test_split_oversize_matches_rule(spark, sizes, part_rows):
+def test_split_files_matches_rule(spark, sizes, part_rows):
     """Every row kept; a file over the bound gets ceil(n / bound) hash parts, others keep their name."""
     import math
 
@@ -104,11 +104,9 @@ def test_split_oversize_matches_rule(spark, sizes, part_rows):
 
     rows = [(f"d/f{f}", f * 100 + i) for f, n in enumerate(sizes) for i in range(n)]
     df = spark.createDataFrame(rows, "file string, key long")
-    got = sorted((r["key"], r["file"]) for r in wx.split_oversize(df, "file", "key", part_rows).collect())
+    got = sorted((r["key"], r["file"]) for r in wx.split_files(df, "file", "key", part_rows).collect())
 
     def expect(f, n, key):
-        if n <= part_rows:
-            return f"d/f{f}"
         h = ((key % 2147483647) * 48271) % 2147483647
         return f"d/part-{h % math.ceil(n / part_rows)}/f{f}"
 

@@ -104,14 +104,14 @@ def test_oversize_files_split_into_parts_match_sql(spark):
     assert len(got) == n_events                       # nothing dropped by the split
 
 
-def test_split_keeps_small_files_whole(spark):
+def test_every_file_splits_by_one_naming_rule(spark):
     rows = spark.createDataFrame([("d/f1", i, "2024-01-01", "00:15", 1.0) for i in range(10)]
                                  + [("d/f2", 1, "2024-01-02", "00:15", 3.0)],
                                  "file string, n long, date string, time string, consumption double")
-    out = wx.split_oversize(rows, "file", "n", part_rows=3)
+    out = wx.split_files(rows, "file", "n", part_rows=3)
     names = sorted({r["file"] for r in out.collect()})
-    assert "d/f2" in names and "d/f1" not in names
-    assert all(n.startswith("d/part-") and n.endswith("/f1") for n in names if n != "d/f2")
+    assert "d/part-0/f2" in names and sum(n.endswith("/f1") for n in names) > 1
+    assert all(n.startswith("d/part-") for n in names)
     assert out.count() == 11
 
 
