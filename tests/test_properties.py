@@ -97,7 +97,7 @@ def test_surrogate_id_matches_brute_force(spark, keys, parts):
 @SLOW
 @given(sizes=st.lists(st.integers(1, 12), min_size=1, max_size=6), part_rows=st.integers(1, 5))
 def test_split_files_matches_rule(spark, sizes, part_rows):
-    """Every row kept; a file over the bound gets ceil(n / bound) hash parts, others keep their name."""
+    """Every row kept; each file gets ceil(n / bound) hash parts."""
     import math
 
     from meterlake.sources import workbook_export as wx
