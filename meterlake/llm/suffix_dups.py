@@ -30,7 +30,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import doc_rows, numbered, stored
+from meterlake.llm.common import discard, doc_rows, numbered, stored
 from meterlake.plans.joins import lookup_join
 from meterlake.session import ship_package
 
@@ -373,6 +373,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     anchors = stored(find_anchors(docs, scheme), "anchors")
     twice = anchors.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
     held = stored(anchors.join(twice, "f", "left_semi"), "repeated_anchors")
+    discard(anchors)
     row = F.struct("key", "t", "lo", "hi", "f")
     classes = stored(held.groupBy("x1", "x2").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("q")), "anchor_classes")
     whole = held.join(classes.where("n > 1").select("x1", "x2"), ["x1", "x2"], "left_semi").select("key", "lo", "hi")
@@ -389,7 +390,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     windows = _repeated_windows(texts, stored(ranks.select("dn", "t", "rank"), "anchor_ranks"), scheme)
     parts = windows.join(texts.select("dn", "key"), "dn").select("key", F.col("i").alias("lo"), F.col("i").alias("hi"))
     ranges = whole.union(parts).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
-    return stored(ranges.mapInArrow(_merge, "key string, first array<int>, last array<int>"), "ranges")
+    out = stored(ranges.mapInArrow(_merge, "key string, first array<int>, last array<int>"), "ranges")
+    discard(held, classes, wanted, texts)
+    return out
 
 
 def _merge(batches):
