@@ -2,8 +2,8 @@
 
 Toxicity drops documents whose expected severity is too high; SimHash keeps one
 document of each near-duplicate group; decontamination drops documents that hold
-a passage of a test item; mixing thins documents to the target domain weights
-(those of well-represented domains all stay); sharding lays out what is left.
+a passage of a test item; mixing keeps good documents and thins poor ones to
+their target weight; sharding lays out what is left.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.llm import decontaminate, mixing, shards, simhash_dups, toxicity
 from meterlake.llm.common import read, stored
-from meterlake.llm.queries import SHARDS, TARGETS
+from meterlake.llm.queries import SHARDS
+
+WEIGHTS = {"good": 0.95, "poor": 0.05}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +34,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents thinned to the target weights; rates of 1 and above keep every row."""
-    return mixing.sample_mix(docs, mixing.label_domains(read(spark, sf_dir, "labels")), TARGETS)
+    """Good documents all stay, poor ones are thinned to their target; toxic ones have gone before."""
+    return mixing.sample_mix(docs, mixing.label_quality(read(spark, sf_dir, "labels")), WEIGHTS, keep="good")
 
 
 def lay_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

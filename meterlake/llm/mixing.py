@@ -36,6 +36,12 @@ def label_domains(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain")).where(F.col("domain").isNotNull())
 
 
+def label_quality(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) from ``labels`` by quality alone: good or poor."""
+    domain = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    return labels.select("doc_id", domain.alias("domain")).where(F.col("domain").isNotNull())
+
+
 def _bucket(word: Column) -> Column:
     return F.pmod(F.xxhash64(F.lower(word)), F.lit(BUCKETS))
 
@@ -132,6 +138,15 @@ class Fit:
         return F.aggregate(path, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y")), down, lambda at: at["r"])
 
 
+    def rate_of(self, shares: list[float]) -> float:
+        """The rate of one posterior."""
+        r = y = 1.0
+        for move, carry in self.steps:
+            new = max(0.0, y - sum(a * b for a, b in zip(move, shares, strict=True)))
+            r, y = new, new + carry * (new - r)
+        return r
+
+
 def step_rates(y: Column, move: list[Column], shares: list[Column]) -> Column:
     """One projected step: down the gradient ``move . shares`` from ``y``, not below 0."""
     return F.greatest(F.lit(0.0), y - reduce(lambda a, b: a + b, [x * p for x, p in zip(move, shares, strict=True)]))
@@ -179,14 +194,7 @@ def fit_rates(found: DataFrame, weights: list[float], steps: int = STEPS, close:
     return Fit(taken, [x * total for x in reached], [g * total for g in goal])
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], levels: int = LEVELS) -> DataFrame:
-    """(doc_id, doc_hash, n_tokens, p_<domain>..., domain, rate) for every row of ``docs``.
-
-    ``targets`` holds each domain's share of the tokens. Null texts have no
-    words: their posterior is the prior and they weigh nothing in the fit.
-    Repeated rows share a rate, null ids stay; without labels the domains are
-    equally likely; an empty table gives no rows.
-    """
+def _fitted(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], levels: int) -> tuple[DataFrame, Fit]:
     domains = sorted(targets)
     weights = stored(fit_domains(docs, labelled, domains), "domain_weights")
     found = stored(posteriors(docs, weights, domains, levels), "posteriors")
@@ -195,17 +203,32 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], levels:
     best = F.greatest(*[F.col(f"q{i}") for i in range(len(domains))]) if len(domains) > 1 else F.col("q0")
     domain = F.coalesce(*[F.when(F.col(f"q{i}") == best, d) for i, d in enumerate(domains)])
     return found.select("doc_id", "doc_hash", "n_tokens", *[p[i].alias(f"p_{d}") for i, d in enumerate(domains)],
-                        domain.alias("domain"), fit.rate(p).alias("rate"))
+                        domain.alias("domain"), fit.rate(p).alias("rate")), fit
+
+
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], levels: int = LEVELS) -> DataFrame:
+    """(doc_id, doc_hash, n_tokens, p_<domain>..., domain, rate) for every row of ``docs``.
+
+    ``targets`` holds each domain's share of the tokens. Null texts have no
+    words: their posterior is the prior and they weigh nothing in the fit.
+    Repeated rows share a rate, null ids stay; without labels the domains are
+    equally likely; an empty table gives no rows.
+    """
+    return _fitted(docs, labelled, targets, levels)[0]
 
 
-def sample_mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """``docs`` thinned to the mix: a row stays with probability min(1, rate), columns as they are.
+def sample_mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], keep: str) -> DataFrame:
+    """``docs`` thinned to the mix, columns as they are.
 
-    The draw is a hash of id and text, so runs agree and copies share a fate.
-    Rates above 1 keep the row once: the mix does not bring copies back.
+    Every document whose likeliest domain is ``keep`` stays. The others stay
+    with the probability ``rate / rate of a pure document of keep`` (1 at most):
+    what counts for the mix is the ratio of the rates. The draw is a hash of id
+    and text, so runs agree and copies share a fate; no row is repeated.
     """
-    rated = mix(docs, labelled, targets)
+    rated, fit = _fitted(docs, labelled, targets, LEVELS)
+    whole = max(fit.rate_of([float(d == keep) for d in sorted(targets)]), 1e-9)
     draw = F.pmod(F.xxhash64("doc_hash", F.lit(20)), F.lit(1 << 30)) / float(1 << 30)
-    gone = stored(rated.where(draw >= F.col("rate")).select(F.col("doc_hash").alias("__llm_hash")).distinct(), "thinned")
+    thin = (F.col("domain") != keep) & (draw >= F.col("rate") / whole)
+    gone = stored(rated.where(thin).select(F.col("doc_hash").alias("__llm_hash")).distinct(), "thinned")
     keyed = docs.withColumn("__llm_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     return keyed.join(gone, keyed["__llm_key"] == gone["__llm_hash"], "left_anti").drop("__llm_key")

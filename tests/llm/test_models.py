@@ -142,7 +142,20 @@ def test_mix_odd_rows(spark):
     none = labels.where("false")
     assert mixing.mix(frame(spark, rows), none, TARGETS).count() == len(rows)
     docs = frame(spark, rows)
-    assert mixing.sample_mix(docs, labels, TARGETS).columns == docs.columns
+    assert mixing.sample_mix(docs, labels, TARGETS, "good").columns == docs.columns
+
+
+def test_thinning_keeps_the_wanted_domain(spark):
+    docs, labels = read(spark, "/root/testdata/sf0.01", "documents"), read(spark, "/root/testdata/sf0.01", "labels")
+    clean = docs.join(labels.where("toxic = 1").select("doc_id"), "doc_id", "left_anti")
+    marks = mixing.label_quality(labels)
+    for targets in ({"good": 0.97, "poor": 0.03}, {"good": 0.5, "poor": 0.5}):
+        rated = {r.doc_id: r for r in mixing.mix(clean, marks, targets).collect()}
+        kept = {r.doc_id for r in mixing.sample_mix(clean, marks, targets, "good").select("doc_id").collect()}
+        assert {i for i, r in rated.items() if r.domain == "good"} <= kept
+        poor = [i for i, r in rated.items() if r.domain == "poor"]
+        share = sum(i in kept for i in poor) / len(poor)
+        assert share < 0.75 if targets["poor"] < 0.1 else share == 1
 
 
 def plain_scores(train, rows, order, alpha, least):
