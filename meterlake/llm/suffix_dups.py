@@ -371,9 +371,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(key, ranges): the window starts (first, last) of each text that repeat, by the text's MD5."""
     scheme = Scheme(length)
     anchors = stored(find_anchors(docs, scheme), "anchors")
-    twice = anchors.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
+    # Written, so that the join stands alone and can be split at a hot passage.
+    twice = stored(anchors.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f"), "repeated")
     held = stored(anchors.join(twice, "f", "left_semi"), "repeated_anchors")
-    discard(anchors)
+    discard(anchors, twice)
     row = F.struct("key", "t", "lo", "hi", "f")
     classes = stored(held.groupBy("x1", "x2").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("q")), "anchor_classes")
     whole = held.join(classes.where("n > 1").select("x1", "x2"), ["x1", "x2"], "left_semi").select("key", "lo", "hi")
