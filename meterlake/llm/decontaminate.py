@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-The word triples of the test items are counted over all documents; of each two
-neighbouring triples of an item the rarer one becomes a seed. Where a document
-holds a seed, the passage around it is aligned with the item by words. The test
+The word triples of the test items are counted over all documents; every triple
+that some document holds becomes a seed. Where a document holds a seed, the
+passage around it is aligned with the item by words. The test
 items are a stated query set: they are taken in blocks of a bounded size, and
 each block meets all documents in Arrow batches.
 """
@@ -36,17 +36,15 @@ def grams(found: list[str]) -> list[str]:
 
 
 def pick_seeds(items: dict[int, list[str]], counts: dict[str, int]) -> dict[str, list[tuple[int, int]]]:
-    """seed -> (item, offset): of each two neighbouring triples of an item the one in fewer documents.
+    """seed -> (item, offset): every triple of an item that some document holds.
 
-    An item that shares four words in a row with a document thus shares a seed.
+    An item that shares three words in a row with a document thus shares a seed.
     """
     seeds: dict[str, set[tuple[int, int]]] = defaultdict(set)
     for item, found in items.items():
-        g = grams(found)
-        for i in range(max(1, len(g) - 1)):
-            pair = range(i, min(i + 2, len(g)))
-            best = min(pair, key=lambda k: (counts.get(g[k], 0), g[k]))
-            seeds[g[best]].add((item, best))
+        for i, g in enumerate(grams(found)):
+            if counts.get(g, 0):
+                seeds[g].add((item, i))
     return {k: sorted(v) for k, v in seeds.items()}
 
 
@@ -81,6 +79,7 @@ def _passages(found, seeds, items):
             n = len(items[item])
             spots[item].append((max(0, at - offset - n // 2), min(len(found), at - offset + n + n // 2)))
     for item, spans in spots.items():
+        spans.sort()  # a later seed may lie further into the item, so its passage may begin earlier
         merged = [list(spans[0])]
         for a, b in spans[1:]:
             if a <= merged[-1][1]:

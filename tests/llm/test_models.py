@@ -100,6 +100,24 @@ def test_leaks_exact_edited_and_clean(spark):
     assert decontaminate.find_leaks(docs, bench.where("false")).count() == 0
 
 
+def test_leaks_with_short_intact_runs(spark):
+    item = [f"w{i}" for i in range(30)]
+    longer = [x for i, w in enumerate(item) for x in ([w, f"extra{i}"] if i % 3 == 2 else [w])]
+    replaced = [f"other{i}" if i % 4 == 3 else w for i, w in enumerate(item)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for copy in (longer, replaced):  # alone in the corpus: the triples broken by the edits are in no document
+        got = decontaminate.find_leaks(frame(spark, [(7, " ".join(["before", *copy, "after"])), (8, "w0 w1 x")]), bench)
+        assert [(r.doc_id, r.item_id) for r in got.collect()] == [(7, 1)]
+
+
+def test_passages_reach_back_to_the_earliest_seed():
+    items = {0: [f"w{i}" for i in range(10)]}
+    seeds = decontaminate.pick_seeds(items, dict.fromkeys(decontaminate.grams(items[0]), 1))
+    seeds = {tuple(k.split(" ")): v for k, v in seeds.items()}
+    found = [f"x{i}" for i in range(30)] + ["w0", "w1", "w2", "w7", "w8", "w9"]
+    assert list(decontaminate._passages(found, seeds, items)) == [(0, [[21, 36]])]
+
+
 TARGETS = {"good": 0.9, "poor": 0.06, "toxic": 0.04}
 
 
