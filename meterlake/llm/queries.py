@@ -45,7 +45,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lm.score(read(spark, sf_dir, "documents"))
+    found = lm.score(read(spark, sf_dir, "documents"), min_count=1)  # every pair counts; the SQL below keeps its cut
     return found.select("doc_id", "n_words", *[F.round(c, 3).alias(c) for c in ("log_score", "mean_log_score")])
 
 

@@ -9,7 +9,7 @@ import pytest
 from cases import empty, frame, noise, odd_rows
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, lm, mixing, toxicity
+from meterlake.llm import decontaminate, lm, mixing, queries, toxicity
 from meterlake.llm.common import read
 
 
@@ -219,6 +219,14 @@ def test_lm_scores(spark, order, part):
     assert all((r.mean_log_score is None) == (r.n_words == 0) for r in got)
 
 
+def test_lm_query_counts_pairs_met_once(spark):
+    rows = [(r.doc_id, r.text) for r in read(spark, "/root/testdata/sf0.001", "documents").collect()]
+    want = {d: (n, s) for d, n, s in plain_scores(rows, rows, 2, lm.ALPHA, 1)}
+    got = {r.doc_id: (r.n_words, r.log_score) for r in queries.op8_lm_scores(spark, "/root/testdata/sf0.001").collect()}
+    assert {d: n for d, (n, _) in got.items()} == {d: n for d, (n, _) in want.items()}
+    assert np.allclose([got[d][1] for d in want], [s for _, s in want.values()], rtol=1e-5, atol=0.01)
+
+
 def test_lm_empty(spark):
     assert lm.score(empty(spark)).count() == 0
     rows = lm.score(frame(spark, [(1, "a b")]), empty(spark)).collect()
