@@ -3,7 +3,8 @@
 Two multinomials over hashed words and word pairs are counted: the target over
 the documents that ``labels`` trusts, the raw one over all documents. A
 document scores the mean of ``ln(p_target / p_raw)`` over its n-grams, and a
-fixed threshold decides on every document.
+fixed threshold decides on every document. Each bucket is smoothed by itself, so
+its weight depends neither on the number of buckets nor on the corpus size.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import SPACES, bind, doc_rows, stored, words
 from meterlake.plans.joins import lookup_join
 
-BUCKETS = 1 << 13        # of words, and as many of word pairs
-SMOOTHING = 1.0          # added to each bucket, spread over the raw shares
+BUCKETS = 1 << 20        # of words, and as many of word pairs
+SMOOTHING = 16.0         # occurrences added to each bucket, trusted as often as the whole corpus is
 SCALE = 10_000           # weights are whole numbers: sums don't depend on their order
 MIN_RATIO = -0.11        # mean natural log ratio below which a document is rejected
 
@@ -80,8 +81,8 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
 
     ``trusted_ids`` holds ``doc_id``. Both counts cover all texts and are
     combined before the shuffle; the trusted ids are broadcast only if they
-    measure below the library's limit. Raw shares smooth both multinomials, so a bucket the
-    target has hardly met weighs little.
+    measure below the library's limit. The corpus's trusted share smooths each bucket, so one
+    that has hardly been met weighs little.
     """
     ids = trusted_ids.select(F.col("doc_id").alias("t")).where(F.col("t").isNotNull()).distinct()
     ids = stored(ids, "trusted")
@@ -93,10 +94,11 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     counts = stored(pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("trusted")), "ngrams")
     order = F.floor(F.col("bucket") / BUCKETS)
     totals = counts.groupBy(order.alias("o")).agg(F.sum("raw").alias("nr"), F.sum("trusted").alias("nt"))
-    share = F.col("raw") / F.col("nr")
-    target = (F.col("trusted") + SMOOTHING * BUCKETS * share) / (F.col("nt") + SMOOTHING * BUCKETS)
+    whole = F.col("nt") / F.col("nr")
+    gain = (F.col("trusted") + SMOOTHING * whole) / (F.col("raw") + SMOOTHING) / whole
+    weight = F.when(F.col("nt") > 0, F.round(F.log(gain) * SCALE)).otherwise(F.lit(0.0))
     return (counts.join(F.broadcast(totals), order == F.col("o"))
-            .select("bucket", F.round(F.log(target / share) * SCALE).cast("long").alias("weight")))
+            .select("bucket", weight.cast("long").alias("weight")))
 
 
 def score_quality(docs: DataFrame, weights: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
@@ -107,15 +109,15 @@ def score_quality(docs: DataFrame, weights: DataFrame, min_ratio: float = MIN_RA
     each input row is numbered within its partition. Without trusted documents
     all weights are zero and the base rules alone decide.
     """
-    small = F.broadcast(weights)  # at most 2 * BUCKETS rows
+    # At most BUCKETS rows for words, and as many for pairs.
     rows = doc_rows(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("__w", words(F.col("text"))).withColumn("__row", F.monotonically_increasing_id())
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     keys = ["__row", "doc_id", *base]
     measured = rows.select("__row", "doc_id", "__w", *rule_columns(F.col("text"), F.col("__w")))
     grams = _ngram_rows(measured, keys)
-    one = small.select(F.col("bucket").alias("one"), F.col("weight").alias("w1"))
-    two = small.select(F.col("bucket").alias("two"), F.col("weight").alias("w2"))
+    one = weights.where(F.col("bucket") < BUCKETS).select(F.col("bucket").alias("one"), F.col("weight").alias("w1"))
+    two = weights.where(F.col("bucket") >= BUCKETS).select(F.col("bucket").alias("two"), F.col("weight").alias("w2"))
     summed = (grams.join(F.broadcast(one), "one", "left").join(F.broadcast(two), "two", "left")
               .groupBy(*keys).agg(F.sum(F.coalesce("w1", F.lit(0)) + F.coalesce("w2", F.lit(0))).alias("s"),
                                   F.sum(F.col("word").cast("int") + F.col("two").isNotNull().cast("int")).alias("n")))

@@ -5,8 +5,10 @@ import random
 import brute
 import pytest
 from cases import empty, frame, noise, odd_rows
+from pyspark.sql import functions as F
 
 from meterlake.llm import pii, quality, secrets
+from meterlake.llm.common import read
 
 
 def texts():
@@ -43,6 +45,15 @@ def test_ratio_is_the_mean_log_ratio(spark):
     assert 0.1 <= ratio[1] < 0.1007 and ratio[2] is None
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_ratio_holds_as_the_corpus_grows(spark, sf):
+    docs, labels = read(spark, f"/root/testdata/{sf}", "documents"), read(spark, f"/root/testdata/{sf}", "labels")
+    got = (quality.rate_quality(docs, labels).where("n_words >= 50").join(labels.select("doc_id", "quality"), "doc_id")
+           .groupBy("quality", (F.col("ratio") >= quality.MIN_RATIO).alias("passes")).count().collect())
+    n = {(r.quality, r.passes): r["count"] for r in got}
+    assert n[0, False] > 50 and n[1, True] > 300 and set(n) == {(0, False), (1, True)}
+
+
 def test_quality_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.rate_quality(empty(spark), none).count() == 0
