@@ -21,6 +21,7 @@ from meterlake.session import ship_package
 GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE = 0.5                    # of the score of an item aligned with itself
+MIN_RUN = 13                       # words of an item in a row that count whatever their share of it
 BLOCK_BYTES = 8 * 1024 * 1024      # of item texts held at once
 _WORDS = re.compile(r"[^\W_]+")
 FOUND = "doc_id long, item_id long, score int, share double, first_word int, last_word int"
@@ -89,27 +90,48 @@ def _passages(found, seeds, items):
         yield item, merged
 
 
-def align(found, seeds, items, sizes, min_share):
-    """Best alignment of each item that reaches ``min_share``: (item, score, share, first, last).
+def _long_runs(found, seeds, min_run):
+    """item -> places in one document where ``min_run`` words in a row of the item end.
 
-    No alignment scores more than MATCH for each word that item and passage
-    share, so passages that share too few are not aligned.
+    Every triple of the item that the document holds is a seed, so a run is a
+    chain of seeds that move on together.
+    """
+    out, last = defaultdict(list), {}
+    for at, g in enumerate(zip(found, found[1:], found[2:], strict=False)):
+        here = {}
+        for item, offset in seeds.get(g, ()):
+            here[item, offset] = n = last.get((item, offset - 1), GRAM - 1) + 1
+            if n >= min_run:
+                out[item].append(at + GRAM - 1)
+        last = here
+    return out
+
+
+def align(found, seeds, items, sizes, min_share, min_run=MIN_RUN):
+    """Best alignment of each item that reaches ``min_share`` or lies around a run of ``min_run`` words.
+
+    Rows are (item, score, share, first, last). No alignment scores more than
+    MATCH for each word that item and passage share, so passages that share too
+    few and hold no such run are not aligned.
     """
     import numpy as np
 
     out = []
-    for item, spans in _passages(found, seeds, items):
+    passages = list(_passages(found, seeds, items))
+    runs = _long_runs(found, seeds, min_run) if passages else {}
+    for item, spans in passages:
         words, most = items[item], MATCH * len(items[item])
         best = None
         for a, b in spans:
             held = Counter(found[a:b])
-            if MATCH * sum(min(c, held[w]) for w, c in sizes[item].items()) < min_share * most:
+            run = any(a <= at < b for at in runs.get(item, ()))
+            if not run and MATCH * sum(min(c, held[w]) for w, c in sizes[item].items()) < min_share * most:
                 continue
             names = {w: i for i, w in enumerate(dict.fromkeys(words))}
             left = np.array([names[w] for w in words])
             right = np.array([names.get(w, -1) for w in found[a:b]])
             score, first, last = smith_waterman(np, left, right)
-            if score >= min_share * most and (best is None or score > best[1]):
+            if (run or score >= min_share * most) and (best is None or score > best[1]):
                 best = (item, score, score / most, a + first, a + last)
         if best:
             out.append(best)
@@ -153,8 +175,8 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE,
-               block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Pairs of document and test item whose alignment reaches ``min_share``.
+               block_bytes: int = BLOCK_BYTES, min_run: int = MIN_RUN) -> DataFrame:
+    """Pairs of document and test item whose alignment reaches ``min_share`` or that share ``min_run`` words in a row.
 
     Columns: doc_id, item_id, score, share (of the item's score with itself),
     first_word and last_word of the passage. One row per input row and item;
@@ -183,7 +205,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHA
                 found = []
                 for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     best: dict[int, tuple] = {}
-                    for item, *rest in align(tokens(text), seeds, items, sizes, min_share):
+                    for item, *rest in align(tokens(text), seeds, items, sizes, min_share, min_run):
                         key = ids[item]
                         if key not in best or rest[0] > best[key][2]:
                             best[key] = (doc, key, *rest)

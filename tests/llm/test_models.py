@@ -110,6 +110,14 @@ def test_leaks_with_short_intact_runs(spark):
         assert [(r.doc_id, r.item_id) for r in got.collect()] == [(7, 1)]
 
 
+def test_leaks_of_a_long_run_below_the_share(spark):
+    item = [f"w{i}" for i in range(59)]
+    rows = [(n, " ".join([*(f"a{i}" for i in range(9)), *item[20:20 + n], *(f"b{i}" for i in range(9))])) for n in (12, 13, 28)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.score, r.first_word, r.last_word, r.share) for r in decontaminate.find_leaks(frame(spark, rows), bench).collect()}
+    assert got == {n: (2 * n, 9, 8 + n, n / 59) for n in (13, 28)}
+
+
 def test_passages_reach_back_to_the_earliest_seed():
     items = {0: [f"w{i}" for i in range(10)]}
     seeds = decontaminate.pick_seeds(items, dict.fromkeys(decontaminate.grams(items[0]), 1))
