@@ -56,16 +56,22 @@ class OrdinalModel:
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_SAMPLE) -> DataFrame:
-    """(doc_id, text, toxic) of at most ``max_rows`` labelled documents, picked by a hash of the id."""
+    """(doc_id, text, toxic) of at most ``max_rows`` labelled documents, picked by a hash of the id.
+
+    An id that several rows have gives one row: of its texts that are not null the one of the smallest hash.
+    """
     marked = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
               .groupBy(F.col("doc_id").cast("long").alias("t")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     picked = stored(marked.orderBy(F.xxhash64("t"), "t").limit(max_rows), "label_sample")
     rows = doc_rows(docs)
-    return rows.join(F.broadcast(picked), rows["doc_id"] == picked["t"]).select("doc_id", "text", "toxic")
+    found = rows.join(F.broadcast(picked), rows["doc_id"] == picked["t"])
+    first = F.min(F.struct(F.col("text").isNull().alias("no"), F.xxhash64("text").alias("h"), F.col("text").alias("text")))
+    return (found.groupBy("doc_id", "toxic").agg(first.alias("first"))
+            .select("doc_id", F.col("first.text").alias("text"), "toxic"))
 
 
-def fit(sample: DataFrame, max_rows: int = MAX_SAMPLE) -> OrdinalModel:
-    """Fit on the driver: the sample is bounded, and only feature numbers reach it."""
+def fit(sample: DataFrame) -> OrdinalModel:
+    """Fit on the driver: the sample is bounded (see ``sample_labelled``), and only feature numbers reach it."""
     import numpy as np
     import pyarrow as pa
 
@@ -76,7 +82,7 @@ def fit(sample: DataFrame, max_rows: int = MAX_SAMPLE) -> OrdinalModel:
                 [b.column(0), b.column(2), pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "toxic", "f"])
 
     ship_package(sample.sparkSession)
-    found = sample.mapInArrow(hashed, "doc_id long, toxic int, f array<long>").limit(4 * max_rows).toArrow()
+    found = sample.mapInArrow(hashed, "doc_id long, toxic int, f array<long>").toArrow()
     found = found.sort_by([("doc_id", "ascending")]).combine_chunks()
     toxic = np.asarray(found.column("toxic").to_pylist(), dtype=np.int64)
     n = len(toxic)

@@ -52,6 +52,14 @@ def test_toxicity_without_both_classes(spark):
         assert model.expected("anything") == 0
 
 
+def test_toxicity_samples_one_row_per_labelled_id(spark):
+    rows = [(i % 5, f"text {i}") for i in range(100)] + [(i, None) for i in range(5)]
+    labels = spark.createDataFrame([(i, int(i == 0)) for i in range(5)], "doc_id long, toxic int")
+    one, two = (sorted(map(tuple, toxicity.sample_labelled(frame(spark, r), labels, 4).collect())) for r in (rows, rows[::-1]))
+    assert one == two and len({d for d, _, _ in one}) == len(one) == 4
+    assert all(t is not None for _, t, _ in one)
+
+
 def plain_alignment(a, b):
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
