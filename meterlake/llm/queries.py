@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, lm, mixing, pii, quality, secrets, shards, simhash_dups, suffix_dups, toxicity
+from meterlake.llm import (
+    decontaminate, hard_negatives, jaccard_join, lm, mixing, pii, quality, secrets, shards, simhash_dups, suffix_dups,
+    toxicity, whitening,
+)
 from meterlake.llm.common import read
 
 SHARDS = 24
@@ -58,10 +61,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(read(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabel = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), relabel=relabel)
+
+
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_copies(read(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_decontamination, op3_pii, op4_toxicity, op5_mixing, op6_hilbert_shards,
-        op7_suffix_dedup, op8_lm_scores, op9_simhash_dedup, op10_secret_scan)}
+        op7_suffix_dedup, op8_lm_scores, op9_simhash_dedup, op10_secret_scan, op11_whitening, op12_hard_negatives,
+        op13_ngram_jaccard)}
 
 def _secret_hits(place: int, kind: str, pattern: str, least: int, group: int = 0) -> str:
     """Matches of one rule: what lies between them gives their places."""

@@ -122,5 +122,32 @@ def repeats(texts, length=400):
     return out
 
 
+def shingles(text, shingle=4):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub(r"[A-Z]", lambda m: m.group().lower(), text or ""))
+    return {tuple(w[i:i + shingle]) for i in range(len(w) - shingle + 1)} or ({tuple(w)} if w else set())
+
+
+def jaccard(rows, shingle=4, percent=85):
+    """{(doc_id, n_shingles, component)} sorted, by comparing all pairs."""
+    sets = [shingles(t, shingle) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def top(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                up[top(a)] = top(b)
+    low = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            low[top(i)] = min(d, low.get(top(i), d))
+    return sorted(((d, len(sets[i]), low.get(top(i))) for i, (d, _) in enumerate(rows)), key=repr)
+
+
 def crc(text):
     return zlib.crc32((text or "").encode())
