@@ -34,7 +34,7 @@ SHINGLE, PERCENT = 4, 85
 CELLS = 1 << 21           # of the rarity table
 SLICE = 1 << 14           # cells that travel together
 CHUNK = 1 << 20           # characters of text hashed at once, or one longer text
-HELD = 1 << 20            # n-grams sorted at once, or those of one larger set
+HELD = 1 << 18            # n-grams sorted at once, or those of one larger set
 BINS = 64                 # hash ranges of the suffix filter
 HUBS = 2                  # rounds in which every class meets a hub
 
@@ -86,7 +86,7 @@ def document_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         hashes = ChunkHashes(np)
         for b in batches:
             done = 0
-            for part in _chunks(b.column(2).to_pylist(), lambda t: len(t or "") + 1, CHUNK):
+            for part in _chunks((t.as_py() for t in b.column(2)), lambda t: len(t or "") + 1, CHUNK):
                 gram, n = text_sets(np, hashes, part, shingle)
                 ends = np.cumsum(n)
                 keys = []
@@ -104,8 +104,15 @@ def document_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             .mapInArrow(run, "rid long, doc_id long, n long, k1 long, k2 long, grams binary"))
 
 
-def _grams(np, blobs):
-    return np.frombuffer(b"".join(blobs), np.uint64)
+def _runs_of(np, column):
+    """(first row, n-grams of each row, all of them) of runs of at most ``HELD`` n-grams, or of one larger set; no copies."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1] // 8
+    every = np.frombuffer(column.buffers()[2] or b"", np.uint64)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + HELD, side="right")) - 1)
+        yield first, np.diff(offsets[first:last + 1]).astype(np.int64), every[offsets[first]:offsets[last]]
+        first = last
 
 
 def count_cells(sets: DataFrame, cells: int = CELLS):
@@ -121,8 +128,8 @@ def count_cells(sets: DataFrame, cells: int = CELLS):
 
         total = np.zeros(cells, np.int64)
         for b in batches:
-            for part in _chunks(b.column(0).to_pylist(), len, 8 * HELD):
-                total += np.bincount((_grams(np, part) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+            for _, _, gram in _runs_of(np, b.column(0)):
+                np.add.at(total, (gram & np.uint64(cells - 1)).astype(np.int64), 1)
         width = min(SLICE, cells)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(cells // width)), pa.array([total[a:a + width].tobytes() for a in range(0, cells, width)], pa.binary())], ["part", "n"])
@@ -162,11 +169,9 @@ def prefixes(sets: DataFrame, counts, percent: int) -> DataFrame:
 
         rare = table.value
         for b in batches:
-            rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
-            for part in _chunks(rows, lambda r: len(r[1]), 8 * HELD):
-                rid = np.array([r for r, _ in part], np.int64)
-                n = np.array([len(g) // 8 for _, g in part], np.int64)
-                gram = _grams(np, [g for _, g in part])
+            rids = b.column(0).to_numpy()
+            for first, n, gram in _runs_of(np, b.column(1)):
+                rid = rids[first:first + len(n)]
                 doc = np.repeat(np.arange(len(n)), n)
                 # Stable sorts: the n-grams of a set rise already.
                 order = np.argsort(rare[(gram & np.uint64(len(rare) - 1)).astype(np.int64)], kind="stable")
@@ -207,8 +212,10 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     one = sets.select(F.col("rid").alias("a"), F.col("grams").alias("ga"))
     two = sets.select(F.col("rid").alias("b"), F.col("grams").alias("gb"))
+    # Only sets that some pair names travel.
     half = lookup_join(one, pairs.select("a", "b"), "a", "inner", materialized=True)
-    return half.join(two, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
+    rest = lookup_join(two, pairs.select("b").distinct(), "b", "left_semi", materialized=True)
+    return half.join(rest, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
 
 
 def _hub_pairs(lists: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -266,17 +273,18 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     discard(postings, shared)
     edges, roots, tried = None, None, None
     for turn in range(HUBS + 1):
-        labelled = stored(_label(met, roots), "labelled")
+        labelled = _label(met, roots)
         lists = stored(_open_lists(labelled), "open_lists")
-        if turn < HUBS:
-            pairs = _hub_pairs(lists, labelled)
-        else:
-            unsettled = stored(labelled.join(lists, "h", "left_semi"), "unsettled")
-            pairs = cross_pairs(unsettled, percent)
+        # Lists of one component are done with.
+        unsettled = stored(labelled.join(lists.select("h"), "h", "left_semi"), "unsettled")
+        discard(met)
+        met = unsettled.drop("comp")
+        met.stored_path = unsettled.stored_path
+        pairs = _hub_pairs(lists, unsettled) if turn < HUBS else cross_pairs(unsettled, percent)
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = pairs if tried is None else tried.union(pairs)
         found = stored(verify(pairs, sets, percent), "links")
-        discard(labelled, lists)
+        discard(lists)
         links = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
         edges = links if edges is None else edges.union(links)
         # Components so far stand for the links that made them.

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import SPACES, bind, doc_rows, stored, words
+from meterlake.llm.common import SPACES, bind, doc_rows, stored
 from meterlake.plans.joins import lookup_join
 
 BUCKETS = 1 << 20        # of words, and as many of word pairs
@@ -43,37 +43,47 @@ def repeated_window_words(found: Column) -> Column:
 
         return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(bind(rows, pick))
 
-    def windows(w):
-        n = F.size(w)
-        three = F.arrays_zip(F.slice(w, 1, n - 2).alias("a"), F.slice(w, 2, n - 2).alias("b"),
-                             F.slice(w, 3, n - 2).alias("c"))
-        return F.when(n < 4, F.lit(0)).otherwise(
-            bind(F.transform(three, lambda x: F.xxhash64(x["a"], x["b"], x["c"])), covered))
+    def windows(h):
+        n = F.size(h)
+        two = F.zip_with(F.slice(h, 1, n - 2), F.slice(h, 2, n - 2), lambda a, b: F.xxhash64(a, b))
+        three = F.zip_with(two, F.slice(h, 3, n - 2), lambda a, b: F.xxhash64(a, b))
+        return F.when(n < 4, F.lit(0)).otherwise(bind(three, covered))
 
-    return bind(found, windows)
+    # Every word is hashed once.
+    return bind(F.transform(found, lambda w: F.xxhash64(w)), windows)
 
 
-def rule_columns(text: Column, found: Column) -> list[Column]:
-    """The base measures of a text that is not null, ``found`` being its words."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+def rule_columns(text: Column, pieces: Column) -> list[Column]:
+    """The base measures of a text that is not null, ``pieces`` being the text cut at every space (see ``_pieces``)."""
+    found = F.array_remove(pieces, "")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(f"[^{SPACES}]")))
     symbols = "#*$%&|<>"
     return [F.size(found).cast("long").alias("n_words"),
-            F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
+            (F.length(text) - F.size(pieces) + 1).cast("long").alias("word_chars"),
             (F.length(text) - F.length(F.translate(text, symbols, ""))).cast("long").alias("n_symbols"),
             bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             repeated_window_words(found).cast("long").alias("n_repeat_words")]
 
 
-def _ngram_rows(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per word with the buckets of the word and of the pair it begins."""
-    found = F.col("__w")
-    pairs = F.arrays_zip(found.alias("a"), F.slice(found, 2, F.greatest(F.size(found), F.lit(1))).alias("b"))
-    return (rows.select(*keep, F.explode_outer(pairs).alias("p"))
-            .select(*keep,
-                    F.pmod(F.xxhash64(F.lower("p.a")), F.lit(BUCKETS)).alias("one"),
-                    F.when(F.col("p.b").isNotNull(),
-                           F.pmod(F.xxhash64(F.lower("p.a"), F.lower("p.b")), F.lit(BUCKETS)) + BUCKETS).alias("two"),
-                    F.col("p.a").isNotNull().alias("word")))
+def _spaced(text: Column) -> Column:
+    return F.translate(text, SPACES, " " * len(SPACES))
+
+
+def _pieces(spaced: Column) -> Column:
+    """What lies between the spaces, empty where two follow each other."""
+    return F.split(spaced, " ")
+
+
+def _buckets(spaced: Column) -> Column:
+    """The buckets of all words of a text (lower-cased once, hashed once each) and of all pairs of neighbours."""
+    hashes = F.transform(F.array_remove(_pieces(F.lower(spaced)), ""), lambda w: F.xxhash64(w))
+
+    def both(h):
+        pairs = F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), F.slice(h, 2, F.greatest(F.size(h), F.lit(1))),
+                           lambda a, b: (F.pmod(F.xxhash64(a, b), F.lit(BUCKETS)) + BUCKETS).cast("int"))
+        return F.concat(F.transform(h, lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int")), pairs)
+
+    return bind(hashes, both)
 
 
 def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
@@ -88,10 +98,8 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     ids = stored(ids, "trusted")
     rows = doc_rows(docs)
     per_doc = (lookup_join(rows, ids, rows["doc_id"] == ids["t"], "left", materialized=True)
-               .select(words(F.col("text")).alias("__w"), F.col("t").isNotNull().cast("long").alias("t")))
-    grams = _ngram_rows(per_doc, ["t"]).where("word")
-    pairs = grams.select("t", F.explode(F.array("one", "two")).alias("bucket")).where(F.col("bucket").isNotNull())
-    counts = stored(pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("trusted")), "ngrams")
+               .select(F.explode(_buckets(_spaced(F.coalesce("text", F.lit(""))))).alias("bucket"), F.col("t").isNotNull().cast("long").alias("t")))
+    counts = stored(per_doc.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("trusted")), "ngrams")
     order = F.floor(F.col("bucket") / BUCKETS)
     totals = counts.groupBy(order.alias("o")).agg(F.sum("raw").alias("nr"), F.sum("trusted").alias("nt"))
     whole = F.col("nt") / F.col("nr")
@@ -101,30 +109,38 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
             .select("bucket", weight.cast("long").alias("weight")))
 
 
+def _weight_array(weights: DataFrame) -> DataFrame:
+    """One row, one array: the weight of every bucket in order (0 where ``weights`` has none)."""
+    every = weights.sparkSession.range(2 * BUCKETS).select(F.col("id").alias("bucket"))
+    offset = 1 << 31
+    packed = F.shiftleft(F.col("bucket"), 32) + F.coalesce("weight", F.lit(0)) + offset
+    listed = every.join(weights, "bucket", "left").agg(F.sort_array(F.collect_list(packed)).alias("x"))
+    return listed.select(F.transform("x", lambda x: (x.bitwiseAND(F.lit((1 << 32) - 1)) - offset).cast("int")).alias("w"))
+
+
 def score_quality(docs: DataFrame, weights: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     """One row per input row: doc_id, the base measures, base_failed, ratio, kept.
 
-    A row without words has no ratio (null) and fails the base rules. Null
-    texts have no words; repeated rows, null and repeated ids stay apart, as
-    each input row is numbered within its partition. Without trusted documents
-    all weights are zero and the base rules alone decide.
+    The weights, an array of ``2 * BUCKETS`` whole numbers, go to every task as a
+    scalar subquery, so a document is scored in its own row, without a join or a
+    shuffle. A row without words has no ratio (null) and fails the base rules.
+    Null texts have no words; repeated rows, null and repeated ids stay apart.
+    Without trusted documents all weights are zero and the base rules alone decide.
     """
-    # At most BUCKETS rows for words, and as many for pairs.
-    rows = doc_rows(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("__w", words(F.col("text"))).withColumn("__row", F.monotonically_increasing_id())
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    keys = ["__row", "doc_id", *base]
-    measured = rows.select("__row", "doc_id", "__w", *rule_columns(F.col("text"), F.col("__w")))
-    grams = _ngram_rows(measured, keys)
-    one = weights.where(F.col("bucket") < BUCKETS).select(F.col("bucket").alias("one"), F.col("weight").alias("w1"))
-    two = weights.where(F.col("bucket") >= BUCKETS).select(F.col("bucket").alias("two"), F.col("weight").alias("w2"))
-    summed = (grams.join(F.broadcast(one), "one", "left").join(F.broadcast(two), "two", "left")
-              .groupBy(*keys).agg(F.sum(F.coalesce("w1", F.lit(0)) + F.coalesce("w2", F.lit(0))).alias("s"),
-                                  F.sum(F.col("word").cast("int") + F.col("two").isNotNull().cast("int")).alias("n")))
+    rows = doc_rows(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("doc_id", "text", _spaced(F.col("text")).alias("__s"))
+    rows = rows.select("doc_id", "text", "__s", _pieces(F.col("__s")).alias("__p"))
+    rows = rows.select("doc_id", *rule_columns(F.col("text"), F.col("__p")), _buckets(F.col("__s")).alias("__b"))
+    # Each column is used once from here to the sum, so that the optimizer puts the
+    # subquery's value in its place and no row carries the array.
+    rows = rows.select("*", _weight_array(weights).scalar().alias("__weights"))
+    total = F.aggregate("__b", F.lit(0).cast("long"), lambda s, b: s + F.get("__weights", b))
+    measured = rows.select("doc_id", *base, total.alias("s")).withColumn("n", F.greatest(2 * F.col("n_words") - 1, F.lit(0)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     ratio = F.when(F.col("n") > 0, F.col("s") / F.col("n") / SCALE)
-    return summed.select("doc_id", *base, failed.alias("base_failed"), ratio.alias("ratio"),
-                         (~failed & F.coalesce(ratio >= min_ratio, F.lit(True))).alias("kept"))
+    return (measured.select("doc_id", *base, failed.alias("base_failed"), ratio.alias("ratio"))
+            .select("*", (~F.col("base_failed") & F.coalesce(F.col("ratio") >= min_ratio, F.lit(True))).alias("kept")))
 
 
 def rate_quality(docs: DataFrame, labels: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:

@@ -48,7 +48,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lm.score(read(spark, sf_dir, "documents"), min_count=1)  # every pair counts; the SQL below keeps its cut
+    found = lm.score(read(spark, sf_dir, "documents"), min_count=1)
     return found.select("doc_id", "n_words", *[F.round(c, 3).alias(c) for c in ("log_score", "mean_log_score")])
 
 
@@ -107,18 +107,15 @@ WITH d AS (
   SELECT doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-tok AS (SELECT doc_id, u, v FROM (
-  SELECT doc_id, unnest(w) AS u, unnest(list_append(w[2:], NULL)) AS v FROM d)),
-uni AS (SELECT u, count(*) AS n FROM tok GROUP BY u),
-total AS (SELECT CAST(sum(n) AS DOUBLE) AS t, ln(1 / (sum(n) + 1)) AS floor FROM uni),
-uv AS (SELECT u, CAST(round((ln(n / t) - floor) * {lm.SCALE}) AS BIGINT) AS gain, ln(n / t) AS sc, n FROM uni, total),
-bi AS (SELECT u, v, count(*) AS n FROM tok WHERE v IS NOT NULL GROUP BY u, v HAVING count(*) >= {lm.MIN_COUNT}),
-bv AS (SELECT bi.u, bi.v, CAST(round((ln(bi.n / c.n) - s.sc - ln({lm.ALPHA})) * {lm.SCALE}) AS BIGINT) AS gain
-  FROM bi JOIN uv c ON bi.u = c.u JOIN uv s ON bi.v = s.u),
-sums AS (SELECT tok.doc_id, sum(uv.gain + coalesce(bv.gain, 0)) AS s
-  FROM tok JOIN uv ON tok.u = uv.u LEFT JOIN bv ON tok.u = bv.u AND tok.v = bv.v GROUP BY tok.doc_id),
+tok AS (SELECT doc_id, u, v, CASE WHEN m = 1 THEN 1 WHEN i > 1 AND i < m THEN -1 ELSE 0 END AS adds FROM (
+  SELECT doc_id, len(w) AS m, unnest(w) AS u, unnest(list_append(w[2:], NULL)) AS v, unnest(range(1, len(w) + 1)) AS i FROM d)),
+uni AS (SELECT u, count(*) AS n, CAST(round(ln(count(*)) * {lm.SCALE}) AS BIGINT) AS gain FROM tok GROUP BY u),
+total AS (SELECT CAST(sum(n) AS DOUBLE) AS t FROM uni),
+bi AS (SELECT u, v, CAST(round(ln(count(*)) * {lm.SCALE}) AS BIGINT) AS gain FROM tok WHERE v IS NOT NULL GROUP BY u, v),
+sums AS (SELECT tok.doc_id, sum(adds * uni.gain + coalesce(bi.gain, 0)) AS s
+  FROM tok JOIN uni ON tok.u = uni.u LEFT JOIN bi ON tok.u = bi.u AND tok.v = bi.v GROUP BY tok.doc_id),
 out AS (SELECT d.doc_id, len(w) AS n_words,
-  len(w) * floor + greatest(len(w) - 1, 0) * ln({lm.ALPHA}) + coalesce(s, 0) / {lm.SCALE} AS l
+  CASE WHEN len(w) > 0 THEN coalesce(s, 0) / {lm.SCALE} - ln(t) ELSE 0 END AS l
   FROM d LEFT JOIN sums ON d.doc_id = sums.doc_id, total)
 SELECT doc_id, n_words, round(l, 3) AS log_score,
        CASE WHEN n_words > 0 THEN round(l / n_words, 3) END AS mean_log_score FROM out""",

@@ -81,7 +81,9 @@ def scan_unseen(docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RUL
 
     Rows of the ledger: (blob_id, rule, spans), one per scanned pair of blob
     and rule version, found or not. Copies of a blob are combined before the
-    shuffle, so a text that fills a third of the rows is scanned once.
+    shuffle, so a text that fills a third of the rows is scanned once. Runs that
+    overlap, or a run that its caller repeats, may append a pair twice; readers
+    count equal rows once.
     """
     keys = [r.key for r in rules]
     blobs = (doc_rows(docs).select(blob_id(F.col("text")).alias("blob_id"),
@@ -112,7 +114,8 @@ def scan_secrets(docs: DataFrame, ledger_path: str | None = None, rules: tuple[R
     where = ledger_path or scratch_path(docs.sparkSession, "secret_ledger")
     keys = [r.key for r in rules]
     found = (scan_unseen(docs, where, rules).where(F.col("rule").isin(keys) & (F.size("spans") > 0))
-             .groupBy("blob_id").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans")))
+             .groupBy("blob_id").agg(F.collect_set(F.struct("rule", "spans")).alias("scans"))
+             .select("blob_id", F.sort_array(F.flatten("scans.spans")).alias("spans")))
     paths = doc_rows(docs).select("doc_id", blob_id(F.col("text")).alias("blob_id"))
     return paths.join(found, "blob_id", "left").select(
         "doc_id", "blob_id", F.coalesce("spans", F.expr(f"cast(array() as {SPANS})")).alias("spans"))

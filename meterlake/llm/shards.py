@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import bind, numbered
+from meterlake.llm.common import bind, numbered, stored
 
 BITS = 5
 DIMENSIONS = ("lang", "source", "size")
@@ -102,31 +102,31 @@ def assign_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """``docs`` with its ``shard``, laid out along the curve for writing.
-
-    The ranks give the first key of each shard (``shards - 1`` rows); a row's
-    shard is the number of those keys at or below its own. An existing column
-    ``shard`` is replaced. Rows come range-partitioned by shard and curve, so
-    each written file covers a short run and its column statistics prune.
+    """``docs`` with its ``shard``, laid out along the curve.
+
+    The rows are sorted along the curve and written once; a row's rank is its
+    place in its sorted partition after the counts of the partitions before, and
+    cuts the shards as in ``assign_shards``: counts are at most one apart, also
+    where rows are equal or have no id (the order of the input breaks such ties,
+    so a row repeated often is dealt over tasks and shards). Null texts,
+    languages and sources and empty tables are taken; an existing column ``shard``
+    is replaced. Each file covers a short run, so its column statistics prune.
     """
-    r = _ranked(docs)
-    at = F.expr(f"(((rank * {shards}) div total) * total + {shards - 1}) div {shards}")
-    cuts = [row for row in r.where((F.col("rank") == at) & (F.col("rank") > 0)).orderBy("rank").select(*ORDER).collect()]
-    key = F.struct(*[F.col(f"__llm_{c}") for c in ORDER])
-
-    def literal(row):
-        kinds = {"curve": "long", "doc_id": "long", "text_crc32": "long", "size": "long"}
-        return F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(f"__llm_{c}") for c in ORDER])
-
-    shard = F.lit(0)
-    for row in cuts:
-        shard = shard + (key >= literal(row)).cast("int")
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = (docs.withColumn("__llm_curve", hilbert_index(_cells(docs), BITS))
-             .withColumn("__llm_doc_id", F.col("doc_id").cast("long"))
-             .withColumn("__llm_text_crc32", F.crc32(text.cast("binary")))
-             .withColumn("__llm_size", (F.octet_length(text) + 8).cast("long")))
-    out = keyed.withColumn("shard", shard)
-    return (out.repartitionByRange("shard", "__llm_curve", "doc_id")
-            .sortWithinPartitions("shard", "__llm_curve", "doc_id")
-            .drop(*[f"__llm_{c}" for c in ORDER]))
+    keyed = docs.withColumns({
+        "__llm_curve": hilbert_index(_cells(docs), BITS), "__llm_doc_id": F.col("doc_id").cast("long"),
+        "__llm_text_crc32": F.crc32(text.cast("binary")), "__llm_size": (F.octet_length(text) + 8).cast("long"),
+        "__llm_tie": F.monotonically_increasing_id()})
+    ordered = keyed.orderBy(*[f"__llm_{c}" for c in ORDER], "__llm_tie").drop(*[f"__llm_{c}" for c in ORDER], "__llm_tie")
+    placed = stored(ordered.withColumns({
+        "__llm_part": F.spark_partition_id(),
+        "__llm_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "laid_out")
+    counts = placed.groupBy("__llm_part").agg(F.count(F.lit(1)).alias("n")).collect()   # one row per partition
+    starts, total = [], 0
+    for part, n in sorted((r["__llm_part"], r["n"]) for r in counts):
+        starts.append((part, total))
+        total += n
+    before = docs.sparkSession.createDataFrame(starts, "__llm_part int, __llm_before long")
+    shard = F.expr(f"((__llm_before + __llm_at) * {shards}) div {max(total, 1)}L").cast("int")
+    ranked = placed.join(F.broadcast(before), "__llm_part").withColumn("shard", shard)
+    return ranked.drop("__llm_part", "__llm_at", "__llm_before")
