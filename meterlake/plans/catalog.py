@@ -381,7 +381,7 @@ def f3_load_full(spark, sf):
     store = scratch_path(spark, "f3-store")
     for n, points in enumerate((first, second), 1):
         ld.write_full(points.drop("load_seq"), store, n, order="seq")
-    return spark.read.parquet(store).select("measurement", "cpe", "field", "time", "value", "load_seq")
+    return ld.read_store(spark, store).select("measurement", "cpe", "field", "time", "value", "load_seq")
 
 
 @register("f4_load_delta", f"""
@@ -407,7 +407,7 @@ def f4_load_delta(spark, sf):
     store = scratch_path(spark, "f4-store")
     for n, part in enumerate((early, readings), 1):
         ld.write_delta(part, store, n, order="seq")
-    return spark.read.parquet(store).select("measurement", "cpe", "field", "value", "time", "load_seq")
+    return ld.read_store(spark, store).select("measurement", "cpe", "field", "value", "time", "load_seq")
 
 
 FAN_OUT_TARGETS = "parquet, ,influxdb,orc"   # as typed on a command line
@@ -921,14 +921,23 @@ def h11_parse_document(spark, sf):
 # --------------------------------------------------------------------------- I
 
 
-def _event_reading_stream(spark, sf) -> DataFrame:
-    """The events file as an arriving-files stream of readings (file path and time kept)."""
-    schema = table(spark, sf, "events").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return ev.select(F.col("user_id").cast("string").alias("cpe"), F.col("ts").alias("date_time"),
-                     F.col("value").alias("consumption"), F.col("event_id").alias("seq"),
-                     F.col("_metadata.file_path").alias("file"),
-                     F.unix_micros(F.col("_metadata.file_modification_time")).alias("file_seq"))
+# Events land in parts, in the order of time; each start of the stream takes what has landed since.
+LANDINGS = ("2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-23 00:00:00", None)
+
+
+def _landed(spark, sf, base: str):
+    """Lands the events part by part: for each, a stream over all that has landed."""
+    ev = table(spark, sf, "events")
+    low = None
+    for n, high in enumerate(LANDINGS):
+        part = ev.filter(F.col("ts") >= mk.ts_literal(low, _ntz())) if low else ev
+        (part.filter(F.col("ts") < mk.ts_literal(high, _ntz())) if high else part).write.parquet(f"{base}/landing/part{n}")
+        low = high
+        files = (spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").parquet(f"{base}/landing"))
+        yield files.select(F.col("user_id").cast("string").alias("cpe"), F.col("ts").alias("date_time"),
+                           F.col("value").alias("consumption"), F.col("event_id").alias("seq"),
+                           F.col("_metadata.file_path").alias("file"),
+                           F.unix_micros(F.col("_metadata.file_modification_time")).alias("file_seq"))
 
 
 def _stored_marks(spark, sf) -> DataFrame:
@@ -938,29 +947,37 @@ def _stored_marks(spark, sf) -> DataFrame:
 _DELTA_POINTS_SQL = f"""
 WITH {_STORED_SQL}
 SELECT 'kW' AS measurement, CAST(e.user_id AS VARCHAR) AS cpe, 'consumption' AS field, e.value AS value,
-       e.ts AS time
+       date_trunc('second', e.ts) AS time
 FROM events e LEFT JOIN marks m ON CAST(e.user_id AS VARCHAR) = m.cpe
-WHERE e.ts > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')"""
+WHERE date_trunc('second', e.ts) > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')
+QUALIFY row_number() OVER (PARTITION BY e.user_id, date_trunc('second', e.ts) ORDER BY e.event_id DESC) = 1"""
 
 
 @register("i1_stream_load", _DELTA_POINTS_SQL)
 def i1_stream_load(spark, sf):
+    """Four batches into one point store, the stream started anew from its checkpoint for each; the store read back."""
     base = scratch_path(spark, "stream-load")
-    q = sl.stream_load(spark, _event_reading_stream(spark, sf), f"{base}/store", f"{base}/marks",
-                       f"{base}/checkpoint", parse=lambda b: b, seed_marks=_stored_marks(spark, sf))
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/store").select("measurement", "cpe", "field", "value", "time")
+    for stream in _landed(spark, sf, base):
+        # "row" tells points of one key apart inside a file
+        rows = stream.withColumnRenamed("seq", "row")
+        sl.stream_load(spark, rows, f"{base}/store", f"{base}/checkpoint", parse=lambda b: b,
+                       seed_marks=_stored_marks(spark, sf), compact_every=2).awaitTermination()
+    return ld.read_store(spark, f"{base}/store").select("measurement", "cpe", "field", "value", "time")
 
 
-@register("i2_stream_delta_state", ORACLES["c8_delta"])
+@register("i2_stream_delta_state", f"""
+WITH {_STORED_SQL}
+SELECT CAST(e.user_id AS VARCHAR) AS cpe, e.ts AS date_time, e.value AS consumption, e.event_id AS seq
+FROM events e LEFT JOIN marks m ON CAST(e.user_id AS VARCHAR) = m.cpe
+WHERE e.ts > COALESCE(m.mark, {_NTZ} '1989-05-11 00:00:00')
+QUALIFY row_number() OVER (PARTITION BY e.user_id, e.ts ORDER BY e.event_id DESC) = 1""")
 def i2_stream_delta_state(spark, sf):
+    """Four batches, the stream started anew from its checkpoint for each; one reading of a meter and time."""
     base = scratch_path(spark, "stream-delta")
-    readings = _event_reading_stream(spark, sf).select("cpe", "date_time", "consumption", "seq")
-    q = (ds.stream_delta(readings, seed_marks=_stored_marks(spark, sf)).writeStream
-         .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    for stream in _landed(spark, sf, base):
+        ds.stream_delta(stream.select("cpe", "date_time", "consumption", "seq"), f"{base}/out", f"{base}/marks",
+                        f"{base}/checkpoint", seed_marks=_stored_marks(spark, sf), order="seq").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("cpe", "date_time", "consumption", "seq")
 
 
 # --------------------------------------------------------------------------- A1, A2
@@ -1060,4 +1077,4 @@ def l1_run_load(spark, sf):
         run_load(spark, blobs, "select", ["parquet", "", "influxdb"], {"parquet": store}, as_of=LOAD_AS_OF,
                  year=LOAD_YEAR, month=LOAD_MONTH, delta=True, load_seq=i + 1,
                  cpe=F.regexp_extract("file", _LANDING_CPE, 1))
-    return spark.read.parquet(store).select("measurement", "cpe", "field", "value", "time")
+    return ld.read_store(spark, store).select("measurement", "cpe", "field", "value", "time")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.functions.calendar import period_bounds
-from meterlake.operators.load import fan_out, retain_source, write_delta, write_full
+from meterlake.operators.load import claim_source, fan_out, folder_exists, release_source, retain_folder, write_delta, write_full
 from meterlake.operators.readings import parse_readings
 from meterlake.operators.reshape import to_points
 from meterlake.plans.joins import materialize
@@ -38,12 +38,6 @@ SESSION_SCHEMA = T.StructType([
 CPE_FROM_PATH = r"/([^/]+)/[^/]+$"
 
 
-def _whole_files(raw: DataFrame, bad: DataFrame, outside: DataFrame) -> DataFrame:
-    """(file,): the files of which every row was loaded: none quarantined, none outside the month."""
-    flawed = bad.select("file").union(outside.select("file")).distinct()
-    return raw.select("file").distinct().join(flawed, "file", "left_anti")
-
-
 def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: Sequence[str | None],
              stores: dict[str, str], as_of=None, year: int | None = None, month: int | None = None,
              delta: bool = False, keep: bool = False, output: str | None = None,
@@ -56,13 +50,17 @@ def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: S
     loaded. ``db`` names the stores (keys of ``stores`` -> point-store paths);
     empty names are ignored, unknown ones reported. ``delta`` loads only
     readings newer than each meter's mark, else a full idempotent reload.
-    ``keep`` moves the files that were read to ``output/<session_id>``, under
-    their path below ``landing``. Otherwise files are deleted only if every
-    named store loaded, and only those of which all rows were loaded: a file
-    that could not be read, or has quarantined rows or rows outside the month,
-    stays, as do files that arrive during the run. ``landing`` may also be a DataFrame of workbook blobs
-    (``path, content``, e.g. from a ``binaryFile`` read or ``export_workbooks``);
-    there is no folder to retain then.
+    The landing folder is claimed first, by one rename, so files that arrive during
+    the run are left to the next one. ``keep`` moves the claimed folder to
+    ``output/<session_id>``. Otherwise files are deleted only if every named store
+    loaded, and only those of which all rows were loaded: a file that could not be
+    read, or has quarantined rows or rows outside the month, goes back to its place,
+    as does everything if the run fails. ``landing`` may also be a DataFrame of
+    workbook blobs (``path, content``, e.g. from a ``binaryFile`` read); there is no
+    folder to retain then.
+
+    The session's status is ``completed`` if a named store loaded (unknown names are
+    reported and skipped), else ``failed:`` with what became of each.
 
     Returns (session record, per-store report, quarantined rows).
     """
@@ -72,36 +70,47 @@ def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: S
         raise ValueError("the requested month is in the future")
     sid = session_id or uuid.uuid4().hex
     seq = load_seq if load_seq is not None else int(dt.datetime.now().timestamp() * 1_000_000)
+    if keep and not output:
+        raise ValueError("keep=True needs an output folder")
     from_folder = isinstance(landing, str)
-    # decoded once and checkpointed: the load and the quarantine both read it, and it
-    # outlives the landing folder (moved or deleted below)
-    raw = materialize(read_workbooks(spark, landing) if from_folder else decode_workbooks(landing))
-    parsed, bad = parse_readings(raw, cpe if cpe is not None else F.regexp_extract("file", CPE_FROM_PATH, 1))
-    inside = ((F.col("date_time") >= F.lit(str(start)).cast("timestamp_ntz"))
-              & (F.col("date_time") < F.lit(str(end)).cast("timestamp_ntz")))
-    readings = parsed.filter(inside)
+    claimed = claim_source(spark, landing) if from_folder else None
+    if from_folder and claimed is None:
+        raise FileNotFoundError(f"no files in {landing}")
+    try:
+        # decoded once and checkpointed: the load and the quarantine both read it, and it
+        # outlives the claimed folder (moved or deleted below)
+        raw = materialize(read_workbooks(spark, claimed) if from_folder else decode_workbooks(landing))
+        parsed, bad = parse_readings(raw, cpe if cpe is not None else F.regexp_extract("file", CPE_FROM_PATH, 1))
+        inside = ((F.col("date_time") >= F.lit(str(start)).cast("timestamp_ntz"))
+                  & (F.col("date_time") < F.lit(str(end)).cast("timestamp_ntz")))
+        readings = parsed.filter(inside)
 
-    def writer(path: str):
-        # points of one key within the load: the later sheet row wins
-        rows = [F.col("cpe"), F.col("date_time"), F.col("consumption"), F.struct("file", "row").alias("_order")]
-        if delta:
-            return lambda df: write_delta(df.select(*rows), path, seq, order="_order", as_of=as_of)
-        return lambda df: write_full(to_points(df.select(*rows), tags=("cpe", "_order")), path, seq,
-                                     order="_order", as_of=as_of)
+        def writer(path: str):
+            # points of one key within the load: the later sheet row wins
+            rows = [F.col("cpe"), F.col("date_time"), F.col("consumption"), F.struct("file", "row").alias("_order")]
+            if delta:
+                return lambda df: write_delta(df.select(*rows), path, seq, order="_order", as_of=as_of)
+            return lambda df: write_full(to_points(df.select(*rows), tags=("cpe", "_order")), path, seq,
+                                         order="_order", as_of=as_of)
 
-    if keep and not output:
-        raise ValueError("keep=True needs an output folder")
-    report = fan_out(readings, list(db), {name: writer(path) for name, path in stores.items()})
-    kept = None
-    if from_folder and keep:
-        kept = f"{output.rstrip('/')}/{sid}"
-        retain_source(spark, (r["file"] for r in raw.select("file").distinct().toLocalIterator()), True, kept, landing)
-    elif from_folder:
-        states = {r["status"] for r in report.collect() if r["status"] != "ignored"}   # one row per named store
-        if states == {"loaded"}:
-            whole = _whole_files(raw, bad, parsed.filter(~inside))
-            retain_source(spark, (r["file"] for r in whole.toLocalIterator()), False, root=landing)
+        report = fan_out(readings, list(db), {name: writer(path) for name, path in stores.items()})
+        named = [r for r in report.collect() if r["status"] != "ignored"]   # one row per named store
+        missed = [f"{r['target']} {r['status']}" for r in named if r["status"] != "loaded"]
+        kept = None
+        if from_folder and keep:
+            kept = f"{output.rstrip('/')}/{sid}"
+            retain_folder(spark, claimed, True, kept)
+        elif from_folder and named and not missed:
+            flawed = bad.select("file").union(parsed.filter(~inside).select("file")).distinct()
+            retain_folder(spark, claimed, False, spare=(r["file"] for r in flawed.toLocalIterator()), landing=landing)
+        elif from_folder:
+            release_source(spark, claimed, landing)
+    except Exception:
+        if claimed is not None and folder_exists(spark, claimed):
+            release_source(spark, claimed, landing)
+        raise
     session = spark.createDataFrame([(sid, workflow, [d for d in db if d], kept,
-                                      kept.rsplit("/", 1)[0] if kept else None, "completed",
+                                      kept.rsplit("/", 1)[0] if kept else None,
+                                      "completed" if len(missed) < len(named) else f"failed: {', '.join(missed) or 'no store named'}",
                                       dt.datetime.now(dt.timezone.utc))], SESSION_SCHEMA)
     return session, report, bad

@@ -1,161 +1,66 @@
 """Continuous delta load of arriving files with Structured Streaming.
 
-Each micro-batch (``foreachBatch``):
-
-1. decodes its files into readings (``parse``: workbook decoding, or a plain
-   projection for files that already hold readings);
-2. takes the per-meter marks from the latest full snapshot before it plus the
-   increments written since -- tables of marks, not a scan of the point store;
-3. keeps the readings strictly newer than the mark (C8), then one point per
-   key inside the batch, the newest file winning (two snapshots of a month in
-   one batch);
-4. overwrites its own ``batch_id`` partition of the store and writes its marks:
-   this batch's maxima (an increment, one row per touched meter), or every
-   ``full_every`` batches a full snapshot (previous marks folded with them);
-   snapshots and increments no replay reads are deleted.
-
-A replayed batch reads the same previous snapshot and overwrites the same
-partitions, so it is idempotent; marks never include the batch's own output.
+Each micro-batch (``foreachBatch``) decodes its files into readings (``parse``:
+workbook decoding, or a plain projection for files that already hold
+readings) and is a delta load (F4) into the point store that full and delta loads
+use: marks from what the loads kept, readings strictly newer than them, one
+point per key (the newest file wins: two snapshots of a month in one batch),
+written once into a load folder of the batch's own. The folder is named by stream
+and batch, so a replayed batch finds its load ended and writes nothing, or not
+ended and writes it anew. Every ``compact_every`` batches the loads are merged,
+which bounds the number of files.
+
 Files of one meter must arrive in time order: a newer file first makes older
 readings of that meter fall under the mark (the reference's delta rule).
 """
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from meterlake.operators.load import keep_latest
-from meterlake.operators.marks import ts_literal
-from meterlake.operators.reshape import to_points
-from meterlake.plans.joins import lookup_join
-from meterlake.session import SENTINEL_MARK
-
-MARKS_SCHEMA = T.StructType([T.StructField("cpe", T.StringType()),
-                             T.StructField("last_insert", T.TimestampNTZType())])
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _batch_ids(spark: SparkSession, folder: str) -> list[int]:
-    """``batch_id=<b>`` sub-folders of ``folder`` (names only, no data read)."""
-    fs, p = _fs(spark, folder)
-    if not fs.exists(p):
-        return []
-    return sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName().startswith("batch_id="))
-
-
-def _mark_parts(spark: SparkSession, marks_path: str, batch_id: int) -> tuple[int | None, list[int]]:
-    """The latest full snapshot below ``batch_id`` and the increments after it."""
-    full = max((b for b in _batch_ids(spark, f"{marks_path}/kind=full") if b < batch_id), default=None)
-    incs = [b for b in _batch_ids(spark, f"{marks_path}/kind=inc") if b < batch_id and (full is None or b > full)]
-    return full, incs
-
-
-def _prune_marks(spark: SparkSession, marks_path: str, full: int) -> None:
-    """Drop what no replay of the current batch reads: full snapshots before ``full``
-    and increments it already covers."""
-    for kind, keep in (("full", lambda b: b >= full), ("inc", lambda b: b > full)):
-        fs, _ = _fs(spark, marks_path)
-        for b in _batch_ids(spark, f"{marks_path}/kind={kind}"):
-            if not keep(b):
-                fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                    f"{marks_path}/kind={kind}/batch_id={b}"), True)
-
-
-def _overwrite_partition(df: DataFrame, path: str, by=("batch_id",)) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-
 
-def _max_marks(parts: list[DataFrame], fold: bool = False) -> DataFrame:
-    """One mark per meter from several mark tables (``fold``: one table may repeat a meter)."""
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("cpe").agg(F.max("last_insert").alias("last_insert")) if fold or len(parts) > 1 else out
+from meterlake.operators.load import compact, write_delta
+from meterlake.plans.joins import lookup_join, materialize
 
 
-def load_batch(readings: DataFrame, batch_id: int, store_path: str, marks_path: str,
-               seed_marks: DataFrame | None = None, fields=("consumption",),
-               seed_materialized: bool = False, full_every: int = 16) -> None:
-    """One micro-batch of I1 (also usable on its own for a batch of files).
+def load_batch(readings: DataFrame, batch_id: int, store_path: str, stream: str = "stream",
+               seed_marks: DataFrame | None = None, fields=("consumption",), compact_every: int = 16,
+               as_of=None) -> DataFrame:
+    """One micro-batch of I1 (also usable on its own for a batch of files); returns the points of its load.
 
-    Marks are the latest full snapshot before this batch plus the increments
-    written since (each batch's own maxima). A full snapshot (one row per
-    meter) is written every ``full_every`` batches; in between a batch writes
-    only the meters it touched.
+    ``readings`` has ``cpe, date_time, consumption, file, file_seq`` and maybe ``row``.
+    ``stream`` (letters and digits) names the stream whose batches are counted.
+    ``as_of`` as in ``write_delta``.
     """
-    spark = readings.sparkSession
-    full, incs = _mark_parts(spark, marks_path, batch_id)
-    parts: list[DataFrame] = []
-    stored_marks = spark.read.parquet(marks_path) if full is not None or incs else None
-    if full is not None:
-        parts.append(stored_marks.filter((F.col("kind") == "full") & (F.col("batch_id") == full))
-                     .select("cpe", "last_insert"))
-    elif seed_marks is not None:
-        parts.append(seed_marks.select("cpe", "last_insert"))
-    if incs:
-        parts.append(stored_marks.filter((F.col("kind") == "inc") & F.col("batch_id").isin(incs))
-                     .select("cpe", "last_insert"))
-    if not parts:
-        parts.append(spark.createDataFrame([], MARKS_SCHEMA))
-    folded = len(parts) > 1 or len(incs) > 1
-    marks = _max_marks(parts, fold=folded)
-    # one written table (or the materialised seed) is measured as it is; a fold is checkpointed
-    written_marks = not folded and (full is not None or bool(incs) or seed_marks is None or seed_materialized)
-    dtype = readings.schema["date_time"].dataType
-    joined = lookup_join(readings, marks.withColumnRenamed("last_insert", "_mark"), "cpe", "left",
-                         materialized=bool(written_marks))
-    new = joined.filter(F.col("date_time") > F.coalesce(F.col("_mark"), ts_literal(SENTINEL_MARK, dtype)))
-    # points that keep the file order (newest file wins a key inside the batch;
-    # inside one file the later sheet row, when rows are known)
-    order = F.struct(*[F.col(c) for c in ("file", "row") if c in new.columns]).alias("_order")
-    pts = to_points(new.select("*", order), fields, tags=("cpe", "file_seq", "_order"))
-    batch_pts = keep_latest(pts, seq="file_seq", tiebreak="_order").drop("file_seq", "_order")
-    batch_pts = batch_pts.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    # files sorted by (meter, time): Parquet statistics skip row groups on reads
-    _overwrite_partition(batch_pts.sortWithinPartitions("cpe", "time"), store_path)
-    # only this batch's folder is listed; with nothing new it does not exist
-    folder = f"{store_path}/batch_id={batch_id}"
-    fs, _ = _fs(spark, store_path)
-    exists = fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder))
-    written = spark.read.schema(batch_pts.drop("batch_id").schema).parquet(folder) if exists else batch_pts.limit(0)
-    batch_max = written.groupBy("cpe").agg(F.max("time").alias("last_insert"))
-    if full is None or batch_id - full >= full_every:
-        out, kind = _max_marks([marks, batch_max]), "full"
-    else:
-        out, kind = batch_max, "inc"
-    _overwrite_partition(out.withColumns({"kind": F.lit(kind), "batch_id": F.lit(batch_id).cast("long")}),
-                         marks_path, ("kind", "batch_id"))
-    if full is not None:
-        _prune_marks(spark, marks_path, full)
+    order = F.struct(*[F.col(c) for c in ("file_seq", "file", "row") if c in readings.columns]).alias("_order")
+    rows = readings.select("cpe", "date_time", *fields, order)
+    out = write_delta(rows, store_path, batch_id, fields, order="_order", as_of=as_of, tag=f"{stream}b{batch_id}",
+                      seed_marks=seed_marks)
+    if batch_id and batch_id % compact_every == 0:
+        compact(readings.sparkSession, store_path, as_of=as_of)
+    return out
 
 
 def workbook_parser(cpe_from_path: str = r"/([^/]+)/[^/]+$",
-                    quarantine: str | None = None) -> Callable[[DataFrame], DataFrame]:
+                    quarantine: str | None = None) -> Callable[[DataFrame, int], DataFrame]:
     """``parse`` for a ``binaryFile`` stream of workbooks: A1 decode + B chain.
 
     The meter code is taken from the file path (``cpe_from_path``: regex, group
     1); the file's modification time orders files inside a batch. Rows and files
-    that can't be read are appended to the Parquet folder ``quarantine`` (a
-    replayed batch appends them again). Without one, don't let the source delete
-    its files.
+    that can't be read go to ``<quarantine>/batch_id=<b>``, which a replayed batch
+    overwrites. Without ``quarantine``, don't let the source delete its files.
     """
     from meterlake.operators.readings import parse_readings
     from meterlake.sources.workbooks import decode_workbooks
 
-    def parse(batch: DataFrame) -> DataFrame:
+    def parse(batch: DataFrame, batch_id: int = 0) -> DataFrame:
         good, bad = parse_readings(decode_workbooks(batch), F.regexp_extract("file", cpe_from_path, 1))
         if quarantine is not None:
-            bad.write.mode("append").parquet(quarantine)
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
         # one row per file of the micro-batch: a measured lookup, not a shuffle of readings
         files = batch.select(F.col("path").alias("file"),
                              F.unix_micros(F.col("modificationTime")).alias("file_seq"))
@@ -170,23 +75,23 @@ def readings_from_parquet(batch: DataFrame) -> DataFrame:
         "file_seq", F.unix_micros(F.col("_metadata.file_modification_time")))
 
 
-def stream_load(spark: SparkSession, stream: DataFrame, store_path: str, marks_path: str,
-                checkpoint: str, parse: Callable[[DataFrame], DataFrame],
-                seed_marks: DataFrame | None = None, available_now: bool = True, full_every: int = 16):
+def stream_load(spark: SparkSession, stream: DataFrame, store_path: str, checkpoint: str,
+                parse: Callable[..., DataFrame], seed_marks: DataFrame | None = None, available_now: bool = True,
+                compact_every: int = 16, as_of=None):
     """Start I1 on a streaming DataFrame of files; returns the StreamingQuery.
 
-    ``parse(batch)`` must return ``cpe, date_time, consumption, file, file_seq``.
-    ``seed_marks`` (``cpe, last_insert``) seeds the first batch from an existing
-    store; it is materialised once, before the stream starts.
+    ``parse(batch)`` or ``parse(batch, batch_id)`` must return ``cpe, date_time,
+    consumption, file, file_seq``. ``seed_marks`` (``cpe, last_insert``) are marks from
+    elsewhere; they are materialised once, before the stream starts. The stream's name in
+    the store follows from its ``checkpoint`` folder.
     """
-    seed = None
-    if seed_marks is not None:
-        from meterlake.plans.joins import materialize
-        seed = materialize(seed_marks.select("cpe", "last_insert"))
+    seed = materialize(seed_marks.select("cpe", "last_insert")) if seed_marks is not None else None
+    name = "s" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+    takes_id = len(inspect.signature(parse).parameters) > 1
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        load_batch(parse(batch), batch_id, store_path, marks_path, seed, seed_materialized=True,
-                   full_every=full_every)
+        load_batch(parse(batch, batch_id) if takes_id else parse(batch), batch_id, store_path, name, seed,
+                   compact_every=compact_every, as_of=as_of)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -36,10 +36,10 @@ def test_write_full_is_idempotent_and_keeps_newest(spark, tmp_dir):
     first = to_points(_readings(spark, [("A", T0, 1.0), ("A", T0 + dt.timedelta(hours=1), 2.0)]))
     ld.write_full(first, path, load_seq=1)
     ld.write_full(first, path, load_seq=2)             # reload: no duplicates
-    assert spark.read.parquet(path).count() == 2
+    assert ld.read_store(spark, path).count() == 2
     corrected = to_points(_readings(spark, [("A", T0, 10.0), ("B", T0, 5.0)]))
     ld.write_full(corrected, path, load_seq=3)
-    got = sorted((r["cpe"], r["time"], r["value"]) for r in spark.read.parquet(path).collect())
+    got = sorted((r["cpe"], r["time"], r["value"]) for r in ld.read_store(spark, path).collect())
     assert got == [("A", T0, 10.0), ("A", T0 + dt.timedelta(hours=1), 2.0), ("B", T0, 5.0)]
 
 
@@ -50,26 +50,24 @@ def test_write_full_keeps_other_meters_in_touched_partitions(spark, tmp_dir):
     both = to_points(_readings(spark, [(a, T0, 1.0), (b, T0, 2.0)]))       # two meters of one bucket
     ld.write_full(both, path, load_seq=1)
     ld.write_full(to_points(_readings(spark, [(a, T0, 5.0)])), path, load_seq=2)
-    got = sorted((r["cpe"], r["value"]) for r in spark.read.parquet(path).collect())
+    got = sorted((r["cpe"], r["value"]) for r in ld.read_store(spark, path).collect())
     assert got == [(a, 5.0), (b, 2.0)]
 
 
-def test_write_full_reads_only_touched_partitions(spark, tmp_dir):
+def test_loads_leave_stored_files_alone(spark, tmp_dir):
     path = os.path.join(tmp_dir, "store")
     rows = [(m, T0 + dt.timedelta(days=31 * i), float(i)) for i, m in enumerate("ABCDEFGH")]
     ld.write_full(to_points(_readings(spark, rows)), path, load_seq=1)
-    n_parts = len([d for d in os.listdir(os.path.join(path, "measurement=kW"))])
-    assert n_parts == 8
+    (first,) = ld.committed_loads(spark, path)
+    assert len(os.listdir(os.path.join(path, first.name, "measurement=kW"))) == 8
+
     def files():
-        root = os.path.join(path, "measurement=kW")
-        return {d: sorted(f for _, _, fs in os.walk(os.path.join(root, d)) for f in fs) for d in os.listdir(root)}
+        return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(os.path.join(path, first.name)) for f in fs}
 
     before = files()
     ld.write_full(to_points(_readings(spark, [("A", T0, 9.0)])), path, load_seq=2)
-    after = files()
-    changed = [d for d in before if before[d] != after[d]]
-    assert changed == ["month=2024-01"]
-    got = sorted((r["cpe"], r["value"]) for r in spark.read.parquet(path).collect())
+    assert files() == before
+    got = sorted((r["cpe"], r["value"]) for r in ld.read_store(spark, path).collect())
     assert got[0] == ("A", 9.0) and len(got) == 8
 
 
@@ -80,7 +78,7 @@ def test_write_delta_appends_only_newer(spark, tmp_dir):
     ld.write_delta(_readings(spark, [("A", T0 + dt.timedelta(hours=1), 9.0),
                                      ("A", T0 + dt.timedelta(hours=2), 9.0),
                                      ("A", T0 + dt.timedelta(hours=3), 3.0)]), path, 2)
-    got = sorted((r["time"].hour, r["value"]) for r in spark.read.parquet(path).collect())
+    got = sorted((r["time"].hour, r["value"]) for r in ld.read_store(spark, path).collect())
     assert got == [(0, 1.0), (2, 2.0), (3, 3.0)]
 
 
@@ -132,21 +130,29 @@ def test_delta_write_one_file_per_partition_folder(spark, tmp_dir):
         if n:
             per_folder[d] = n
     assert len(per_folder) > 64 and max(per_folder.values()) == 1
-    assert spark.read.parquet(path).count() == 2000
+    assert ld.read_store(spark, path).count() == 2000
 
 
 def _kept_vs_store(spark, path):
     from meterlake.operators.marks import marks
 
-    kept = ld.kept_marks(spark, path)
-    assert kept is not None
-    got = sorted((r["cpe"], r["last_insert"]) for r in kept.collect())
-    return got, sorted((r["cpe"], r["last_insert"]) for r in marks(spark.read.parquet(path)).collect())
+    got = sorted((r["cpe"], r["last_insert"]) for r in ld.kept_marks(spark, path).collect())
+    return got, sorted((r["cpe"], r["last_insert"]) for r in marks(ld.read_store(spark, path)).collect())
+
+
+def _half_written(spark, path, readings, seq, kind=ld.DELTA):
+    """A load whose writer died before the folder was committed."""
+    pts = ld.with_month(to_points(_readings(spark, readings))).withColumn("load_seq", F.lit(seq).cast("long"))
+    folder = os.path.join(path, f"load={seq:019d}-{seq:09d}-{kind}-dead")
+    ld.write_points(pts, folder, "errorifexists")
+    os.remove(os.path.join(folder, "_SUCCESS"))
+    return folder
 
 
 def test_kept_marks_follow_delta_and_full_loads(spark, tmp_dir):
     h = dt.timedelta(hours=1)
     path = os.path.join(tmp_dir, "store")
+    assert ld.kept_marks(spark, path) is None
     ld.write_delta(_readings(spark, [("A", T0, 1.0), ("B", T0 + h, 2.0)]), path, 1)
     got, want = _kept_vs_store(spark, path)
     assert got == want == [("A", T0), ("B", T0 + h)]
@@ -156,56 +162,104 @@ def test_kept_marks_follow_delta_and_full_loads(spark, tmp_dir):
     ld.write_full(to_points(_readings(spark, [("B", T0 + 5 * h, 5.0)])), path, 3)
     got, want = _kept_vs_store(spark, path)
     assert got == want and dict(got)["B"] == T0 + 5 * h
-    names = sorted(os.listdir(os.path.join(path, "_marks")))
-    assert not any(n.startswith("pending-") for n in names)
-    assert len([n for n in names if n.startswith("n=")]) == 2          # the latest and the one before
-    assert spark.read.parquet(path).count() == 5                          # marks are not read as points
+    assert len(os.listdir(os.path.join(path, "_marks"))) == 3             # one table a load
+    assert ld.read_store(spark, path).count() == 5
 
 
-def test_unfinished_load_forces_marks_from_points(spark, tmp_dir):
-    """Points appended by a load that never wrote its snapshot (marker left behind)
-    still count: the next delta takes marks from the points and adds no duplicates."""
+def test_unfinished_load_is_not_seen_and_loaded_again(spark, tmp_dir):
     h = dt.timedelta(hours=1)
     path = os.path.join(tmp_dir, "store")
     ld.write_delta(_readings(spark, [("A", T0, 1.0)]), path, 1)
-    # a crashed load: its points were appended, its snapshot never written
-    ld._begin_load(spark, path, 2)
-    crashed = ld.with_month(to_points(_readings(spark, [("A", T0 + h, 2.0)]))).withColumn("load_seq", F.lit(2).cast("long"))
-    ld.write_points(crashed, path, "append")
-    assert ld.kept_marks(spark, path) is None
+    _half_written(spark, path, [("A", T0 + h, 2.0)], 2)
+    assert ld.read_store(spark, path).count() == 1
     ld.write_delta(_readings(spark, [("A", T0 + h, 2.0), ("A", T0 + 2 * h, 3.0)]), path, 3)
-    got = sorted((r["time"], r["value"]) for r in spark.read.parquet(path).collect())
-    assert got == [(T0, 1.0), (T0 + h, 2.0), (T0 + 2 * h, 3.0)]
+    assert _stored(spark, path) == [("A", T0, 1.0), ("A", T0 + h, 2.0), ("A", T0 + 2 * h, 3.0)]
     got_kept, want = _kept_vs_store(spark, path)
     assert got_kept == want == [("A", T0 + 2 * h)]
-    assert not any(n.startswith("pending-") for n in os.listdir(os.path.join(path, "_marks")))
 
 
-def test_store_with_only_a_marker_reads_as_empty(spark, tmp_dir):
+def test_load_that_died_before_its_marks_still_counts(spark, tmp_dir):
+    import shutil
+
+    h = dt.timedelta(hours=1)
+    path = os.path.join(tmp_dir, "store")
+    ld.write_delta(_readings(spark, [("A", T0, 1.0)]), path, 1)
+    ld.write_delta(_readings(spark, [("A", T0 + h, 2.0), ("B", T0, 5.0)]), path, 2)
+    shutil.rmtree(os.path.join(path, "_marks", ld.committed_loads(spark, path)[-1].name))
+    got, want = _kept_vs_store(spark, path)
+    assert got == want == [("A", T0 + h), ("B", T0)]
+    assert ld.write_delta(_readings(spark, [("A", T0 + h, 9.0), ("B", T0 + h, 6.0)]), path, 3).count() == 1
+
+
+def test_store_with_only_an_unfinished_load_reads_as_empty(spark, tmp_dir):
     path = os.path.join(tmp_dir, "store")
-    ld._begin_load(spark, path, 1)                 # a first load that failed before its points
+    _half_written(spark, path, [("A", T0, 7.0)], 1, ld.FULL)
     assert ld.read_store(spark, path) is None
     ld.write_delta(_readings(spark, [("A", T0, 1.0)]), path, 2)
-    assert spark.read.parquet(path).count() == 1
-    assert ld.kept_marks(spark, path) is not None
+    assert _stored(spark, path) == [("A", T0, 1.0)]
 
 
-def test_full_load_after_unfinished_load_leaves_marks_to_the_next_delta(spark, tmp_dir):
-    h = dt.timedelta(hours=1)
+def test_full_load_that_dies_loses_no_stored_point(spark, tmp_dir):
+    """A replacement that stops anywhere leaves the old points; only a whole one replaces them."""
     path = os.path.join(tmp_dir, "store")
-    ld.write_delta(_readings(spark, [("A", T0, 1.0)]), path, 1)
-    ld._begin_load(spark, path, 2)                                   # left unfinished
-    crashed = ld.with_month(to_points(_readings(spark, [("A", T0 + 2 * h, 2.0)]))).withColumn(
-        "load_seq", F.lit(2).cast("long"))
-    ld.write_points(crashed, path, "append")
-    ld.write_full(to_points(_readings(spark, [("B", T0, 5.0)])), path, 3)
-    assert ld.kept_marks(spark, path) is None                        # still unknown: no snapshot written
-    ld.write_delta(_readings(spark, [("A", T0 + h, 9.0), ("A", T0 + 3 * h, 3.0)]), path, 4)
-    got = sorted((r["cpe"], r["time"], r["value"]) for r in spark.read.parquet(path).collect())
-    # the broken load's point raises no mark: what it may have lost before it is loaded too
-    assert got == [("A", T0, 1.0), ("A", T0 + h, 9.0), ("A", T0 + 2 * h, 2.0), ("A", T0 + 3 * h, 3.0), ("B", T0, 5.0)]
-    got_kept, want = _kept_vs_store(spark, path)
-    assert got_kept == want
+    old = [("A", T0, 1.0), ("B", T0, 2.0), ("C", dt.datetime(2024, 2, 3), 3.0)]
+    ld.write_full(to_points(_readings(spark, old)), path, 1)
+    _half_written(spark, path, [("A", T0, 9.0), ("C", dt.datetime(2024, 2, 3), 9.0)], 2, ld.FULL)
+    assert _stored(spark, path) == old
+    ld.write_full(to_points(_readings(spark, [("A", T0, 9.0), ("D", T0, 4.0)])), path, 3)
+    assert _stored(spark, path) == [("A", T0, 9.0), *old[1:], ("D", T0, 4.0)]
+
+
+def test_first_load_is_written_once(spark, tmp_dir):
+    path, seen = os.path.join(tmp_dir, "store"), []
+    kept = ld.write_points
+    ld.write_points = lambda df, where, mode: (seen.append(where), kept(df, where, mode))
+    try:
+        ld.write_full(to_points(_readings(spark, [("A", T0, 1.0)])), path, 1)
+    finally:
+        ld.write_points = kept
+    assert len(seen) == 1 and seen[0].startswith(path)
+
+
+def test_compaction_keeps_points_and_marks(spark, tmp_dir):
+    path, h = os.path.join(tmp_dir, "store"), dt.timedelta(hours=1)
+    ld.write_full(to_points(_readings(spark, [("A", T0, 1.0), ("B", T0, 2.0)])), path, 1)
+    for n in range(2, 8):
+        ld.write_delta(_readings(spark, [("A", T0 + n * h, float(n))]), path, n)
+    ld.write_full(to_points(_readings(spark, [("A", T0 + 2 * h, 20.0), ("C", T0, 3.0)])), path, 8)
+    _half_written(spark, path, [("Z", T0, 7.0)], 9)
+    before, marks_before = _stored(spark, path), _kept_vs_store(spark, path)
+    assert ld.compact(spark, path) == 7
+    assert _stored(spark, path) == before and _kept_vs_store(spark, path) == marks_before
+    names = [x for x in os.listdir(path) if x.startswith("load=")]
+    assert len(names) == 2 == len(os.listdir(os.path.join(path, "_marks")))
+    assert ("A", T0 + 2 * h, 20.0) in before
+    assert ld.compact(spark, path, keep=0) == 2 and _stored(spark, path) == before
+    seqs = {(r["cpe"], r["time"]): r["load_seq"] for r in ld.read_store(spark, path).collect()}
+    assert seqs["A", T0 + 2 * h] == 8 and seqs["A", T0 + 3 * h] == 3 and seqs["B", T0] == 1
+    ld.write_delta(_readings(spark, [("A", T0 + 7 * h, 0.0), ("A", T0 + 8 * h, 8.0)]), path, 10)
+    assert _stored(spark, path) == sorted([*before, ("A", T0 + 8 * h, 8.0)])
+
+
+def test_compaction_that_dies_before_it_deletes(spark, tmp_dir):
+    """Old and merged folders side by side read as one."""
+    path, h = os.path.join(tmp_dir, "store"), dt.timedelta(hours=1)
+    for n in range(4):
+        ld.write_delta(_readings(spark, [("A", T0 + n * h, float(n))]), path, n + 1)
+    before = _stored(spark, path)
+    old = ld.committed_loads(spark, path)[:3]
+    points = ld._read_loads(spark, path, old)
+    ld.write_points(points, f"{path}/load={old[-1].seq:019d}-{old[-1].k:09d}-{ld.MERGED}-abc", "errorifexists")
+    assert _stored(spark, path) == before
+    assert ld.write_delta(_readings(spark, [("A", T0 + h, 9.0)]), path, 9).count() == 0
+
+
+def test_repeated_load_of_one_tag_is_written_once(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "store")
+    rows = _readings(spark, [("A", T0, 1.0)])
+    for _ in range(2):
+        assert ld.write_delta(rows, path, 1, tag="s1b0").count() == 1
+    assert len(ld.committed_loads(spark, path)) == 1
 
 
 def test_store_last_insert_uses_kept_marks_and_sentinel(spark, tmp_dir):
@@ -218,7 +272,7 @@ def test_store_last_insert_uses_kept_marks_and_sentinel(spark, tmp_dir):
     assert set(none.values()) == {dt.datetime(1989, 5, 11)}                  # empty store: sentinel
     ld.write_delta(_readings(spark, [("A", T0, 1.0), ("B", T0 + h, 2.0), ("A", T0 + 2 * h, 3.0)]), path, 1)
     got = {r["cpe"]: r["last_insert"] for r in ld.store_last_insert(spark, path, meters).collect()}
-    want = {r["cpe"]: r["last_insert"] for r in last_insert(spark.read.parquet(path), meters).collect()}
+    want = {r["cpe"]: r["last_insert"] for r in last_insert(ld.read_store(spark, path), meters).collect()}
     assert got == want == {"A": T0 + 2 * h, "B": T0 + h, "Z": dt.datetime(1989, 5, 11)}
 
 
@@ -235,14 +289,14 @@ def test_store_last_point_reads_latest_months_only(spark, tmp_dir):
     parts = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert "2024-03" in parts and "2024-01" in parts and "2024-02" not in parts
     got = sorted((r["cpe"], r["time"], r["value"]) for r in out.collect())
-    stored = spark.read.parquet(path).select("cpe", "time", "value", "load_seq")
+    stored = ld.read_store(spark, path).select("cpe", "time", "value", "load_seq")
     want = sorted((r["cpe"], r["time"], r["value"])
                   for r in last_point(stored, "cpe", "time", tiebreak="load_seq").collect())
     assert got == want and ("M1", dt.datetime(2024, 3, 10, 1), 99.0) in got and len(got) == 6
 
 
 def _stored(spark, path):
-    return sorted((r["cpe"], r["time"], r["value"]) for r in spark.read.parquet(path).collect())
+    return sorted((r["cpe"], r["time"], r["value"]) for r in ld.read_store(spark, path).collect())
 
 
 def test_delta_load_keeps_one_point_per_key_and_whole_seconds(spark, tmp_dir):
@@ -256,18 +310,6 @@ def test_delta_load_keeps_one_point_per_key_and_whole_seconds(spark, tmp_dir):
     assert len(_stored(spark, path)) == 2
 
 
-def test_retry_of_a_half_written_load_loses_nothing(spark, tmp_dir):
-    """January and February points, only February visible when the writer died."""
-    path = os.path.join(tmp_dir, "store")
-    feb = dt.datetime(2024, 2, 3)
-    ld.write_delta(_readings(spark, [("A", dt.datetime(2023, 12, 1), 1.0)]), path, 1)
-    ld._begin_load(spark, path, 2)
-    half = ld.with_month(to_points(_readings(spark, [("A", feb, 3.0)]))).withColumn("load_seq", F.lit(2).cast("long"))
-    ld.write_points(half, path, "append")
-    ld.write_delta(_readings(spark, [("A", T0, 2.0), ("A", feb, 3.0)]), path, 3)
-    assert _stored(spark, path) == [("A", dt.datetime(2023, 12, 1), 1.0), ("A", T0, 2.0), ("A", feb, 3.0)]
-
-
 def test_future_point_does_not_block_its_meter(spark, tmp_dir):
     path = os.path.join(tmp_dir, "store")
     far, h = dt.datetime(2099, 1, 1), dt.timedelta(hours=1)
@@ -298,6 +340,34 @@ def test_fan_out_counts_what_was_written(spark, tmp_dir):
         assert report.first()["rows"] == want
 
 
+def test_claimed_folder_is_archived_whole(spark, tmp_dir):
+    """Ten thousand files move by one rename; what arrives meanwhile stays for the next load."""
+    landing = os.path.join(tmp_dir, "landing")
+    for m in range(100):
+        os.makedirs(os.path.join(landing, f"M{m}"))
+        for i in range(100):
+            with open(os.path.join(landing, f"M{m}", f"{i}.xlsx"), "w") as f:
+                f.write(f"{m}-{i}")
+    claimed = ld.claim_source(spark, landing)
+    assert ld.claim_source(spark, landing) is None
+    os.makedirs(os.path.join(landing, "M0"))
+    open(os.path.join(landing, "M0", "late.xlsx"), "w").close()
+    archive = os.path.join(tmp_dir, "out", "session")
+    assert ld.retain_folder(spark, claimed, True, archive).endswith("out/session")
+    got = {(d.rsplit("/", 1)[1], f): open(os.path.join(d, f)).read() for d, _, fs in os.walk(archive) for f in fs if not f.endswith(".crc")}
+    assert len(got) == 10_000 and got["M7", "42.xlsx"] == "7-42"
+    assert os.listdir(os.path.join(landing, "M0")) == ["late.xlsx"]
+    again = ld.claim_source(spark, landing)
+    os.makedirs(os.path.join(landing, "M0"))
+    open(os.path.join(landing, "M0", "later.xlsx"), "w").close()
+    ld.release_source(spark, again, landing)
+    assert sorted(os.listdir(os.path.join(landing, "M0"))) == ["late.xlsx", "later.xlsx"]
+    third = ld.claim_source(spark, landing)
+    ld.retain_folder(spark, third, False, spare=[os.path.join(third, "M0", "late.xlsx")], landing=landing)
+    assert os.listdir(os.path.join(landing, "M0")) == ["late.xlsx"]
+    assert [x for x in os.listdir(tmp_dir) if "claimed" in x] == []
+
+
 def test_retain_source_keeps_paths_apart(spark, tmp_dir):
     root = os.path.join(tmp_dir, "landing")
     files = []

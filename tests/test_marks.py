@@ -110,7 +110,7 @@ def test_series_filter_on_a_store_prunes_bucket_folders(spark, tmp_dir):
     rows = [(f"M{i}", T0 + dt.timedelta(hours=h), float(h)) for i in range(30) for h in range(3)]
     path = os.path.join(tmp_dir, "store")
     ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
-    stored = spark.read.parquet(path)
+    stored = ld.read_store(spark, path)
     one = mk.series_filter(stored, meters="M7", store=True)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "bucket" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
@@ -130,7 +130,7 @@ def test_range_scan_on_a_store_bounds_month_folders(spark, tmp_dir):
         [("M1", dt.datetime(2024, 3, 31, 23, 59), 3.5)]
     path = os.path.join(tmp_dir, "store")
     ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
-    out = mk.range_scan(spark.read.parquet(path), "2024-02-01 00:00:00", "2024-04-01 00:00:00", store=True)
+    out = mk.range_scan(ld.read_store(spark, path), "2024-02-01 00:00:00", "2024-04-01 00:00:00", store=True)
     parts = out._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert "2024-02" in parts and "2024-04" in parts
     assert sorted(r["value"] for r in out.collect()) == [2.0, 3.0, 3.5]     # April 1st 00:00 excluded

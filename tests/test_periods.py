@@ -32,7 +32,7 @@ def test_select_period_filters_and_pushes_down(spark, tmp_dir):
     assert got == [2.0, 3.0]
     path = tmp_dir + "/r"
     _r(spark).write.parquet(path)
-    df = pr.select_period(spark.read.parquet(path), "select", year=2023, month=12)
+    df = pr.select_period(ld.read_store(spark, path), "select", year=2023, month=12)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(date_time" in plan
 
@@ -71,7 +71,7 @@ def test_select_period_on_a_store_prunes_month_folders(spark, tmp_dir):
     rows = [("M1", dt.datetime(2024, m, 15, 12), float(m)) for m in range(1, 7)]
     path = os.path.join(tmp_dir, "store")
     ld.write_delta(spark.createDataFrame(rows, "cpe string, date_time timestamp_ntz, consumption double"), path, 1)
-    may = pr.select_period(spark.read.parquet(path), "select", year=2024, month=5, ts="time", store=True)
+    may = pr.select_period(ld.read_store(spark, path), "select", year=2024, month=5, ts="time", store=True)
     plan = may._jdf.queryExecution().executedPlan().toString()
     assert "2024-05" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
     assert [r["value"] for r in may.collect()] == [5.0]

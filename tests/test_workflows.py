@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from meterlake.operators.load import read_store
 from meterlake.plans.workflows import run_load
 from meterlake.sources import workbook_export as wx
 
@@ -31,14 +32,14 @@ def test_full_then_delta_load(spark, tmp_dir):
     assert [(r["target"], r["status"]) for r in report.collect()] == [
         ("parquet", "loaded"), ("", "ignored"), ("influxdb", "unsupported")]
     assert bad.count() == 1
-    got = sorted((r["cpe"], r["time"].day) for r in spark.read.parquet(store).collect())
+    got = sorted((r["cpe"], r["time"].day) for r in read_store(spark, store).collect())
     assert got == [("PT01", 1), ("PT01", 2)]          # December reading is outside the month
 
     land2 = os.path.join(tmp_dir, "landing2")
     _landing(land2, [("PT01", "2024_1_cccccccc_readings.xlsx", ["2024-01-02", "2024-01-03"], [7.0, 3.0])])
     run_load(spark, land2, "current", ["parquet"], {"parquet": store}, as_of="2024-01-20", delta=True, load_seq=2)
     assert not os.path.exists(land2)
-    got = sorted((r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
+    got = sorted((r["time"].day, r["value"]) for r in read_store(spark, store).collect())
     assert got == [(1, 1.0), (2, 2.0), (3, 3.0)]      # equal-to-mark day 2 not reloaded
 
 
@@ -68,7 +69,7 @@ def test_command_line_run_and_info(spark, tmp_dir, capsys):
     assert [(s["target"], s["status"]) for s in out["stores"]] == [
         ("parquet", "loaded"), ("", "ignored")]
     assert not os.path.exists(land)                        # not kept: removed after loading
-    got = sorted((r["cpe"], r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
+    got = sorted((r["cpe"], r["time"].day, r["value"]) for r in read_store(spark, store).collect())
     assert got == [("PT07", 1, 1.5), ("PT07", 2, 2000.5)]
 
 
@@ -82,7 +83,7 @@ def test_full_load_repeated_time_later_row_wins(spark, tmp_dir):
                          [1.0, 2.0, 3.0])])
         run_load(spark, land, "select", ["parquet"], {"parquet": store}, year=2023, month=10, as_of="2023-11-05",
                  load_seq=1)
-        got = sorted((r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
+        got = sorted((r["time"].day, r["value"]) for r in read_store(spark, store).collect())
         assert got == [(29, 2.0), (30, 3.0)]
 
 
@@ -119,5 +120,5 @@ def test_overlapping_files_in_one_delta_load(spark, tmp_dir):
     _, report, _ = run_load(spark, land, "select", ["parquet"], {"parquet": store}, year=2024, month=1,
                             as_of="2024-02-10", delta=True, load_seq=1)
     assert report.first()["rows"] == 3
-    got = sorted((r["time"].day, r["value"]) for r in spark.read.parquet(store).collect())
+    got = sorted((r["time"].day, r["value"]) for r in read_store(spark, store).collect())
     assert got == [(1, 1.0), (2, 2.5), (3, 3.0)]
