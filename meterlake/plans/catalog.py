@@ -7,7 +7,9 @@ once below so the Spark side and the SQL side use the same values.
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Callable
 from functools import wraps
 
@@ -317,11 +319,19 @@ def _order_requests(spark, sf) -> DataFrame:
 
 
 @register("c6_reject_future", f"""
-SELECT o_orderkey, year(o_orderdate) AS year, month(o_orderdate) AS month,
-       make_timestamp(year(o_orderdate), month(o_orderdate), 1, 0, 0, 0) > {_NTZ} '{REQUEST_AS_OF}' AS future
-FROM orders""")
+SELECT o_orderkey, year, month, NOT coalesce(CASE WHEN month BETWEEN 1 AND 12 THEN
+       make_timestamp(year, month, 1, 0, 0, 0) <= {_NTZ} '{REQUEST_AS_OF}' END, false) AS rejected
+FROM (SELECT o_orderkey, year(o_orderdate) AS year,
+             CASE WHEN o_orderkey % 11 = 0 THEN 13 WHEN o_orderkey % 13 = 0 THEN NULL ELSE month(o_orderdate) END AS month FROM orders)""")
 def c6_reject_future(spark, sf):
-    return pr.flag_future(_order_requests(spark, sf).drop("cpe"), REQUEST_AS_OF)
+    """Requests with their verdict; some ask for a thirteenth month, some for none."""
+    key = F.col("o_orderkey")
+    asked = (_order_requests(spark, sf).drop("cpe").withColumn("month", F.when(key % 11 == 0, F.lit(13))
+             .when(key % 13 == 0, F.lit(None).cast("int")).otherwise(F.col("month"))))
+    good, bad = pr.reject_future(asked, REQUEST_AS_OF)
+    columns = ["o_orderkey", "year", "month"]
+    return (good.select(*columns, F.lit(False).alias("rejected"))
+            .unionByName(bad.select(*columns, F.lit(True).alias("rejected"))))
 
 
 @register("c7_missing_periods", """
@@ -722,9 +732,10 @@ def l3_task_status(spark, sf):
         F.col("user_id").cast("string").alias("task_id"), text.alias("status"),
         F.when(et == "purchase", F.col("props").cast("binary")).alias("file"),
         F.col("ts").alias("updated"), "event_id"), status, requests, ["updated", "event_id"])
-    cur = au.task_status(spark, status)
-    return cur.select("task_id", "status", "file", F.col("created").cast("timestamp_ntz").alias("created"),
-                      F.col("updated").cast("timestamp_ntz").alias("updated"), "n_updates")
+    cur = au.task_status(spark, status).select(
+        "task_id", "status", "file", F.col("created").cast("timestamp_ntz").alias("created"),
+        F.col("updated").cast("timestamp_ntz").alias("updated"), "n_updates")
+    return _kept_without_tables(spark, cur, scratch_path(spark, "l3-result"), requests, status)
 
 
 # --------------------------------------------------------------------------- H
@@ -1028,9 +1039,34 @@ def _event_workbooks(spark, sf, cond=None, part_rows: int = wx.PART_ROWS) -> Dat
                                split_key="event_id", part_rows=part_rows)
 
 
-@register("a1_read_workbooks", a1_sql())
+def _damaged_workbooks(spark) -> DataFrame:
+    """Files that can't be read: no archive, one cut short, a number format without an id, a cell beyond the last column."""
+    whole = wx.workbook_bytes([["a", 1.0]])
+
+    def changed(name: str, old: bytes, new: bytes) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(io.BytesIO(whole)) as a, zipfile.ZipFile(out, "w") as z:
+            for part in a.namelist():
+                z.writestr(part, a.read(part).replace(old, new) if part == name else a.read(part))
+        return out.getvalue()
+
+    files = {"cut": whole[:len(whole) // 2], "format": changed("xl/styles.xml", b"<cellXfs", b'<numFmts><numFmt formatCode="x"/></numFmts><cellXfs'),
+             "text": b"date,time,value", "wide": changed("xl/worksheets/sheet1.xml", b'r="B1"', b'r="ZZZZZ1"')}
+    return spark.createDataFrame([(f"/landing/damaged/{k}.xlsx", v) for k, v in files.items()], "path string, content binary")
+
+
+@register("a1_read_workbooks", f"""
+SELECT * FROM ({a1_sql()})
+UNION ALL
+SELECT NULL, NULL, NULL, '/landing/damaged/' || name || '.xlsx', -1
+FROM (VALUES ('cut'), ('format'), ('text'), ('wide')) AS t(name)""")
 def a1_read_workbooks(spark, sf):
-    return a1_workbooks(spark, sf)
+    """The readings of all workbooks and, without a meter, a row for each file that can't be read."""
+    blobs = _event_workbooks(spark, sf).unionByName(_damaged_workbooks(spark))
+    good, bad = rd.parse_readings(wb.decode_workbooks(blobs), F.regexp_extract("file", _LANDING_CPE, 1))
+    unread = bad.select(F.lit(None).cast("string").alias("cpe"), F.lit(None).cast(good.schema["date_time"].dataType).alias("date_time"),
+                        F.lit(None).cast("double").alias("consumption"), "file", "row")
+    return good.unionByName(unread)
 
 
 @register("a2_file_blobs", """
@@ -1078,3 +1114,45 @@ def l1_run_load(spark, sf):
                  year=LOAD_YEAR, month=LOAD_MONTH, delta=True, load_seq=i + 1,
                  cpe=F.regexp_extract("file", _LANDING_CPE, 1))
     return ld.read_store(spark, store).select("measurement", "cpe", "field", "value", "time")
+
+
+# --------------------------------------------------------------------------- L2
+@register("l2_run_requests", f"""
+SELECT 'r1' AS task_id, 'completed' AS state, NULL AS message,
+       (SELECT count(DISTINCT (user_id, date_trunc('minute', ts))) FROM events
+        WHERE ts >= {_NTZ} '2024-01-01' AND ts < {_NTZ} '2024-02-01') AS points
+UNION ALL SELECT 'r2', 'failed', 'influxdb unsupported', 0
+UNION ALL SELECT 'r3', 'rejected', 'unsupported workflow', 0""")
+def l2_run_requests(spark, sf):
+    """Three requests from the table to their end: one loads the workbooks, one names only an unknown
+    store, one is turned away before it is queued; the status table read back."""
+    from meterlake.plans.workflows import run_requests
+
+    base, suffix = scratch_path(spark, "l2"), uuid.uuid4().hex[:12]
+    requests, status = f"workflowrequests_{suffix}", f"taskstatus_{suffix}"
+    au.create_tables(spark, base, requests=requests, status=status)
+    asked = spark.createDataFrame(
+        [("r1", "select", ["parquet"], 1, 2024), ("r2", "select", ["influxdb"], 1, 2024), ("r3", "weekly", ["parquet"], 1, 2024)],
+        "task_id string, workflow string, db array<string>, month int, year int").selectExpr(
+        "*", "false AS delta", "false AS download", "cast(null AS timestamp) AS created")
+    checked = au.check_requests(asked, as_of=LOAD_AS_OF)
+    turned_away = checked.filter(F.col("reject_reason").isNotNull()).select(
+        "task_id", F.lit("rejected").alias("state"), F.col("reject_reason").alias("message"), F.lit(0).cast("long").alias("points"))
+    good = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    written, _ = au.insert_requests(good, requests, LOAD_AS_OF)
+    au.log_status(written.select("task_id", F.lit("queued").alias("status"),
+                                 F.lit(LOAD_AS_OF).cast("timestamp").alias("created")), status, requests)
+    run_requests(spark, requests, status, lambda request: _event_workbooks(spark, sf), {"parquet": f"{base}/store"},
+                 as_of=LOAD_AS_OF, cpe=F.regexp_extract("file", _LANDING_CPE, 1))
+    points = ld.read_store(spark, f"{base}/store").groupBy(F.lit("r1").alias("task_id")).agg(F.count(F.lit(1)).alias("points"))
+    done = au.task_status(spark, status).select("task_id", st.status_state("status").alias("state"), st.status_message("status").alias("message"))
+    out = done.join(points, "task_id", "left").withColumn("points", F.coalesce("points", F.lit(0))).unionByName(turned_away)
+    return _kept_without_tables(spark, out, f"{base}/result", requests, status)
+
+
+def _kept_without_tables(spark, out: DataFrame, path: str, *tables: str) -> DataFrame:
+    """Write a result and drop the catalog tables that it came from."""
+    out.write.parquet(path)
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.schema(out.schema).parquet(path)

@@ -9,6 +9,7 @@ one directory move.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 from collections.abc import Sequence
 
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake.functions.calendar import period_bounds
+from meterlake.operators.audit import run_task, task_status
 from meterlake.operators.load import claim_source, fan_out, folder_exists, release_source, retain_folder, write_delta, write_full
 from meterlake.operators.readings import parse_readings
 from meterlake.operators.reshape import to_points
-from meterlake.plans.joins import materialize
+from meterlake.plans.joins import lookup_join, materialize
 from meterlake.session import ship_package
 from meterlake.sources.workbooks import decode_workbooks, read_workbooks
 
@@ -114,3 +116,30 @@ def run_load(spark: SparkSession, landing: str | DataFrame, workflow: str, db: S
                                       "completed" if len(missed) < len(named) else f"failed: {', '.join(missed) or 'no store named'}",
                                       dt.datetime.now(dt.timezone.utc))], SESSION_SCHEMA)
     return session, report, bad
+
+
+def run_requests(spark: SparkSession, requests: str, status: str, landing, stores: dict[str, str], as_of=None,
+                 **options) -> int:
+    """L2: run the queued requests of the table ``requests`` one after another, by their id; returns how many ran.
+
+    Each becomes ``running``, is loaded by ``run_load`` (``landing`` gives the folder or the blobs for a
+    request's row; ``options`` are passed on), then ``completed`` or ``failed: <message>`` in the log
+    ``status``. A request that fails does not stop the next.
+    """
+    queued = task_status(spark, status).filter(F.col("status") == "queued").select("task_id")
+    todo = materialize(lookup_join(spark.table(requests), queued, "task_id", "left_semi")).orderBy("id")
+    n = 0
+    for r in todo.toLocalIterator():
+        def work(r=r):
+            session, _, _ = run_load(spark, landing(r), r["workflow"], r["db"], stores, as_of=as_of, year=r["year"],
+                                     month=r["month"], delta=bool(r["delta"]), **options)
+            text = session.first()["status"]
+            if text.startswith("failed"):
+                raise RuntimeError(text.removeprefix("failed: "))
+
+        n += 1
+        try:
+            run_task(spark, r["task_id"], requests, status, work)
+        except Exception as e:       # it is the request's status now
+            logging.getLogger(__name__).warning("request %s failed: %s", r["task_id"], e)
+    return n

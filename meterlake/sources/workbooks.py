@@ -14,7 +14,6 @@ import io
 import re
 import xml.parsers.expat
 import zipfile
-import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
@@ -150,6 +149,9 @@ _ROW, _CELL, _VALUE, _TEXT, _HINT = 1, 2, 3, 4, 5
 _TAGS = {"row": _ROW, "c": _CELL, "v": _VALUE, "t": _TEXT, "rPh": _HINT}
 
 
+MAX_COLUMNS = 16_384    # of a sheet, by the format
+
+
 class _SheetRows:
     """Streaming reader of a worksheet's XML (``expat`` callbacks, no element tree).
 
@@ -188,7 +190,10 @@ class _SheetRows:
                 letters = ref.rstrip("0123456789")
                 col = self.cols.get(letters)
                 if col is None:
-                    col = self.cols[letters] = _col_index(letters)
+                    col = _col_index(letters)
+                    if col >= MAX_COLUMNS:
+                        raise ValueError(f"cell {ref} lies beyond the {MAX_COLUMNS} columns of a sheet")
+                    self.cols[letters] = col
             else:
                 col = self.n_cells
             self.n_cells += 1
@@ -261,16 +266,14 @@ def decode_workbook(content: bytes) -> list[tuple[int, list[str | None]]]:
 DECODE_CHUNK_ROWS = 65_536
 
 
-# What a damaged or foreign file raises anywhere in the decoder.
-FILE_ERRORS = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ET.ParseError,
-               xml.parsers.expat.ExpatError, KeyError, ValueError, OSError)
-
-
 def _file_rows(content: bytes) -> Iterator[tuple[int, list[str | None] | None]]:
-    """Rows of one file; an error ends it with a marker row ``(-1, [reason])``."""
+    """Rows of one file; an error ends it with a marker row ``(-1, [reason])``.
+
+    Whatever a damaged or foreign file raises is that file's error, not the job's.
+    """
     try:
         yield from iter_workbook_rows(content)
-    except FILE_ERRORS as e:
+    except Exception as e:
         yield -1, [f"{type(e).__name__}: {e}"]
 
 

@@ -181,3 +181,16 @@ def test_export_file_spanning_many_arrow_batches(spark):
     assert n_files == 3
     assert got == sorted([("f1", 9 + i, float(i)) for i in range(11)] + [("f2", 9 + i, 100.0 + i) for i in range(2)]
                          + [("f3", 9, 7.0)])
+
+
+def test_any_damage_is_the_files_own(spark):
+    """Every kind of damage gives one marker row with its reason; the other files are read."""
+    from meterlake.plans.catalog import _damaged_workbooks
+
+    good = spark.createDataFrame([("/landing/A/ok.xlsx", wx.workbook_bytes(_sheet([1.0])))], "path string, content binary")
+    raw = wb.decode_workbooks(_damaged_workbooks(spark).unionByName(good))
+    bad = {r["file"].rsplit("/", 1)[1]: r["cells"][0] for r in raw.filter("row < 0").collect()}
+    assert sorted(bad) == ["cut.xlsx", "format.xlsx", "text.xlsx", "wide.xlsx"]
+    assert bad["format.xlsx"].startswith("TypeError") and "16384" in bad["wide.xlsx"]
+    assert parse_readings(raw, F.lit("A"))[0].count() == 1
+    assert wb.decode_workbook(wx.workbook_bytes([[None] * 20 + ["last"]]))[0][1][20] == "last"
