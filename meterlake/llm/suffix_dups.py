@@ -159,6 +159,14 @@ def _bytes(text) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def _lists(np, column):
+    """Per row a dict of arrays: the fields of a list of structs, without Python objects for its entries."""
+    offsets = column.offsets.to_numpy()
+    fields = {f.name: column.values.field(f.name).to_numpy(zero_copy_only=False) for f in column.type.value_type}
+    for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        yield {name: x[a:z] for name, x in fields.items()}
+
+
 def _long(np, a):
     import pyarrow as pa
 
@@ -173,8 +181,8 @@ def find_anchors(docs: DataFrame, scheme: Scheme) -> DataFrame:
 
         parser = Parser(scheme)
         for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for t, lo, hi, f, x1, x2 in parser.anchors(_bytes(text)):
+            for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                for t, lo, hi, f, x1, x2 in parser.anchors(_bytes(text.as_py())):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([key] * len(t), pa.string()), *[pa.array(c.astype(np.int32)) for c in (t, lo, hi)],
                          *[_long(np, c) for c in (f, x1, x2)]], ["key", "t", "lo", "hi", "f", "x1", "x2"])
@@ -218,10 +226,10 @@ def _symbols(texts: DataFrame, scheme: Scheme) -> DataFrame:
 
         parser = Parser(scheme)
         for b in batches:
-            for dn, text, wanted in zip(*[b.column(c).to_pylist() for c in ("dn", "text", "wanted")], strict=True):
-                data = _bytes(text)
+            for dn, text, wanted in zip(b.column("dn").to_pylist(), b.column("text"), _lists(np, b.column("wanted")), strict=True):
+                data = _bytes(text.as_py())
                 places = parser.places(data)
-                want = np.unique(np.array([q["t"] for q in wanted]))
+                want = np.unique(wanted["t"].astype(np.int64))
                 first = np.searchsorted(places, want)
                 # The last symbol that a wanted place needs begins within its ``length`` bytes.
                 last = np.searchsorted(places, want + scheme.length)
@@ -250,7 +258,7 @@ def _named(rows: DataFrame, by: list[str], name: str) -> tuple[DataFrame, int]:
     return stored(rows.join(names, by), name), n
 
 
-def _counted(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+def _counted(rows: DataFrame, order: list[str], name: str, used: list[DataFrame]) -> DataFrame:
     """``rows`` sorted by ``order``, with the number of rows of class 0 and of class 1 before each (``n0``, ``n1``)."""
     def run(batches):
         import numpy as np
@@ -270,6 +278,7 @@ def _counted(rows: DataFrame, order: list[str], name: str) -> DataFrame:
 
     placed = stored(rows.orderBy(*order).mapInArrow(
         run, "dn long, s long, j long, cls int, n0 long, n1 long, part int"), name)
+    used.append(placed)
     sums = placed.groupBy("part").agg(F.sum((F.col("cls") == 0).cast("long")).alias("a"),
                                       F.sum("cls").alias("b")).collect()  # one row per partition
     starts, a, b = [], 0, 0
@@ -281,14 +290,40 @@ def _counted(rows: DataFrame, order: list[str], name: str) -> DataFrame:
             .select("dn", "s", "j", "cls", (F.col("n0") + F.col("a")).alias("n0"), (F.col("n1") + F.col("b")).alias("n1")))
 
 
-def suffix_ranks(string: DataFrame, depth: int) -> DataFrame:
+def _undecided(sampled: DataFrame, names: DataFrame, depth: int) -> DataFrame:
+    """The stretches of names that the recursion has to order: (seg, jj, dn, s, j, sym, t, e).
+
+    A name met once, or one that reaches ``depth``, is decided: what follows it
+    does not matter. Of each string stay the undecided names and the name after
+    each of them; every stretch of these is a string of its own.
+    """
+    mod = F.col("j") % 3
+    triple = ["sym", "sym1", "sym2"]
+    rows = sampled.join(names, triple).select(
+        "dn", "s", "j", (2 * F.col("s") + mod - 1).alias("s2"), F.expr("j div 3").alias("j2"),
+        (F.col("rank") + 1).alias("name"), "t", "e",
+        ((F.col("n") > 1) & (F.col("e") - F.col("t") < depth) & (F.col("sym2") != 0)).alias("open"))
+    at = Window.partitionBy("dn", "s2").orderBy("j2")
+    kept = stored(rows.withColumn("after", F.coalesce(F.lag("open").over(at), F.lit(False)))
+                  .where("open OR after").withColumn("id", F.monotonically_increasing_id()), "undecided")
+    begins = F.coalesce(F.lag("j2").over(at) != F.col("j2") - 1, F.lit(True)) | (~F.lag("open").over(at))
+    cut = kept.withColumn("seg", F.when(begins, F.col("id"))).withColumn("first", F.when(begins, F.col("j2")))
+    upto = at.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return stored(cut.select("dn", "s", "j", F.last("seg", True).over(upto).alias("seg"),
+                             (F.col("j2") - F.last("first", True).over(upto)).alias("jj"), F.col("name").alias("sym"), "t", "e"),
+                  "stretches"), kept
+
+
+def suffix_ranks(string: DataFrame, depth: int, used: list[DataFrame] | None = None) -> DataFrame:
     """(dn, s, j, rank): the order of all suffixes of the strings (dn, s), by the difference-cover algorithm.
 
     ``string`` has the columns dn, s, j (places from 0), sym (1 or more), t and e:
     the symbol stands for the bytes ``t`` to ``e``. Suffixes equal in ``depth``
     bytes may come in any order; others in that of their symbols, the end of a
-    string first. Recursion stops when all names differ or reach ``depth``.
+    string first. The recursion takes only names that are not decided, until all
+    are. ``used`` receives the written tables behind the result.
     """
+    used = [] if used is None else used
     at = Window.partitionBy("dn", "s").orderBy("j")
     wide = stored(string.select(
         "dn", "s", "j", "t", "sym", F.coalesce(F.lead("sym", 1).over(at), F.lit(0)).alias("sym1"),
@@ -297,18 +332,27 @@ def suffix_ranks(string: DataFrame, depth: int) -> DataFrame:
     mod = F.col("j") % 3
     triple = ["sym", "sym1", "sym2"]
     sampled = wide.where(mod != 0).select("dn", "s", "j", "t", "e", *triple)
-    names, distinct = numbered(sampled.select(*triple).distinct(), triple, "names")
-    facts = sampled.agg(F.count(F.lit(1)).alias("n"),
-                        F.sum(((F.col("e") - F.col("t") < depth) & (F.col("sym2") != 0)).cast("long")).alias("short")).first()
-    if distinct == facts["n"] or not facts["short"]:
+    met = stored(sampled.groupBy(*triple).agg(F.count(F.lit(1)).alias("n"), F.min(F.col("e") - F.col("t")).alias("least")), "names")
+    short = met.where((F.col("n") > 1) & (F.col("least") < depth) & (F.col("sym2") != 0))
+    if short.isEmpty():
         ranks, _ = numbered(sampled.select("dn", "s", "j", *triple), [*triple, "dn", "s", "j"], "sample_order")
-        ranks = ranks.select("dn", "s", "j", "rank")
+        ranks = stored(ranks.select("dn", "s", "j", "rank"), "sample_ranks")
+        discard(met)
     else:
-        again = sampled.join(names, triple).select(
-            "dn", (2 * F.col("s") + mod - 1).alias("s"), F.expr("j div 3").alias("j"), (F.col("rank") + 1).alias("sym"), "t", "e")
-        below = suffix_ranks(again, depth)
-        ranks = below.select("dn", F.expr("s div 2").alias("s"), (3 * F.col("j") + F.col("s") % 2 + 1).alias("j"), "rank")
-    ranks = stored(ranks, "sample_ranks")
+        names, _ = numbered(met.select(*triple, "n"), triple, "name_order")
+        names = stored(names, "ranked_names")
+        stretches, kept = _undecided(sampled, names, depth)
+        deeper: list[DataFrame] = []
+        again = stretches.select(F.col("seg").alias("dn"), F.lit(0).cast("long").alias("s"), F.col("jj").alias("j"), "sym", "t", "e")
+        below = suffix_ranks(again, depth, deeper).select(F.col("dn").alias("seg"), F.col("j").alias("jj"), F.col("rank").alias("sub"))
+        inner = stored(stretches.join(below, ["seg", "jj"]).select("dn", "s", "j", "sub"), "inner_ranks")
+        discard(*deeper)
+        # Names first, and among equal ones the order that the recursion found.
+        whole = (sampled.join(names.select(*triple, F.col("rank").alias("name")), triple).select("dn", "s", "j", "name")
+                 .join(inner, ["dn", "s", "j"], "left").withColumn("sub", F.coalesce("sub", F.lit(-1))))
+        ranks, _ = numbered(whole, ["name", "sub", "dn", "s", "j"], "sample_order")
+        ranks = stored(ranks.select("dn", "s", "j", "rank"), "sample_ranks")
+        discard(met, names, stretches, kept, inner)
     # The remaining suffixes come from their first symbol and the rank of the next place.
     known = wide.select("dn", "s", "j", "sym", "sym1").join(ranks, ["dn", "s", "j"], "left")
     full = stored(known.select("*", F.coalesce(F.lead("rank", 1).over(at), F.lit(-1)).alias("r1"),
@@ -320,14 +364,16 @@ def suffix_ranks(string: DataFrame, depth: int) -> DataFrame:
               .withColumn("tie", -F.col("cls")))
     by_two = (rest.select("dn", "s", "j", "sym", "sym1", "r2", cls[0])
               .union(two.select("dn", "s", "j", "sym", "sym1", "r2", cls[1])).withColumn("tie", -F.col("cls")))
-    a = _counted(by_one, ["sym", "r1", "tie", "dn", "s", "j"], "merge_one")
-    b = _counted(by_two, ["sym", "sym1", "r2", "tie", "dn", "s", "j"], "merge_two")
+    tables: list[DataFrame] = []
+    a = _counted(by_one, ["sym", "r1", "tie", "dn", "s", "j"], "merge_one", tables)
+    b = _counted(by_two, ["sym", "sym1", "r2", "tie", "dn", "s", "j"], "merge_two", tables)
     key = ["dn", "s", "j"]
     low = (a.where("cls = 0").select(*key, (F.col("n0") + F.col("n1")).alias("x"))
            .join(b.where("cls = 0").select(*key, F.col("n1").alias("y")), key)
            .select(*key, (F.col("x") + F.col("y")).alias("rank")))
     up = (a.where("cls = 1").select(*key, "n0").union(b.where("cls = 1").select(*key, "n0")).join(ranks, key)
           .select(*key, (F.col("n0") + F.col("rank")).alias("rank")))
+    used += [wide, ranks, full, *tables]
     return low.union(up)
 
 
@@ -345,26 +391,73 @@ def _repeated_windows(texts: DataFrame, ranks: DataFrame, scheme: Scheme) -> Dat
         hashes = Hashes(np, 4 * scheme.length)
         spread = min(16, scheme.ahead)
         for b in batches:
-            columns = [b.column(c).to_pylist() for c in ("dn", "text", "wanted", "ranks")]
-            for dn, text, wanted, ranked in zip(*columns, strict=True):
-                data = np.frombuffer(_bytes(text), np.uint8)
-                rank = {r["t"]: r["rank"] for r in ranked}
-                for q in wanted:
-                    t, lo, hi = q["t"], q["lo"], q["hi"]
+            rows = zip(b.column("dn").to_pylist(), b.column("text"), _lists(np, b.column("wanted")), _lists(np, b.column("ranks")), strict=True)
+            for dn, text, wanted, ranked in rows:
+                data = np.frombuffer(_bytes(text.as_py()), np.uint8)
+                order = np.argsort(ranked["t"])
+                at, places = ranked["rank"][order], ranked["t"][order]
+                found = at[np.searchsorted(places, wanted["t"])]
+                for t, lo, hi, rank in zip(wanted["t"].tolist(), wanted["lo"].tolist(), wanted["hi"].tolist(), found.tolist(), strict=True):
                     sums = hashes.sums(data[lo:hi + scheme.length])
                     i = np.arange(hi - lo + 1)
                     group = hashes.between(sums, i, np.full(len(i), t - lo + spread), (t - lo) - i)
                     digest = hashes.between(sums, i, i + scheme.length)
                     yield pa.RecordBatch.from_arrays(
-                        [_long(np, group), pa.array(np.full(len(i), rank[t])), _long(np, digest),
+                        [_long(np, group), pa.array(np.full(len(i), rank)), _long(np, digest),
                          pa.array(np.full(len(i), dn)), pa.array((i + lo).astype(np.int32))],
                         ["g", "rank", "digest", "dn", "i"])
 
     listed = ranks.groupBy("dn").agg(F.collect_list(F.struct("t", "rank")).alias("ranks"))
     rows = texts.join(listed, "dn").mapInArrow(_joined(run), "g long, rank long, digest long, dn long, i int")
-    order = Window.partitionBy("g").orderBy("rank", "digest")
-    same = (F.lag("digest").over(order) == F.col("digest")) | (F.lead("digest").over(order) == F.col("digest"))
-    return rows.select("dn", "i", same.alias("same")).where("same").select("dn", "i")
+    return _equal_neighbours(rows.orderBy("g", "rank", "digest"))
+
+
+def _equal_neighbours(ordered: DataFrame) -> DataFrame:
+    """(dn, i) of the sorted rows that equal the row before or after them in ``g`` and ``digest``.
+
+    Every sorted partition compares its own rows and gives out its first and its
+    last one; these borders, two rows a partition, are compared afterwards.
+    """
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part, last, first = TaskContext.get().partitionId(), None, None
+        names = ["g", "digest", "dn", "i", "border"]
+
+        def given(rows, border):
+            columns = list(zip(*rows, strict=True))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
+            return pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                               pa.array([border] * len(rows), pa.int64())], names)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g, digest, dn, i = (b.column(c).to_numpy() for c in names[:4])
+            same = (g[1:] == g[:-1]) & (digest[1:] == digest[:-1])
+            hit = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            head = (int(g[0]), int(digest[0]), int(dn[0]), int(i[0]))
+            if last is not None and last[:2] == head[:2]:
+                hit[0] = True
+                yield given([last], None)
+            first = first or head
+            last = (int(g[-1]), int(digest[-1]), int(dn[-1]), int(i[-1]))
+            at = np.flatnonzero(hit)
+            yield pa.RecordBatch.from_arrays([*[pa.array(x[at]) for x in (g, digest, dn, i)], pa.nulls(len(at), pa.int64())], names)
+        if last is not None:
+            yield given([first], 2 * part)
+            yield given([last], 2 * part + 1)
+
+    found = stored(ordered.select("g", "digest", "dn", "i").mapInArrow(run, "g long, digest long, dn long, i int, border long"), "neighbours")
+    borders = sorted((r for r in found.where("border IS NOT NULL").collect()), key=lambda r: r["border"])   # two rows a partition
+    met = []
+    for x, y in zip(borders, borders[1:], strict=False):
+        if x["border"] // 2 != y["border"] // 2 and (x["g"], x["digest"]) == (y["g"], y["digest"]):
+            met += [(x["dn"], x["i"]), (y["dn"], y["i"])]
+    more = ordered.sparkSession.createDataFrame(met, "dn long, i int")
+    return found.where("border IS NULL").select("dn", "i").union(more)
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -386,9 +479,13 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     met = lookup_join(_keyed(docs), wanted, "key", "inner", materialized=True).dropDuplicates(["key"])
     texts = stored(met.select("key", "text", "wanted", F.monotonically_increasing_id().alias("dn")), "edge_texts")
     string, _ = _named(_symbols(texts, scheme), ["prefix"], "symbols")
-    string = string.select("dn", "s", "j", "t", "e", "sym")
-    ranks = suffix_ranks(string, scheme.length).join(string.select("dn", "s", "j", "t"), ["dn", "s", "j"])
-    windows = _repeated_windows(texts, stored(ranks.select("dn", "t", "rank"), "anchor_ranks"), scheme)
+    symbols = stored(string.select("dn", "s", "j", "t", "e", "sym"), "symbol_string")
+    discard(string)
+    used: list[DataFrame] = []
+    ranks = suffix_ranks(symbols, scheme.length, used).join(symbols.select("dn", "s", "j", "t"), ["dn", "s", "j"])
+    anchor_ranks = stored(ranks.select("dn", "t", "rank"), "anchor_ranks")
+    discard(*used, symbols)
+    windows = _repeated_windows(texts, anchor_ranks, scheme)
     parts = windows.join(texts.select("dn", "key"), "dn").select("key", F.col("i").alias("lo"), F.col("i").alias("hi"))
     ranges = whole.union(parts).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
     out = stored(ranges.mapInArrow(_merge, "key string, first array<int>, last array<int>"), "ranges")
