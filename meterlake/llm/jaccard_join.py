@@ -218,15 +218,19 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return half.join(rest, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
 
 
-def _hub_pairs(lists: DataFrame, labelled: DataFrame) -> DataFrame:
+def _hub_pairs(lists: DataFrame, labelled: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """(a, b): each class with the hub, of another component, that most of its lists name.
 
-    The hubs of a list are its members of the smallest and of the largest component.
+    The hubs of a list are its members of the smallest and of the largest component;
+    those that the length filter rules out (``sizes``: rid, n) are passed over.
     """
     hubs = lists.select("h", "c0", "c1")
     met = labelled.join(hubs, "h").where("c0 < c1")
     other = F.when(F.col("comp") == F.col("c0"), F.col("c1")).otherwise(F.col("c0"))
-    tally = met.select("rid", other.alias("hub")).groupBy("rid", "hub").agg(F.count(F.lit(1)).alias("k"))
+    tally = met.select("rid", "n", other.alias("hub")).groupBy("rid", "n", "hub").agg(F.count(F.lit(1)).alias("k"))
+    hub_sizes = sizes.select(F.col("rid").alias("hub"), F.col("n").alias("m"))
+    tally = lookup_join(tally, hub_sizes, "hub", "inner", materialized=True).where(
+        100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
     best = tally.groupBy("rid").agg(F.max(F.struct("k", "hub")).alias("m")).select("rid", F.col("m.hub").alias("hub"))
     return best.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct()
 
@@ -280,7 +284,7 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         discard(met)
         met = unsettled.drop("comp")
         met.stored_path = unsettled.stored_path
-        pairs = _hub_pairs(lists, unsettled) if turn < HUBS else cross_pairs(unsettled, percent)
+        pairs = _hub_pairs(lists, unsettled, sets.select("rid", "n"), percent) if turn < HUBS else cross_pairs(unsettled, percent)
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = pairs if tried is None else tried.union(pairs)
         found = stored(verify(pairs, sets, percent), "links")

@@ -79,6 +79,7 @@ def test_hot_list_makes_few_pairs(spark):
     sets = jaccard_join.document_sets(frame(spark, rows)).select("rid", "n", "grams").persist()
     counts = jaccard_join.count_cells(sets)
     met = jaccard_join.prefixes(sets, counts, 85)
-    pairs = jaccard_join._hub_pairs(jaccard_join._open_lists(jaccard_join._label(met, None)), jaccard_join._label(met, None))
+    pairs = jaccard_join._hub_pairs(jaccard_join._open_lists(jaccard_join._label(met, None)), jaccard_join._label(met, None),
+                                    sets.select("rid", "n"), 85)
     assert 0 < pairs.count() <= 300
     assert met.groupBy("h").count().agg(F.max("count")).first()[0] > 100
