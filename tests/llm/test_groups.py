@@ -107,6 +107,11 @@ def test_shards(spark):
     assert Counter(r.shard for r in shards.assign_shards(docs.limit(5), 24).collect()).most_common(1)[0][1] == 1
 
 
+def test_equal_rows_are_dealt_over_the_shards(spark):
+    docs = frame(spark, [(None, "the same text")] * 240)
+    assert set(Counter(r.shard for r in shards.shard_documents(docs, 24).collect()).values()) == {10}
+
+
 def test_shards_prune(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.expr("cast(id % 97 as int)")).alias("text"),
                                     (F.col("id") % 4).cast("string").alias("lang"), (F.col("id") % 9).cast("string").alias("source"))

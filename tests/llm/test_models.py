@@ -243,6 +243,31 @@ def test_lm_query_counts_pairs_met_once(spark):
     assert np.allclose([got[d][1] for d in want], [s for _, s in want.values()], rtol=1e-5, atol=0.01)
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_lm_scores_of_the_corpus_itself(spark, limit):
+    """Every pair counts; words settled in the tasks, or joined like pairs when their table is too large to broadcast."""
+    rng = random.Random(4)
+    rows = odd_rows() + [(300 + i, noise(rng, 200, "ab  ")) for i in range(20)]
+    if limit is not None:
+        spark.conf.set("meterlake.broadcast.maxBytes", str(limit))
+    try:
+        got = [(r.doc_id, r.n_words, r.log_score) for r in lm.score(frame(spark, rows), min_count=1).collect()]
+    finally:
+        spark.conf.unset("meterlake.broadcast.maxBytes")
+    want = plain_scores(rows, rows, 2, lm.ALPHA, 1)
+    a, b = (sorted(x, key=lambda r: (repr(r[0]), r[1], round(r[2], 1))) for x in (got, want))
+    assert [x[:2] for x in a] == [x[:2] for x in b]
+    assert np.allclose([x[2] for x in a], [x[2] for x in b], rtol=1e-5, atol=0.01)
+
+
+def test_lm_backs_off_on_held_out_documents(spark):
+    corpus, rows = [(1, "a b a b c")], [(2, "a c b z")]
+    (got,) = lm.score(frame(spark, rows), frame(spark, corpus), min_count=1).collect()
+    want = plain_scores(corpus, rows, 2, lm.ALPHA, 1)[0][2]
+    assert got.log_score == pytest.approx(want, abs=1e-3)
+    assert want < math.log(2 / 5) + 3 * math.log(lm.ALPHA)      # all three later words are backed off
+
+
 def test_lm_empty(spark):
     assert lm.score(empty(spark)).count() == 0
     rows = lm.score(frame(spark, [(1, "a b")]), empty(spark)).collect()

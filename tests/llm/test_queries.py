@@ -18,7 +18,7 @@ def texts(spark):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
