@@ -5,8 +5,9 @@ sets that reach the similarity share an n-gram within their prefixes, so
 documents meet only in the lists of their prefix n-grams. The length filter
 compares set sizes, the positional filter bounds the overlap by the places of
 the shared n-gram, and the suffix filter bounds it by how the n-grams of the two
-sets fall into ranges of their hashes; what passes is verified once on the whole
-sets.
+sets fall into ranges of their hashes: within the join by the ranges that hold an
+odd number in one set alone (each is an n-gram that the sets don't share), then by
+the numbers in each range. What passes is verified once on the whole sets.
 
 Equal sets are one class from the start. A list of n classes is not n * n pairs:
 first every class meets only a hub of each list, and the links found give
@@ -36,6 +37,7 @@ SLICE = 1 << 14           # cells that travel together
 CHUNK = 1 << 20           # characters of text hashed at once, or one longer text
 HELD = 1 << 18            # n-grams sorted at once, or those of one larger set
 BINS = 64                 # hash ranges of the suffix filter
+MARKS = [f"s{i}" for i in range(4)]   # 256 bits: whether a hash range holds an odd number of a set's n-grams
 HUBS = 2                  # rounds in which every class meets a hub
 
 
@@ -78,7 +80,10 @@ def text_sets(np, hashes, texts, shingle):
 
 
 def document_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(rid, doc_id, n, k1, k2, grams): each row's n-gram hashes, rising, as bytes; ``k1``, ``k2`` digest the set."""
+    """(rid, doc_id, n, k1, k2, s0 to s3, grams): each row's n-gram hashes, rising, as bytes.
+
+    ``k1``, ``k2`` digest the set, ``s0`` to ``s3`` hold its odd hash ranges.
+    """
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -93,15 +98,18 @@ def document_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 for salt in (1, 2):
                     sums = np.concatenate([[np.uint64(0)], np.cumsum(_mix(np, gram, gram >> np.uint64(salt)), dtype=np.uint64)])
                     keys.append(_signed(np, _mix(np, sums[ends] - sums[ends - n], n.astype(np.uint64))))
+                spots = np.repeat(np.arange(len(n)) * 256, n) + (gram >> np.uint64(56)).astype(np.int64)
+                odd = np.packbits((np.bincount(spots, minlength=256 * len(n)) & 1).astype(bool)).view(np.int64).reshape(-1, 4)
                 sets = [gram[z - m:z].tobytes() for z, m in zip(ends.tolist(), n.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(done, len(part)), b.column(1).slice(done, len(part)), pa.array(n), *keys, pa.array(sets, pa.binary())],
-                    ["rid", "doc_id", "n", "k1", "k2", "grams"])
+                    [b.column(0).slice(done, len(part)), b.column(1).slice(done, len(part)), pa.array(n), *keys,
+                     *[pa.array(odd[:, i].copy()) for i in range(4)], pa.array(sets, pa.binary())],
+                    ["rid", "doc_id", "n", "k1", "k2", *MARKS, "grams"])
                 done += len(part)
 
     ship_package(docs.sparkSession)
     return (doc_rows(docs).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-            .mapInArrow(run, "rid long, doc_id long, n long, k1 long, k2 long, grams binary"))
+            .mapInArrow(run, f"rid long, doc_id long, n long, k1 long, k2 long, {', '.join(f'{s} long' for s in MARKS)}, grams binary"))
 
 
 def _runs_of(np, column):
@@ -159,7 +167,11 @@ def prefix_length(n, percent: int):
 
 
 def prefixes(sets: DataFrame, counts, percent: int) -> DataFrame:
-    """(h, rid, n, pos): the prefix n-grams of each set with their places in its rare-first order."""
+    """(h, rid, n, pos, score): the prefix n-grams of each set with their places in its rare-first order.
+
+    ``score`` says how common the prefix is: among near copies, the text that the
+    others were edited from has no rare n-grams of its own and so the highest.
+    """
     spark = sets.sparkSession
     table = spark.sparkContext.broadcast(counts)   # of fixed size
 
@@ -174,15 +186,18 @@ def prefixes(sets: DataFrame, counts, percent: int) -> DataFrame:
                 rid = rids[first:first + len(n)]
                 doc = np.repeat(np.arange(len(n)), n)
                 # Stable sorts: the n-grams of a set rise already.
-                order = np.argsort(rare[(gram & np.uint64(len(rare) - 1)).astype(np.int64)], kind="stable")
+                count = rare[(gram & np.uint64(len(rare) - 1)).astype(np.int64)]
+                order = np.argsort(count, kind="stable")
                 order = order[np.argsort(doc[order], kind="stable")]
                 pos = np.arange(len(gram)) - np.repeat(np.cumsum(n) - n, n)
                 mine = pos < prefix_length(n, percent)[doc]
+                logs = np.bincount(doc[mine], np.log2(np.maximum(count[order][mine], 1)), len(n))
+                score = (100 * logs / np.maximum(prefix_length(n, percent), 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [_signed(np, gram[order][mine]), pa.array(rid[doc[mine]]), pa.array(n[doc[mine]].astype(np.int32)),
-                     pa.array(pos[mine].astype(np.int32))], ["h", "rid", "n", "pos"])
+                     pa.array(pos[mine].astype(np.int32)), pa.array(score[doc[mine]])], ["h", "rid", "n", "pos", "score"])
 
-    return sets.select("rid", "grams").mapInArrow(run, "h long, rid long, n int, pos int")
+    return sets.select("rid", "grams").mapInArrow(run, "h long, rid long, n int, pos int, score int")
 
 
 def bin_counts(np, gram):
@@ -218,21 +233,25 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return half.join(rest, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
 
 
-def _hub_pairs(lists: DataFrame, labelled: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each class with the hub, of another component, that most of its lists name.
+def _hub_pairs(lists: DataFrame, labelled: DataFrame, sizes: DataFrame, percent: int, turn: int = 0, tried: DataFrame | None = None) -> DataFrame:
+    """(a, b): each class with the hub, of another component, that most of its lists name and that it has not met.
 
-    The hubs of a list are its members of the smallest and of the largest component;
-    those that the length filter rules out (``sizes``: rid, n) are passed over.
+    Even turns look to the common hub of a list first, odd ones to the drawn one; hubs
+    that the length filter rules out (``sizes``: rid, n) are passed over.
     """
-    hubs = lists.select("h", "c0", "c1")
-    met = labelled.join(hubs, "h").where("c0 < c1")
-    other = F.when(F.col("comp") == F.col("c0"), F.col("c1")).otherwise(F.col("c0"))
-    tally = met.select("rid", "n", other.alias("hub")).groupBy("rid", "n", "hub").agg(F.count(F.lit(1)).alias("k"))
+    first, second = ("0", "1") if turn % 2 == 0 else ("1", "0")
+    hub = (F.when(F.col(f"g{first}") != F.col("comp"), F.col(f"h{first}"))
+           .when(F.col(f"g{second}") != F.col("comp"), F.col(f"h{second}")))
+    met = labelled.join(lists, "h").select("rid", "n", hub.alias("hub")).where("hub is not null")
+    tally = met.groupBy("rid", "n", "hub").agg(F.count(F.lit(1)).alias("k"))
     hub_sizes = sizes.select(F.col("rid").alias("hub"), F.col("n").alias("m"))
     tally = lookup_join(tally, hub_sizes, "hub", "inner", materialized=True).where(
         100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    best = tally.groupBy("rid").agg(F.max(F.struct("k", "hub")).alias("m")).select("rid", F.col("m.hub").alias("hub"))
-    return best.select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct()
+    tally = tally.select("rid", "hub", "k", F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b"))
+    if tried is not None:
+        tally = tally.join(tried, ["a", "b"], "left_anti")
+    best = tally.groupBy("rid").agg(F.max(F.struct("k", "a", "b")).alias("m"))
+    return best.select("m.a", "m.b").distinct()
 
 
 def _label(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -244,32 +263,48 @@ def _label(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
             .withColumn("comp", F.coalesce("root", "rid")).drop("root"))
 
 
-def _open_lists(labelled: DataFrame) -> DataFrame:
-    """Lists with members of two components or more: ``c0`` the smallest, ``c1`` the largest."""
-    return (labelled.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1"))
+def _open_lists(labelled: DataFrame, turn: int = 0) -> DataFrame:
+    """Lists with members of two components or more, with two hubs (``h0``, ``h1``) and their components (``g0``, ``g1``).
+
+    ``h0`` is the member with the most common prefix, ``h1`` one drawn anew each turn.
+    """
+    draw = F.xxhash64("rid", F.lit(turn))
+    common = F.col("score").cast("long") * F.lit(1 << 40) + draw.bitwiseAND(F.lit((1 << 40) - 1))
+    return (labelled.groupBy("h")
+            .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                 F.max_by("rid", common).alias("h0"), F.max_by("comp", common).alias("g0"),
+                 F.max_by("rid", draw).alias("h1"), F.max_by("comp", draw).alias("g1"))
+            .where("lo < hi").drop("lo", "hi"))
 
 
 def cross_pairs(open_postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes of different components that pass the length and the positional filter in some list.
+    """(a, b): classes of different components that pass the length, positional and first suffix filter in some list.
 
     The smaller set needs only the shorter prefix that its larger partners allow.
+    Postings carry the odd ranges of their sets (``MARKS``): sets with ``need``
+    n-grams in common differ in ``na + nb - 2 * need`` at most.
     """
     a, b = open_postings.alias("a"), open_postings.alias("b")
     na, nb, pa, pb = F.col("a.n"), F.col("b.n"), F.col("a.pos"), F.col("b.pos")
     need = F.ceil(percent * (na + nb) / F.lit(100.0 + percent) - 1e-9)
     # n-grams up to the shared one, and those after it, can't give more.
     most = F.least(pa, pb) + 1 + F.least(na - pa, nb - pb) - 1
+    differ = sum((F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))) for s in MARKS), F.lit(0))
     index = na - F.ceil(2.0 * percent * na / (100.0 + percent) - 1e-9) + 1
     return (a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.comp") != F.col("b.comp"))
                    & ((na < nb) | ((na == nb) & (F.col("a.rid") < F.col("b.rid"))))
-                   & (100 * na >= percent * nb) & (pa < index) & (most >= need))
+                   & (100 * na >= percent * nb) & (pa < index) & (most >= need) & (differ <= na + nb - 2 * need))
             .select(F.least("a.rid", "b.rid").alias("a"), F.greatest("a.rid", "b.rid").alias("b")).distinct())
 
 
-def similar_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(node, root): components of the links between the sets (rid, n, grams), as classes that have a link."""
+def similar_classes(sets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(node, root): components of the links between ``classes`` (rid, n, s0 to s3), for those that have a link.
+
+    ``sets`` holds the n-grams of each ``rid``; those of rows that stand for no class are only counted.
+    """
     counts = count_cells(sets)
-    postings = stored(prefixes(sets, counts, percent), "prefixes")
+    own = lookup_join(sets.select("rid", "grams"), classes.select("rid"), "rid", "left_semi", materialized=True)
+    postings = stored(prefixes(own, counts, percent), "prefixes")
     shared = postings.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
     # Written, so that the join stands alone and can be split at a frequent n-gram.
     shared = stored(shared, "shared")
@@ -278,14 +313,18 @@ def similar_classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     edges, roots, tried = None, None, None
     for turn in range(HUBS + 1):
         labelled = _label(met, roots)
-        lists = stored(_open_lists(labelled), "open_lists")
+        lists = stored(_open_lists(labelled, turn), "open_lists")
         # Lists of one component are done with.
         unsettled = stored(labelled.join(lists.select("h"), "h", "left_semi"), "unsettled")
         discard(met)
         met = unsettled.drop("comp")
         met.stored_path = unsettled.stored_path
-        pairs = _hub_pairs(lists, unsettled, sets.select("rid", "n"), percent) if turn < HUBS else cross_pairs(unsettled, percent)
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if turn < HUBS:
+            pairs = _hub_pairs(lists, unsettled, classes.select("rid", "n"), percent, turn, tried)
+        else:
+            marked = lookup_join(unsettled, classes.select("rid", *MARKS), "rid", "inner", materialized=True)
+            pairs = cross_pairs(marked, percent).join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
         found = stored(verify(pairs, sets, percent), "links")
         discard(lists)
@@ -313,11 +352,10 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
         raise ValueError("percent must lie between 1 and 100")
     every = stored(document_sets(docs, shingle), "sets")
     rows = stored(every.select("doc_id", "n", "k1", "k2"), "rows")
-    classes = stored(every.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("first_id")), "classes")
-    sets = stored(lookup_join(every.select("rid", "n", "grams"), classes.select("rid"), "rid", "left_semi", materialized=True), "class_sets")
+    classes = stored(every.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"),
+                                                                            *[F.min(s).alias(s) for s in MARKS]), "classes")
+    roots = similar_classes(every, classes, percent)
     discard(every)
-    roots = similar_classes(sets, percent)
-    discard(sets)
     linked_classes = classes.join(roots, classes["rid"] == roots["node"])
     lowest = linked_classes.groupBy("root").agg(F.min("first_id").alias("low"))
     named = roots.join(lowest, "root").select(F.col("node").alias("rid"), "low", F.lit(True).alias("linked"))

@@ -83,3 +83,35 @@ def test_hot_list_makes_few_pairs(spark):
                                     sets.select("rid", "n"), 85)
     assert 0 < pairs.count() <= 300
     assert met.groupBy("h").count().agg(F.max("count")).first()[0] > 100
+
+
+def test_base_text_is_the_hub(spark):
+    """Copies that link with their base alone meet it in the first turn."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    spots = [set(rng.sample(range(120), 3)) for _ in range(200)]
+    rows = [(i, " ".join(w if k not in spots[i] else f"x{i}_{k}" for k, w in enumerate(base))) for i in range(200)]
+    rows.append((900, " ".join(base)))
+    sets = jaccard_join.document_sets(frame(spark, rows)).persist()
+    met = jaccard_join.prefixes(sets, jaccard_join.count_cells(sets), 85)
+    labelled = jaccard_join._label(met, None)
+    pairs = jaccard_join._hub_pairs(jaccard_join._open_lists(labelled), labelled, sets.select("rid", "n"), 85)
+    hub = sets.where("doc_id = 900").first()["rid"]
+    near = sum(hub in (p.a, p.b) for p in pairs.collect())
+    assert near >= 150
+
+
+def test_odd_ranges_keep_links(spark):
+    """The bits in the join drop pairs of a hot list that can't link, and none that does."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(f"x{i}_{k}" if rng.random() < (0.06 if i % 2 else 0.008) else w for k, w in enumerate(base))) for i in range(120)]
+    sets = jaccard_join.document_sets(frame(spark, rows)).persist()
+    met = jaccard_join._label(jaccard_join.prefixes(sets, jaccard_join.count_cells(sets), 85), None)
+    marked = met.join(sets.select("rid", *jaccard_join.MARKS), "rid")
+    ids = {r.rid: r.doc_id for r in sets.select("rid", "doc_id").collect()}
+    got = {tuple(sorted((ids[p.a], ids[p.b]))) for p in jaccard_join.cross_pairs(marked, 85).collect()}
+    held = {i: brute.shingles(t, 4) for i, t in rows}
+    want = {(a, b) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 85 * len(held[a] | held[b])}
+    assert want <= got
+    assert 100 < len(want) <= len(got) < len(want) + 300
