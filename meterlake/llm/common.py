@@ -18,14 +18,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
     Cuts the lineage: a lost executor never repeats the work behind the table,
-    and each later reader sees the same rows.
+    and each later reader sees the same rows. ``batch``: rows of an Arrow batch.
     """
     path = scratch_path(df.sparkSession, name)
-    with _shuffles_dropped(df.sparkSession):
+    with _shuffles_dropped(df.sparkSession), batches_of(df.sparkSession, batch):
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_path = path
@@ -43,9 +43,24 @@ def discard(*tables: DataFrame) -> None:
 @contextmanager
 def _shuffles_dropped(spark: SparkSession):
     """Within, each finished action drops its shuffle files, as nothing reads them again."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        yield
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int | None):
+    """Within, Arrow batches hold at most ``rows`` rows (None: as the session says)."""
+    if rows is None:
+        yield
+        return
+    with _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
         yield
     finally:

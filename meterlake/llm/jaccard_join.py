@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import discard, doc_rows, stored
+from meterlake.llm.common import batches_of, discard, doc_rows, stored
 from meterlake.llm.graph import components
 from meterlake.llm.lm import ChunkHashes, _mix, _signed
 from meterlake.plans.joins import lookup_join
@@ -34,10 +34,11 @@ from meterlake.session import ship_package
 SHINGLE, PERCENT = 4, 85
 CELLS = 1 << 21           # of the rarity table
 SLICE = 1 << 14           # cells that travel together
-CHUNK = 1 << 20           # characters of text hashed at once, or one longer text
+CHUNK = 1 << 18           # characters of text hashed at once, or one longer text
 HELD = 1 << 18            # n-grams sorted at once, or those of one larger set
 BINS = 64                 # hash ranges of the suffix filter
 MARKS = [f"s{i}" for i in range(4)]   # 256 bits: whether a hash range holds an odd number of a set's n-grams
+BATCH = 500               # texts or sets in an Arrow batch
 HUBS = 2                  # rounds in which every class meets a hub
 
 
@@ -155,7 +156,8 @@ def count_cells(sets: DataFrame, cells: int = CELLS):
 
     kinds = "part long, n binary"
     tables = sets.select("grams").mapInArrow(counted, kinds)
-    summed = tables.repartition("part").mapInArrow(added, kinds).toArrow()   # cells * 8 bytes
+    with batches_of(sets.sparkSession, BATCH):
+        summed = tables.repartition("part").mapInArrow(added, kinds).toArrow()   # cells * 8 bytes
     out = {p: np.frombuffer(n, np.int64) for p, n in zip(summed.column(0).to_pylist(), summed.column(1).to_pylist(), strict=True)}
     whole = np.concatenate([out[p] for p in sorted(out)]) if out else np.zeros(cells, np.int64)
     return np.minimum(whole, 2**32 - 1).astype(np.uint32)
@@ -304,7 +306,7 @@ def similar_classes(sets: DataFrame, classes: DataFrame, percent: int = PERCENT)
     """
     counts = count_cells(sets)
     own = lookup_join(sets.select("rid", "grams"), classes.select("rid"), "rid", "left_semi", materialized=True)
-    postings = stored(prefixes(own, counts, percent), "prefixes")
+    postings = stored(prefixes(own, counts, percent), "prefixes", BATCH)
     shared = postings.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
     # Written, so that the join stands alone and can be split at a frequent n-gram.
     shared = stored(shared, "shared")
@@ -326,7 +328,7 @@ def similar_classes(sets: DataFrame, classes: DataFrame, percent: int = PERCENT)
             pairs = cross_pairs(marked, percent).join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        found = stored(verify(pairs, sets, percent), "links")
+        found = stored(verify(pairs, sets, percent), "links", BATCH)
         discard(lists)
         links = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
         edges = links if edges is None else edges.union(links)
@@ -350,7 +352,7 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must lie between 1 and 100")
-    every = stored(document_sets(docs, shingle), "sets")
+    every = stored(document_sets(docs, shingle), "sets", BATCH)
     rows = stored(every.select("doc_id", "n", "k1", "k2"), "rows")
     classes = stored(every.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"),
                                                                             *[F.min(s).alias(s) for s in MARKS]), "classes")
