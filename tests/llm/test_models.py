@@ -97,12 +97,13 @@ def test_leaks_exact_edited_and_clean(spark):
         rows.append((i, " ".join(body)))
     docs, bench = frame(spark, rows + odd_rows()), spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
+    want |= {(4, 51), (11, 51)}  # two odd rows hold the two words of item 51
     assert got == want
     blocks = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench, block_bytes=600).collect()}
     assert blocks == want
     kept = decontaminate.drop_leaked(docs, bench)
     assert kept.columns == docs.columns
-    leaked = {d for d, _ in want}
+    leaked = {d for d, i in want if i != 51}
     assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _ in rows + odd_rows() if i not in leaked)
     assert decontaminate.find_leaks(empty(spark), bench).count() == 0
     assert decontaminate.find_leaks(docs, bench.where("false")).count() == 0
@@ -127,11 +128,79 @@ def test_leaks_of_a_long_run_below_the_share(spark):
 
 
 def test_passages_reach_back_to_the_earliest_seed():
-    items = {0: [f"w{i}" for i in range(10)]}
-    seeds = decontaminate.pick_seeds(items, dict.fromkeys(decontaminate.grams(items[0]), 1))
-    seeds = {tuple(k.split(" ")): v for k, v in seeds.items()}
-    found = [f"x{i}" for i in range(30)] + ["w0", "w1", "w2", "w7", "w8", "w9"]
-    assert list(decontaminate._passages(found, seeds, items)) == [(0, [[21, 36]])]
+    item = [f"w{i}" for i in range(10)]
+    items = decontaminate.number_items(np, [(0, item)])
+    keys = np.unique(decontaminate.pair_keys(np, items.words, len(items.names), True)[1])
+    seeds = decontaminate.pick_seeds(np, items, keys, np.ones(len(keys), np.int64), 0.5, 13)
+    assert seeds.need.tolist() == [3] and set(range(9)) - set(seeds.offset.tolist()) == {7}  # 4 places hit, 3 needed; the last has one pair
+    found = [-1] * 30 + [items.names[w] for w in ("w0", "w1", "w2", "w7", "w8", "w9")] + [-1] * 2
+    got = list(decontaminate.passages(np, np.array(found), items, seeds, 0.5))
+    assert got == [(0, 26 - 10, 30 + 10 + 10)]  # w8 at 34 is word 8 of an item that begins at 26
+
+
+def test_rare_places_are_the_seeds():
+    items = decontaminate.number_items(np, [(0, [f"w{i}" for i in range(20)])])
+    keys = np.unique(decontaminate.pair_keys(np, items.words, len(items.names), True)[1])
+    counts = np.where(keys // 20 < 6, 1000, 1)  # pairs that begin with one of the first six words are common
+    seeds = decontaminate.pick_seeds(np, items, keys, counts, 0.5, 99)
+    assert set(seeds.offset.tolist()) == set(range(6, 19)) and seeds.need.tolist() == [3]  # 9 places hit: 6 may go
+
+
+def test_leaks_without_three_words_in_a_row(spark):
+    item = [f"w{i}" for i in range(30)]
+    inserted = [x for i, w in enumerate(item) for x in ([w, f"extra{i}"] if i % 2 else [w])]
+    replaced = [f"other{i}" if i % 3 == 2 else w for i, w in enumerate(item)]
+    spread = [x for i, w in enumerate(item) for x in (w, f"extra{i}")]
+    dropped = [w for i, w in enumerate(item) if i % 4 != 3]
+    copies = [inserted, replaced, spread, dropped]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = [(i, " ".join(["before", *c, "after"])) for i, c in enumerate(copies)] + [(9, "w0 w1 w2 and w7 w8")]
+    got = {r.doc_id: r.score for r in decontaminate.find_leaks(frame(spark, rows), bench).collect()}
+    assert got == {i: plain_alignment(item, c) for i, c in enumerate(copies)} and min(got.values()) >= 30
+
+
+def test_short_items_match_as_a_whole(spark):
+    bench = spark.createDataFrame([(1, "red"), (2, "red fox"), (3, "a red fox"), (4, "..."), (5, "")], "item_id long, text string")
+    rows = [(1, "Red!"), (2, "one red, fox"), (3, "fox red"), (4, "a red fox ran"), (5, "red the fox"), (6, "nothing")]
+    docs = frame(spark, rows)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == {(d, 1) for d in range(1, 6)} | {(2, 2), (4, 2), (2, 3), (4, 3), (5, 3)}
+    assert {r.doc_id for r in decontaminate.drop_leaked(docs, bench).collect()} == {1, 3, 6}
+
+
+def edited(rng, words, vocabulary):
+    """A copy with words replaced, left out or put in, one in two to one in ten."""
+    out, rate = [], rng.choice((0.5, 0.4, 0.3, 0.2, 0.1))
+    for w in words:
+        kind = rng.randrange(3) if rng.random() < rate else 3
+        out += ([rng.choice(vocabulary)], [], [w, rng.choice(vocabulary)], [w])[kind]
+    return out
+
+
+@pytest.mark.parametrize("vocabulary_size, share", [(12, 0.5), (60, 0.5), (2000, 0.5), (200, 0.7), (200, 0.35)])
+def test_leaks_equal_all_alignments(spark, vocabulary_size, share):
+    """Every document against every item by the plain dynamic programme: the same pairs and scores."""
+    rng = random.Random(vocabulary_size)
+    vocabulary = [f"v{i}" for i in range(vocabulary_size)]
+    items = [(i, rng.choices(vocabulary, k=rng.choice((3, 4, 5, 8, 12, 13, 20, 30)))) for i in range(12)]
+    rows = []
+    for d in range(60):
+        body = rng.choices(vocabulary, k=rng.randint(0, 25))
+        if d % 2:
+            at = rng.randint(0, len(body))
+            body[at:at] = edited(rng, rng.choice(items)[1], vocabulary)
+        rows.append((d, body))
+    want = {}
+    for d, body in rows:
+        for i, item in items:
+            score = plain_alignment(item, body)
+            run = any(item[a:a + 13] == body[b:b + 13] for a in range(len(item) - 12) for b in range(len(body) - 12))
+            if run or score >= share * 2 * len(item):
+                want[d, i] = score
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    docs = frame(spark, [(d, " ".join(t)) for d, t in rows])
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(docs, bench, share).collect()}
+    assert got == want and want
 
 
 TARGETS = {"good": 0.9, "poor": 0.06, "toxic": 0.04}
