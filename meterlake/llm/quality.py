@@ -15,39 +15,62 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import SPACES, bind, doc_rows, stored
 from meterlake.plans.joins import lookup_join
 
-BUCKETS = 1 << 20        # of words, and as many of word pairs
+BUCKETS = 1 << 20        # a power of two: of words, and as many of word pairs
 SMOOTHING = 16.0         # occurrences added to each bucket, trusted as often as the whole corpus is
 SCALE = 10_000           # weights are whole numbers: sums don't depend on their order
+PLACE_BITS = 20          # of a number that holds a window's place below the upper bits of its hash
 MIN_RATIO = -0.11        # mean natural log ratio below which a document is rejected
 
 
+def _covered(places: Column) -> Column:
+    """Words in the windows that begin at ``places`` (sorted): each adds those beyond the end of the one before it."""
+    return F.aggregate(places, F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
+                       lambda acc, i: F.struct((i + 3).alias("end"), (acc["n"] + i + 3 - F.greatest(acc["end"], i)).alias("n")),
+                       lambda acc: acc["n"])
+
+
+def _covered_by_rows(h: Column) -> Column:
+    """``_covered`` of the windows whose hash is in ``h`` twice, by sorting (hash, place) rows: any number of windows."""
+    rows = F.sort_array(F.arrays_zip(h.alias("h"), F.sequence(F.lit(0), F.size(h) - 1).alias("i")))
+
+    def pick(s):
+        n = F.size(s)
+        edge = F.array(F.lit(None).cast("bigint"))
+        key = F.transform(s, lambda x: x["h"])
+        before = F.concat(edge, F.slice(key, 1, n - 1))
+        after = F.concat(F.slice(key, 2, n), edge)
+        twin = F.zip_with(F.zip_with(before, after, lambda b, a: F.struct(b.alias("b"), a.alias("a"))), s,
+                          lambda e, x: F.when((e["b"] == x["h"]) | (e["a"] == x["h"]), x["i"]))
+        return _covered(F.sort_array(F.array_compact(twin)))
+
+    return bind(rows, pick)
+
+
 def repeated_window_words(found: Column) -> Column:
     """Words that lie in three-word windows met twice or more in the text, the first included."""
+    low = (1 << PLACE_BITS) - 1
+
     def covered(h):
-        rows = F.sort_array(F.arrays_zip(h.alias("h"), F.sequence(F.lit(0), F.size(h) - 1).alias("i")))
-
-        def pick(s):
-            n = F.size(s)
-            edge = F.array(F.lit(None).cast("bigint"))
-            key = F.transform(s, lambda x: x["h"])
-            before = F.concat(edge, F.slice(key, 1, n - 1))
-            after = F.concat(F.slice(key, 2, n), edge)
-            twin = F.zip_with(F.zip_with(before, after, lambda b, a: F.struct(b.alias("b"), a.alias("a"))), s,
-                              lambda e, x: F.when((e["b"] == x["h"]) | (e["a"] == x["h"]), x["i"]))
-            # Each window adds the words beyond the end of the one before it.
-            return F.aggregate(F.sort_array(F.array_compact(twin)),
-                               F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
-                               lambda acc, i: F.struct((i + 3).alias("end"),
-                                                       (acc["n"] + i + 3 - F.greatest(acc["end"], i)).alias("n")),
-                               lambda acc: acc["n"])
-
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(bind(rows, pick))
+        # The upper bits of a hash and the place in one number, as numbers sort faster than rows.
+        packed = F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
+
+        def twins(s):
+            n = F.size(s) - 1
+            return F.array_compact(F.zip_with(F.slice(s, 1, n), F.slice(s, 2, n), lambda a, b: F.when(
+                a.bitwiseXOR(b).between(0, low),
+                F.struct(a.bitwiseAND(F.lit(low)).cast("int").alias("a"), b.bitwiseAND(F.lit(low)).cast("int").alias("b")))))
+
+        def pick(t):
+            clash = F.exists(t, lambda x: F.get(h, x["a"]) != F.get(h, x["b"]))
+            places = F.array_union(F.transform(t, lambda x: x["a"]), F.transform(t, lambda x: x["b"]))
+            return (F.when(F.size(t) == 0, F.lit(0)).when(clash, _covered_by_rows(h))
+                    .otherwise(_covered(F.sort_array(places))))
+
+        return F.when(F.size(h) > low, _covered_by_rows(h)).otherwise(bind(bind(packed, twins), pick))
 
     def windows(h):
-        n = F.size(h)
-        two = F.zip_with(F.slice(h, 1, n - 2), F.slice(h, 2, n - 2), lambda a, b: F.xxhash64(a, b))
-        three = F.zip_with(two, F.slice(h, 3, n - 2), lambda a, b: F.xxhash64(a, b))
-        return F.when(n < 4, F.lit(0)).otherwise(bind(three, covered))
+        three = F.transform(F.slice(h, 1, F.size(h) - 2), lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)))
+        return F.when(F.size(h) < 4, F.lit(0)).otherwise(bind(three, covered))
 
     # Every word is hashed once.
     return bind(F.transform(found, lambda w: F.xxhash64(w)), windows)
@@ -80,8 +103,8 @@ def _buckets(spaced: Column) -> Column:
 
     def both(h):
         pairs = F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), F.slice(h, 2, F.greatest(F.size(h), F.lit(1))),
-                           lambda a, b: (F.pmod(F.xxhash64(a, b), F.lit(BUCKETS)) + BUCKETS).cast("int"))
-        return F.concat(F.transform(h, lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int")), pairs)
+                           lambda a, b: F.xxhash64(a, b).bitwiseAND(F.lit(BUCKETS - 1)).cast("int").bitwiseOR(F.lit(BUCKETS)))
+        return F.concat(F.transform(h, lambda x: x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), pairs)
 
     return bind(hashes, both)
 

@@ -128,3 +128,14 @@ def test_ledger_rows_written_twice_count_once(spark, tmp_dir):
     spark.read.parquet(where + "-copy").write.mode("append").parquet(where)      # an overlapping run
     assert sorted(map(tuple, secrets.secret_digest(docs, where).collect())) == once
     assert once[0][1:3] == (1, 1)
+
+
+def test_repeated_windows_with_equal_upper_bits(spark, monkeypatch):
+    """With few bits for a place, long texts and hashes that agree in their upper bits take the other path."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices("abcdef", k=n))) for i, n in enumerate([3, 4, 5, 9, 20, 60, 64, 65, 66, 67, 200, 1000] * 3)]
+    for bits in (3, 6, 58, 20):
+        monkeypatch.setattr(quality, "PLACE_BITS", bits)
+        found = quality.repeated_window_words(F.array_remove(F.split("text", " "), ""))
+        got = {r.doc_id: r.n for r in frame(spark, rows).select("doc_id", found.alias("n")).collect()}
+        assert got == {i: brute.quality(t)[4] for i, t in rows}
