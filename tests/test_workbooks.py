@@ -194,3 +194,30 @@ def test_any_damage_is_the_files_own(spark):
     assert bad["format.xlsx"].startswith("TypeError") and "16384" in bad["wide.xlsx"]
     assert parse_readings(raw, F.lit("A"))[0].count() == 1
     assert wb.decode_workbook(wx.workbook_bytes([[None] * 20 + ["last"]]))[0][1][20] == "last"
+
+
+def test_files_written_share_folders(spark, tmp_dir):
+    rows = [(f"{i:04d}", f"text {i}") for i in range(300)] + [("0007", "more"), (None, "x"), ("0300", None), ("0301", "é\nb")]
+    path = os.path.join(tmp_dir, "files")
+    folders = wb.write_files(spark.createDataFrame(rows, "name string, text string").coalesce(1), path)
+    listed = os.listdir(path)
+    assert 0 < len(listed) <= folders < 20
+    assert not [f for d in listed for f in os.listdir(os.path.join(path, d)) if f.startswith(".")]
+    blobs = wb.file_blobs(spark, path, glob=wb.WRITTEN_FILES).coalesce(folders)
+    found = {r["path"].rsplit("/", 1)[1]: (r["length"], bytes(r["content"])) for r in blobs.collect()}
+    assert len(found) == 303
+    assert found["0007.txt"] == (12, b"text 7\nmore\n")      # rows of one name are lines of one file
+    assert found["none.txt"] == (2, b"x\n") and found["0300.txt"] == (1, b"\n")
+    assert found["0301.txt"][1] == "é\nb\n".encode()
+
+
+def test_file_query_reads_documents_with_few_folders(spark, tmp_dir):
+    import hashlib
+
+    from meterlake.plans import catalog
+
+    spark.range(500).selectExpr("id AS doc_id", "concat('document ', id) AS text").write.parquet(os.path.join(tmp_dir, "documents.parquet"))
+    found = catalog.QUERIES["a2_file_blobs"](spark, tmp_dir)
+    assert {tuple(r) for r in found.collect()} == {
+        (f"{i:012d}", len(f"document {i}\n"), hashlib.sha256(f"document {i}\n".encode()).hexdigest()) for i in range(500)}
+    assert found.rdd.getNumPartitions() <= 4      # not a task for every few files
