@@ -6,6 +6,7 @@ Malformed input becomes null; callers route nulls to a quarantine frame.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -28,12 +29,26 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _may_fit(text: Column, fmt: str) -> Column | None:
+    """What every text of a format of digits and separators fulfils: a text that can't fit
+    costs no failed parse. None for other formats. (A year may have a sign.)"""
+    if not re.fullmatch(r"(yyyy|dd)([-/])MM\2(yyyy|dd) HH:mm(:ss)?", fmt):
+        return None
+    marks = F.translate(F.ltrim(text, F.lit("+-")), "0123456789", "") == re.sub("[A-Za-z]", "", fmt)
+    third = F.substring(text, 3, 1)
+    return marks & (third == fmt[2] if fmt.startswith("dd") else third != fmt[4])
+
+
 def merge_date_time(date, time, formats: Sequence[str] = DATE_TIME_FORMATS) -> Column:
     """B1: date text + time text -> one naive timestamp (null when no format fits), in any session time zone."""
     text = F.concat_ws(" ", F.trim(_c(date)), F.trim(_c(time)))
     # Read as UTC instants and counted from the epoch: the session zone's gaps and folds play no part.
     zoned = F.concat(text, F.lit(" Z"))
-    parsed = F.coalesce(*[F.try_to_timestamp(zoned, F.lit(f"{f} X")) for f in formats])
+    tries = []
+    for f in formats:
+        read, fits = F.try_to_timestamp(zoned, F.lit(f"{f} X")), _may_fit(text, f)
+        tries.append(read if fits is None else F.when(fits, read))
+    parsed = F.coalesce(*tries)
     none = F.lit(0)
     since = F.make_dt_interval(none, none, none, (F.unix_micros(parsed) / 1_000_000).cast("decimal(18,6)"))
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since

@@ -27,7 +27,7 @@ from meterlake.operators import periods as pr
 from meterlake.operators import readings as rd
 from meterlake.operators import reshape as rs
 from meterlake.operators import settings as stg
-from meterlake.plans.joins import lookup_join
+from meterlake.plans.joins import lookup_join, materialize
 from meterlake.sources import workbook_export as wx
 from meterlake.sources import workbooks as wb
 from meterlake.session import ensure_utc, scratch_path
@@ -1142,7 +1142,8 @@ def l2_run_requests(spark, sf):
     written, _ = au.insert_requests(good, requests, LOAD_AS_OF)
     au.log_status(written.select("task_id", F.lit("queued").alias("status"),
                                  F.lit(LOAD_AS_OF).cast("timestamp").alias("created")), status, requests)
-    run_requests(spark, requests, status, lambda request: _event_workbooks(spark, sf), {"parquet": f"{base}/store"},
+    landed = materialize(_event_workbooks(spark, sf))       # every request reads the same workbooks
+    run_requests(spark, requests, status, lambda request: landed, {"parquet": f"{base}/store"},
                  as_of=LOAD_AS_OF, cpe=F.regexp_extract("file", _LANDING_CPE, 1))
     points = ld.read_store(spark, f"{base}/store").groupBy(F.lit("r1").alias("task_id")).agg(F.count(F.lit(1)).alias("points"))
     done = au.task_status(spark, status).select("task_id", st.status_state("status").alias("state"), st.status_message("status").alias("message"))

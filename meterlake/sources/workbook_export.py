@@ -8,11 +8,13 @@ as a download and to build workbook inputs from stored tables.
 from __future__ import annotations
 
 import io
+import math
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
+from functools import cache
+from itertools import groupby
 from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,13 +75,14 @@ _STYLES = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
            '</styleSheet>')
 
 
-def _ref(col: int, row: int) -> str:
+@cache
+def _letters(col: int) -> str:
     name = ""
     col += 1
     while col:
         col, rem = divmod(col - 1, 26)
         name = chr(65 + rem) + name
-    return f"{name}{row + 1}"
+    return name
 
 
 def _row_xml(r: int, cells: Sequence[Cell], shared: dict[str, int]) -> str:
@@ -87,8 +90,14 @@ def _row_xml(r: int, cells: Sequence[Cell], shared: dict[str, int]) -> str:
     for c, v in enumerate(cells):
         if v is None:
             continue
-        ref = _ref(c, r)
-        if isinstance(v, tuple) and v[0] == "inline":
+        ref = f"{_letters(c)}{r + 1}"
+        kind = type(v)
+        if kind is str:
+            idx = shared.setdefault(v, len(shared))
+            xs.append(f'<c r="{ref}" t="s"><v>{idx}</v></c>')
+        elif kind is float:
+            xs.append(f'<c r="{ref}"><v>{v!r}</v></c>')
+        elif isinstance(v, tuple) and v[0] == "inline":
             xs.append(f'<c r="{ref}" t="inlineStr"><is><t>{escape(str(v[1]))}</t></is></c>')
         elif isinstance(v, tuple) and v[0] == "date":
             xs.append(f'<c r="{ref}" s="1"><v>{v[1]!r}</v></c>')
@@ -187,8 +196,9 @@ def split_files(readings: DataFrame, file_col: str, key_col: str,
     joined = lookup_join(readings, parts, file_col, "inner")
     f = F.col(file_col)
     part = F.pmod(part_hash(key_col), F.col("_parts"))
-    name = F.concat(F.regexp_extract(f, r"^(.*/)?[^/]*$", 1), F.lit("part-"), part.cast("string"),
-                    F.lit("/"), F.regexp_extract(f, r"([^/]*)$", 1))
+    base = F.substring_index(f, "/", -1)
+    folder = F.left(f, F.length(f) - F.length(base))
+    name = F.concat(folder, F.lit("part-"), part.cast("string"), F.lit("/"), base)
     return joined.withColumn(file_col, name).drop("_parts")
 
 
@@ -200,8 +210,9 @@ def export_workbooks(readings: DataFrame, file_col: str, order: Sequence[str],
 
     Rows are hash-partitioned by file (an explicit partition count, so AQE
     does not fold the Python work into a few tasks) and sorted within each
-    partition; ``mapInPandas`` then renders the files one after another,
-    holding at most one file's rows across Arrow batches. A workbook is
+    partition; ``mapInArrow`` then renders the files one after another,
+    holding at most one file's rows across Arrow batches. Rows without a file are
+    left out; a missing value is written as ``nan``. A workbook is
     bounded by the format (``MAX_SHEET_ROWS``; a meter-month of 15-minute
     readings is ~3,000). With ``split_key`` (a BIGINT column) every
     file is first split into parts of about ``part_rows`` rows (``split_files``),
@@ -214,31 +225,32 @@ def export_workbooks(readings: DataFrame, file_col: str, order: Sequence[str],
     if split_key is not None:
         readings = split_files(readings.select(*dict.fromkeys([*cols, split_key])), file_col, split_key,
                                   part_rows)
-    prepared = readings.select(*cols).repartition(n, file_col).sortWithinPartitions(file_col, *order)
+    prepared = readings.select(*cols).filter(F.col(file_col).isNotNull()).repartition(n, file_col).sortWithinPartitions(file_col, *order)
 
-    def render(pdf: pd.DataFrame) -> pd.DataFrame:
-        paths, blobs = [], []
-        for path, g in pdf.groupby(file_col, sort=False):
-            sheet = iter_readings_sheet(g[date_col].tolist(), g[time_col].tolist(), g[value_col].tolist(),
-                                        g[extra_col].tolist() if extra_col else None)
-            paths.append(path)
-            blobs.append(workbook_bytes(sheet))
-        return pd.DataFrame({"path": paths, "content": blobs})
+    names = [date_col, time_col, value_col] + ([extra_col] if extra_col else [])
 
     def build(batches):
-        # rows arrive sorted by file: only the last file of a batch can continue in
-        # the next one; its pieces are kept as a list and joined once, when it ends
-        pending: list[pd.DataFrame] = []
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            tail = pdf[file_col] == pdf[file_col].iloc[-1]
-            head = pdf[~tail]
-            if len(head):
-                yield render(pd.concat([*pending, head], ignore_index=True) if pending else head)
-                pending = []
-            pending.append(pdf[tail])
-        if pending:
-            yield render(pd.concat(pending, ignore_index=True))
-
-    return prepared.mapInPandas(build, BLOB_SCHEMA)
+        import pyarrow as pa
+
+        # rows arrive sorted by file: one file's rows are held, and the files that end in a batch
+        name, held = None, [[] for _ in names]
+        for b in batches:
+            paths, blobs = [], []
+            files, values = b.column(file_col).to_pylist(), [b.column(c).to_pylist() for c in names]
+            values[2] = [math.nan if v is None else v for v in values[2]]
+            for file, run in groupby(range(len(files)), files.__getitem__):
+                if name is not None and file != name:
+                    paths.append(name)
+                    blobs.append(workbook_bytes(iter_readings_sheet(*held)))
+                    held = [[] for _ in names]
+                name, first = file, next(run)
+                last = first + 1 + sum(1 for _ in run)
+                for have, new in zip(held, values):
+                    have += new[first:last]
+            if paths:
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(blobs, pa.binary())], ["path", "content"])
+        if name is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()),
+                                              pa.array([workbook_bytes(iter_readings_sheet(*held))], pa.binary())], ["path", "content"])
+
+    return prepared.mapInArrow(build, BLOB_SCHEMA)

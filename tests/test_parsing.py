@@ -115,3 +115,18 @@ def test_wall_times_do_not_depend_on_the_session_zone(spark):
         finally:
             spark.conf.set("spark.sql.session.timeZone", before)
         assert got == ["2024-03-31 01:30:00", "2024-03-31 02:30:00", "2024-10-27 00:30:00", "2024-10-27 01:30:00", None]
+
+
+def test_formats_passed_over_change_no_result(spark):
+    formats = ps.DATE_TIME_FORMATS
+    dates = ["2024-01-02", "2024/01/02", "02/01/2024", "02-01-2024", "+12024/01/02", "-2024/01/02", "2024/1/2", "02/01/24", "", "x", None]
+    times = ["00:15", "00:15:30", "24:00", "1:05", "+00:15", "", None]
+    rows = spark.createDataFrame([(d, t) for d in dates for t in times], "d string, t string")
+    zoned = F.concat(F.concat_ws(" ", "d", "t"), F.lit(" Z"))
+    every = F.coalesce(*[F.try_to_timestamp(zoned, F.lit(f"{f} X")) for f in formats])
+    got = rows.select("d", "t", F.unix_micros(ps.merge_date_time("d", "t").cast("timestamp")).alias("got"), F.unix_micros(every).alias("plain")).collect()
+    assert [r for r in got if r["got"] != r["plain"]] == []
+    assert sum(r["got"] is not None for r in got) >= 8
+    # Each text is tried against the only format of its shape.
+    fits = rows.select(sum((F.coalesce(ps._may_fit(F.concat_ws(" ", "d", "t"), f), F.lit(False)).cast("int") for f in formats), F.lit(0)).alias("n"))
+    assert fits.agg(F.max("n")).first()[0] == 1

@@ -122,3 +122,17 @@ def test_overlapping_files_in_one_delta_load(spark, tmp_dir):
     assert report.first()["rows"] == 3
     got = sorted((r["time"].day, r["value"]) for r in read_store(spark, store).collect())
     assert got == [(1, 1.0), (2, 2.5), (3, 3.0)]
+
+
+def test_requests_share_the_rendered_workbooks(spark, tmp_dir, monkeypatch):
+    from meterlake.plans import catalog
+
+    made = []
+    plain = catalog._event_workbooks
+    monkeypatch.setattr(catalog, "_event_workbooks", lambda *a, **k: made.append(1) or plain(*a, **k))
+    events = spark.range(40).selectExpr("id AS event_id", "id % 4 AS user_id", "'view' AS event_type", "1.5D AS value",
+                                        "timestamp_ntz '2024-01-05 00:00:00' + make_dt_interval(0, 0, cast(id AS int)) AS ts")
+    events.write.parquet(f"{tmp_dir}/events.parquet")
+    found = {r["task_id"]: (r["state"], r["points"]) for r in catalog.QUERIES["l2_run_requests"](spark, tmp_dir).collect()}
+    assert found == {"r1": ("completed", 40), "r2": ("failed", 0), "r3": ("rejected", 0)}
+    assert len(made) == 1
