@@ -34,11 +34,13 @@ from meterlake.session import ship_package
 SHINGLE, PERCENT = 4, 85
 CELLS = 1 << 21           # of the rarity table
 SLICE = 1 << 14           # cells that travel together
+SLICES = 8                # such slices in an Arrow batch
 CHUNK = 1 << 18           # characters of text hashed at once, or one longer text
 HELD = 1 << 18            # n-grams sorted at once, or those of one larger set
 BINS = 64                 # hash ranges of the suffix filter
 MARKS = [f"s{i}" for i in range(4)]   # 256 bits: whether a hash range holds an odd number of a set's n-grams
 BATCH = 500               # texts or sets in an Arrow batch
+TABLE_BATCH = 64          # sets, or slices of counts (64 kB each), in one while the table is made
 HUBS = 2                  # rounds in which every class meets a hub
 
 
@@ -124,6 +126,17 @@ def _runs_of(np, column):
         first = last
 
 
+def table_batches(total):
+    """(part, n): the slices of a table of counts, a few in a batch, so that neither side holds a second table."""
+    import pyarrow as pa
+
+    width = min(SLICE, len(total))
+    for first in range(0, len(total) // width, SLICES):
+        parts = range(first, min(first + SLICES, len(total) // width))
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array([total[p * width:(p + 1) * width].tobytes() for p in parts], pa.binary())],
+                                         ["part", "n"])
+
+
 def count_cells(sets: DataFrame, cells: int = CELLS):
     """Occurrences of each cell of the rarity table over all sets: one array, whatever the input.
 
@@ -135,13 +148,11 @@ def count_cells(sets: DataFrame, cells: int = CELLS):
         import numpy as np
         import pyarrow as pa
 
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.uint32)
         for b in batches:
             for _, _, gram in _runs_of(np, b.column(0)):
                 np.add.at(total, (gram & np.uint64(cells - 1)).astype(np.int64), 1)
-        width = min(SLICE, cells)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(cells // width)), pa.array([total[a:a + width].tobytes() for a in range(0, cells, width)], pa.binary())], ["part", "n"])
+        yield from table_batches(total)
 
     def added(batches):
         import numpy as np
@@ -150,13 +161,14 @@ def count_cells(sets: DataFrame, cells: int = CELLS):
         held = {}
         for b in batches:
             for part, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(n, np.int64)
-                held[part] = held[part] + x if part in held else x
+                if part not in held:
+                    held[part] = np.zeros(len(n) // 4, np.int64)
+                held[part] += np.frombuffer(n, np.uint32)
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["part", "n"])
 
     kinds = "part long, n binary"
     tables = sets.select("grams").mapInArrow(counted, kinds)
-    with batches_of(sets.sparkSession, BATCH):
+    with batches_of(sets.sparkSession, TABLE_BATCH):
         summed = tables.repartition("part").mapInArrow(added, kinds).toArrow()   # cells * 8 bytes
     out = {p: np.frombuffer(n, np.int64) for p, n in zip(summed.column(0).to_pylist(), summed.column(1).to_pylist(), strict=True)}
     whole = np.concatenate([out[p] for p in sorted(out)]) if out else np.zeros(cells, np.int64)

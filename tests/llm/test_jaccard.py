@@ -115,3 +115,20 @@ def test_odd_ranges_keep_links(spark):
     want = {(a, b) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 85 * len(held[a] | held[b])}
     assert want <= got
     assert 100 < len(want) <= len(got) < len(want) + 300
+
+
+def test_rarity_tables_travel_in_small_batches(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    batches = list(jaccard_join.table_batches(rng.integers(0, 9, jaccard_join.CELLS).astype(np.uint32)))
+    assert max(b.nbytes for b in batches) < 1 << 20
+    assert sum(b.num_rows for b in batches) == jaccard_join.CELLS // jaccard_join.SLICE
+    # 64 slices, read back in batches of no more.
+    asked = []
+    plain = jaccard_join.batches_of
+    monkeypatch.setattr(jaccard_join, "batches_of", lambda s, n: asked.append(n) or plain(s, n))
+    grams = [np.sort(rng.integers(0, 2**63, 40, dtype=np.uint64)) for _ in range(50)]
+    sets = spark.createDataFrame([(bytearray(g.tobytes()),) for g in grams], "grams binary").repartition(3)
+    counts = jaccard_join.count_cells(sets)
+    plainly = np.bincount((np.concatenate(grams) & np.uint64(jaccard_join.CELLS - 1)).astype(np.int64), minlength=jaccard_join.CELLS)
+    assert (counts == plainly).all()
+    assert asked[0] * jaccard_join.SLICE * 4 <= 4 << 20
