@@ -85,13 +85,14 @@ def rule_columns(text: Column, pieces: Column) -> list[Column]:
     symbols = "#*$%&|<>"
     return [F.size(found).cast("long").alias("n_words"),
             (F.length(text) - F.size(pieces) + 1).cast("long").alias("word_chars"),
-            (F.length(text) - F.length(F.translate(text, symbols, ""))).cast("long").alias("n_symbols"),
+            F.length(F.regexp_replace(text, f"[^{symbols}]++", "")).cast("long").alias("n_symbols"),
             bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             repeated_window_words(found).cast("long").alias("n_repeat_words")]
 
 
 def _spaced(text: Column) -> Column:
-    return F.translate(text, SPACES, " " * len(SPACES))
+    # A pattern that hardly matches: ``translate`` looks up every character.
+    return F.regexp_replace(text, r"[\x09-\x0D]", " ")
 
 
 def _pieces(spaced: Column) -> Column:
@@ -99,16 +100,22 @@ def _pieces(spaced: Column) -> Column:
     return F.split(spaced, " ")
 
 
-def _buckets(spaced: Column) -> Column:
-    """The buckets of all words of a text (lower-cased once, hashed once each) and of all pairs of neighbours."""
-    hashes = F.transform(F.array_remove(_pieces(F.lower(spaced)), ""), lambda w: F.xxhash64(w))
+def _ngram_rows(rows: DataFrame, *keep: str) -> DataFrame:
+    """A row (``keep``, one, two) for each word of ``__w``: its bucket, and that of the pair it begins (null: the last word).
+
+    ``__w`` holds the lower-cased words of a row; one without words gives a row
+    of nulls. Rows, unlike functions over arrays, run in generated code.
+    """
+    # The outer form: for the other one Spark would split every text once more, to filter on the number of words.
+    each = rows.select(*keep, "__w", F.posexplode_outer("__w").alias("__i", "__word"))
+    h = each.select(*keep, F.xxhash64("__word").alias("__h"), "__word", F.get("__w", F.col("__i") + 1).alias("__next"))
+    one, two = F.col("__h"), F.xxhash64("__h", F.xxhash64("__next"))
+    return h.select(*keep, *[F.when(F.col(c).isNotNull(), x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).alias(name)
+                             for c, x, name in (("__word", one, "one"), ("__next", two, "two"))])
 
-    def both(h):
-        pairs = F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), F.slice(h, 2, F.greatest(F.size(h), F.lit(1))),
-                           lambda a, b: F.xxhash64(a, b).bitwiseAND(F.lit(BUCKETS - 1)).cast("int").bitwiseOR(F.lit(BUCKETS)))
-        return F.concat(F.transform(h, lambda x: x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), pairs)
 
-    return bind(hashes, both)
+def _lower_words(spaced: Column) -> Column:
+    return F.array_remove(_pieces(F.lower(spaced)), "")
 
 
 def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
@@ -123,8 +130,10 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     ids = stored(ids, "trusted")
     rows = doc_rows(docs)
     per_doc = (lookup_join(rows, ids, rows["doc_id"] == ids["t"], "left", materialized=True)
-               .select(F.explode(_buckets(_spaced(F.coalesce("text", F.lit(""))))).alias("bucket"), F.col("t").isNotNull().cast("long").alias("t")))
-    counts = stored(per_doc.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("trusted")), "ngrams")
+               .select(_lower_words(_spaced(F.coalesce("text", F.lit("")))).alias("__w"), F.col("t").isNotNull().cast("long").alias("t")))
+    ngrams = (_ngram_rows(per_doc, "t")
+              .select("t", F.explode(F.array("one", F.col("two").bitwiseOR(F.lit(BUCKETS)))).alias("bucket")).where("bucket IS NOT NULL"))
+    counts = stored(ngrams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("trusted")), "ngrams")
     order = F.floor(F.col("bucket") / BUCKETS)
     totals = counts.groupBy(order.alias("o")).agg(F.sum("raw").alias("nr"), F.sum("trusted").alias("nt"))
     whole = F.col("nt") / F.col("nr")
@@ -134,34 +143,39 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
             .select("bucket", weight.cast("long").alias("weight")))
 
 
-def _weight_array(weights: DataFrame) -> DataFrame:
-    """One row, one array: the weight of every bucket in order (0 where ``weights`` has none)."""
-    every = weights.sparkSession.range(2 * BUCKETS).select(F.col("id").alias("bucket"))
+def _weight_array(weights: DataFrame, first: int) -> DataFrame:
+    """One row, one array: the weights of the ``BUCKETS`` buckets from ``first`` on (0 where ``weights`` has none)."""
+    every = weights.sparkSession.range(first, first + BUCKETS).select(F.col("id").alias("bucket"))
     offset = 1 << 31
     packed = F.shiftleft(F.col("bucket"), 32) + F.coalesce("weight", F.lit(0)) + offset
-    listed = every.join(weights, "bucket", "left").agg(F.sort_array(F.collect_list(packed)).alias("x"))
+    own = weights.where(F.col("bucket").between(first, first + BUCKETS - 1))
+    listed = every.join(own, "bucket", "left").agg(F.sort_array(F.collect_list(packed)).alias("x"))
     return listed.select(F.transform("x", lambda x: (x.bitwiseAND(F.lit((1 << 32) - 1)) - offset).cast("int")).alias("w"))
 
 
 def score_quality(docs: DataFrame, weights: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     """One row per input row: doc_id, the base measures, base_failed, ratio, kept.
 
-    The weights, an array of ``2 * BUCKETS`` whole numbers, go to every task as a
-    scalar subquery, so a document is scored in its own row, without a join or a
-    shuffle. A row without words has no ratio (null) and fails the base rules.
-    Null texts have no words; repeated rows, null and repeated ids stay apart.
-    Without trusted documents all weights are zero and the base rules alone decide.
+    The weights, an array of ``BUCKETS`` whole numbers for words and one for pairs,
+    go to every task as scalar subqueries. A document's words become rows, which are
+    added up before the shuffle: one row a document travels. A row without words has no
+    ratio (null) and fails the base rules. Null texts have no words; repeated rows, null
+    and repeated ids stay apart. Without trusted documents all weights are zero and
+    the base rules alone decide.
     """
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    rows = doc_rows(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", _spaced(F.col("text")).alias("__s"))
-    rows = rows.select("doc_id", "text", "__s", _pieces(F.col("__s")).alias("__p"))
-    rows = rows.select("doc_id", *rule_columns(F.col("text"), F.col("__p")), _buckets(F.col("__s")).alias("__b"))
-    # Each column is used once from here to the sum, so that the optimizer puts the
-    # subquery's value in its place and no row carries the array.
-    rows = rows.select("*", _weight_array(weights).scalar().alias("__weights"))
-    total = F.aggregate("__b", F.lit(0).cast("long"), lambda s, b: s + F.get("__weights", b))
-    measured = rows.select("doc_id", *base, total.alias("s")).withColumn("n", F.greatest(2 * F.col("n_words") - 1, F.lit(0)))
+    rows = doc_rows(docs).select(F.monotonically_increasing_id().alias("__row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("__row", "doc_id", "text", _spaced(F.col("text")).alias("__s"))
+    rows = rows.select("__row", "doc_id", "text", "__s", _pieces(F.col("__s")).alias("__p"))
+    rows = rows.select("__row", "doc_id", *rule_columns(F.col("text"), F.col("__p")), _lower_words(F.col("__s")).alias("__w"))
+    each = _ngram_rows(rows, "__row", "doc_id", *base)
+    # Each array is used once, so that the subquery's value stands in its place and no row carries it.
+    gain = [F.coalesce(F.get(_weight_array(weights, first).scalar(), c), F.lit(0)).cast("long")
+            for first, c in ((0, F.col("one")), (BUCKETS, F.col("two")))]
+    total = each.select("__row", "doc_id", *base, (gain[0] + gain[1]).alias("s"))
+    # All rows of a ``__row`` have the same values.
+    summed = total.groupBy("__row").agg(*[F.max(c).alias(c) for c in ("doc_id", *base)], F.sum("s").alias("s"))
+    measured = summed.select("doc_id", *base, "s").withColumn("n", F.greatest(2 * F.col("n_words") - 1, F.lit(0)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     ratio = F.when(F.col("n") > 0, F.col("s") / F.col("n") / SCALE)
     return (measured.select("doc_id", *base, failed.alias("base_failed"), ratio.alias("ratio"))

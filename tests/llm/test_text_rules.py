@@ -139,3 +139,26 @@ def test_repeated_windows_with_equal_upper_bits(spark, monkeypatch):
         found = quality.repeated_window_words(F.array_remove(F.split("text", " "), ""))
         got = {r.doc_id: r.n for r in frame(spark, rows).select("doc_id", found.alias("n")).collect()}
         assert got == {i: brute.quality(t)[4] for i, t in rows}
+
+
+def test_ratio_adds_up_words_and_pairs_of_each_row(spark):
+    """Words become rows of their document: repeated, null and wordless rows stay apart, each with its own sum."""
+    weights = spark.createDataFrame([(b, (b * 7919) % 5003 - 2500) for b in range(2 * quality.BUCKETS)], "bucket long, weight long")
+    texts = ["one two three", "One\ttwo  TWO\x0bone", "x", "", " \n ", None, "one two three"]
+    rows = [(i % 3 or None, t) for i, t in enumerate(texts)]
+
+    def bucket(words, least=0):
+        return spark.sql(f"SELECT {words} & {quality.BUCKETS - 1} AS b").first().b + least
+
+    want = []
+    for doc, t in rows:
+        w = (t or "").lower().replace("\x0b", " ").split()
+        h = [f"xxhash64('{x}')" for x in w]
+        at = [bucket(x) for x in h] + [bucket(f"xxhash64({a}, {b})", quality.BUCKETS) for a, b in zip(h, h[1:], strict=False)]
+        want.append((doc, len(w), round(sum((b * 7919) % 5003 - 2500 for b in at) / len(at) / quality.SCALE, 9) if at else None))
+    scored = quality.score_quality(frame(spark, rows), weights)
+    got = [(r.doc_id, r.n_words, None if r.ratio is None else round(r.ratio, 9)) for r in scored.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    # The sums are made in generated code, not by functions over arrays; the weights stay out of the rows.
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate posexplode" in plan and "__weights" not in plan
