@@ -9,6 +9,10 @@ sets fall into ranges of their hashes: within the join by the ranges that hold a
 odd number in one set alone (each is an n-gram that the sets don't share), then by
 the numbers in each range. What passes is verified once on the whole sets.
 
+The sets, 8 bytes an n-gram, are never kept nor sent: they are larger than the
+texts, so each step makes them anew from the texts of its rows, which are stored
+once under their numbers.
+
 Equal sets are one class from the start. A list of n classes is not n * n pairs:
 first every class meets only a hub of each list, and the links found give
 components; then lists are joined with themselves, but only members of different
@@ -82,37 +86,49 @@ def text_sets(np, hashes, texts, shingle):
     return gram, np.bincount(doc, minlength=len(texts))
 
 
-def document_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(rid, doc_id, n, k1, k2, s0 to s3, grams): each row's n-gram hashes, rising, as bytes.
+def _set_batches(batches, shingle, grams=True):
+    """Batches (rid, doc_id, n, k1, k2, s0 to s3, grams) of batches (rid, doc_id, text); without ``grams``, if they are not wanted."""
+    import numpy as np
+    import pyarrow as pa
+
+    hashes = ChunkHashes(np)
+    for b in batches:
+        done = 0
+        for part in _chunks((t.as_py() for t in b.column("text")), lambda t: len(t or "") + 1, CHUNK):
+            gram, n = text_sets(np, hashes, part, shingle)
+            ends = np.cumsum(n)
+            keys = []
+            for salt in (1, 2):
+                sums = np.concatenate([[np.uint64(0)], np.cumsum(_mix(np, gram, gram >> np.uint64(salt)), dtype=np.uint64)])
+                keys.append(_signed(np, _mix(np, sums[ends] - sums[ends - n], n.astype(np.uint64))))
+            spots = np.repeat(np.arange(len(n)) * 256, n) + (gram >> np.uint64(56)).astype(np.int64)
+            odd = np.packbits((np.bincount(spots, minlength=256 * len(n)) & 1).astype(bool)).view(np.int64).reshape(-1, 4)
+            columns = [b.column("rid").slice(done, len(part)), b.column("doc_id").slice(done, len(part)), pa.array(n), *keys,
+                       *[pa.array(odd[:, i].copy()) for i in range(4)]]
+            if grams:
+                columns.append(pa.array([gram[z - m:z].tobytes() for z, m in zip(ends.tolist(), n.tolist(), strict=True)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "n", "k1", "k2", *MARKS, "grams"][:len(columns)])
+            done += len(part)
+
+
+def numbered_texts(docs: DataFrame) -> DataFrame:
+    """(rid, doc_id, text): every row under a number of its own."""
+    return doc_rows(docs).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+
+
+def text_digests(texts: DataFrame, shingle: int = SHINGLE, grams: bool = False) -> DataFrame:
+    """(rid, doc_id, n, k1, k2, s0 to s3) of each row (rid, doc_id, text), and its n-gram hashes (``grams``), rising, as bytes.
 
     ``k1``, ``k2`` digest the set, ``s0`` to ``s3`` hold its odd hash ranges.
     """
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
+    ship_package(texts.sparkSession)
+    kinds = f"rid long, doc_id long, n long, k1 long, k2 long, {', '.join(f'{s} long' for s in MARKS)}{', grams binary' * grams}"
+    return texts.select("rid", "doc_id", "text").mapInArrow(lambda batches: _set_batches(batches, shingle, grams), kinds)
 
-        hashes = ChunkHashes(np)
-        for b in batches:
-            done = 0
-            for part in _chunks((t.as_py() for t in b.column(2)), lambda t: len(t or "") + 1, CHUNK):
-                gram, n = text_sets(np, hashes, part, shingle)
-                ends = np.cumsum(n)
-                keys = []
-                for salt in (1, 2):
-                    sums = np.concatenate([[np.uint64(0)], np.cumsum(_mix(np, gram, gram >> np.uint64(salt)), dtype=np.uint64)])
-                    keys.append(_signed(np, _mix(np, sums[ends] - sums[ends - n], n.astype(np.uint64))))
-                spots = np.repeat(np.arange(len(n)) * 256, n) + (gram >> np.uint64(56)).astype(np.int64)
-                odd = np.packbits((np.bincount(spots, minlength=256 * len(n)) & 1).astype(bool)).view(np.int64).reshape(-1, 4)
-                sets = [gram[z - m:z].tobytes() for z, m in zip(ends.tolist(), n.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(done, len(part)), b.column(1).slice(done, len(part)), pa.array(n), *keys,
-                     *[pa.array(odd[:, i].copy()) for i in range(4)], pa.array(sets, pa.binary())],
-                    ["rid", "doc_id", "n", "k1", "k2", *MARKS, "grams"])
-                done += len(part)
 
-    ship_package(docs.sparkSession)
-    return (doc_rows(docs).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-            .mapInArrow(run, f"rid long, doc_id long, n long, k1 long, k2 long, {', '.join(f'{s} long' for s in MARKS)}, grams binary"))
+def document_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``text_digests`` of all rows of ``docs`` with their n-grams."""
+    return text_digests(numbered_texts(docs), shingle, grams=True)
 
 
 def _runs_of(np, column):
@@ -137,10 +153,11 @@ def table_batches(total):
                                          ["part", "n"])
 
 
-def count_cells(sets: DataFrame, cells: int = CELLS):
+def count_cells(sets: DataFrame, cells: int = CELLS, shingle: int | None = None):
     """Occurrences of each cell of the rarity table over all sets: one array, whatever the input.
 
     A task counts its sets in one table; the tables are added slice by slice.
+    With ``shingle``, ``sets`` holds texts (rid, doc_id, text), whose sets are made on the way.
     """
     import numpy as np
 
@@ -149,8 +166,8 @@ def count_cells(sets: DataFrame, cells: int = CELLS):
         import pyarrow as pa
 
         total = np.zeros(cells, np.uint32)
-        for b in batches:
-            for _, _, gram in _runs_of(np, b.column(0)):
+        for b in batches if shingle is None else _set_batches(batches, shingle):
+            for _, _, gram in _runs_of(np, b.column("grams")):
                 np.add.at(total, (gram & np.uint64(cells - 1)).astype(np.int64), 1)
         yield from table_batches(total)
 
@@ -167,9 +184,12 @@ def count_cells(sets: DataFrame, cells: int = CELLS):
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["part", "n"])
 
     kinds = "part long, n binary"
-    tables = sets.select("grams").mapInArrow(counted, kinds)
+    tables = sets.select(*(["grams"] if shingle is None else ["rid", "doc_id", "text"])).mapInArrow(counted, kinds)
     with batches_of(sets.sparkSession, TABLE_BATCH):
-        summed = tables.repartition("part").mapInArrow(added, kinds).toArrow()   # cells * 8 bytes
+        # Written, so that the shuffled tables go at once.
+        kept = stored(tables.repartition("part").mapInArrow(added, kinds), "cells")
+        summed = kept.toArrow()   # cells * 8 bytes
+    discard(kept)
     out = {p: np.frombuffer(n, np.int64) for p, n in zip(summed.column(0).to_pylist(), summed.column(1).to_pylist(), strict=True)}
     whole = np.concatenate([out[p] for p in sorted(out)]) if out else np.zeros(cells, np.int64)
     return np.minimum(whole, 2**32 - 1).astype(np.uint32)
@@ -180,9 +200,11 @@ def prefix_length(n, percent: int):
     return n - -(-percent * n // 100) + 1
 
 
-def prefixes(sets: DataFrame, counts, percent: int) -> DataFrame:
+def prefixes(sets: DataFrame, counts, percent: int, shingle: int | None = None) -> DataFrame:
     """(h, rid, n, pos, score): the prefix n-grams of each set with their places in its rare-first order.
 
+    With ``shingle``, ``sets`` holds texts (rid, doc_id, text), whose sets are made on the way.
+
     ``score`` says how common the prefix is: among near copies, the text that the
     others were edited from has no rare n-grams of its own and so the highest.
     """
@@ -194,9 +216,9 @@ def prefixes(sets: DataFrame, counts, percent: int) -> DataFrame:
         import pyarrow as pa
 
         rare = table.value
-        for b in batches:
-            rids = b.column(0).to_numpy()
-            for first, n, gram in _runs_of(np, b.column(1)):
+        for b in batches if shingle is None else _set_batches(batches, shingle):
+            rids = b.column("rid").to_numpy()
+            for first, n, gram in _runs_of(np, b.column("grams")):
                 rid = rids[first:first + len(n)]
                 doc = np.repeat(np.arange(len(n)), n)
                 # Stable sorts: the n-grams of a set rise already.
@@ -211,7 +233,8 @@ def prefixes(sets: DataFrame, counts, percent: int) -> DataFrame:
                     [_signed(np, gram[order][mine]), pa.array(rid[doc[mine]]), pa.array(n[doc[mine]].astype(np.int32)),
                      pa.array(pos[mine].astype(np.int32)), pa.array(score[doc[mine]])], ["h", "rid", "n", "pos", "score"])
 
-    return sets.select("rid", "grams").mapInArrow(run, "h long, rid long, n int, pos int, score int")
+    held = ["rid", "grams"] if shingle is None else ["rid", "doc_id", "text"]
+    return sets.select(*held).mapInArrow(run, "h long, rid long, n int, pos int, score int")
 
 
 def bin_counts(np, gram):
@@ -228,23 +251,28 @@ def linked(np, a, b, percent: int) -> bool:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum()) >= need
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the ``pairs`` that reach the similarity. Each side's set is joined in once."""
+def verify(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
+    """(a, b) of the ``pairs`` that reach the similarity. Each side's text is joined in once."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        hashes = ChunkHashes(np)
         for b in batches:
-            found = [linked(np, np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                     for x, y in zip(b.column(2), b.column(3), strict=True) for x, y in [(x.as_buffer(), y.as_buffer())]]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(found, pa.bool_()))
-
-    one = sets.select(F.col("rid").alias("a"), F.col("grams").alias("ga"))
-    two = sets.select(F.col("rid").alias("b"), F.col("grams").alias("gb"))
-    # Only sets that some pair names travel.
+            found = []
+            both = ((x.as_py(), y.as_py()) for x, y in zip(b.column("ta"), b.column("tb"), strict=True))
+            for part in _chunks(both, lambda p: len(p[0] or "") + len(p[1] or "") + 2, CHUNK):
+                gram, n = text_sets(np, hashes, [t for p in part for t in p], shingle)
+                sets = np.split(gram, np.cumsum(n)[:-1])
+                found += [linked(np, x, y, percent) for x, y in zip(sets[::2], sets[1::2], strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(found, pa.bool_()))
+
+    one = texts.select(F.col("rid").alias("a"), F.col("text").alias("ta"))
+    two = texts.select(F.col("rid").alias("b"), F.col("text").alias("tb"))
+    # Only texts that some pair names travel.
     half = lookup_join(one, pairs.select("a", "b"), "a", "inner", materialized=True)
     rest = lookup_join(two, pairs.select("b").distinct(), "b", "left_semi", materialized=True)
-    return half.join(rest, "b").select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
+    return half.join(rest, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
 def _hub_pairs(lists: DataFrame, labelled: DataFrame, sizes: DataFrame, percent: int, turn: int = 0, tried: DataFrame | None = None) -> DataFrame:
@@ -311,14 +339,14 @@ def cross_pairs(open_postings: DataFrame, percent: int) -> DataFrame:
             .select(F.least("a.rid", "b.rid").alias("a"), F.greatest("a.rid", "b.rid").alias("b")).distinct())
 
 
-def similar_classes(sets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_classes(texts: DataFrame, classes: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(node, root): components of the links between ``classes`` (rid, n, s0 to s3), for those that have a link.
 
-    ``sets`` holds the n-grams of each ``rid``; those of rows that stand for no class are only counted.
+    ``texts`` holds the text of each ``rid`` (and ``doc_id``); the n-grams of rows that stand for no class are only counted.
     """
-    counts = count_cells(sets)
-    own = lookup_join(sets.select("rid", "grams"), classes.select("rid"), "rid", "left_semi", materialized=True)
-    postings = stored(prefixes(own, counts, percent), "prefixes", BATCH)
+    counts = count_cells(texts, shingle=shingle)
+    own = lookup_join(texts, classes.select("rid"), "rid", "left_semi", materialized=True)
+    postings = stored(prefixes(own, counts, percent, shingle), "prefixes", BATCH)
     shared = postings.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
     # Written, so that the join stands alone and can be split at a frequent n-gram.
     shared = stored(shared, "shared")
@@ -340,7 +368,7 @@ def similar_classes(sets: DataFrame, classes: DataFrame, percent: int = PERCENT)
             pairs = cross_pairs(marked, percent).join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        found = stored(verify(pairs, sets, percent), "links", BATCH)
+        found = stored(verify(pairs, texts, percent, shingle), "links", BATCH)
         discard(lists)
         links = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
         edges = links if edges is None else edges.union(links)
@@ -364,17 +392,18 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must lie between 1 and 100")
-    every = stored(document_sets(docs, shingle), "sets", BATCH)
-    rows = stored(every.select("doc_id", "n", "k1", "k2"), "rows")
-    classes = stored(every.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"),
+    # Packed well, as they stay until the last pair is verified.
+    texts = stored(numbered_texts(docs), "texts", codec="zstd")
+    rows = stored(text_digests(texts, shingle), "rows", BATCH)
+    classes = stored(rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("first_id"),
                                                                             *[F.min(s).alias(s) for s in MARKS]), "classes")
-    roots = similar_classes(every, classes, percent)
-    discard(every)
+    roots = similar_classes(texts, classes, percent, shingle)
+    discard(texts)
     linked_classes = classes.join(roots, classes["rid"] == roots["node"])
     lowest = linked_classes.groupBy("root").agg(F.min("first_id").alias("low"))
     named = roots.join(lowest, "root").select(F.col("node").alias("rid"), "low", F.lit(True).alias("linked"))
     ids = stored(classes.join(named, "rid", "left").select(
         "k1", "k2", "n", F.when(F.col("linked"), F.col("low")).otherwise(F.col("first_id")).alias("component_id")), "class_ids")
-    return (rows.join(ids, ["k1", "k2", "n"], "left")
+    return (rows.select("doc_id", "n", "k1", "k2").join(ids, ["k1", "k2", "n"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))

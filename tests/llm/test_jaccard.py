@@ -132,3 +132,23 @@ def test_rarity_tables_travel_in_small_batches(spark, monkeypatch):
     plainly = np.bincount((np.concatenate(grams) & np.uint64(jaccard_join.CELLS - 1)).astype(np.int64), minlength=jaccard_join.CELLS)
     assert (counts == plainly).all()
     assert asked[0] * jaccard_join.SLICE * 4 <= 4 << 20
+
+
+def test_sets_are_made_from_texts_and_never_stored(spark, monkeypatch):
+    """Sets are larger than the texts: no written table holds them, and the steps make the same ones from the texts."""
+    kept, plain = {}, jaccard_join.stored
+
+    def noted(df, name, *more, **named):
+        kept.setdefault(name, df.columns)
+        return plain(df, name, *more, **named)
+
+    monkeypatch.setattr(jaccard_join, "stored", noted)
+    rows = odd_rows() + copies(random.Random(7), 6, 5, 30, 2)
+    got = sorted(map(tuple, jaccard_join.near_copies(frame(spark, rows)).collect()), key=repr)
+    assert got == sorted(brute.jaccard(rows, 4, 85), key=repr)
+    assert "texts" in kept and not any("grams" in columns for columns in kept.values())
+    texts = jaccard_join.numbered_texts(frame(spark, rows)).persist()
+    sets = jaccard_join.text_digests(texts, 4, grams=True).persist()
+    counts = jaccard_join.count_cells(sets)
+    assert (jaccard_join.count_cells(texts, shingle=4) == counts).all()
+    assert sorted(jaccard_join.prefixes(texts, counts, 85, 4).collect()) == sorted(jaccard_join.prefixes(sets, counts, 85).collect())
