@@ -5,6 +5,8 @@ import zlib
 from collections import Counter
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from cases import empty, frame, noise, odd_rows
 from pyspark.sql import functions as F
@@ -163,3 +165,42 @@ def test_suffix_order(spark):
     assert sorted(r for r, _ in got) == list(range(len(rows)))
     order = [s for _, s in sorted(got, key=lambda x: x[0])]
     assert order == sorted(order)
+
+
+def test_windows_are_hashed_in_blocks(monkeypatch):
+    rng = random.Random(9)
+    scheme = suffix_dups.Scheme(40)
+    texts = [noise(rng, n).encode() for n in (39, 40, 700, 0, 90, 2500, 41)]
+    for block, group, most in ((1 << 20, 1 << 16, 1), (1 << 20, 1, 5), (300, 200, 99)):
+        monkeypatch.setattr(suffix_dups, "BLOCK", block)
+        monkeypatch.setattr(suffix_dups, "GROUP", group)
+        parser = suffix_dups.Parser(scheme)
+        blocks = list(parser.anchors(texts))
+        assert len(blocks) <= most
+        found = [tuple(int(v) for v in r) for b in blocks for r in zip(*b, strict=True)]
+        # Every window start of every text is served once, by an anchor at or after it.
+        assert sorted((r[0], i) for r in found for i in range(r[2], r[3] + 1)) == [
+            (d, i) for d, text in enumerate(texts) for i in range(len(text) - 39)]
+        assert all(0 <= r[1] - i < scheme.w for r in found for i in range(r[2], r[3] + 1))
+        for d in (2, 5):
+            t, lo, hi = (np.array([r[c] for r in found if r[0] == d]) for c in (1, 2, 3))
+            made = list(parser.windows(texts[d], t, lo, hi, t * 10))
+            assert len(made) <= (1 if block > 2500 else 20)
+            got = [r for b in made for r in zip(*(c.tolist() for c in b), strict=True)]
+            at = {i: x for x, a, z in zip(t.tolist(), lo.tolist(), hi.tolist(), strict=True) for i in range(a, z + 1)}
+            assert [(i, rank) for _, rank, _, i in got] == [(i, at[i] * 10) for i in range(len(texts[d]) - 39)]
+            same = {}
+            for _, _, digest, i in got:
+                assert same.setdefault(texts[d][i:i + 40], digest) == digest
+            assert len(set(same.values())) == len(same)
+
+
+def test_ranges_of_a_text_are_put_together():
+    runs = [[(3, 5), (9, 9), (6, 7), (3, 4)], [(2**30, 2**31 - 2), (0, 0), (0, 0)], [(7, 9), (0, 20), (4, 5), (22, 22)]]
+    packed = pa.array([[(a << 32) + z for a, z in r] for r in runs], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([4, 5, 6]), packed], ["k1", "k2", "ranges"])
+    (out,) = suffix_dups._merge([batch])
+    assert out.to_pylist() == [
+        {"k1": 1, "k2": 4, "first": [3, 9], "last": [7, 9]},
+        {"k1": 2, "k2": 5, "first": [0, 2**30], "last": [0, 2**31 - 2]},
+        {"k1": 3, "k2": 6, "first": [0, 22], "last": [20, 22]}]
