@@ -92,7 +92,8 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     first = reduce(lambda x, y: x + y,
                    [F.when((shared[p] == 1) & (rank[p] <= need), 1 << p).otherwise(0) for p in range(8)])
     masks = F.array(*[F.lit(sum(1 << p for p in s)) for s in sets])
-    return (a.join(b, (F.col("a.set") == F.col("b.set")) & (F.col("a.bytes") == F.col("b.bytes"))
+    # Spark sizes the postings by the table before the explode, too low by the number of sets: they must not be broadcast.
+    return (a.join(b.hint("merge"), (F.col("a.set") == F.col("b.set")) & (F.col("a.bytes") == F.col("b.bytes"))
                    & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differ) <= max_bits)
                    & (tally >= need) & (first == masks[F.col("a.set")]))
             .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")))

@@ -27,6 +27,15 @@ def near_copies():
     return rows
 
 
+@pytest.fixture()
+def estimated_broadcasts(spark):
+    """Spark's own default: tables that it takes for smaller than 10 MB are broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_simhash_matches_all_pairs(spark):
     rows = odd_rows() + near_copies()
     got = [(r.doc_id, f"{r.fp & (2**64 - 1):016x}", r.component_id)
@@ -50,6 +59,13 @@ def test_links_at_every_distance(spark):
         assert got == want
 
 
+def test_postings_are_never_broadcast(spark, estimated_broadcasts):
+    """Spark's estimate for exploded postings is that of the table before, too low by the number of position sets."""
+    fps = spark.range(2000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash_dups.fingerprint_links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_keep_one(spark):
     docs = frame(spark, near_copies() + [(100, near_copies()[0][1]), (None, "no id"), (None, "no id")])
     kept = simhash_dups.keep_one(docs)
