@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import brute
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -76,6 +77,21 @@ def test_keep_one(spark):
     assert simhash_dups.keep_one(empty(spark)).count() == 0
 
 
+def test_pipeline_stage_never_broadcasts_postings(spark, estimated_broadcasts, monkeypatch):
+    plans = []
+
+    def seen(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return graph.components(links)
+
+    monkeypatch.setattr(simhash_dups, "components", seen)
+    docs = frame(spark, near_copies())
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, None)
+    assert {r.doc_id for r in kept.collect()} == {r[2] for r in brute.simhash(near_copies())}
+    (plan,) = plans
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, i) for i in range(201, 260)] + [(7, 7)]
