@@ -1076,11 +1076,13 @@ def a2_file_blobs(spark, sf):
     """Every document written as a file of its own, the files read back as bytes."""
     base = scratch_path(spark, "a2-files")
     docs = table(spark, sf, "documents")
-    folders = wb.write_files(docs.select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("name"), "text"), base)
-    # Spark plans a task for every few files; as many as there are folders will do.
-    blobs = wb.file_blobs(spark, base, glob=wb.WRITTEN_FILES).coalesce(folders)
-    return blobs.select(F.regexp_extract("path", r"[/=]([0-9]+)\.txt(/[^/]*)?$", 1).alias("name"), "length",
-                        F.sha2("content", 256).alias("sha256"))
+    wb.write_files(docs.select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("name"), "text"), base)
+
+    def digests(blobs):
+        return blobs.select(F.regexp_extract("path", r"[/=]([0-9]+)\.txt(/[^/]*)?$", 1).alias("name"), "length",
+                            F.sha2("content", 256).alias("sha256"))
+
+    return wb.grouped_blobs(spark, base, digests, wb.WRITTEN_FILES)
 
 
 # --------------------------------------------------------------------------- L1

@@ -221,3 +221,29 @@ def test_file_query_reads_documents_with_few_folders(spark, tmp_dir):
     assert {tuple(r) for r in found.collect()} == {
         (f"{i:012d}", len(f"document {i}\n"), hashlib.sha256(f"document {i}\n".encode()).hexdigest()) for i in range(500)}
     assert found.rdd.getNumPartitions() <= 4      # not a task for every few files
+
+
+def test_files_are_read_some_folders_at_a_time(spark, tmp_dir, monkeypatch):
+    from meterlake.plans import catalog
+
+    read, listed = [], wb.file_blobs
+
+    def seen(spark, path, *more):
+        read.append(path)
+        return listed(spark, path, *more)
+
+    monkeypatch.setattr(wb, "file_blobs", seen)
+    path = os.path.join(tmp_dir, "files")
+    rows = [(f"{i:04d}", f"text {i}") for i in range(200)]
+    wb.write_files(spark.createDataFrame(rows, "name string, text string"), path)
+    assert len(os.listdir(path)) == 4
+    found = wb.grouped_blobs(spark, path, lambda b: b.select(F.col("content").cast("string").alias("text")), wb.WRITTEN_FILES, folders=3)
+    assert [len(paths) for paths in read] == [3, 1]     # the driver never lists more than a group's files
+    assert sorted(r.text for r in found.collect()) == sorted(f"{text}\n" for _, text in rows)
+    assert wb.grouped_blobs(spark, os.path.join(tmp_dir, "none"), lambda b: b.select("length")).collect() == []
+
+    read.clear()
+    monkeypatch.setattr(wb, "FOLDERS_A_GROUP", 1)
+    spark.range(100).selectExpr("id AS doc_id", "concat('document ', id) AS text").write.parquet(os.path.join(tmp_dir, "documents.parquet"))
+    assert catalog.QUERIES["a2_file_blobs"](spark, tmp_dir).count() == 100
+    assert [len(paths) for paths in read] == [1] * 4
